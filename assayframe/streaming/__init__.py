@@ -1,0 +1 @@
+"""Empty on purpose: the workflows this library covers hold no streams (see README)."""
