@@ -77,12 +77,13 @@ def split_label_row(
 ) -> tuple[DataFrame, DataFrame]:
     """A peak table whose row ``label`` holds the class of each sample → (long values, samples)."""
     columns = columns_except(wide, key)
-    is_label = F.col(key) == label
-    samples = wide.filter(is_label).unpivot([key], columns, "sample", "condition").select("sample", "condition")
+    keyed = wide.select(F.col(key).alias("_key"), *columns)
+    is_label = F.col("_key") == label
+    samples = keyed.filter(is_label).unpivot(["_key"], columns, "sample", "condition").select("sample", "condition")
     values = (
-        wide.filter(F.not_(F.coalesce(is_label, F.lit(False))))
-        .unpivot([key], columns, "sample", value)
-        .select(F.col(key).alias(feature), "sample", F.col(value).try_cast("double").alias(value))
+        keyed.filter(F.not_(F.coalesce(is_label, F.lit(False))))
+        .unpivot(["_key"], columns, "sample", value)
+        .select(F.col("_key").alias(feature), "sample", F.col(value).try_cast("double").alias(value))
     )
     return values, samples
 
@@ -244,7 +245,8 @@ def list_to_rows(df: DataFrame, column: str, out: str) -> DataFrame:
 
 def transpose(long: DataFrame, row: str = "feature", column: str = "sample") -> DataFrame:
     """Swap the two roles of a long matrix."""
-    return long.withColumnsRenamed({row: column, column: row})
+    swap = {row: column, column: row}
+    return long.select(*[F.col(c).alias(swap.get(c, c)) for c in long.columns])
 
 
 # --- top-k and order -----------------------------------------------------------------------------

@@ -1,7 +1,7 @@
 """Imports every query module, so that the catalog is complete."""
 
-from . import matrix_queries
+from . import matrix_queries, read_queries, study_queries
 from .catalog import ORACLES, QUERIES
 from .matrix_queries import flagship
 
-__all__ = ["ORACLES", "QUERIES", "flagship", "matrix_queries"]
+__all__ = ["ORACLES", "QUERIES", "flagship", "matrix_queries", "read_queries", "study_queries"]
