@@ -111,7 +111,7 @@ def small_quantiles(value: Column | str, quantiles: Sequence[float], weight: Col
     """Exact quantiles as an aggregate, for groups whose number of distinct values is bounded."""
     if weight is None:
         return F.percentile(value, list(quantiles))
-    return F.percentile(value, list(quantiles), weight)
+    return F.percentile(value, list(quantiles), F.col(weight) if isinstance(weight, str) else weight)
 
 
 def island_starts(df: DataFrame, by: Sequence[str], at: str, gap, bins: int = BINS) -> DataFrame:

@@ -10,13 +10,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.sequences import phred, reverse_complement
+from ..functions.tails import once
 
 MAX_ADAPTERS = 10_000  # an adapter file is a short list; it travels with the job
 
 
 def _cut(reads: DataFrame, first: Column, length: Column) -> DataFrame:
-    """Keep ``length`` letters from the 1-based position ``first``."""
-    cut = reads.withColumn("_first", first).withColumn("_length", length)
+    """Keep ``length`` letters from the 1-based position ``first``; the bounds are computed once per read."""
+    cut = reads.withColumns({"_first": once(first), "_length": once(length)})
     return cut.withColumns(
         {c: F.substring(F.col(c), F.col("_first"), F.col("_length")) for c in ("seq", "qual")}
     ).drop("_first", "_length")
@@ -38,7 +39,7 @@ def trim_trailing(reads: DataFrame, q: int = 3, offset: int = 33) -> DataFrame:
 
 def trim_sliding_window(reads: DataFrame, window: int = 4, q: float = 15, offset: int = 33) -> DataFrame:
     """Cut where the first window with a mean below ``q`` starts; reads shorter than the window stay."""
-    scored = reads.withColumn("_q", phred("qual", offset))
+    scored = reads.withColumn("_q", once(phred("qual", offset)))
 
     def low(i: Column) -> Column:
         total = F.lit(0)

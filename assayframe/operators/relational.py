@@ -81,7 +81,7 @@ def split_label_row(
     is_label = F.col("_key") == label
     samples = keyed.filter(is_label).unpivot(["_key"], columns, "sample", "condition").select("sample", "condition")
     values = (
-        keyed.filter(F.not_(F.coalesce(is_label, F.lit(False))))
+        keyed.filter(~F.coalesce(is_label, F.lit(False)))
         .unpivot(["_key"], columns, "sample", value)
         .select(F.col("_key").alias(feature), "sample", F.col(value).try_cast("double").alias(value))
     )

@@ -254,12 +254,12 @@ def pair_by_pathway(spark, sf):
 
 
 _INTEGRATE = """SELECT pathway_name, string_agg(gene, ', ' ORDER BY gene, compound) AS genes, string_agg(compound, ', ' ORDER BY gene, compound) AS compounds,
-    round(avg(gene_lfc), 6) AS avg_gene_lfc, round(avg(compound_lfc), 6) AS avg_compound_lfc"""
+    round(avg(gene_lfc), 9) AS avg_gene_lfc, round(avg(compound_lfc), 9) AS avg_compound_lfc"""
 
 
 @query("integrate_pathways", with_roles("genes compounds", _INTEGRATE + " FROM genes JOIN compounds USING (pathway_name) GROUP BY 1"))
 def integrate_pathways(spark, sf):
-    return rounded(integration.integrate_pathways(*_sides(spark, sf)))
+    return rounded(integration.integrate_pathways(*_sides(spark, sf)), 9)
 
 
 @query(
@@ -285,7 +285,7 @@ def pathway_members(spark, sf):
     ),
 )
 def compare_lists(spark, sf):
-    return rounded(integration.compare_lists(*_sides(spark, sf), cut=0.0))
+    return rounded(integration.compare_lists(*_sides(spark, sf), cut=0.0), 9)
 
 
 @query(
@@ -304,16 +304,16 @@ _MEANS = "SELECT pathway_name, avg(gene_lfc) AS g, avg(compound_lfc) AS c FROM g
     "melt_lfc",
     with_roles(
         "genes compounds",
-        f"SELECT pathway_name, 'avg_gene_lfc' AS type, round(g, 6) AS log_fold_change FROM ({_MEANS}) UNION ALL SELECT pathway_name, 'avg_compound_lfc', round(c, 6) FROM ({_MEANS})",
+        f"SELECT pathway_name, 'avg_gene_lfc' AS type, round(g, 9) AS log_fold_change FROM ({_MEANS}) UNION ALL SELECT pathway_name, 'avg_compound_lfc', round(c, 9) FROM ({_MEANS})",
     ),
 )
 def melt_lfc(spark, sf):
-    return rounded(integration.melt_lfc(integration.integrate_pathways(*_sides(spark, sf))))
+    return rounded(integration.melt_lfc(integration.integrate_pathways(*_sides(spark, sf))), 9)
 
 
-@query("lfc_matrix", with_roles("genes compounds", f"SELECT pathway_name, round(g, 6) AS avg_gene_lfc, round(c, 6) AS avg_compound_lfc FROM ({_MEANS})"))
+@query("lfc_matrix", with_roles("genes compounds", f"SELECT pathway_name, round(g, 9) AS avg_gene_lfc, round(c, 9) AS avg_compound_lfc FROM ({_MEANS})"))
 def lfc_matrix_query(spark, sf):
-    return rounded(lfc_matrix(integration.integrate_pathways(*_sides(spark, sf))))
+    return rounded(lfc_matrix(integration.integrate_pathways(*_sides(spark, sf))), 9)
 
 
 _NAMED = "SELECT nullif(n_name, 'NATION_0') AS pathway_name, s_acctbal / 1000 - 5 AS lfc FROM supplier JOIN nation ON n_nationkey = s_nationkey"
@@ -324,12 +324,12 @@ def _named_rows(spark, sf):
     return rows.select(F.nullif(F.col("pathway_name"), F.lit("NATION_0")).alias("pathway_name"), (F.col("compound_lfc") - 5).alias("lfc"))
 
 
-_PATH_MEANS = f"SELECT pathway_name, round(avg(lfc), 6) AS avg_lfc, CASE WHEN avg(lfc) > 0 THEN 'Upregulated' ELSE 'Downregulated' END AS direction FROM ({_NAMED}) GROUP BY 1"
+_PATH_MEANS = f"SELECT pathway_name, round(avg(lfc), 9) AS avg_lfc, CASE WHEN avg(lfc) > 0 THEN 'Upregulated' ELSE 'Downregulated' END AS direction FROM ({_NAMED}) GROUP BY 1"
 
 
 @query("pathway_mean_lfc", _PATH_MEANS)
 def pathway_mean_lfc(spark, sf):
-    return rounded(integration.pathway_mean_lfc(_named_rows(spark, sf)))
+    return rounded(integration.pathway_mean_lfc(_named_rows(spark, sf)), 9)
 
 
 @query("label_direction", f"SELECT direction, count(*) AS n FROM ({_PATH_MEANS}) GROUP BY 1")
@@ -349,7 +349,7 @@ def pathway_counts(spark, sf):
     UNION ALL (SELECT * FROM m WHERE direction = 'Downregulated' ORDER BY avg_lfc, pathway_name LIMIT 5)""",
 )
 def top_pathways_up_down(spark, sf):
-    means = rounded(integration.pathway_mean_lfc(_named_rows(spark, sf)))
+    means = rounded(integration.pathway_mean_lfc(_named_rows(spark, sf)), 9)
     return relational.top_pathways_up_down(means, 5)
 
 
@@ -364,10 +364,10 @@ def top_pathways_by_count(spark, sf):
 
 @query(
     "order_by_group_mean",
-    f"SELECT pathway_name, round(mean, 6) AS mean, dense_rank() OVER (ORDER BY mean) AS display_order FROM (SELECT pathway_name, avg(lfc) AS mean FROM ({_NAMED}) GROUP BY 1)",
+    f"SELECT pathway_name, round(mean, 9) AS mean, dense_rank() OVER (ORDER BY mean) AS display_order FROM (SELECT pathway_name, avg(lfc) AS mean FROM ({_NAMED}) GROUP BY 1)",
 )
 def order_by_group_mean(spark, sf):
-    return rounded(relational.order_by_group_mean(_named_rows(spark, sf), "pathway_name", "lfc"))
+    return rounded(relational.order_by_group_mean(_named_rows(spark, sf), "pathway_name", "lfc"), 9)
 
 
 _BOTH = "pathway_name IN (SELECT pathway_name FROM genes) AND pathway_name IN (SELECT pathway_name FROM compounds)"
