@@ -75,7 +75,7 @@ def mummichog(
     the result does not depend on partitioning. ``p_perm`` is the share of permuted pathway p-values
     that are at least as small.
     """
-    matches = match_mass(peaks, compounds, adducts, ppm)
+    matches = stage(match_mass(peaks, compounds, adducts, ppm).select("peak_id", "compound_id", "rt"))
     empirical = stage(empirical_compounds(matches, rt_window).select("peak_id", "compound_id", "ec_id").distinct())
     in_paths = stage(
         empirical.join(links.select("compound_id", "pathway_id").distinct(), "compound_id")
@@ -86,15 +86,15 @@ def mummichog(
     sizes = members.groupBy("pathway_id").agg(F.count(F.lit(1)).alias("set_size")).filter(F.col("set_size") >= min_size)
     n_all = members.agg(F.count_distinct("ec_id")).scalar()
 
-    ids = peaks.select("peak_id").distinct()
-    real = filter_p(peaks, "p", p_cut).select("peak_id").distinct()
+    listed = stage(peaks.groupBy("peak_id").agg(F.min("p").alias("p")))
+    ids, real = listed.select("peak_id"), filter_p(listed, "p", p_cut).select("peak_id")
     draws = ids.select("peak_id", F.explode(F.sequence(F.lit(1), F.lit(n_perm))).alias("perm"))
     draws = draws.withColumn("_h", F.xxhash64("peak_id", "perm", F.lit(seed)))
     ranks = running(distinct_counts(draws, ["perm"], "_h"), ["perm"], "_h")
     cut = ranks.withColumn("_k", real.agg(F.count(F.lit(1))).scalar()).filter(F.col("upto") <= F.col("_k")).select("perm", "_h")
     picked = draws.join(cut, ["perm", "_h"]).select("perm", "peak_id").unionByName(real.select(F.lit(0).alias("perm"), "peak_id"))
 
-    hit = picked.join(in_paths, "peak_id").select("perm", "pathway_id", "ec_id").distinct()
+    hit = stage(picked.join(in_paths, "peak_id").select("perm", "pathway_id", "ec_id").distinct())
     n_hit = hit.select("perm", "ec_id").distinct().groupBy("perm").agg(F.count(F.lit(1)).alias("n_drawn"))
     tested = (
         hit.groupBy("perm", "pathway_id")

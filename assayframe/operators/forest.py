@@ -10,6 +10,7 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from ..sources.staging import stage
 from .ordered import exact_quantiles
 
 
@@ -70,7 +71,7 @@ def rf_outlier(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int
     """
     prepared, _ = _prepared(rows)
     model = _classifier(trees, per_split, seed, "_leaf").fit(prepared)
-    leaves = model.transform(prepared).select("id", "label", F.transform(vector_to_array("_leaf"), lambda x: x.cast("int")).alias("_l"))
+    leaves = stage(model.transform(prepared).select("id", "label", F.transform(vector_to_array("_leaf"), lambda x: x.cast("int")).alias("_l")))
     pairs = leaves.select("id", "label", "_l", F.posexplode("_l").alias("_t", "_a"))
     pairs = pairs.select(
         "id", "label", "_t", "_a", F.posexplode(F.slice("_l", F.col("_t") + 1, F.size("_l"))).alias("_d", "_b")
@@ -80,7 +81,7 @@ def rf_outlier(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int
     weight = F.when(F.col("_d") == 0, 1).otherwise(2)
     sums = pairs.join(together, key).groupBy("id", "label").agg(F.sum(F.col("_n") * weight).alias("_s"))
     total = prepared.agg(F.count(F.lit(1))).scalar()
-    raw = sums.withColumn("_raw", F.lit(float(trees * trees)) * total / F.col("_s"))
+    raw = stage(sums.withColumn("_raw", F.lit(float(trees * trees)) * total / F.col("_s")).select("id", "label", "_raw"))
     medians = exact_quantiles(raw, ["label"], "_raw", {"_median": 0.5})
     spread = raw.join(medians, "label").withColumn("_dev", F.abs(F.col("_raw") - F.col("_median")))
     mads = exact_quantiles(spread, ["label"], "_dev", {"_mad": 0.5})

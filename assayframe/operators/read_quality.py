@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.sequences import gc_count, letters, phred
+from ..session import widen
 from .ordered import small_quantiles
 
 KEY = ["sample", "mate"]
@@ -28,7 +29,7 @@ def qc_basic_stats(reads: DataFrame) -> DataFrame:
 
 def _by_position(reads: DataFrame, values, name: str) -> DataFrame:
     return (
-        reads.select(*KEY, F.posexplode(values).alias("_at", name))
+        widen(reads).select(*KEY, F.posexplode(values).alias("_at", name))
         .groupBy(*KEY, (F.col("_at") + 1).alias("pos"), name)
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -60,7 +61,7 @@ def qc_tile_quality(reads: DataFrame, offset: int = 33, field: int = 4) -> DataF
     """Mean quality per flow-cell tile (a ``:`` field of the read id) and position, and its distance from the position's mean."""
     tile = F.get(F.split(F.col("read_id"), ":"), field)
     counts = (
-        reads.select(*KEY, tile.alias("tile"), F.posexplode(phred("qual", offset)).alias("_at", "q"))
+        widen(reads).select(*KEY, tile.alias("tile"), F.posexplode(phred("qual", offset)).alias("_at", "q"))
         .groupBy(*KEY, "tile", (F.col("_at") + 1).alias("pos"))
         .agg(F.sum("q").alias("_s"), F.count(F.lit(1)).alias("reads"))
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE turns small sides into broadcasts by their measured size, merges small shuffle partitions and
 # splits skewed join partitions; the library relies on it and adds its own splitting where AQE has none.
@@ -34,3 +34,12 @@ def shared_dir(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="assayframe-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """Deal the rows out when a scan has fewer tasks than the session has cores; large inputs stay as they are.
+
+    For steps that do much work per row before their first shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
