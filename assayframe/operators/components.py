@@ -1,7 +1,8 @@
 """PCA, PLS and what is read off them.
 
 Features far outnumber samples. Spark adds up samples × samples cross products in one pass; the small
-matrix is solved on the driver; loadings come from one more aggregate over the long table.
+matrix is solved on the driver; loadings come from one more scan. The features' value lists are staged
+once, because both passes read them.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import pct
+from ..sources.staging import stage
 from .similarity import _block, cross_products, feature_vectors
 
 GRAM_SAMPLES = 2000  # beyond this many samples the scores are iterated instead of solved
@@ -70,17 +72,20 @@ def _iterated_scores(vectors: DataFrame, n: int, k: int, rounds: int = 200, tol:
     return values, vectors_k, trace
 
 
-def _project(long: DataFrame, samples: DataFrame, coefficients: DataFrame, names: list[str]) -> DataFrame:
-    """Per feature: sum over samples of the centred value times each coefficient column (one aggregate)."""
-    joined = long.join(coefficients, "sample")
-    n = samples.agg(F.count_distinct("sample")).scalar()
-    sums = joined.groupBy("feature").agg(
-        F.avg("value").alias("_mean"),
-        F.count("value").alias("_n"),
-        *[F.sum(F.col("value") * F.col(c)).alias(f"_s_{c}") for c in names],
-        *[F.sum(c).alias(f"_t_{c}") for c in names],
-    ).withColumn("_all", n).filter(F.col("_n") == F.col("_all"))
-    return sums.select("feature", *[(F.col(f"_s_{c}") - F.col("_mean") * F.col(f"_t_{c}")).alias(c) for c in names])
+def _project(vectors: DataFrame, coefficients: dict[str, np.ndarray]) -> DataFrame:
+    """Per feature: the centred values times each coefficient vector, a scan without a shuffle."""
+    spark = vectors.sparkSession
+    table = spark.createDataFrame([tuple([float(v) for v in c] for c in coefficients.values())], [f"_c_{c}" for c in coefficients])
+    one = table.select(F.struct("*")).scalar()
+    x = F.col("x")
+    mean = F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / F.size(x)
+    centred = vectors.withColumn("_mean", mean).withColumn("_c", one)
+
+    def dot(c: str) -> Column:
+        terms = F.zip_with("x", F.col("_c")[f"_c_{c}"], lambda v, w: (v - F.col("_mean")) * w)
+        return F.aggregate(terms, F.lit(0.0), lambda a, v: a + v)
+
+    return centred.select("feature", *[dot(c).alias(c) for c in coefficients])
 
 
 def _largest_sign(loadings: DataFrame, names: list[str]) -> list[float]:
@@ -100,7 +105,7 @@ def pca(long: DataFrame, samples: DataFrame, k: int = 2, gram_samples: int = GRA
     names = _sample_names(samples)
     n = len(names)
     k = min(k, n)
-    vectors = feature_vectors(long, samples)
+    vectors = stage(feature_vectors(long, samples))
     if n <= gram_samples:
         gram = _centred_gram(vectors, n)
         values, vecs = np.linalg.eigh(gram)
@@ -114,7 +119,7 @@ def pca(long: DataFrame, samples: DataFrame, k: int = 2, gram_samples: int = GRA
     coefficients = spark.createDataFrame(pd.DataFrame(vecs, columns=cols).assign(sample=names)).withColumn(
         "sample", F.col("sample").cast(samples.schema["sample"].dataType)
     )
-    raw = _project(long, samples, coefficients, cols)
+    raw = _project(vectors, {c: vecs[:, i] for i, c in enumerate(cols)})
     signs = _largest_sign(raw, cols)
     loadings = raw.select(
         "feature", *[(F.col(c) * (s / w if w > 1e-12 else 0.0)).alias(c) for c, s, w in zip(cols, signs, scale)]
@@ -169,7 +174,8 @@ def pls(long: DataFrame, samples: DataFrame, levels: tuple[str, str], ncomp: int
     n = len(names)
     y = np.array([float(r[1] == levels[1]) for r in rows])
     y = y - y.mean()
-    kernel = _centred_gram(feature_vectors(long, samples), n)
+    vectors = stage(feature_vectors(long, samples))
+    kernel = _centred_gram(vectors, n)
     total_y = float(y @ y)
     deflate = np.eye(n)
     score, weight_of, fits = [], [], []
@@ -193,11 +199,11 @@ def pls(long: DataFrame, samples: DataFrame, levels: tuple[str, str], ncomp: int
         pdf = pd.DataFrame(dict(zip(cols, columns))).assign(sample=names)
         return spark.createDataFrame(pdf).withColumn("sample", F.col("sample").cast(kind))
 
-    weights = _project(long, samples, table(weight_of), cols)
+    weights = _project(vectors, dict(zip(cols, weight_of)))
     signs = _largest_sign(weights, cols)
     signed = [F.col(c) * s for c, s in zip(cols, signs)]
     weights = weights.select("feature", *[x.alias(c) for x, c in zip(signed, cols)])
-    loadings = _project(long, samples, table([t / (t @ t) for t in score]), cols)
+    loadings = _project(vectors, {c: t / (t @ t) for c, t in zip(cols, score)})
     loadings = loadings.select("feature", *[x.alias(c) for x, c in zip(signed, cols)])
     scores = table(score).join(samples.select("sample", "condition").distinct(), "sample")
     scores = scores.select("sample", "condition", *[x.alias(c) for x, c in zip(signed, cols)])

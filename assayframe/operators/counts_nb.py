@@ -19,6 +19,7 @@ from ..functions.tails import STIRLING, normal_two_sided, once
 from ..sources.staging import stage
 from .adjust import adjust_bh
 from .ordered import distinct_counts, exact_quantiles, running
+from .similarity import by_feature
 
 MIN_DISPERSION, MAX_DISPERSION = 1e-8, 10.0
 
@@ -117,7 +118,7 @@ def count_vectors(long: DataFrame, names: list) -> DataFrame:
     v = F.coalesce(nan_to_null("value"), F.lit(0.0))
     cells = F.map_from_entries(F.collect_list(F.struct("sample", v.alias("v"))))
     wanted = F.array(*[F.lit(n) for n in names])
-    rows = long.groupBy("feature").agg(cells.alias("_m"))
+    rows = by_feature(long).groupBy("feature").agg(cells.alias("_m"))
     return rows.select("feature", F.transform(wanted, lambda s: F.coalesce(F.try_element_at("_m", s), F.lit(0.0))).alias("k"))
 
 
@@ -167,7 +168,7 @@ def nb_dispersion(long: DataFrame, samples: DataFrame, factors: DataFrame, level
             final = np.where(own > centre + limit, own, _best_dispersion(k, mu, second, centre, prior_var))
             yield batch[["feature", "base_mean", "disp_gene", "disp_trend"]].assign(dispersion=np.exp(final))
 
-    return trended.mapInPandas(shrink, f"feature {kind}, base_mean double, disp_gene double, disp_trend double, dispersion double")
+    return by_feature(trended).mapInPandas(shrink, f"feature {kind}, base_mean double, disp_gene double, disp_trend double, dispersion double")
 
 
 def _fit_trend(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.sequences import gc_count, letters, phred
+from ..functions.sequences import gc_count, letters, phred, quality_of
 from ..session import widen
 from .ordered import small_quantiles
 
@@ -40,7 +40,8 @@ def qc_base_quality(reads: DataFrame, offset: int = 33) -> DataFrame:
 
     A position has at most 94 distinct qualities, so the exact percentiles work on a short list of counts.
     """
-    counts = _by_position(reads, phred("qual", offset), "q")
+    # counted by character; the character becomes a number after the aggregation
+    counts = _by_position(reads, letters("qual"), "c").withColumn("q", quality_of("c", offset))
     cuts = small_quantiles("q", [0.1, 0.25, 0.5, 0.75, 0.9], "n")
     stats = counts.groupBy(*KEY, "pos").agg(
         (F.sum(F.col("q") * F.col("n")) / F.sum("n")).alias("mean"), cuts.alias("_c"), F.sum("n").alias("reads")
@@ -61,9 +62,10 @@ def qc_tile_quality(reads: DataFrame, offset: int = 33, field: int = 4) -> DataF
     """Mean quality per flow-cell tile (a ``:`` field of the read id) and position, and its distance from the position's mean."""
     tile = F.get(F.split(F.col("read_id"), ":"), field)
     counts = (
-        widen(reads).select(*KEY, tile.alias("tile"), F.posexplode(phred("qual", offset)).alias("_at", "q"))
+        widen(reads)
+        .select(*KEY, tile.alias("tile"), F.posexplode(letters("qual")).alias("_at", "c"))
         .groupBy(*KEY, "tile", (F.col("_at") + 1).alias("pos"))
-        .agg(F.sum("q").alias("_s"), F.count(F.lit(1)).alias("reads"))
+        .agg(F.sum(quality_of("c", offset)).alias("_s"), F.count(F.lit(1)).alias("reads"))
     )
     everywhere = counts.groupBy(*KEY, "pos").agg((F.sum("_s") / F.sum("reads")).alias("_mean"))
     mean = F.col("_s") / F.col("reads")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.sequences import phred, reverse_complement
 from ..functions.tails import once
+from ..session import widen
 
 MAX_ADAPTERS = 10_000  # an adapter file is a short list; it travels with the job
 
@@ -39,7 +40,7 @@ def trim_trailing(reads: DataFrame, q: int = 3, offset: int = 33) -> DataFrame:
 
 def trim_sliding_window(reads: DataFrame, window: int = 4, q: float = 15, offset: int = 33) -> DataFrame:
     """Cut where the first window with a mean below ``q`` starts; reads shorter than the window stay."""
-    scored = reads.withColumn("_q", once(phred("qual", offset)))
+    scored = widen(reads).withColumn("_q", once(phred("qual", offset)))
 
     def low(i: Column) -> Column:
         total = F.lit(0)
@@ -148,7 +149,7 @@ def clip_adapters(
                 quals.append(qual[:at])
             yield batch.assign(seq=seqs, qual=quals)
 
-    return reads.mapInPandas(clip, reads.schema)
+    return widen(reads).mapInPandas(clip, reads.schema)
 
 
 def clip_pairs(

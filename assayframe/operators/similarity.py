@@ -19,11 +19,20 @@ from ..functions.numeric import nan_to_null
 from .matrix import sample_list
 
 
+def by_feature(long: DataFrame) -> DataFrame:
+    """Cells partitioned by feature into a set number of tasks.
+
+    The grouping that follows reuses this shuffle. Naming the number keeps adaptive execution from merging
+    small partitions: the numpy step after it is heavy on computing, not on bytes.
+    """
+    return long.repartition(int(long.sparkSession.conf.get("spark.sql.shuffle.partitions")), "feature")
+
+
 def feature_vectors(long: DataFrame, samples: DataFrame, out: str = "x") -> DataFrame:
     """One row per feature that has a value in every sample: the values in sample order."""
     order = sample_list(samples)
     v = nan_to_null("value")
-    rows = long.filter(v.isNotNull()).groupBy("feature").agg(
+    rows = by_feature(long.filter(v.isNotNull())).groupBy("feature").agg(
         F.map_from_entries(F.collect_list(F.struct("sample", v.alias("value")))).alias("_m")
     )
     rows = rows.withColumn("_s", order).filter(F.size("_m") == F.size("_s"))
