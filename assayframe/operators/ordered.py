@@ -13,7 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BINS = 64
+BINS = 64  # the least number of bins; a session with more shuffle partitions gets one bin for each
+MOST_BINS = 1024
 
 
 def _probabilities(bins: int) -> list[float]:
@@ -25,6 +26,9 @@ def add_bins(df: DataFrame, by: Sequence[str], value: str, bins: int = BINS) ->
 
     The cuts are searched in two steps (every eighth, then the eight in between).
     """
+    if bins == BINS:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        bins = min(max(BINS, partitions), MOST_BINS)
     cuts = F.array_distinct(F.percentile_approx(F.col(value), _probabilities(bins), bins * 50))
     eighths = F.filter(F.transform("_cuts", lambda c, i: F.when(i % 8 == 7, c)), lambda c: c.isNotNull())
     edges = df.groupBy(*by).agg(cuts.alias("_cuts")).withColumn("_eighths", eighths)

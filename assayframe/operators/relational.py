@@ -127,9 +127,15 @@ def align_metadata(df: DataFrame, samples: DataFrame, sample: str = "sample") ->
 
 def attach_peaks(matches: DataFrame, peaks: DataFrame, keys: Sequence[str] = ("rt", "mz")) -> DataFrame:
     """Left join on two doubles where a missing key matches a missing key."""
-    right = peaks.withColumnsRenamed({k: f"_p_{k}" for k in keys})
-    same = [matches[k].eqNullSafe(right[f"_p_{k}"]) for k in keys]
-    return matches.join(right, same, "left").drop(*[f"_p_{k}" for k in keys])
+
+    def null_safe(df: DataFrame) -> DataFrame:
+        # a flag and a filled value per key, so that the join is a plain equality that can be split
+        return df.withColumns({f"_{k}_missing": F.col(k).isNull() for k in keys}).withColumns(
+            {f"_{k}": F.coalesce(F.col(k), F.lit(0.0)) for k in keys}
+        )
+
+    joined = [c for k in keys for c in (f"_{k}_missing", f"_{k}")]
+    return spread_join(null_safe(matches), null_safe(peaks).drop(*keys), joined, "left").drop(*joined)
 
 
 def name_compounds(matches: DataFrame, compounds: DataFrame, key: str = "compound_id", name: str = "name") -> DataFrame:
