@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.tails import hypergeom_upper, once
 from ..functions.text import ratio_text
@@ -89,10 +89,8 @@ def mummichog(
     listed = stage(peaks.groupBy("peak_id").agg(F.min("p").alias("p")))
     ids, real = listed.select("peak_id"), filter_p(listed, "p", p_cut).select("peak_id")
     draws = ids.select("peak_id", F.explode(F.sequence(F.lit(1), F.lit(n_perm))).alias("perm"))
-    draws = draws.withColumn("_h", F.xxhash64("peak_id", "perm", F.lit(seed)))
-    ranks = running(distinct_counts(draws, ["perm"], "_h"), ["perm"], "_h")
-    cut = ranks.withColumn("_k", real.agg(F.count(F.lit(1))).scalar()).filter(F.col("upto") <= F.col("_k")).select("perm", "_h")
-    picked = draws.join(cut, ["perm", "_h"]).select("perm", "peak_id").unionByName(real.select(F.lit(0).alias("perm"), "peak_id"))
+    draws = _smallest_hashes(draws.withColumn("_h", F.xxhash64("peak_id", "perm", F.lit(seed))), real.agg(F.count(F.lit(1))).scalar())
+    picked = draws.select("perm", "peak_id").unionByName(real.select(F.lit(0).alias("perm"), "peak_id"))
 
     hit = stage(picked.join(in_paths, "peak_id").select("perm", "pathway_id", "ec_id").distinct())
     n_hit = hit.select("perm", "ec_id").distinct().groupBy("perm").agg(F.count(F.lit(1)).alias("n_drawn"))
@@ -114,6 +112,29 @@ def mummichog(
     return shown.join(below, shown["p"] == below["_p"]).select("pathway_id", "set_size", "hit_count", "n_drawn", "p", "p_perm")
 
 
+def _smallest_hashes(draws: DataFrame, k) -> DataFrame:
+    """Per permutation the k rows with the smallest hash, without ordering them all.
+
+    The top 12 bits cut the uniform hash into 4096 even bins. Bin counts tell in which bin the k-th row
+    lies; bins before it are taken whole and only that bin is ordered.
+    """
+    binned = draws.withColumn("_b", F.shiftright("_h", 52))
+    order = Window.partitionBy("perm").orderBy("_b")
+    upto = binned.groupBy("perm", "_b").agg(F.count(F.lit(1)).alias("_n")).withColumn("_upto", F.sum("_n").over(order))
+    last = (
+        upto.withColumn("_k", k)
+        .filter(F.col("_upto") >= F.col("_k"))
+        .groupBy("perm")
+        .agg(F.min_by(F.struct(F.col("_b").alias("b"), (F.col("_k") - F.col("_upto") + F.col("_n")).alias("need")), "_b").alias("_last"))
+    )
+    placed = binned.join(last, "perm")
+    before = placed.filter(F.col("_b") < F.col("_last.b"))
+    edge = placed.filter(F.col("_b") == F.col("_last.b"))
+    rank = F.row_number().over(Window.partitionBy("perm").orderBy("_h", "peak_id"))
+    edge = edge.withColumn("_r", rank).filter(F.col("_r") <= F.col("_last.need"))
+    return before.select("perm", "peak_id").unionByName(edge.select("perm", "peak_id"))
+
+
 def peaks_to_paths(result: DataFrame, pathways: DataFrame) -> DataFrame:
     """The table behind the pathway plot: name, hits, size, enrichment factor and both p-values."""
     factor = F.try_divide(F.col("hit_count"), F.col("set_size"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.sequences import phred, reverse_complement
 from ..functions.tails import once
 from ..session import widen
+from ..sources.staging import stage
 
 MAX_ADAPTERS = 10_000  # an adapter file is a short list; it travels with the job
 
@@ -61,7 +62,8 @@ def drop_short(reads: DataFrame, min_length: int = 36) -> DataFrame:
 def trim_reads(reads: DataFrame, adapters: DataFrame | None = None, offset: int = 33) -> DataFrame:
     """The whole trimming step with its standard settings: adapters, both ends, sliding window, length."""
     if adapters is not None:
-        reads = clip_pairs(clip_adapters(reads, adapters, offset=offset), adapters, offset=offset)
+        # the pairs are looked at from both sides, so the clipped reads are written once
+        reads = clip_pairs(stage(clip_adapters(reads, adapters, offset=offset)), offset=offset)
     reads = trim_leading(reads, 3, offset)
     reads = trim_trailing(reads, 3, offset)
     return drop_short(trim_sliding_window(reads, 4, 15, offset), 36)
@@ -153,7 +155,7 @@ def clip_adapters(
 
 
 def clip_pairs(
-    reads: DataFrame, adapters: DataFrame, palindrome: float = 30, seeds: int = 2, seed_length: int = 16, offset: int = 33
+    reads: DataFrame, palindrome: float = 30, seeds: int = 2, seed_length: int = 16, offset: int = 33
 ) -> DataFrame:
     """Cut both mates of a pair that reads through its insert into the adapters.
 

@@ -423,12 +423,21 @@ def pls_loadings(spark, sf):
     return rounded(_pls(spark, sf).loadings)
 
 
-@query("vip")
+_VIP = with_roles(
+    "cells samples grid filled offset_a normed",
+    """, c AS (SELECT feature, (value - avg(value) OVER (PARTITION BY feature)) * (CASE WHEN condition = 'cns' THEN 1 ELSE 0 END -
+      (SELECT avg(CASE WHEN condition = 'cns' THEN 1.0 ELSE 0.0 END) FROM samples)) AS xy FROM normed JOIN samples USING (sample)),
+    w AS (SELECT feature, abs(sum(xy)) AS w FROM c GROUP BY 1)
+    SELECT feature, round(w * sqrt(count(*) OVER ()) / sqrt(sum(w * w) OVER ()), 6) AS vip FROM w""",
+).replace("\n, c AS", ",\nc AS")
+
+
+@query("vip", _VIP)
 def vip(spark, sf):
     return rounded(components.vip(_pls(spark, sf)))
 
 
-@query("top_vip")
+@query("top_vip", f"SELECT * FROM ({_VIP}) ORDER BY vip DESC, feature LIMIT 15")
 def top_vip(spark, sf):
     return rounded(components.top_vip(components.vip(_pls(spark, sf))))
 

@@ -215,7 +215,7 @@ def clip_adapters(spark, sf):
 
 @query("clip_pairs")
 def clip_pairs(spark, sf):
-    return _trimmed(read_trimming.clip_pairs(roles.paired_reads(spark, sf), _adapters(spark, sf)))
+    return _trimmed(read_trimming.clip_pairs(roles.paired_reads(spark, sf)))
 
 
 @query("trim_reads")

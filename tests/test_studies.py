@@ -226,7 +226,7 @@ def test_adapters_are_cut(spark):
     adapters = spark.createDataFrame([("ad", adapter)], "name string, seq string")
     got = {(r["read_id"], r["mate"]): r["seq"] for r in read_trimming.clip_adapters(reads, adapters).collect()}
     assert got[("a", 1)] == insert and got[("b", 1)] == insert and len(got[("p", 1)]) == 61
-    got = {(r["read_id"], r["mate"]): r["seq"] for r in read_trimming.clip_pairs(reads, adapters).collect()}
+    got = {(r["read_id"], r["mate"]): r["seq"] for r in read_trimming.clip_pairs(reads).collect()}
     assert got[("p", 1)] == insert and got[("p", 2)] == back and got[("b", 1)] == insert
     routed = {(r["read_id"], r["mate"]): r["route"] for r in read_trimming.route_pairs(reads).collect()}
     assert routed[("p", 2)] == "paired" and routed[("a", 1)] == "unpaired"
