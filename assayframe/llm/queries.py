@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import folders, token_counts, token_files
+from . import folders, line_dedup, token_counts, token_files
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -36,6 +36,23 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.read_token_files(folders.save(listed, "file-list"), folder)
 
 
+@query(
+    "op8_line_dedup",
+    r"""WITH lines AS (
+        SELECT doc_id, pos, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+        FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+            generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents)),
+    gone AS (SELECT k FROM lines WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT doc_id) >= 10)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (k IN (SELECT k FROM gone)) AS n_dropped,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (k NOT IN (SELECT k FROM gone)), '')) AS kept_sha256
+    FROM lines GROUP BY doc_id""",
+)
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf, "documents"), min_docs=10, keep="none", columns=("doc_id",))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER), keep=("doc_id",))
