@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import folders, line_dedup, token_counts, token_files
+from . import folders, line_dedup, quality, token_counts, token_files
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -53,6 +53,14 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query("op9_quality")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    trees = quality.train(docs, table(spark, sf, "labels"))
+    scored = quality.score(docs, trees, cut=0.3, columns=("doc_id",))
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER), keep=("doc_id",))
