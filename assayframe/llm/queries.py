@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import folders, line_dedup, quality, token_counts, token_files
+from . import folders, line_dedup, near_dedup, quality, token_counts, token_files
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -29,6 +29,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query("op5_near_dedup")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    found = near_dedup.near_duplicates(table(spark, sf, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "kept")
+
+
 @query("op6_token_files")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     folder = folders.new_folder(spark, "token-files")

@@ -61,13 +61,13 @@ def encoded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), bounds
 
 
-def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Texts]:
-    """The column's texts in row order, in slices of at most ``limit`` bytes (one longer text by itself)."""
+def slices(column: pa.Array, limit: int = SLICE_BYTES, rows: int = 1 << 20) -> Iterator[Texts]:
+    """The column's texts in row order, in slices of at most ``limit`` bytes (one longer text by itself) and ``rows`` texts."""
     data, bounds = encoded(column)
     first, n = 0, len(bounds) - 1
     while first < n:
         last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + limit, "right")) - 1)
-        last = min(last, n)
+        last = min(last, n, first + rows)
         yield Texts(first, data[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first])
         first = last
 
@@ -106,6 +106,14 @@ def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
 
 
+def sequence_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the values of every range, in their order."""
+    power, inverse = powers(len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * power[: len(values)], out=sums[1:])
+    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
+
+
 def runs(flag: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of every run of true bytes; no run crosses from one text to the next."""
     before = np.zeros(len(flag), bool)
