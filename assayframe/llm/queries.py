@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import folders, line_dedup, near_dedup, quality, token_counts, token_files
+from . import chat, folders, line_dedup, near_dedup, packing, quality, token_counts, token_files
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -29,6 +29,42 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _sql_escaped(column: str) -> str:
+    out = f"replace({column}, '\\', '\\e')"
+    for mark in chat.CONTROL:
+        out = f"replace({out}, '{mark}', '{mark[0]}\\-{mark[1:]}')"
+    return out
+
+
+@query(
+    "op2_prefix_targets",
+    f"""WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        CAST(sum(8 + length({_sql_escaped("replace(role, chr(10), '?')")}) + (length(role) - length(replace(role, chr(10), '')))
+            + length({_sql_escaped("text")})) AS BIGINT) AS formatted_chars
+    FROM turns GROUP BY conv_id""",
+)
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    turns = turns.unionByName(spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text")))
+    found = chat.read_back(chat.expand(turns))
+    replies = F.array_join("replies", "")
+    return found.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.length(replies).cast("long").alias("loss_chars"),
+        F.sha2(replies, 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 @query("op5_near_dedup")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, sf, "documents"))
@@ -42,6 +78,13 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.read_token_files(folders.save(listed, "file-list"), folder)
 
 
+@query("op7_length_buckets")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    # lengths for a byte-level vocabulary: the bytes of the text and an end mark
+    docs = table(spark, sf, "documents").select("doc_id", (F.octet_length(F.coalesce("text", F.lit(""))) + 1).alias("length"))
+    return packing.pack(docs, "length", buckets=8, max_len=8192, budget=65_536)
+
+
 @query(
     "op8_line_dedup",
     r"""WITH lines AS (
