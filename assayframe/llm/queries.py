@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, folders, line_dedup, near_dedup, packing, quality, token_counts, token_files
+from . import chat, folders, line_dedup, near_dedup, packing, quality, token_counts, token_files, vantage
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -29,6 +29,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query("op1_vantage_point_trees")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings")
+    trees, shards = vantage.index(vectors, "vec_id", "embedding", dim=64)
+    return vantage.nearest(trees, shards, vectors.filter("vec_id % 100 = 0"), "vec_id", "embedding", dim=64, k=10)
+
+
 def _sql_escaped(column: str) -> str:
     out = f"replace({column}, '\\', '\\e')"
     for mark in chat.CONTROL:

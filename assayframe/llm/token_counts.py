@@ -2,7 +2,7 @@
 
 The texts are cut into pre-tokens; the distinct new pre-tokens of a batch become one ragged numpy array of symbols, and
 in each round every pre-token merges its lowest-ranked pair, all pre-tokens at once. The symbols that survive are
-counted and the counts summed per text. Counts of pre-tokens are remembered within a worker, up to ``CACHE`` of them.
+counted and the counts summed per text. Counts of white-space pieces are remembered within a worker (see ``pieces``).
 
 Nulls and empty texts have no tokens. Rows keep their columns and their order; repeated rows are counted each.
 """
@@ -19,8 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 from tokenizers import Tokenizer
 
-#: Pieces that a worker remembers before it starts afresh; bounds its memory, not the result.
-CACHE = 400_000
+from . import texts
+from .pieces import Pieces
+
 _FAR = np.int64(1) << 40
 
 
@@ -99,69 +100,72 @@ class Counter:
         self.tokenizer = Tokenizer.from_file(path)
         added = [t["content"] for t in spec.get("added_tokens") or []]
         self.added = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
-        self.separate = drops_white_space(spec)
-        self.suffix = model.get("end_of_word_suffix") or ""
-        vocab = model["vocab"]
-        self.inner = {ord(s): i for s, i in vocab.items() if len(s) == 1}
-        self.last = {ord(s[0]): i for s, i in vocab.items() if len(s) == 1 + len(self.suffix) and s[1:] == self.suffix}
-        self.pieces: dict[bytes, int] = {}
-        self.words: dict[str, int] = {}
-
-    def pre_tokens(self, piece: str) -> list[str]:
+        self.pieces = Pieces(spec)
+        suffix = model.get("end_of_word_suffix") or ""
+        inner = {ord(s): i for s, i in model["vocab"].items() if len(s) == 1}
+        last = {ord(s[0]): i for s, i in model["vocab"].items() if len(s) == 1 + len(suffix) and s[1:] == suffix}
+        self.inner = np.zeros(max(inner) + 1, np.int64)
+        self.inner[list(inner)] = list(inner.values())
+        self.last = self.inner.copy()
+        self.last[list(last)] = list(last.values())
+        self.forget()
+
+    def forget(self) -> None:
+        self.counts = np.zeros(0, np.int64)
+
+    def pre_tokens(self, text: str) -> list[str]:
         t = self.tokenizer
-        text = t.normalizer.normalize_str(piece) if t.normalizer else piece
+        text = t.normalizer.normalize_str(text) if t.normalizer else text
         return [w for w, _ in t.pre_tokenizer.pre_tokenize_str(text)] if t.pre_tokenizer else [text] if text else []
 
-    def learn_words(self, words: list[str]) -> None:
-        if not words:
-            return
-        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        table = np.zeros(int(codes.max()) + 1, np.int64)
-        for c, i in self.inner.items():
-            if c < len(table):
-                table[c] = i
-        ends = table.copy()
-        for c, i in self.last.items():
-            if c < len(table):
-                ends[c] = i
-        symbols = table[codes]
-        at = np.cumsum(lengths) - 1
-        symbols[at] = ends[codes[at]]
-        self.words.update(zip(words, surviving(symbols, lengths, self.rules).tolist(), strict=True))
-
-    def learn(self, pieces: list[bytes]) -> None:
-        split = []
-        for p in pieces:
-            text, special, cut = p.decode(), 0, None
-            if self.added and (special := len(self.added.findall(text))):
-                cut = [w for part in self.added.split(text) if part for w in self.pre_tokens(part)]
-            split.append((special, self.pre_tokens(text) if cut is None else cut))
-        if len(self.words) > CACHE:
-            self.words.clear()
-        self.learn_words(list({w for _, ws in split for w in ws} - self.words.keys()))
-        self.pieces.update((p, s + sum(map(self.words.__getitem__, ws))) for p, (s, ws) in zip(pieces, split, strict=True))
-
-    def counts(self, texts: list[bytes]) -> np.ndarray:
-        parts = [t.split() if self.separate else [t] if t else [] for t in texts]
-        if len(self.pieces) > CACHE:
-            self.pieces.clear()
-        if new := list({p for ps in parts for p in ps} - self.pieces.keys()):
-            self.learn(new)
-        get = self.pieces.__getitem__
-        return np.fromiter((sum(map(get, ps)) for ps in parts), np.int64, len(parts))
-
-
-def drops_white_space(spec: dict) -> bool:
-    """Whether white space only parts pre-tokens, so that a text may be cut there before anything else.
-
-    That holds if the pre-tokenizer first keeps nothing but the matches of a pattern that no white space matches.
-    """
-    pre = spec.get("pre_tokenizer") or {}
-    first = (pre.get("pretokenizers") or [pre])[0]
-    pattern = (first.get("pattern") or {}).get("Regex", "")
-    keeps_matches = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
-    return bool(keeps_matches) and not re.search(pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"), " \t\n\r\v\f")
+    def split(self, pieces: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """All pre-tokens, the piece of each, and the number of added tokens of each piece."""
+        special = np.zeros(len(pieces), np.int64)
+        words: list[str] = []
+        n = np.zeros(len(pieces), np.int64)
+        plain = self.pieces.separate and not any("\0" in p or (self.added and self.added.search(p)) for p in pieces)
+        if plain:
+            # one call for many pieces; a zero byte between white space is a pre-token of its own, the mark between pieces
+            for first in range(0, len(pieces), 1000):
+                some = pieces[first : first + 1000]
+                all_words = self.pre_tokens(" \0 ".join(some))
+                marks = np.flatnonzero(np.fromiter(map("Ā".__eq__, all_words), bool, len(all_words)))
+                if len(marks) != len(some) - 1:
+                    plain = False
+                    break
+                cut = np.concatenate([[-1], marks, [len(all_words)]])
+                n[first : first + len(some)] = np.diff(cut) - 1
+                words += [w for w in all_words if w != "Ā"]
+        if not plain:
+            words = []
+            for i, piece in enumerate(pieces):
+                parts = [piece]
+                if self.added:
+                    special[i] = len(self.added.findall(piece))
+                    parts = self.added.split(piece)
+                own = [w for part in parts if part for w in self.pre_tokens(part)]
+                n[i] = len(own)
+                words += own
+        return words, np.repeat(np.arange(len(pieces)), n), special
+
+    def learn(self, pieces: list[str]) -> None:
+        words, of, special = self.split(pieces)
+        number = {w: i for i, w in enumerate(dict.fromkeys(words))}
+        distinct = list(number)
+        if distinct:
+            codes = np.frombuffer("".join(distinct).encode("utf-32-le"), np.uint32)
+            lengths = np.fromiter(map(len, distinct), np.int64, len(distinct))
+            symbols = self.inner[codes]
+            at = np.cumsum(lengths) - 1
+            symbols[at] = self.last[codes[at]]
+            count = surviving(symbols, lengths, self.rules)
+            each = count[np.fromiter(map(number.__getitem__, words), np.int64, len(words))]
+            special += np.bincount(of, weights=each, minlength=len(pieces)).astype(np.int64)
+        self.counts = np.concatenate([self.counts, special])
+
+    def count(self, t: texts.Texts) -> np.ndarray:
+        number, of = self.pieces.of(t, self.learn, self.forget)
+        return np.bincount(of, weights=self.counts[number], minlength=len(t)).astype(np.int64)
 
 
 _counters: dict[str, Counter] = {}
@@ -189,13 +193,10 @@ def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", limit: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = counter(tokenizer)
         for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                rows = batch.slice(first, 256)
-                texts = [(t or "").encode() for t in rows.column(rows.num_columns - 1).to_pylist()]
-                n = own.counts(texts)
-                size = np.fromiter(map(len, texts), np.int64, len(texts))
+            for t in texts.slices(batch.column(len(kept)), 2 * texts.SLICE_BYTES):
+                n, rows = own.count(t), batch.slice(t.first, len(t))
                 yield pa.RecordBatch.from_arrays(
-                    [*rows.columns[:-1], pa.array(size), pa.array(n), pa.array(n > limit)], names=[*kept, *made]
+                    [*rows.columns[: len(kept)], pa.array(np.diff(t.bounds)), pa.array(n), pa.array(n > limit)], names=[*kept, *made]
                 )
 
     return chosen.mapInArrow(run, schema)

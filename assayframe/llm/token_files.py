@@ -12,11 +12,13 @@ ids first, equal ids by text. An empty table gives no files.
 
 from __future__ import annotations
 
+import json
 import posixpath
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from . import folders
-from .token_counts import CACHE, drops_white_space
+from . import folders, texts
+from .pieces import Pieces
 
 MAGIC = b"EFTOKEN1"
 SAMPLE = 256
@@ -125,44 +127,49 @@ class Encoder:
     """Ids of texts by the tokenizers library; white-space pieces already seen are looked up. One per worker."""
 
     def __init__(self, path: str):
-        import json
-
         with open(path, encoding="utf-8") as f:
-            self.separate = drops_white_space(json.load(f))
+            self.pieces = Pieces(json.load(f))
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.reset()
+        self.mark = self.tokenizer.encode("\0", add_special_tokens=False).ids
+        self.forget()
 
-    def reset(self) -> None:
-        self.place: dict[bytes, int] = {}
+    def forget(self) -> None:
         self.first = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def learn(self, pieces: list[bytes]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
-        length = np.fromiter(map(len, got), np.int64, len(got))
-        self.place.update(zip(pieces, range(len(self.place), len(self.place) + len(pieces)), strict=True))
+    def learn(self, pieces: list[str]) -> None:
+        ids, length = self.joined(pieces) or self.each(pieces)
         self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(length) - length])
         self.length = np.concatenate([self.length, length])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for e in got for i in e), np.uint32, int(length.sum()))])
+        self.ids = np.concatenate([self.ids, ids])
 
-    def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    def each(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        length = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(chain.from_iterable(got), np.uint32, int(length.sum())), length
+
+    def joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """As ``each``, with many pieces in a text: a zero byte between white space is a token of its own, the mark between pieces."""
+        if not self.pieces.separate or len(self.mark) != 1 or any("\0" in p for p in pieces):
+            return None
+        joined = [" \0 ".join(pieces[i : i + 500]) for i in range(0, len(pieces), 500)]
+        ids = np.array([*chain.from_iterable([*e.ids, *self.mark] for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False))], np.uint32)
+        is_mark = ids == self.mark[0]
+        length = np.diff(np.flatnonzero(is_mark), prepend=-1) - 1
+        return (ids[~is_mark], length) if len(length) == len(pieces) else None
+
+    def encode(self, t: texts.Texts, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text followed by the end id, and the length of each with it."""
-        if len(self.place) > CACHE:
-            self.reset()
-        parts = [t.split() if self.separate else [t] if t else [] for t in texts]
-        if new := list({p for ps in parts for p in ps} - self.place.keys()):
-            self.learn(new)
-        at = np.fromiter((self.place[p] for ps in parts for p in ps), np.int64)
-        of = np.repeat(np.arange(len(parts)), np.fromiter(map(len, parts), np.int64, len(parts)))
+        at, of = self.pieces.of(t, self.learn, self.forget)
         length = self.length[at]
-        lengths = np.bincount(of, weights=length, minlength=len(parts)).astype(np.int64) + 1
+        lengths = np.bincount(of, weights=length, minlength=len(t)).astype(np.int64) + 1
         out = np.full(int(lengths.sum()), end_id, np.uint32)
         before = np.cumsum(length) - length
-        within = np.arange(int(length.sum())) - np.repeat(before, length)
-        out[np.repeat(before + of, length) + within] = self.ids[np.repeat(self.first[at], length) + within]
+        within = np.arange(int(length.sum()))
+        out[within + np.repeat(of, length)] = self.ids[within + np.repeat(self.first[at] - before, length)]
         return out, lengths
 
 
@@ -218,18 +225,22 @@ def write_token_files(
             return listed
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                some = batch.slice(at, 64)
-                new, n = own.encode([(t or "").encode() for t in some.column(1).to_pylist()], end_id)
-                keys, used = some.column(0).to_pylist(), 0
-                cut = np.cumsum(n)
-                for i, size in enumerate(n.tolist()):
-                    if held and held + size > file_ids:
+            for t in texts.slices(batch.column(1), 2 * texts.SLICE_BYTES):
+                new, n = own.encode(t, end_id)
+                keys, cut = batch.column(0).slice(t.first, len(t)).to_pylist(), np.concatenate([[0], np.cumsum(n)])
+                i = 0
+                while i < len(t):
+                    # as many documents as the file still takes, at least one if it is empty
+                    j = int(np.searchsorted(cut, cut[i] + file_ids - held, "right")) - 1
+                    if j <= i and held:
                         yield flush()
-                    doc_ids.append(keys[i])
-                    lengths.append(n[i : i + 1])
-                    ids.append(new[used : cut[i]])
-                    held, used = held + size, cut[i]
+                        continue
+                    j = min(max(j, i + 1), len(t))
+                    doc_ids += keys[i:j]
+                    lengths.append(n[i:j])
+                    ids.append(new[cut[i] : cut[j]].astype(f"<u{width}"))
+                    held += int(cut[j] - cut[i])
+                    i = j
         if doc_ids:
             yield flush()
 
