@@ -118,9 +118,15 @@ def twice_filter(docs: DataFrame, text: str, bits: int) -> np.ndarray:
     schema = "piece long, once binary, twice binary"
     own = docs.select(text).mapInArrow(lambda it: fill(it, bits), schema)
     merged = own.repartition("piece").mapInArrow(merge, schema).select("piece", "twice")
-    out = np.zeros((max(1, bits // 8 // _PIECE), min(_PIECE, bits // 8)), np.uint8)
-    for row in merged.collect():  # at most `bits` bits
-        out[row.piece] = np.frombuffer(zlib.decompress(row.twice), np.uint8)
+    return collected(merged, bits)
+
+
+def collected(merged: DataFrame, bits: int) -> np.ndarray:
+    """A filter from its merged pieces (piece, bytes): at most ``bits`` bits reach the driver."""
+    width = min(_PIECE, bits // 8)
+    out = np.zeros((bits // 8 // width, width), np.uint8)
+    for piece, content in merged.collect():
+        out[piece] = np.frombuffer(zlib.decompress(content), np.uint8)
     return out.ravel()
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, folders, line_dedup, near_dedup, packing, quality, token_counts, token_files, vantage
+from . import chat, decontaminate, folders, line_dedup, near_dedup, packing, quality, token_counts, token_files, vantage
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -72,6 +72,12 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op3_decontamination")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_items", "n_windows")
+
+
 @query("op5_near_dedup")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, sf, "documents"))
