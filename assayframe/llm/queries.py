@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, folders, line_dedup, near_dedup, packing, quality, token_counts, token_files, vantage
+from . import chat, decontaminate, folders, line_dedup, near_dedup, packing, quality, repeats, token_counts, token_files, vantage
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -78,6 +78,12 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_items", "n_windows")
 
 
+@query("op4_repeated_passages")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    found = repeats.repeated_passages(table(spark, sf, "documents"), length=50)
+    return found.select(F.col("id").alias("doc_id"), F.size("spans").cast("long").alias("n_spans"), "n_words", "spans")
+
+
 @query("op5_near_dedup")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, sf, "documents"))
