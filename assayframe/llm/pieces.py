@@ -10,7 +10,10 @@ import numpy as np
 from . import texts
 
 #: Pieces that a worker remembers before it starts afresh; bounds its memory (about 50 bytes each), not the result.
-CAPACITY = 2_000_000
+CAPACITY = 1_000_000
+
+#: Pieces that are learnt at a time: the tokenizers library needs some 500 bytes for each meanwhile.
+LEARN = 20_000
 
 
 def drops_white_space(spec: dict) -> bool:
@@ -98,7 +101,9 @@ class Pieces:
         new = np.flatnonzero(~known)
         if len(new):
             data = t.data.tobytes()
-            learn([data[a:b].decode() for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
+            for i in range(0, len(new), LEARN):
+                some = first[new[i : i + LEARN]]
+                learn([data[a:b].decode() for a, b in zip(start[some].tolist(), end[some].tolist(), strict=True)])
             number[new] = len(self.number) + np.arange(len(new))
             keys = np.concatenate([self.key, one[new]])
             order = np.argsort(keys, kind="stable")

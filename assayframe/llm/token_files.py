@@ -136,14 +136,14 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.first = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
+        self.first = np.zeros(0, np.int32)
+        self.length = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
     def learn(self, pieces: list[str]) -> None:
         ids, length = self.joined(pieces) or self.each(pieces)
-        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(length) - length])
-        self.length = np.concatenate([self.length, length])
+        self.first = np.concatenate([self.first, (len(self.ids) + np.cumsum(length) - length).astype(np.int32)])
+        self.length = np.concatenate([self.length, length.astype(np.int32)])
         self.ids = np.concatenate([self.ids, ids])
 
     def each(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -164,7 +164,7 @@ class Encoder:
     def encode(self, t: texts.Texts, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text followed by the end id, and the length of each with it."""
         at, of = self.pieces.of(t, self.learn, self.forget)
-        length = self.length[at]
+        length = self.length[at].astype(np.int64)
         lengths = np.bincount(of, weights=length, minlength=len(t)).astype(np.int64) + 1
         out = np.full(int(lengths.sum()), end_id, np.uint32)
         before = np.cumsum(length) - length
