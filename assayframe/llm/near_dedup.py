@@ -255,9 +255,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that represent their class, each once: of rows alike in id and text the smallest one stays."""
+    """The rows of ``docs`` that represent their class, each once: of rows alike in id and text any one stays."""
     found = near_duplicates(docs, id_col, text, threshold)
     gone = found.filter(~F.col("kept")).select(F.col("id").alias("_id"), F.col("h").alias("_h")).distinct()
     marked = docs.withColumn("_key", text_hash(F.col(text)))
     left = marked.join(gone, marked[id_col].eqNullSafe(gone["_id"]) & (marked["_key"] == gone["_h"]), "left_anti")
-    return left.groupBy(F.col(id_col).alias("_g"), "_key").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    return left.dropDuplicates([id_col, "_key"]).drop("_key")
