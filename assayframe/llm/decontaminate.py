@@ -234,5 +234,5 @@ def text_hash(text: str):
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", **more) -> DataFrame:
     """The rows of ``docs`` without a passage of an item."""
     found = contaminated(docs, items, id_col, text, **more).select(F.col("id").alias("_id"), F.col("h").alias("_h"))
-    marked = docs.withColumn("_key", text_hash(text))
-    return marked.join(found, marked[id_col].eqNullSafe(found["_id"]) & (marked["_key"] == found["_h"]), "left_anti").drop("_key")
+    marked = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), text_hash(text).alias("h"))
+    return marked.join(found, marked["id"].eqNullSafe(found["_id"]) & (marked["h"] == found["_h"]), "left_anti").select("row.*")

@@ -147,13 +147,17 @@ def dedup_lines(
     """
     if keep not in ("none", "first"):
         raise ValueError("keep is 'none' or 'first'")
+    if min_docs < 2:
+        raise ValueError("only lines of two documents and more are repeated")
     if bits < 64 or bits & (bits - 1) or bits > 1 << 32:
         raise ValueError("bits is a power of two from 64 to 2^32")
     spark = docs.sparkSession
     names = [c for c in (docs.columns if columns is None else columns) if c not in ("n_lines", "n_dropped")]
     docs = docs.select(*dict.fromkeys([*names, id_col, text]))
     seen_twice = spark.sparkContext.broadcast(twice_filter(docs, text, bits))
-    marked = docs.withColumn("_h", F.xxhash64(F.coalesce(text, F.lit("")), F.lit(7)))
+    out_names = list(dict.fromkeys([*names, text]))
+    # the caller's columns are kept in a struct, apart from the names used here
+    marked = docs.select(F.struct(*out_names).alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text, F.lit("")), F.lit(7)).alias("h"), F.col(text).alias("text"))
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filled = seen_twice.value
@@ -173,23 +177,23 @@ def dedup_lines(
                 yield pa.RecordBatch.from_arrays([ids.take(at), hs.take(at), pa.array(keys, pa.string())], names=["_id", "_h", "_key"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    found = marked.select(F.col(id_col).alias("_id"), "_h", text).mapInArrow(suspects, f"_id {id_type}, _h long, _key string")
+    found = marked.select("id", "h", "text").mapInArrow(suspects, f"_id {id_type}, _h long, _key string")
     found = folders.save(found, "suspects")
     confirmed = found.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(F.col("_id").isNull(), "_id", "_h")).alias("_first")).filter(F.col("_n") >= min_docs)
     hits = found.join(confirmed, "_key")
     if keep == "first":
         hits = hits.filter(~((F.col("_id").eqNullSafe(F.col("_first._id"))) & (F.col("_h") == F.col("_first._h"))))
     drops = hits.groupBy("_id", "_h").agg(F.collect_set("_key").alias("_keys")).withColumnRenamed("_h", "_h2")
-    both = marked.join(drops, marked[id_col].eqNullSafe(drops["_id"]) & (marked["_h"] == drops["_h2"]), "left")
-    out_names = list(dict.fromkeys([*names, text]))
-    chosen = both.select(*out_names, "_keys")
+    both = marked.join(drops, marked["id"].eqNullSafe(drops["_id"]) & (marked["h"] == drops["_h2"]), "left")
+    chosen = both.select("row", "_keys")
     at = out_names.index(text)
-    schema = chosen.select(*out_names).schema.add("n_lines", "long").add("n_dropped", "long")
+    schema = docs.select(*out_names).schema.add("n_lines", "long").add("n_dropped", "long")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, n_lines, n_dropped = [], [], []
-            for value, keys in zip(batch.column(at).to_pylist(), batch.column(len(out_names)).to_pylist(), strict=True):
+            columns = batch.column(0).flatten()
+            for value, keys in zip(columns[at].to_pylist(), batch.column(1).to_pylist(), strict=True):
                 lines = (value or "").split("\n")
                 if keys:
                     gone = set(keys)
@@ -199,7 +203,6 @@ def dedup_lines(
                 kept.append("\n".join(left))
                 n_lines.append(len(lines))
                 n_dropped.append(len(lines) - len(left))
-            columns = list(batch.columns[: len(out_names)])
             columns[at] = pa.array(kept, pa.string())
             yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names=schema.names)
 

@@ -258,6 +258,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "t
     """The rows of ``docs`` that represent their class, each once: of rows alike in id and text any one stays."""
     found = near_duplicates(docs, id_col, text, threshold)
     gone = found.filter(~F.col("kept")).select(F.col("id").alias("_id"), F.col("h").alias("_h")).distinct()
-    marked = docs.withColumn("_key", text_hash(F.col(text)))
-    left = marked.join(gone, marked[id_col].eqNullSafe(gone["_id"]) & (marked["_key"] == gone["_h"]), "left_anti")
-    return left.dropDuplicates([id_col, "_key"]).drop("_key")
+    marked = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), text_hash(F.col(text)).alias("h"))
+    left = marked.join(gone, marked["id"].eqNullSafe(gone["_id"]) & (marked["h"] == gone["_h"]), "left_anti")
+    return left.dropDuplicates(["id", "h"]).select("row.*")
