@@ -8,8 +8,8 @@ similarity, sum(min) / sum(max).
 
 Signatures are joined in bands. In every bucket all members are compared exactly with the member that shares most
 buckets with others; the components of the links so found need no further comparison inside. What then still differs in
-component within a bucket is compared block by block: signatures first, texts of the pairs whose signatures agree. No
-bucket is cut and no pair of different texts dropped; copies (equal word sequences) are one node throughout.
+component within a bucket is compared block by block inside tasks: signatures first, then the texts of the pairs whose
+signatures agree; only links become rows. No bucket is cut and no pair of different texts dropped; copies (equal word sequences) are one node throughout.
 
 Texts without words are in a class of their own each. Null ids and repeated rows are allowed; every row is a document.
 """
@@ -26,20 +26,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from . import components, folders, texts
 
-BANDS, ROWS = 30, 5
+BANDS, ROWS = 20, 4
 K = BANDS * ROWS
 THRESHOLD = 0.8
-#: Pairs whose signatures agree in a smaller share are not compared by text. A pair at 0.8 agrees in at least 0.55 of
-#: 150 coordinates but for one case in 10^12.
-AGREE = 0.55
+#: Pairs whose signatures agree in a smaller share are not compared by text. Of the pairs at 0.8 that leaves out one in
+#: 10^5, fewer than share no band (one in 38,000).
+AGREE = 0.6
 _BLOCK = 512  # nodes of a bucket that are compared with as many others at a time
-_POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(16)])
+_BLOCK_BYTES = 8 << 20  # and bytes of their texts, but for one longer text
+#: The hash below which a region has at most d darts, for the Poisson distribution of mean 1.
+_AT_MOST = [np.uint64(min(int(sum(math.exp(-1) / math.factorial(i) for i in range(d + 1)) * 2.0**64), (1 << 64) - 1)) for d in range(16)]
 
 
 def weighted_shingles(t: texts.Texts, w: texts.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text, hash and weight of the distinct shingles of each text."""
     hashes, of = texts.shingles(w, 5)
-    order = np.lexsort((hashes, of))
+    order = np.argsort((of.astype(np.uint64) << np.uint64(44)) | (hashes >> np.uint64(20))) if len(t) < 1 << 20 else np.lexsort((hashes, of))
     hashes, of = hashes[order], of[order]
     new = np.ones(len(of), bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
@@ -58,19 +60,28 @@ def throw(of: np.ndarray, element: np.ndarray, weight: np.ndarray, theta: np.nda
         low, high = (0, 1) if level == 0 else (1 << (level - 1), 1 << level)
         height = 1 / (high - low)  # regions have unit area
         own = np.flatnonzero(weight > low)
+        if not len(own):
+            continue
         strips = np.ceil(theta[of[own]] / height).astype(np.int64)
         at = np.repeat(own, strips)
         strip = np.arange(len(at)) - np.repeat(np.cumsum(strips) - strips, strips)
-        region = texts.mix(element[at] ^ texts.mix((strip + (level << 40)).astype(np.uint64)))
-        count = np.searchsorted(_POISSON, unit(region))
-        for d in range(int(count.max()) if len(count) else 0):
-            some = np.flatnonzero(count > d)
+        marks = texts.mix((np.arange(int(strips.max())) + (level << 40)).astype(np.uint64))
+        region = texts.mix(element[at] ^ marks[strip])
+        some = np.arange(len(at))
+        for d in range(len(_AT_MOST)):
+            some = some[region[some] >= _AT_MOST[d]]
+            if not len(some):
+                break
             dart = texts.mix(region[some] + np.uint64(0x9E3779B97F4A7C15 * (d + 1) % (1 << 64)))
             rank = (strip[some] + unit(texts.mix(dart ^ np.uint64(0xA5A5A5A5A5A5A5A5)))) * height
-            height_at = low + (high - low) * unit(texts.mix(dart ^ np.uint64(0x3C3C3C3C3C3C3C3C)))
             owner = at[some]
-            hit = (height_at < weight[owner]) & (rank < theta[of[owner]])
-            found.append((of[owner[hit]], (dart[hit] % np.uint64(k)).astype(np.int64), rank[hit], dart[hit]))
+            hit = np.flatnonzero(rank < theta[of[owner]])
+            dart, rank, owner = dart[hit], rank[hit], owner[hit]
+            if level:
+                place = low + (high - low) * unit(texts.mix(dart ^ np.uint64(0x3C3C3C3C3C3C3C3C)))
+                under = place < weight[owner]
+                dart, rank, owner = dart[under], rank[under], owner[under]
+            found.append((of[owner], (dart % np.uint64(k)).astype(np.int64), rank, dart))
     return [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.uint64)]
 
 
@@ -127,12 +138,13 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sign = signatures(*weighted_shingles(t, w), len(t))
             none = np.diff(w.bounds) == 0
             rows = batch.slice(t.first, len(t))
-            node = pa.array(nodes_of(w).astype("<u8").tobytes()[i : i + 16] if not none[i // 16] else None for i in range(0, 16 * len(t), 16))
+            ids = nodes_of(w).astype("<u8").tobytes()
+            node = pa.array([None if none[i] else ids[16 * i : 16 * i + 16] for i in range(len(t))], pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column(0),
                     rows.column(1),
-                    node.cast(pa.binary()),
+                    node,
                     pa.array(list(texts.longs(band_keys(sign))), pa.list_(pa.int64())),
                     pa.array([r.tobytes() for r in (sign & np.uint64(0xFFFFFFFF)).astype("<u4")], pa.binary()),
                 ],
@@ -178,21 +190,58 @@ def links_of(pairs: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame
     return with_b.mapInArrow(run, "a binary, b binary")
 
 
-def agreeing(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (left, right): two blocks of a bucket as lists of (node, component, sign); the pairs worth comparing by text."""
-    for batch in groups:
+def element_sets(column: pa.Array) -> list[np.ndarray]:
+    """Per text its shingles as sorted hashes, the n-th occurrence of one as an element of its own: common ones are sum(min)."""
+    out = []
+    for t in texts.slices(column):
+        of, hashes, weight = weighted_shingles(t, texts.words(t))
+        nth = np.arange(int(weight.sum())) - np.repeat(np.cumsum(weight) - weight, weight)
+        flat = texts.mix(np.repeat(hashes, weight) + nth.astype(np.uint64))
+        bounds = np.searchsorted(np.repeat(of, weight), np.arange(len(t) + 1))
+        out += [np.sort(flat[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    return out
+
+
+def compare_blocks(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Rows (band, left, right): two blocks of a bucket; the links (a, b) that join components, found by exact comparison.
+
+    A pair is compared in the first band that it shares, closest signatures first, and not once its components are joined.
+    """
+    for batch in batches:
         for i in range(batch.num_rows):
-            left, right = (c.slice(i, 1).flatten() for c in batch.columns)
-            nodes = [x.field("node").to_pylist() for x in (left, right)]
-            comps = [np.array(x.field("comp").to_pylist(), object) for x in (left, right)]
-            signs = [np.frombuffer(b"".join(x.field("sign").to_pylist()), "<u4").reshape(len(x), -1) for x in (left, right)]
+            band = batch.column(0)[i].as_py()
+            sides = []
+            for c in batch.columns[1:]:
+                block = c.slice(i, 1).flatten()
+                sign = np.frombuffer(b"".join(block.field("sign").to_pylist()), "<u4").reshape(len(block), -1)
+                bands = block.field("bands").flatten().to_numpy(zero_copy_only=False).reshape(len(block), -1)[:, :band]
+                sides.append((block.field("node").to_pylist(), block.field("comp").to_pylist(), sign, bands, element_sets(block.field("text"))))
+            (nodes, comps, sign, bands, sets), (nodes2, comps2, sign2, bands2, sets2) = sides
+            parent: dict[bytes, bytes] = {}
+
+            def root(x: bytes, parent=parent) -> bytes:
+                while x in parent:
+                    x = parent[x]
+                return x
+
+            size2 = np.fromiter(map(len, sets2), np.int64, len(sets2))
             a, b = [], []
-            for j, node in enumerate(nodes[0]):
-                close = (signs[1] == signs[0][j]).mean(axis=1) >= AGREE
-                close &= comps[1] != comps[0][j]
-                for m in np.flatnonzero(close).tolist():
-                    a.append(min(node, nodes[1][m]))
-                    b.append(max(node, nodes[1][m]))
+            for j, node in enumerate(nodes):
+                share = (sign2 == sign[j]).mean(axis=1)
+                fits = (share >= AGREE) & (np.minimum(size2, len(sets[j])) >= (threshold - 1e-9) * np.maximum(size2, len(sets[j])))
+                if band:
+                    fits &= ~(bands2 == bands[j]).any(axis=1)
+                at = np.flatnonzero(fits)
+                for m in at[np.argsort(-share[at], kind="stable")].tolist():
+                    left, right = root(comps[j]), root(comps2[m])
+                    if left == right:
+                        continue
+                    both = len(sets[j]) + len(sets2[m])
+                    common = both - len(np.union1d(sets[j], sets2[m]))
+                    if common >= (threshold - 1e-12) * (both - common):
+                        parent[max(left, right)] = min(left, right)
+                        a.append(min(node, nodes2[m]))
+                        b.append(max(node, nodes2[m]))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
@@ -214,7 +263,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     nodes = sketched.filter("node is not null").groupBy("node").agg(F.min(key).alias("first"), F.first("bands").alias("bands"), F.first("sign").alias("sign"))
     nodes = folders.save(nodes, "nodes")
 
-    entries = nodes.select("node", F.explode("bands").alias("key"))
+    # a band's number is part of its key's row: a pair is compared in the first band that it shares
+    entries = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     sizes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = folders.save(entries.join(sizes, "key"), "buckets")
     popular = shared.groupBy("node").agg(F.sum("n").alias("met"))
@@ -230,20 +280,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     roots = components.components(links)
 
     # buckets that still hold several components: block against block
-    comp = shared.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("comp"))
+    comp = shared.join(roots, "node", "left").select("key", "band", "node", "n", F.coalesce("root", "node").alias("comp"))
     split = comp.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-    rest = comp.join(split, "key").join(nodes.select("node", "sign"), "node")
-    blocks = F.ceil(F.col("n") / _BLOCK).cast("long")
-    rest = rest.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
-    sheets = rest.groupBy("key", "blocks", "block").agg(F.collect_list(F.struct("node", "comp", "sign")).alias("sheet"))
+    rest = comp.join(split, "key").join(nodes.select("node", "sign", "bands"), "node").join(bodies, "node")
+    bytes_in = rest.groupBy("key").agg(F.sum(F.octet_length("text")).alias("size"))
+    blocks = F.ceil(F.greatest(F.col("n") / _BLOCK, F.col("size") / _BLOCK_BYTES)).cast("long")
+    rest = rest.join(bytes_in, "key").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+    sheets = rest.groupBy("key", "band", "blocks", "block").agg(F.collect_list(F.struct("node", "comp", "sign", "bands", "text")).alias("sheet"))
     sheets = folders.save(sheets, "sheets")
-    left = sheets.select("key", F.col("block").alias("i"), F.col("sheet").alias("left"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"))
+    left = sheets.select("key", "band", F.col("sheet").alias("left"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"))
     right = sheets.select("key", F.col("block").alias("j"), F.col("sheet").alias("right"))
-    close = left.join(right, ["key", "j"]).select("left", "right").mapInArrow(agreeing, "a binary, b binary")
-    more = folders.save(close.distinct(), "pairs")
+    pairs = left.join(right, ["key", "j"]).select("band", "left", "right")
+    more = folders.save(pairs.mapInArrow(lambda it: compare_blocks(it, threshold), "a binary, b binary").distinct(), "links")
     if not more.isEmpty():
-        more_links = folders.save(links_of(more, bodies, threshold), "links")
-        roots = components.components(links.unionByName(more_links))
+        roots = components.components(links.unionByName(more))
 
     member = nodes.select("node", "first").join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     least = member.groupBy("root").agg(F.min("first").alias("least"))
