@@ -8,7 +8,7 @@ with its neighbours from other documents in that order and extended left and rig
 (the next marked words take it on).
 
 Step 1 sorts keys alone and keeps the suffixes whose key stands next to itself. Step 2 gives those the word hashes around
-them (32 bits a word), sorts again and extends. The longest common continuation always is with a neighbour; the most words
+them (24 bits a word; the key has 64), sorts again and extends. The longest common continuation always is with a neighbour; the most words
 in both directions together need not be, so where a match ends inside a context, the suffixes of that key compare all
 windows of ``length`` words around them, by hash. The tables are dealt by ranges of (key, document, place), so a key with very many suffixes is
 spread over tasks; the groups cut by a task's borders are compared by windows over all tasks. Nothing is sampled or capped.
@@ -106,9 +106,10 @@ def next_to_itself(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def around(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """From (id, h, text, at) to (id, h, key, pos, left, right, words): the word hashes around the places ``at``, 32 bits each."""
+    """From (id, h, text, at) to (id, h, key, pos, left, right, words): the word hashes around the places ``at``, 24 bits each."""
     window = window_of(length)
-    ahead, before, behind = length - window + 1, window - 1, length + GRAM
+    # a match that reaches the next marked word is taken on from there
+    ahead, before, behind = length - window + 1, window - 1, length + 1
     for batch in batches:
         for t in texts.slices(batch.column(2)):
             w = texts.words(t)
@@ -132,7 +133,7 @@ def around(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
                         pa.array(pos[some].astype(np.int32)),
                         pa.array(left[some].astype(np.int32)),
                         pa.array(right[some].astype(np.int32)),
-                        pa.array([r.tobytes() for r in context.astype("<u4")], pa.binary()),
+                        pa.array([r.tobytes() for r in context.astype("<u4").view(np.uint8).reshape(len(context), -1, 4)[:, :, 1:]], pa.binary()),
                     ],
                     names=["id", "h", "key", "pos", "left", "right", "words"],
                 )
@@ -152,7 +153,8 @@ def compare(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
         return
     before = window_of(length) - 1
     key, pos, left, right = (numbers(table, c).astype(np.int64) for c in ("key", "pos", "left", "right"))
-    words = np.frombuffer(b"".join(table.column("words").to_pylist()), "<u4").reshape(len(key), -1)
+    three = np.frombuffer(b"".join(table.column("words").to_pylist()), np.uint8).reshape(len(key), -1, 3).astype(np.uint32)
+    words = three[:, :, 0] | (three[:, :, 1] << np.uint32(8)) | (three[:, :, 2] << np.uint32(16))
     # documents of the task as numbers
     doc = table.select(["id", "h"]).to_pandas().groupby(["id", "h"], dropna=False, sort=False).ngroup().to_numpy()
     prefix = [hash_columns(words[:, before : before + n]) for n in (length, (length * 3) // 4)]
@@ -201,7 +203,8 @@ def compare(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
         several = d[starts] != d[np.append(starts[1:], len(d)) - 1]  # documents ascend in a run
         hit = o[several[run]]
         found.append((order[hit], pos[hit] - back, pos[hit] - back + length, None))
-        out = edge[o]
+        # what may go on in another task: one row a window is enough to tell it there
+        out = starts[edge[o[starts]]]
         found.append((order[o[out]], pos[o[out]] - back, pos[o[out]] - back + length, v[out]))
     ids, hs = table.column("id"), table.column("h")
     for rows, lo, hi, value in found:
@@ -228,7 +231,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), text_hash(text).alias("h"), F.col(text).alias("text"))
     kind = f"id {id_type}, h long, key long, pos int"
-    all_suffixes = folders.save(rows.mapInArrow(lambda it: suffixes(it, length), kind), "suffixes")
+    all_suffixes = rows.mapInArrow(lambda it: suffixes(it, length), kind)
     repeated = folders.save(all_suffixes.repartitionByRange("key", "id", "pos").mapInArrow(next_to_itself, kind), "repeated")
     places = repeated.groupBy("id", "h").agg(F.sort_array(F.collect_set("pos")).alias("at")).withColumnsRenamed({"id": "_id", "h": "_h"})
     texts_of = rows.join(places, rows["id"].eqNullSafe(places["_id"]) & (rows["h"] == places["_h"])).dropDuplicates(["id", "h"]).select("id", "h", "text", "at")
