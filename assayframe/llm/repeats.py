@@ -203,8 +203,10 @@ def compare(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
         several = d[starts] != d[np.append(starts[1:], len(d)) - 1]  # documents ascend in a run
         hit = o[several[run]]
         found.append((order[hit], pos[hit] - back, pos[hit] - back + length, None))
-        # what may go on in another task: one row a window is enough to tell it there
-        out = starts[edge[o[starts]]]
+        # what may go on in another task: the unmatched ones, and of a matched window one row to tell it there
+        is_first = np.zeros(len(o), bool)
+        is_first[starts] = True
+        out = edge[o] & (is_first | ~several[run])
         found.append((order[o[out]], pos[o[out]] - back, pos[o[out]] - back + length, v[out]))
     ids, hs = table.column("id"), table.column("h")
     for rows, lo, hi, value in found:
