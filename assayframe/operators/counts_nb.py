@@ -230,7 +230,7 @@ def nb_wald_test(
     return fitted.withColumn("p", p).drop("outlier")
 
 
-def de_results(tests: DataFrame, alpha: float = 0.1, cuts: int = 20) -> DataFrame:
+def de_results(tests: DataFrame, alpha: float = 0.1, cuts: int = 50) -> DataFrame:
     """Add padj: BH over the features above the base-mean cut that gives most rejections at ``alpha``.
 
     All cuts are tried in one job, as one group of p-values each. padj is null below the chosen cut.

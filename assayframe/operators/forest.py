@@ -5,6 +5,8 @@ Input: (id, label, features) with a class label and an array of numbers per samp
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -27,61 +29,71 @@ def sample_vectors(long: DataFrame, samples: DataFrame) -> DataFrame:
     )
 
 
+DEPTH = 30
+_BLOCK = 256  # samples whose leaves are compared with as many others at a time
+
+
 def _prepared(rows: DataFrame):
     rows = rows.select("id", F.col("label").cast("string").alias("label"), F.col("features").cast("array<double>").alias("_a"))
     rows = rows.withColumn("features", array_to_vector("_a")).drop("_a")
-    indexer = StringIndexer(inputCol="label", outputCol="_class", stringOrderType="alphabetAsc").fit(rows)
-    return indexer.transform(rows), indexer.labels
+    indexer = StringIndexer(inputCol="label", outputCol="_class", stringOrderType="alphabetAsc").fit(rows.select("label"))
+    return stage(indexer.transform(rows)), indexer.labels
 
 
-def _classifier(trees: int, per_split: int, seed: int, leaves: str = "") -> RandomForestClassifier:
+def _classifier(trees: int, per_split: int, seed: int, depth: int, leaves: str = "") -> RandomForestClassifier:
+    """Trees grown until their leaves are pure, or ``depth`` (30 is the most that Spark ML allows)."""
     return RandomForestClassifier(
-        featuresCol="features", labelCol="_class", numTrees=trees, featureSubsetStrategy=str(per_split), seed=seed, leafCol=leaves
+        featuresCol="features", labelCol="_class", numTrees=trees, featureSubsetStrategy=str(per_split), seed=seed, leafCol=leaves, maxDepth=depth, maxMemoryInMB=1024
     )
 
 
-def random_forest(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1, folds: int = 3) -> DataFrame:
+def random_forest(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1, folds: int = 3, depth: int = DEPTH) -> DataFrame:
     """Confusion table (label, predicted, n) over held-out folds; a sample's fold is a hash of its id."""
     prepared, labels = _prepared(rows)
     prepared = prepared.withColumn("_fold", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(folds)))
     names = F.array(*[F.lit(x) for x in labels])
     out = None
     for fold in range(folds):
-        model = _classifier(trees, per_split, seed).fit(prepared.filter(F.col("_fold") != fold))
+        model = _classifier(trees, per_split, seed, depth).fit(prepared.filter(F.col("_fold") != fold))
         held = model.transform(prepared.filter(F.col("_fold") == fold))
         part = held.select("label", F.get(names, F.col("prediction").cast("int")).alias("predicted"))
         out = part if out is None else out.unionByName(part)
     return out.groupBy("label", "predicted").agg(F.count(F.lit(1)).alias("n"))
 
 
-def rf_importance(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1) -> DataFrame:
+def rf_importance(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1, depth: int = DEPTH) -> DataFrame:
     """Importance per feature position (Gini decrease, summing to one)."""
     prepared, _ = _prepared(rows)
-    model = _classifier(trees, per_split, seed).fit(prepared)
+    model = _classifier(trees, per_split, seed, depth).fit(prepared)
     values = model.featureImportances.toArray().tolist()
     return rows.sparkSession.createDataFrame(list(enumerate(values)), "feature int, importance double")
 
 
-def rf_outlier(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1) -> DataFrame:
+def rf_outlier(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1, depth: int = DEPTH) -> DataFrame:
     """Outlier score: samples / sum of squared proximities within the class, centred and scaled per class.
 
-    The proximity of two samples is their share of common leaves. Its squares are summed without forming
-    sample pairs: prox(i, j)^2 counts the pairs of trees in which i and j share both leaves, so each
-    sample only looks up how many of its class are in its leaf pair.
+    The proximity of two samples is their share of common leaves. A class is cut into blocks of samples, and every pair of
+    blocks is one small array comparison that gives a sum per sample; no pair of samples is a row.
     """
     prepared, _ = _prepared(rows)
-    model = _classifier(trees, per_split, seed, "_leaf").fit(prepared)
+    model = _classifier(trees, per_split, seed, depth, "_leaf").fit(prepared)
     leaves = stage(model.transform(prepared).select("id", "label", F.transform(vector_to_array("_leaf"), lambda x: x.cast("int")).alias("_l")))
-    pairs = leaves.select("id", "label", "_l", F.posexplode("_l").alias("_t", "_a"))
-    pairs = pairs.select(
-        "id", "label", "_t", "_a", F.posexplode(F.slice("_l", F.col("_t") + 1, F.size("_l"))).alias("_d", "_b")
-    )
-    key = ["label", "_t", "_a", "_d", "_b"]
-    together = pairs.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    weight = F.when(F.col("_d") == 0, 1).otherwise(2)
-    sums = pairs.join(together, key).groupBy("id", "label").agg(F.sum(F.col("_n") * weight).alias("_s"))
+    counts = leaves.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).alias("_blocks"))
+    dealt = leaves.join(counts, "label").withColumn("_block", F.pmod(F.xxhash64("id"), "_blocks"))
+    left = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))).drop("_blocks")
+    right = dealt.withColumnRenamed("_block", "_other").withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))).drop("_blocks")
+    kinds = dict(rows.dtypes)
+
+    def sums(own: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        a, b = (np.stack(x["_l"].to_list()) if len(x) else np.zeros((0, trees)) for x in (own, others))
+        total = [float(((row[None, :] == b).mean(axis=1) ** 2).sum()) for row in a]
+        return pd.DataFrame({"id": own["id"], "label": own["label"], "_part": total})
+
+    keys = ["label", "_block", "_other"]
+    parts = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(sums, f"id {kinds['id']}, label string, _part double")
     total = prepared.agg(F.count(F.lit(1))).scalar()
-    raw = stage(sums.withColumn("_raw", F.lit(float(trees * trees)) * total / F.col("_s")).select("id", "label", "_raw"))
+    sized = parts.groupBy("id", "label").agg(F.sum("_part").alias("_s"))
+    raw = stage(sized.withColumn("_raw", total / F.col("_s")).select("id", "label", "_raw"))
     medians = exact_quantiles(raw, ["label"], "_raw", {"_median": 0.5})
     spread = raw.join(medians, "label").withColumn("_dev", F.abs(F.col("_raw") - F.col("_median")))
     mads = exact_quantiles(spread, ["label"], "_dev", {"_mad": 0.5})

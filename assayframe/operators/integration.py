@@ -6,14 +6,12 @@ derived from it is computed from one aggregate per side, so a pathway costs gene
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import avg_if_complete, avg_skip_nan, label_sign
 from .relational import distinct_values, split_direction
 from .skew import spread_join
 
-LIST_LIMIT = 1_000_000  # names in one joined text
-
 
 def genes_to_pathways(genes: DataFrame, gene_sets: DataFrame) -> DataFrame:
     """Inner join of genes (entrez, …) with pathway members (entrez, pathway_name)."""
@@ -33,36 +31,42 @@ def _sides(genes: DataFrame, compounds: DataFrame) -> DataFrame:
     return g.join(c, "pathway_name")
 
 
-def integrate_pathways(
-    genes: DataFrame, compounds: DataFrame, distinct_names: bool = False, list_limit: int = LIST_LIMIT
-) -> DataFrame:
+def pathway_means(genes: DataFrame, compounds: DataFrame) -> DataFrame:
+    """Per pathway with genes and compounds: mean changes and row counts of both sides; one aggregate per side."""
+    return _sides(genes, compounds).select("pathway_name", "avg_gene_lfc", "avg_compound_lfc", "n_genes", "n_compounds")
+
+
+def integrate_pathways(genes: DataFrame, compounds: DataFrame, distinct_names: bool = False) -> DataFrame:
     """Per pathway with genes and compounds: mean changes of both sides and the two name lists as text.
 
     Equal to aggregating the pair table: each gene is listed once per compound row of the pathway and the
-    other way round (``distinct_names`` lists each once), in name order. A list of more than
-    ``list_limit`` names is null here; :func:`pathway_members` holds every name of every pathway as rows.
+    other way round (``distinct_names`` lists each once), in name order. The texts are for a report: they are as long
+    as the pair table. :func:`pathway_means` and :func:`pathway_members` hold the same as numbers and rows.
     """
     sides = _sides(genes, compounds)
-    size = F.col("n_genes") + F.col("n_compounds") if distinct_names else F.col("n_genes") * F.col("n_compounds")
-    listed = sides.filter(size <= list_limit).select("pathway_name", "n_genes", "n_compounds")
-    gather = F.collect_set if distinct_names else F.collect_list
-
-    def names(rows: DataFrame, column: str) -> DataFrame:
-        kept = rows.join(listed.select("pathway_name"), "pathway_name", "left_semi")
-        return kept.groupBy("pathway_name").agg(F.array_sort(gather(column)).alias(f"_{column}"))
-
-    lists = listed.join(names(genes, "gene"), "pathway_name").join(names(compounds, "compound"), "pathway_name")
-    if distinct_names:
-        g, c = F.col("_gene"), F.col("_compound")
-    else:
-        g = F.flatten(F.transform("_gene", lambda x: F.array_repeat(x, F.col("n_compounds").cast("int"))))
-        c = F.flatten(F.array_repeat("_compound", F.col("n_genes").cast("int")))
-    texts = lists.select("pathway_name", F.array_join(g, ", ").alias("genes"), F.array_join(c, ", ").alias("compounds"))
+
+    def text(rows: DataFrame, column: str, other: str, blockwise: bool) -> DataFrame:
+        """The joined names: each one repeated in place, or the whole list repeated; text is only built once, by repeating it."""
+        if distinct_names:
+            return rows.groupBy("pathway_name").agg(F.array_join(F.array_sort(F.collect_set(column)), ", ").alias(f"{column}s"))
+        counted = rows.filter(F.col(column).isNotNull()).groupBy("pathway_name", column).agg(F.count(F.lit(1)).alias("_n"))
+        times = F.col("_n") * F.col(other) if blockwise else F.col("_n")
+        repeated = counted.join(sides.select("pathway_name", other), "pathway_name").withColumn("_part", _repeated(F.col(column), times))
+        joined = repeated.groupBy("pathway_name", other).agg(F.array_sort(F.collect_list(F.struct(column, "_part"))).alias("_l"))
+        once = F.array_join(F.transform("_l", lambda x: x["_part"]), ", ")
+        return joined.select("pathway_name", (once if blockwise else _repeated(once, F.col(other))).alias(f"{column}s"))
+
+    texts = text(genes, "gene", "n_compounds", True).join(text(compounds, "compound", "n_genes", False), "pathway_name", "full")
     return sides.join(texts, "pathway_name", "left").select(
-        "pathway_name", "genes", "compounds", "avg_gene_lfc", "avg_compound_lfc"
+        "pathway_name", F.coalesce("genes", F.lit("")).alias("genes"), F.coalesce("compounds", F.lit("")).alias("compounds"), "avg_gene_lfc", "avg_compound_lfc"
     )
 
 
+def _repeated(text: Column, times: Column) -> Column:
+    """The text ``times`` times, joined by commas."""
+    return F.concat(F.repeat(F.concat(text, F.lit(", ")), (times - 1).cast("int")), text)
+
+
 def pathway_members(genes: DataFrame, compounds: DataFrame) -> DataFrame:
     """The name lists as rows: pathway, side, name and how often the pair table repeats the name."""
     sides = _sides(genes, compounds)
@@ -84,10 +88,11 @@ def compare_lists(genes: DataFrame, compounds: DataFrame, cut: float = 1.0, **op
     return out
 
 
-def melt_lfc(integrated: DataFrame) -> DataFrame:
+def melt_lfc(means: DataFrame) -> DataFrame:
     """The two mean columns as rows (type, log_fold_change)."""
-    keys = [c for c in integrated.columns if c not in ("avg_gene_lfc", "avg_compound_lfc", "genes", "compounds")]
-    return integrated.unpivot(keys, ["avg_gene_lfc", "avg_compound_lfc"], "type", "log_fold_change")
+    beside = ("avg_gene_lfc", "avg_compound_lfc", "genes", "compounds", "n_genes", "n_compounds")
+    keys = [c for c in means.columns if c not in beside]
+    return means.unpivot(keys, ["avg_gene_lfc", "avg_compound_lfc"], "type", "log_fold_change")
 
 
 def pathway_mean_lfc(rows: DataFrame, name: str = "pathway_name", lfc: str = "lfc") -> DataFrame:
@@ -124,6 +129,12 @@ def network_edges(genes: DataFrame, compounds: DataFrame, compound_edges: bool =
     return members.select(F.col("pathway_name").alias("src"), F.col("name").alias("dst"), F.col("side").alias("kind"), F.col("copies").alias("weight"))
 
 
+def network_edge_table(genes: DataFrame, compounds: DataFrame) -> DataFrame:
+    """Every parallel edge by itself with its attribute: pathway (src), gene (dst) and the compound it runs over."""
+    pairs = pair_by_pathway(genes.select("pathway_name", "gene"), compounds.select("pathway_name", "compound"))
+    return pairs.select(F.col("pathway_name").alias("src"), F.col("gene").alias("dst"), "compound")
+
+
 def node_degree(edges: DataFrame) -> DataFrame:
     """Degree of every vertex, parallel edges counted."""
     ends = F.array(

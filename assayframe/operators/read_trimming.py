@@ -114,8 +114,8 @@ def _clip_at(seq: np.ndarray, qual: np.ndarray, adapters: list[np.ndarray], seed
     """First position where an adapter aligns well enough; the read length if none does."""
     best = len(seq)
     for adapter in adapters:
-        head = adapter[:seed_length]
-        if len(seq) < len(head) or len(head) < seed_length:
+        head = adapter[: min(seed_length, len(seq))]
+        if not len(head):
             continue
         windows = len(seq) - len(head) + 1
         misses = np.zeros(windows, dtype=np.int16)
@@ -135,7 +135,8 @@ def clip_adapters(
 ) -> DataFrame:
     """Cut each read where an adapter starts.
 
-    A 16-base seed with at most ``seeds`` mismatches proposes a position; the alignment from there scores
+    A seed of 16 bases (a shorter adapter as a whole; as much of it as a shorter read can hold) with at most ``seeds``
+    mismatches proposes a position; the alignment from there scores
     log10(4) per match and minus a tenth of the quality per mismatch, and its best stretch must
     reach ``simple``. Runs batch by batch inside the tasks, no shuffle.
     """

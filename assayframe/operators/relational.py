@@ -145,7 +145,7 @@ def name_compounds(matches: DataFrame, compounds: DataFrame, key: str = "compoun
 
 
 def find_compound(names: DataFrame, compounds: DataFrame, column: str = "name") -> DataFrame:
-    """First compound whose name contains the searched text, case-insensitively; misses are dropped.
+    """First compound whose name contains the searched text as whole words, case-insensitively; misses are dropped.
 
     An equal name is a hit found by a plain join. Only names without one are searched as parts: a
     compound name is cut into its suffixes at word starts, and the searched text is joined to the
@@ -178,8 +178,8 @@ def compound_pathways(compounds: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def name_pathways(df: DataFrame, pathways: DataFrame) -> DataFrame:
-    """Attach the pathway name by id; unknown ids keep a null name."""
-    return spread_join(df, pathways.select("pathway_id", "pathway_name").dropDuplicates(["pathway_id"]), ["pathway_id"], "left")
+    """Attach the pathway name by id (of several the first in name order); unknown ids keep a null name."""
+    return spread_join(df, pathways.groupBy("pathway_id").agg(F.min("pathway_name").alias("pathway_name")), ["pathway_id"], "left")
 
 
 # --- group picks ---------------------------------------------------------------------------------

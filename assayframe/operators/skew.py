@@ -6,26 +6,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-SALTS = 16
+LEAST_ROWS = 10_000  # a key below this is never worth splitting
 
 
 def spread_join(
-    rows: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = SALTS, hot_share: float = 0.001
+    rows: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner", hot_share: float = 0.001, part_share: float = 0.0001
 ) -> DataFrame:
     """Join many rows to a table with few rows per key, splitting the keys that hold many of the rows.
 
     A key is hot when it holds more than ``hot_share`` of all rows, so there are fewer than 1 / hot_share hot
-    keys whatever the data: that proven bound is what allows their list to be broadcast. Rows of a hot key
-    get one of ``salts`` sub-keys from a hash of the whole row; the few matching ``dim`` rows are repeated
-    once per sub-key. Other keys join as usual.
+    keys whatever the data: that proven bound is what allows their list to be broadcast. A hot key has as many sub-keys
+    as its measured count needs for parts of ``part_share`` of all rows; its rows get one by a hash of the row and of
+    the partition it lies in, so that equal rows part too, and the few matching ``dim`` rows are repeated once per
+    sub-key. Other keys join as usual.
     """
     if how not in ("inner", "left"):
         raise ValueError("spread_join is for inner and left joins")
     keys = list(keys)
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    all_rows = counts.agg((F.sum("_n") * hot_share).alias("t"))
-    hot = counts.filter((F.col("_n") > all_rows.scalar()) & (F.col("_n") > 10_000)).select(
-        *[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot")
+    all_rows = counts.agg(F.sum("_n").alias("t"))
+    hot = counts.withColumn("_t", all_rows.scalar()).filter((F.col("_n") > F.col("_t") * hot_share) & (F.col("_n") > LEAST_ROWS))
+    hot = hot.select(
+        *[F.col(k).alias(f"_hot_{k}") for k in keys],
+        F.ceil(F.col("_n") / F.greatest(F.col("_t") * part_share, F.lit(LEAST_ROWS / 4))).alias("_salts"),
     )
 
     def mark(df: DataFrame) -> DataFrame:
@@ -34,13 +37,12 @@ def spread_join(
 
     salted = (
         mark(rows)
-        .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(salts))).otherwise(0))
-        .drop("_hot")
+        .withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.col("_salts")), F.lit(0)).cast("long"))
+        .drop("_salts")
     )
     copies = (
         mark(dim)
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-        .withColumn("_salt", F.col("_salt").cast("long"))
-        .drop("_hot")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_salts") - 1, F.lit(0)).cast("long"))))
+        .drop("_salts")
     )
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")

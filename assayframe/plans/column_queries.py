@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric, text
 from ..operators import relational
-from ..session import shared_dir
 from ..sources import readers, staging, writers
 from . import roles
 from .catalog import query, rounded
@@ -85,9 +84,7 @@ def stage(spark, sf):
 
 @query("write_by_class", "SELECT lang AS sample, source AS class, CAST(doc_id % 2 + 1 AS INTEGER) AS mate, doc_id, md5(text) AS seq FROM documents")
 def write_by_class(spark, sf):
-    import uuid
-
-    path = f"{shared_dir(spark)}/assayframe-{uuid.uuid4().hex}"
+    path = staging.new_path(spark)
     reads = roles.table(spark, sf, "documents").select(
         "doc_id",
         F.md5("text").alias("seq"),

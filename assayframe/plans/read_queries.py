@@ -276,8 +276,8 @@ def classify_reads(spark, sf):
 
 
 def _alignments(spark, sf):
-    """Clicks, views and purchases as aligned reads: a stretch of 60 to 159 seconds, an intron in some."""
-    e = roles.table(spark, sf, "events").filter(F.col("event_type").isin("click", "view", "purchase"))
+    """Events as aligned reads, their type as sample: a stretch of 60 to 159 seconds, an intron in some."""
+    e = roles.table(spark, sf, "events")
     head = F.col("event_id") % 100 + 30
     cigar = F.when(F.col("event_id") % 3 == 0, F.concat(head, F.lit("M4000N30M"))).otherwise(F.concat(head, F.lit("M2I30M5S")))
     return e.select(
@@ -305,7 +305,7 @@ def _exons(spark, sf):
         "spans",
         """, al AS (SELECT event_type AS sample, event_id, user_id % 5 AS chrom, CAST(floor(epoch(ts)) AS BIGINT) AS pos, event_id % 100 + 30 AS head,
           CASE WHEN event_id % 2 = 0 THEN '+' ELSE '-' END AS strand FROM events
-          WHERE event_type IN ('click', 'view', 'purchase') AND event_id % 11 <> 0 AND event_id % 7 <> 0),
+          WHERE event_id % 11 <> 0 AND event_id % 7 <> 0),
         bl AS (SELECT sample, event_id, chrom, strand, pos AS s, pos + head - 1 AS e FROM al WHERE event_id % 3 = 0
           UNION ALL SELECT sample, event_id, chrom, strand, pos + head + 4000, pos + head + 4029 FROM al WHERE event_id % 3 = 0
           UNION ALL SELECT sample, event_id, chrom, strand, pos, pos + head + 29 FROM al WHERE event_id % 3 <> 0),
@@ -313,7 +313,7 @@ def _exons(spark, sf):
         hi AS (SELECT sample, event_id, min(gene) AS gene FROM bl JOIN ex ON bl.chrom = ex.chrom AND bl.strand = ex.strand AND s <= end_s AND e >= start_s GROUP BY 1, 2 HAVING count(DISTINCT gene) = 1),
         ct AS (SELECT gene, sample, count(*) AS n FROM hi GROUP BY 1, 2)
         SELECT g.gene AS gene_id, s.sample, coalesce(n, 0) AS count FROM (SELECT DISTINCT gene FROM ex) g
-        CROSS JOIN (SELECT DISTINCT event_type AS sample FROM events WHERE event_type IN ('click', 'view', 'purchase')) s LEFT JOIN ct ON ct.gene = g.gene AND ct.sample = s.sample""",
+        CROSS JOIN (SELECT DISTINCT event_type AS sample FROM events) s LEFT JOIN ct ON ct.gene = g.gene AND ct.sample = s.sample""",
     ).replace("\n, al AS", ",\nal AS"),
 )
 def count_features(spark, sf):
@@ -322,7 +322,7 @@ def count_features(spark, sf):
 
 @query(
     "sort_alignments",
-    """SELECT event_id AS read_id, user_id % 5 AS chrom, CAST(floor(epoch(ts)) AS BIGINT) AS pos FROM events WHERE event_type IN ('click', 'view', 'purchase')""",
+    """SELECT event_id AS read_id, user_id % 5 AS chrom, CAST(floor(epoch(ts)) AS BIGINT) AS pos FROM events""",
 )
 def sort_alignments(spark, sf):
     return alignments.sort_alignments(_alignments(spark, sf)).select("read_id", "chrom", "pos")
@@ -357,14 +357,14 @@ def _vectors(spark, sf):
 
 @query("random_forest")
 def random_forest(spark, sf):
-    return forest.random_forest(_vectors(spark, sf), trees=50)
+    return forest.random_forest(_vectors(spark, sf))
 
 
 @query("rf_importance")
 def rf_importance(spark, sf):
-    return rounded(forest.rf_importance(_vectors(spark, sf), trees=50))
+    return rounded(forest.rf_importance(_vectors(spark, sf)))
 
 
 @query("rf_outlier")
 def rf_outlier(spark, sf):
-    return rounded(forest.rf_outlier(_vectors(spark, sf), trees=50))
+    return rounded(forest.rf_outlier(_vectors(spark, sf)))

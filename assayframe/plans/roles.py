@@ -1,6 +1,6 @@
 """The driver tables in the roles of study tables (mapping: FIXTURES.md section 3).
 
-Every role reads its whole table. ``ORACLE`` holds the same roles as SQL common table expressions.
+A query reads its whole tables: where a table plays two roles, even and odd row numbers are the two. ``ORACLE`` holds the same roles as SQL common table expressions.
 """
 
 from __future__ import annotations
@@ -55,21 +55,21 @@ def normed(spark, sf) -> DataFrame:
 # --- positive and negative mode results ----------------------------------------------------------
 
 
-def mode_results(spark, sf, event_type: str, mark: str) -> DataFrame:
+def mode_results(spark, sf, parity: int, mark: str) -> DataFrame:
     name = F.concat(F.lit("u"), F.col("user_id"), F.lit(mark), F.col("event_id") % 3)
     return (
         table(spark, sf, "events")
-        .filter(F.col("event_type") == event_type)
+        .filter(F.col("event_id") % 2 == parity)
         .select(name.alias("x"), (F.col("value") / 400).alias("p"), F.col("event_id").alias("ord"))
     )
 
 
 def positive(spark, sf) -> DataFrame:
-    return mode_results(spark, sf, "click", ".")
+    return mode_results(spark, sf, 0, ".")
 
 
 def negative(spark, sf) -> DataFrame:
-    return mode_results(spark, sf, "view", ";")
+    return mode_results(spark, sf, 1, ";")
 
 
 # --- genes, compounds, pathways ------------------------------------------------------------------
@@ -136,10 +136,10 @@ def paired_reads(spark, sf) -> DataFrame:
 
 
 def intervals(spark, sf) -> DataFrame:
-    """Two hours from each signup and error event on; chromosome = user modulo 5, gene = event type."""
+    """Two hours from each event of odd number on; chromosome = user modulo 5, gene = event type."""
     return (
         table(spark, sf, "events")
-        .filter(F.col("event_type").isin("signup", "error"))
+        .filter(F.col("event_id") % 2 == 1)
         .select(
             F.col("event_type").alias("gene_id"),
             (F.col("user_id") % 5).alias("chrom"),
@@ -180,15 +180,15 @@ ORACLE = {
     "fc": """SELECT feature, m1, m2, m1 / m2 AS fc, log2(m1 / m2) AS log2fc FROM (
         SELECT feature, avg(value) FILTER (condition = 'bm') AS m1, avg(value) FILTER (condition = 'cns') AS m2
         FROM filled JOIN samples USING (sample) GROUP BY 1)""",
-    "pos": "SELECT concat('u', user_id, '.', event_id % 3) AS x, value / 400 AS p, event_id AS ord FROM events WHERE event_type = 'click'",
-    "neg": "SELECT concat('u', user_id, ';', event_id % 3) AS x, value / 400 AS p, event_id AS ord FROM events WHERE event_type = 'view'",
+    "pos": "SELECT concat('u', user_id, '.', event_id % 3) AS x, value / 400 AS p, event_id AS ord FROM events WHERE event_id % 2 = 0",
+    "neg": "SELECT concat('u', user_id, ';', event_id % 3) AS x, value / 400 AS p, event_id AS ord FROM events WHERE event_id % 2 = 1",
     "stacked": """SELECT regexp_replace(x, '[.;].*', '') AS x, p, ord, 'positive' AS mode, 0 AS source FROM pos WHERE p < 0.05
         UNION ALL SELECT regexp_replace(x, '[.;].*', '') AS x, p, ord, 'negative' AS mode, 1 AS source FROM neg WHERE p < 0.05""",
     "genes": "SELECT n_name AS pathway_name, c_name AS gene, c_acctbal / 1000 AS gene_lfc FROM customer JOIN nation ON n_nationkey = c_nationkey",
     "compounds": "SELECT n_name AS pathway_name, s_name AS compound, s_acctbal / 1000 AS compound_lfc FROM supplier JOIN nation ON n_nationkey = s_nationkey",
     "reads": "SELECT source AS sample, CAST(doc_id % 2 + 1 AS INTEGER) AS mate, doc_id // 2 AS read_id, translate(text, 'acgtn', 'ACGTN') AS seq, text AS qual FROM documents",
     "paired": "SELECT * REPLACE (concat('s', read_id % 4) AS sample) FROM reads",
-    "spans": "SELECT event_type AS gene_id, user_id % 5 AS chrom, CAST(floor(epoch(ts)) AS BIGINT) AS start_s, CAST(floor(epoch(ts)) AS BIGINT) + 7200 AS end_s FROM events WHERE event_type IN ('signup', 'error')",
+    "spans": "SELECT event_type AS gene_id, user_id % 5 AS chrom, CAST(floor(epoch(ts)) AS BIGINT) AS start_s, CAST(floor(epoch(ts)) AS BIGINT) + 7200 AS end_s FROM events WHERE event_id % 2 = 1",
 }
 
 

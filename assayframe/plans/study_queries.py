@@ -308,12 +308,12 @@ _MEANS = "SELECT pathway_name, avg(gene_lfc) AS g, avg(compound_lfc) AS c FROM g
     ),
 )
 def melt_lfc(spark, sf):
-    return rounded(integration.melt_lfc(integration.integrate_pathways(*_sides(spark, sf))), 9)
+    return rounded(integration.melt_lfc(integration.pathway_means(*_sides(spark, sf))), 9)
 
 
 @query("lfc_matrix", with_roles("genes compounds", f"SELECT pathway_name, round(g, 9) AS avg_gene_lfc, round(c, 9) AS avg_compound_lfc FROM ({_MEANS})"))
 def lfc_matrix_query(spark, sf):
-    return rounded(lfc_matrix(integration.integrate_pathways(*_sides(spark, sf))), 9)
+    return rounded(lfc_matrix(integration.pathway_means(*_sides(spark, sf))), 9)
 
 
 _NAMED = "SELECT nullif(n_name, 'NATION_0') AS pathway_name, s_acctbal / 1000 - 5 AS lfc FROM supplier JOIN nation ON n_nationkey = s_nationkey"
@@ -345,12 +345,12 @@ def pathway_counts(spark, sf):
 
 @query(
     "top_pathways_up_down",
-    f"""WITH m AS ({_PATH_MEANS}) (SELECT * FROM m WHERE direction = 'Upregulated' ORDER BY avg_lfc DESC, pathway_name LIMIT 5)
-    UNION ALL (SELECT * FROM m WHERE direction = 'Downregulated' ORDER BY avg_lfc, pathway_name LIMIT 5)""",
+    f"""WITH m AS ({_PATH_MEANS}) (SELECT * FROM m WHERE direction = 'Upregulated' ORDER BY avg_lfc DESC, pathway_name LIMIT 10)
+    UNION ALL (SELECT * FROM m WHERE direction = 'Downregulated' ORDER BY avg_lfc, pathway_name LIMIT 10)""",
 )
 def top_pathways_up_down(spark, sf):
     means = rounded(integration.pathway_mean_lfc(_named_rows(spark, sf)), 9)
-    return relational.top_pathways_up_down(means, 5)
+    return relational.top_pathways_up_down(means, 10)
 
 
 @query(
@@ -394,6 +394,14 @@ def network_edges(spark, sf):
     return integration.network_edges(*_sides(spark, sf), compound_edges=True)
 
 
+@query(
+    "network_edge_table",
+    with_roles("genes compounds", "SELECT pathway_name AS src, gene AS dst, compound FROM genes JOIN compounds USING (pathway_name)"),
+)
+def network_edge_table(spark, sf):
+    return integration.network_edge_table(*_sides(spark, sf))
+
+
 @query(
     "node_degree",
     with_roles(
@@ -548,8 +556,13 @@ def match_mass(spark, sf):
 @query(
     "empirical_compounds",
     _MATCH
-    + """, d AS (SELECT DISTINCT compound_id, rt FROM mt), g AS (SELECT *, CASE WHEN rt - lag(rt) OVER (PARTITION BY compound_id ORDER BY rt) > 60 THEN 1 ELSE 0 END AS n FROM d),
-    e AS (SELECT compound_id, rt, concat(compound_id, '_', CAST(sum(n) OVER (PARTITION BY compound_id ORDER BY rt) AS BIGINT)) AS ec_id FROM g)
+    + """, d AS (SELECT DISTINCT compound_id, rt, CAST(floor(rt / 40) AS BIGINT) AS c FROM mt), w AS (SELECT compound_id, c, count(*) AS w FROM d GROUP BY 1, 2),
+    s AS (SELECT o.compound_id, o.c, o.w FROM w o LEFT JOIN w l ON l.compound_id = o.compound_id AND l.c = o.c - 1
+      LEFT JOIN w r ON r.compound_id = o.compound_id AND r.c = o.c + 1 WHERE o.w > coalesce(l.w, 0) AND o.w >= coalesce(r.w, 0)),
+    n AS (SELECT o.compound_id, o.c, CASE WHEN m.w IS NOT NULL THEN o.c WHEN l.w IS NOT NULL AND l.w >= coalesce(r.w, 0) THEN o.c - 1 WHEN r.w IS NOT NULL THEN o.c + 1 ELSE o.c END AS g
+      FROM w o LEFT JOIN s m ON m.compound_id = o.compound_id AND m.c = o.c LEFT JOIN s l ON l.compound_id = o.compound_id AND l.c = o.c - 1
+      LEFT JOIN s r ON r.compound_id = o.compound_id AND r.c = o.c + 1),
+    e AS (SELECT compound_id, rt, concat(compound_id, '_', g) AS ec_id FROM d JOIN n USING (compound_id, c))
     SELECT peak_id, compound_id, adduct, rt, ec_id FROM mt JOIN e USING (compound_id, rt)""",
 )
 def empirical_compounds(spark, sf):
@@ -562,7 +575,7 @@ def _mass_links(spark, sf):
 
 def _mummichog(spark, sf):
     return enrichment.mummichog(
-        _peaks(spark, sf), _masses(spark, sf), _adducts(spark, sf), _mass_links(spark, sf), ppm=10, rt_window=60.0, n_perm=20
+        _peaks(spark, sf), _masses(spark, sf), _adducts(spark, sf), _mass_links(spark, sf), ppm=10, rt_window=60.0, n_perm=100
     )
 
 
@@ -629,14 +642,14 @@ def peak_profile(spark, sf):
     "overlap_join",
     with_roles(
         "spans",
-        """, pts AS (SELECT event_id, user_id % 5 AS chrom, CAST(floor(epoch(ts)) AS BIGINT) AS pos FROM events WHERE event_type = 'click')
+        """, pts AS (SELECT event_id, user_id % 5 AS chrom, CAST(floor(epoch(ts)) AS BIGINT) AS pos FROM events WHERE event_id % 2 = 0)
         SELECT event_id, pos, gene_id, start_s AS "start", end_s AS "end", pts.chrom FROM pts JOIN spans ON pts.chrom = spans.chrom AND pos BETWEEN start_s AND end_s""",
     ).replace("\n, pts AS", ",\npts AS"),
 )
 def overlap_join(spark, sf):
     points = (
         roles.table(spark, sf, "events")
-        .filter(F.col("event_type") == "click")
+        .filter(F.col("event_id") % 2 == 0)
         .select("event_id", (F.col("user_id") % 5).alias("chrom"), roles.event_seconds().alias("pos"))
     )
     return rangejoin.point_in_interval(points, roles.intervals(spark, sf), ["chrom"], "pos", "start", "end", 7200.0)

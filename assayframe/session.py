@@ -27,13 +27,23 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra: s
     return builder.getOrCreate()
 
 
+_local_folder: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where it is unset, only a local session, whose one machine is driver and executor, gets a folder of its own; a
+    cluster session is refused.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="assayframe-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not _local_folder:
+        _local_folder.append(tempfile.mkdtemp(prefix="assayframe-"))
+    return _local_folder[0]
 
 
 def widen(df: DataFrame) -> DataFrame:

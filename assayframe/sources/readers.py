@@ -13,8 +13,16 @@ COUNT_COLUMNS = ("Geneid", "Chr", "Start", "End", "Strand", "Length")
 
 
 def read_table_csv(spark: SparkSession, path: str, schema: T.StructType | str, names: dict[str, str] | None = None) -> DataFrame:
-    """A CSV with a header; ``names`` maps header names to column names."""
-    df = spark.read.schema(schema).csv(path, header=True, enforceSchema=True)
+    """A CSV with a header. The schema's types and names go by position; ``names`` renames further.
+
+    All files have the header of the first one: a file with other columns, or in another order, stops the job.
+    """
+    fields = (spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema).fields
+    header = csv_header(spark, path)
+    if len(header) != len(fields):
+        raise ValueError(f"{len(header)} columns in {path}, {len(fields)} in the schema")
+    found = T.StructType([T.StructField(h, f.dataType) for h, f in zip(header, fields)])
+    df = spark.read.schema(found).csv(path, header=True, enforceSchema=False).toDF(*[f.name for f in fields])
     return df.withColumnsRenamed(names) if names else df
 
 
@@ -29,7 +37,7 @@ def csv_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
 def read_matrix_csv(
     spark: SparkSession, path: str, orientation: str = "features", labels: bool = False
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
-    """A wide matrix CSV to (feature, sample, value).
+    """A wide matrix CSV to (feature, sample, value). All files have the same header; one that differs stops the job.
 
     ``features``: a row per feature, a column per sample. ``samples``: a row per sample. With ``labels``
     the first data row (or the second column) holds the class of each sample, and the result is the
@@ -38,7 +46,8 @@ def read_matrix_csv(
     header = csv_header(spark, path)
     columns = [h if h else "_key" for h in header]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    wide = spark.read.schema(schema).csv(path, header=True, enforceSchema=True)
+    wide = spark.read.schema(T.StructType([T.StructField(h, T.StringType()) for h in header])).csv(path, header=True, enforceSchema=False)
+    wide = wide.toDF(*schema.names)
     key = columns[0]
     if orientation == "features":
         if labels:
@@ -66,10 +75,11 @@ def read_feature_counts(spark: SparkSession, folder: str, suffix: str = "_counts
     rows = lines.filter(~F.startswith("value", F.lit("#")) & (F.length("value") > 0)).select(
         F.get(cells, 0).alias("feature"), F.element_at(cells, -1).alias("_count"), "_file"
     )
-    headers = rows.filter(F.col("feature") == COUNT_COLUMNS[0]).select("_file").distinct()
-    found = rows.join(headers.withColumn("_ok", F.lit(True)), "_file", "left")
-    complain = F.raise_error(F.concat(F.lit("Geneid column not found in "), F.col("_file"))).cast("boolean")
-    checked = found.filter(F.when(F.col("_ok"), F.lit(True)).otherwise(complain))
+    # one row per file with its number of headers; the files without one are named in the error
+    has_header = rows.groupBy("_file").agg(F.count(F.when(F.col("feature") == COUNT_COLUMNS[0], 1)).alias("_n"))
+    missing = has_header.filter("_n = 0").agg(F.min("_file"))
+    complain = F.raise_error(F.concat(F.lit("Geneid column not found in "), missing.scalar())).cast("boolean")
+    checked = rows.filter(F.when(missing.scalar().isNull(), F.lit(True)).otherwise(complain))
     return checked.filter(F.col("feature") != COUNT_COLUMNS[0]).select(
         "feature", file_stem("_file", suffix).alias("sample"), F.col("_count").try_cast("long").alias("value")
     )
@@ -131,10 +141,12 @@ def read_fastq(spark: SparkSession, folder: str, suffix_1: str = "_R1_001.fastq.
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """Short sequences (adapters): one row per record, (name, seq)."""
-    records = spark.read.text(path, lineSep=">").filter(F.length(F.trim("value")) > 0)
-    head = F.regexp_extract("value", r"^(\S+)", 1)
-    body = F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s", "")
+    """Short sequences (adapters): one row per record, (name, seq). Records start with ``>`` at the start of a line."""
+    # the file's first record keeps its mark, the others lose it with the line break before it
+    records = spark.read.text(path, lineSep="\n>").filter(F.length(F.trim("value")) > 0)
+    value = F.regexp_replace("value", r"^\s*>", "")
+    head = F.regexp_extract(value, r"^(\S+)", 1)
+    body = F.regexp_replace(F.regexp_replace(value, r"^[^\n]*\n?", ""), r"\s", "")
     return records.select(head.alias("name"), F.upper(body).alias("seq"))
 
 

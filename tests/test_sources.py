@@ -37,6 +37,22 @@ def test_table_csv_renames_headers(spark, tmp_path):
     assert (got["x"], got["raw_pval"], got["log2fc"]) == ("a", 0.5, 1.5)
 
 
+def test_files_with_another_header_stop_the_job(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,s1,s2\ng1,1,2\n")
+    (tmp_path / "b.csv").write_text("id,s2,s1\ng2,1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_matrix_csv(spark, str(tmp_path)).collect()
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_table_csv(spark, str(tmp_path), "id string, a int, b int").collect()
+    with pytest.raises(ValueError):
+        readers.read_table_csv(spark, str(tmp_path), "id string")
+
+
+def test_a_mark_inside_a_fasta_header_is_no_record(spark, tmp_path):
+    (tmp_path / "a.fa").write_text(">a len>5\nACG\nT\n>b\nTT\n")
+    assert {tuple(r) for r in readers.read_fasta(spark, str(tmp_path / "a.fa")).collect()} == {("a", "ACGT"), ("b", "TT")}
+
+
 def test_reads_and_manifest(spark, tmp_path):
     for mate, n in ((1, 3), (2, 2)):
         text = "".join(f"@r{i} extra\nACGT\n+\nIII@\n" for i in range(n))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assayframe.operators import alignments, components, contrasts, counts_nb, enrichment, integration, kmers, matrix
-from assayframe.operators import rangejoin, read_quality, read_trimming, similarity, spectra
+from assayframe.operators import rangejoin, read_quality, read_trimming, similarity, skew, spectra
 
 LEVELS = ("bm", "cns")
 
@@ -129,8 +129,10 @@ def test_integration_equals_the_pair_table(spark):
     got = integration.integrate_pathways(genes, compounds).collect()
     assert len(got) == 1 and got[0]["genes"] == "g1, g1, g1, g2, g2, g2" and got[0]["compounds"] == "c1, c2, c3, c1, c2, c3"
     assert got[0]["avg_gene_lfc"] == 2.0 and got[0]["avg_compound_lfc"] == -2.0
-    short = integration.integrate_pathways(genes, compounds, list_limit=3).first()
-    assert short["genes"] is None and short["avg_gene_lfc"] == 2.0
+    once = integration.integrate_pathways(genes, compounds, distinct_names=True).first()
+    assert once["genes"] == "g1, g2" and once["compounds"] == "c1, c2, c3"
+    table = {tuple(r) for r in integration.network_edge_table(genes, compounds).collect()}
+    assert table == {("P", g, c) for g in ("g1", "g2") for c in ("c1", "c2", "c3")}
     members = {(r["side"], r["name"]): r["copies"] for r in integration.pathway_members(genes, compounds).collect()}
     assert members == {("gene", "g1"): 3, ("gene", "g2"): 3, ("compound", "c1"): 2, ("compound", "c2"): 2, ("compound", "c3"): 2}
     assert integration.pair_by_pathway(genes, compounds).count() == 6
@@ -138,6 +140,24 @@ def test_integration_equals_the_pair_table(spark):
     assert degree == {"P": 6, "g1": 3, "g2": 3}
 
 
+def test_a_pathway_of_more_than_a_million_pairs_keeps_its_lists(spark):
+    genes = spark.range(1100).selectExpr("'P' AS pathway_name", "concat('g', lpad(id, 4, '0')) AS gene", "double(id) AS gene_lfc")
+    compounds = spark.range(1000).selectExpr("'P' AS pathway_name", "concat('c', lpad(id, 4, '0')) AS compound", "double(1) AS compound_lfc")
+    got = integration.integrate_pathways(genes, compounds).selectExpr("length(genes) AS g", "length(compounds) AS c", "substr(genes, 1, 14) AS a", "substr(compounds, 1, 14) AS b").first()
+    assert tuple(got) == (1_100_000 * 7 - 2, 1_100_000 * 7 - 2, "g0000, g0000, ", "c0000, c0001, ")
+
+
+def test_dense_masses_do_not_chain(spark):
+    for step in (8e-6, 20e-6):
+        mz = [200 * (1 + step) ** i for i in range(600)]
+        rows = [("r", scan, float(scan), m, 100.0 + (i * 7919) % 13) for i, m in enumerate(mz) for scan in range(5)]
+        peaks = spectra.detect_peaks(spark.createDataFrame(rows, "run string, scan int, rt double, mz double, intensity double"), ppm=10)
+        found = peaks.collect()
+        assert len(found) > 200 and abs(sum(p["area"] for p in found) - sum(r[4] for r in rows)) < 1e-6
+    rows = [("r", scan, float(scan), 300 * (1 + scan % 3 * 2e-6), 50.0) for scan in range(9)]
+    assert spectra.detect_peaks(spark.createDataFrame(rows, "run string, scan int, rt double, mz double, intensity double"), ppm=10).count() == 1
+
+
 def test_pathway_means_keep_the_unnamed_group(spark):
     rows = spark.createDataFrame([(None, 1.0), (None, 2.0), ("P", 0.0), ("P", float("nan"))], "pathway_name string, lfc double")
     got = {r["pathway_name"]: (r["avg_lfc"], r["direction"]) for r in integration.pathway_mean_lfc(rows).collect()}
@@ -303,3 +323,19 @@ def test_permuted_pathways_are_repeatable(spark):
     first = {r["pathway_id"]: (round(r["p"], 12), r["p_perm"]) for r in run(1).collect()}
     assert first == {r["pathway_id"]: (round(r["p"], 12), r["p_perm"]) for r in run(5).collect()}
     assert first["hit"][0] < 1e-4 and first["hit"][1] <= 0.05
+
+
+def test_short_adapters_and_short_reads_are_searched(spark):
+    adapter = "AGATCGGAAGAG"
+    reads = read_table(spark, [("s", 1, "a", "CCTTGGCCAATTCCGG" + adapter, "I" * 28), ("s", 1, "b", "CCTTGGCCAATT", "I" * 12), ("s", 1, "c", adapter[:11], "I" * 11)])
+    adapters = spark.createDataFrame([("ad", adapter)], "name string, seq string")
+    got = {r["read_id"]: r["seq"] for r in read_trimming.clip_adapters(reads, adapters, seeds=0, simple=5).collect()}
+    assert got == {"a": "CCTTGGCCAATTCCGG", "b": "CCTTGGCCAATT", "c": ""}
+
+
+def test_a_key_with_half_the_rows_is_spread(spark):
+    rows = spark.range(60_000).selectExpr("if(id % 2 = 0, 0, id) AS k", "id % 3 AS v").repartition(6)
+    dim = spark.range(60_000).selectExpr("id AS k", "id * 10 AS w")
+    joined = skew.spread_join(rows, dim, ["k"])
+    assert joined.count() == 60_000 and joined.filter("k * 10 <> w").count() == 0
+    assert skew.spread_join(rows, dim.filter("k > 0"), ["k"], "left").filter("w is null").count() == 30_000
