@@ -81,16 +81,17 @@ def rf_outlier(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int
     counts = leaves.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).alias("_blocks"))
     dealt = leaves.join(counts, "label").withColumn("_block", F.pmod(F.xxhash64("id"), "_blocks"))
     left = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))).drop("_blocks")
-    right = dealt.withColumnRenamed("_block", "_other").withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))).drop("_blocks")
+    # new names for the other side's columns, as both sides come from one table
+    right = dealt.select(*[F.col(c).alias(f"{c}_") for c in dealt.columns])
+    right = right.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks_") - 1)))
     kinds = dict(rows.dtypes)
 
     def sums(own: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        a, b = (np.stack(x["_l"].to_list()) if len(x) else np.zeros((0, trees)) for x in (own, others))
+        a, b = (np.stack(x.to_list()) if len(x) else np.zeros((0, trees)) for x in (own["_l"], others["_l_"]))
         total = [float(((row[None, :] == b).mean(axis=1) ** 2).sum()) for row in a]
         return pd.DataFrame({"id": own["id"], "label": own["label"], "_part": total})
 
-    keys = ["label", "_block", "_other"]
-    parts = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(sums, f"id {kinds['id']}, label string, _part double")
+    parts = left.groupBy("label", "_block", "_other").cogroup(right.groupBy("label_", "_from", "_block_")).applyInPandas(sums, f"id {kinds['id']}, label string, _part double")
     total = prepared.agg(F.count(F.lit(1))).scalar()
     sized = parts.groupBy("id", "label").agg(F.sum("_part").alias("_s"))
     raw = stage(sized.withColumn("_raw", total / F.col("_s")).select("id", "label", "_raw"))

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from assayframe.operators import alignments, components, contrasts, counts_nb, enrichment, integration, kmers, matrix
+from assayframe.operators import alignments, components, contrasts, counts_nb, enrichment, forest, integration, kmers, matrix
 from assayframe.operators import rangejoin, read_quality, read_trimming, similarity, skew, spectra
 
 LEVELS = ("bm", "cns")
@@ -339,3 +339,21 @@ def test_a_key_with_half_the_rows_is_spread(spark):
     joined = skew.spread_join(rows, dim, ["k"])
     assert joined.count() == 60_000 and joined.filter("k * 10 <> w").count() == 0
     assert skew.spread_join(rows, dim.filter("k > 0"), ["k"], "left").filter("w is null").count() == 30_000
+
+
+def test_forest_separates_classes_and_finds_the_outlier(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, "a" if i < 30 else "b", [float(x) for x in rng.normal(0 if i < 30 else 6, 1, 5)]) for i in range(60)]
+    rows[0] = (0, "a", [6.0] * 5)
+    data = spark.createDataFrame(rows, "id long, label string, features array<double>")
+    table = {(r["label"], r["predicted"]): r["n"] for r in forest.random_forest(data, trees=20, per_split=2).collect()}
+    assert table[("a", "a")] >= 28 and table[("b", "b")] == 30
+    weights = forest.rf_importance(data, trees=20, per_split=2).collect()
+    assert len(weights) == 5 and math.isclose(sum(r["importance"] for r in weights), 1)
+    scores = {r["id"]: r["outlier"] for r in forest.rf_outlier(data, trees=20, per_split=2).collect()}
+    assert len(scores) == 60
+    mixed = [(i, r[1], [float(x) for x in rng.normal(0 if i < 30 else 2, 1, 5)]) for i, *r in rows]
+    mixed[0] = (0, "a", [2.0] * 5)
+    mixed = spark.createDataFrame([(i, "a" if i < 30 else "b", x) for i, _, x in mixed], "id long, label string, features array<double>")
+    scores = {r["id"]: r["outlier"] for r in forest.rf_outlier(mixed, trees=40, per_split=2).collect() if r["label"] == "a"}
+    assert len(scores) == 30 and sorted(scores, key=scores.get)[-3:].count(0) == 1
