@@ -90,6 +90,7 @@ def volcano(
 
 def volcano_table(results: DataFrame, cut: float = 1.0, k: int = 5) -> DataFrame:
     """Points of a volcano plot: -log10 padj, direction class, and a label on the k best of each side."""
+    results = stage(results)
     labels = top_up_down(results, k, cut=cut).select("feature", F.col("feature").cast("string").alias("label"))
     return (
         results.withColumn("neg_log10_padj", neg_log10("padj"))

@@ -13,11 +13,9 @@ from .relational import filter_p
 from .spectra import empirical_compounds, match_mass
 
 
-def _set_sizes(sets: DataFrame, universe: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+def _set_members(sets: DataFrame, universe: DataFrame | None) -> DataFrame:
     members = sets.select("pathway_id", "member").dropna().distinct()
-    if universe is not None:
-        members = members.join(universe.select("member").distinct(), "member", "left_semi")
-    return members, members.groupBy("pathway_id").agg(F.count(F.lit(1)).alias("set_size"))
+    return members if universe is None else members.join(universe.select("member").distinct(), "member", "left_semi")
 
 
 def ora(
@@ -29,19 +27,16 @@ def ora(
     returned; a cut-off is a filter on the result. The size limit is part of the test and also
     bounds the joined id list of a set.
     """
-    members, sizes = _set_sizes(sets, universe)
-    background = members.select("member").distinct()
-    drawn = hits.select("member").distinct().join(background, "member", "left_semi")
-    allowed = sizes.filter(F.col("set_size").between(min_size, max_size))
-    found = (
-        members.join(drawn, "member", "left_semi")
-        .join(allowed, "pathway_id")
-        .groupBy("pathway_id", "set_size")
-        .agg(F.count(F.lit(1)).alias("hit_count"), F.array_sort(F.collect_list("member")).alias("_ids"))
-    )
-    tested = found.withColumn("n_drawn", drawn.agg(F.count(F.lit(1))).scalar()).withColumn(
-        "n_background", background.agg(F.count(F.lit(1))).scalar()
-    )
+    members = _set_members(sets, universe)
+    drawn = hits.select("member").distinct().withColumn("hit", F.lit(True))
+    # every figure below is read off this one table
+    marked = stage(members.join(drawn, "member", "left").withColumn("hit", F.coalesce("hit", F.lit(False))))
+    totals = marked.select("member", "hit").distinct().agg(F.struct(F.count_if("hit").alias("drawn"), F.count(F.lit(1)).alias("all"))).scalar()
+    counts = marked.groupBy("pathway_id").agg(F.count(F.lit(1)).alias("set_size"), F.count_if("hit").alias("hit_count"))
+    allowed = counts.filter(F.col("set_size").between(min_size, max_size) & (F.col("hit_count") > 0))
+    ids = marked.filter("hit").join(allowed.select("pathway_id"), "pathway_id", "left_semi").groupBy("pathway_id")
+    found = allowed.join(ids.agg(F.array_sort(F.collect_list("member")).alias("_ids")), "pathway_id")
+    tested = found.withColumn("_t", totals).withColumns({"n_drawn": F.col("_t.drawn"), "n_background": F.col("_t.all")})
     tested = stage(
         tested.withColumn("p", once(hypergeom_upper("hit_count", "n_drawn", "set_size", "n_background"))).select(
             "pathway_id",

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..sources.staging import stage
+
 LEVELS = ("bm", "cns")
 
 
@@ -43,7 +45,8 @@ def grid(spark, sf) -> DataFrame:
 def filled(spark, sf) -> DataFrame:
     from ..operators.matrix import replace_min
 
-    return replace_min(grid(spark, sf))
+    # read by several aggregates of a study, so written once
+    return stage(replace_min(grid(spark, sf)))
 
 
 def normed(spark, sf) -> DataFrame:
