@@ -98,35 +98,72 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
 
 
-def _best_run(scores: np.ndarray) -> float:
-    """Largest sum of a stretch of consecutive scores."""
-    total = np.concatenate([[0.0], np.cumsum(scores)])
-    return float((total - np.minimum.accumulate(total)).max())
+def _padded(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """The characters of all texts as rows of one array, filled up with zeros, and their lengths."""
+    length = texts.str.len().to_numpy(np.int64)
+    out = np.zeros((len(texts), max(1, int(length.max(initial=0)))), np.uint32)
+    out[np.arange(out.shape[1])[None, :] < length[:, None]] = _codes("".join(texts))
+    return out, length
 
 
-def _alignment_score(seq: np.ndarray, qual: np.ndarray, adapter: np.ndarray, at: int) -> float:
-    n = min(len(adapter), len(seq) - at)
-    same = seq[at : at + n] == adapter[:n]
-    return _best_run(np.where(same, math.log10(4), -qual[at : at + n] / 10.0))
+def _qualities(texts: pd.Series, offset: int) -> np.ndarray:
+    return np.clip(_padded(texts)[0].astype(np.int64) - offset, 0, 93)
 
 
-def _clip_at(seq: np.ndarray, qual: np.ndarray, adapters: list[np.ndarray], seeds: int, score: float, seed_length: int) -> int:
-    """First position where an adapter aligns well enough; the read length if none does."""
-    best = len(seq)
+def _best_runs(scores: np.ndarray) -> np.ndarray:
+    """Per row the largest sum of a stretch of consecutive scores."""
+    total = np.concatenate([np.zeros((len(scores), 1)), np.cumsum(scores, axis=1)], axis=1)
+    return (total - np.minimum.accumulate(total, axis=1)).max(axis=1)
+
+
+def _seed_misses(seq: np.ndarray, heads: np.ndarray, used: np.ndarray, windows: int) -> np.ndarray:
+    """Mismatches of every window of every row with the row's head, of which the first ``used`` letters count."""
+    misses = np.zeros((len(seq), windows), np.int16)
+    wide = np.pad(seq, ((0, 0), (0, heads.shape[1])))
+    for i in range(heads.shape[1]):
+        misses += (wide[:, i : i + windows] != heads[:, i, None]) & (i < used)[:, None]
+    return misses
+
+
+def _alignment_scores(seq: np.ndarray, qual: np.ndarray, other: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Per row the best stretch over the first ``length`` letters: log10(4) a match, minus a tenth of the quality a mismatch."""
+    scores = np.where(seq == other, math.log10(4), -qual / 10.0)
+    return _best_runs(np.where(np.arange(seq.shape[1])[None, :] < length[:, None], scores, 0.0))
+
+
+def _from(rows: np.ndarray, row: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
+    """``width`` letters of the given rows from the given places on, zeros beyond the end."""
+    wide = np.pad(rows, ((0, 0), (0, width)))
+    return wide[row[:, None], start[:, None] + np.arange(width)[None, :]]
+
+
+_CELLS = 1 << 22  # letters that are scored together (one longer read by itself)
+
+
+def _parts(batch: pd.DataFrame, column: str) -> Iterator[pd.DataFrame]:
+    longest = max(1, int(batch[column].str.len().max() or 1)) if len(batch) else 1
+    rows = max(1, _CELLS // longest)
+    for at in range(0, len(batch), rows):
+        yield batch.iloc[at : at + rows]
+
+
+def _clip_places(seqs: pd.Series, quals: pd.Series, adapters: list[np.ndarray], seeds: int, score: float, seed_length: int, offset: int) -> np.ndarray:
+    """Per read the first position where an adapter aligns well enough; the read length if none does."""
+    seq, length = _padded(seqs)
+    qual = _qualities(quals, offset)
+    qual = np.pad(qual, ((0, 0), (0, max(0, seq.shape[1] - qual.shape[1]))))
+    best = length.copy()
     for adapter in adapters:
-        head = adapter[: min(seed_length, len(seq))]
-        if not len(head):
+        head = adapter[:seed_length]
+        used = np.minimum(len(head), length)
+        misses = _seed_misses(seq, np.broadcast_to(head, (len(seq), len(head))), used, seq.shape[1])
+        at = np.arange(seq.shape[1])[None, :]
+        row, place = np.nonzero((misses <= seeds) & (at + used[:, None] <= length[:, None]) & (at < best[:, None]))
+        if not len(row):
             continue
-        windows = len(seq) - len(head) + 1
-        misses = np.zeros(windows, dtype=np.int16)
-        for i, letter in enumerate(head):
-            misses += seq[i : i + windows] != letter
-        for at in np.flatnonzero(misses <= seeds):
-            if at >= best:
-                break
-            if _alignment_score(seq, qual, adapter, int(at)) >= score:
-                best = int(at)
-                break
+        size = np.minimum(len(adapter), length[row] - place)
+        good = _alignment_scores(_from(seq, row, place, len(adapter)), _from(qual, row, place, len(adapter)), adapter[None, :], size) >= score
+        np.minimum.at(best, row[good], place[good])
     return best
 
 
@@ -138,19 +175,20 @@ def clip_adapters(
     A seed of 16 bases (a shorter adapter as a whole; as much of it as a shorter read can hold) with at most ``seeds``
     mismatches proposes a position; the alignment from there scores
     log10(4) per match and minus a tenth of the quality per mismatch, and its best stretch must
-    reach ``simple``. Runs batch by batch inside the tasks, no shuffle.
+    reach ``simple``. Runs on arrays of many reads inside the tasks, no shuffle. Null reads stay null.
     """
     codes = _adapter_codes(adapters)
 
     def clip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            seqs, quals = [], []
-            for seq, qual in zip(batch["seq"], batch["qual"]):
-                q = np.clip(_codes(qual).astype(np.int64) - offset, 0, 93)
-                at = _clip_at(_codes(seq), q, codes, seeds, simple, seed_length)
-                seqs.append(seq[:at])
-                quals.append(qual[:at])
-            yield batch.assign(seq=seqs, qual=quals)
+        for whole in batches:
+            for batch in _parts(whole, "seq"):
+                seqs, quals = batch["seq"].fillna(""), batch["qual"].fillna("")
+                cut = _clip_places(seqs, quals, codes, seeds, simple, seed_length, offset).tolist()
+                known = batch["seq"].notna()
+                yield batch.assign(
+                    seq=pd.Series([s[:n] for s, n in zip(seqs, cut)], batch.index, dtype=object).where(known, None),
+                    qual=pd.Series([s[:n] for s, n in zip(quals, cut)], batch.index, dtype=object).where(batch["qual"].notna(), None),
+                )
 
     return widen(reads).mapInPandas(clip, reads.schema)
 
@@ -174,12 +212,10 @@ def clip_pairs(
     kind = dict(reads.dtypes)
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            lengths = [
-                _insert_length(_codes(s1), np.clip(_codes(q1).astype(np.int64) - offset, 0, 93), _codes(r2), palindrome, seeds, seed_length)
-                for s1, q1, r2 in zip(batch["s1"], batch["q1"], batch["r2"])
-            ]
-            yield batch[["sample", "read_id"]].assign(_insert=lengths)
+        for whole in batches:
+            for batch in _parts(whole, "r2"):
+                found = _insert_lengths(batch["s1"].fillna(""), batch["q1"].fillna(""), batch["r2"].fillna(""), palindrome, seeds, seed_length, offset)
+                yield batch[["sample", "read_id"]].assign(_insert=found)
 
     pairs = sides[0].join(sides[1].drop("s2", "q2"), ["sample", "read_id"])
     found = pairs.mapInPandas(find, f"sample {kind['sample']}, read_id {kind['read_id']}, _insert int").filter("_insert >= 0")
@@ -187,19 +223,19 @@ def clip_pairs(
     return _cut(cut, F.lit(1), F.coalesce("_insert", F.length("seq"))).drop("_insert").select(*reads.columns)
 
 
-def _insert_length(s1: np.ndarray, q1: np.ndarray, r2: np.ndarray, palindrome: float, seeds: int, seed_length: int) -> int:
-    """Insert length shorter than both mates, or -1. r2 starts with the adapter part: its tail is the insert."""
-    if min(len(s1), len(r2)) <= seed_length:
-        return -1
-    windows = len(r2) - seed_length + 1
-    misses = np.zeros(windows, dtype=np.int16)
-    for i in range(seed_length):
-        misses += r2[i : i + windows] != s1[i]
-    for at in np.flatnonzero(misses <= seeds):
-        insert = len(r2) - int(at)
-        if insert >= min(len(s1), len(r2)):
-            continue
-        same = s1[:insert] == r2[at:]
-        if _best_run(np.where(same, math.log10(4), -q1[:insert] / 10.0)) >= palindrome:
-            return insert
-    return -1
+def _insert_lengths(s1: pd.Series, q1: pd.Series, r2: pd.Series, palindrome: float, seeds: int, seed_length: int, offset: int) -> np.ndarray:
+    """Insert lengths shorter than both mates, or -1. r2 starts with the adapter part: its tail is the insert."""
+    (one, n1), (two, n2), qual = _padded(s1), _padded(r2), _qualities(q1, offset)
+    width = max(one.shape[1], two.shape[1], qual.shape[1])
+    one, two, qual = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (one, two, qual))
+    misses = _seed_misses(two, one[:, :seed_length], np.full(len(one), seed_length), width)
+    place = np.arange(width)[None, :]
+    insert = n2[:, None] - place
+    usable = (np.minimum(n1, n2) > seed_length)[:, None] & (insert >= seed_length) & (insert < np.minimum(n1, n2)[:, None])
+    row, at = np.nonzero((misses <= seeds) & usable)
+    out = np.full(len(one), -1, np.int32)
+    if len(row):
+        size = n2[row] - at
+        good = _alignment_scores(one[row], qual[row], _from(two, row, at, width), size) >= palindrome
+        np.maximum.at(out, row[good], size[good].astype(np.int32))
+    return out
