@@ -180,7 +180,8 @@ def dedup_lines(
     found = marked.select("id", "h", "text").mapInArrow(suspects, f"_id {id_type}, _h long, _key string")
     found = folders.save(found, "suspects")
     confirmed = found.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(F.col("_id").isNull(), "_id", "_h")).alias("_first")).filter(F.col("_n") >= min_docs)
-    hits = found.join(confirmed, "_key")
+    # both sides of the join are tables, so that Spark can split the rows of a very common line
+    hits = found.join(folders.save(confirmed, "confirmed"), "_key")
     if keep == "first":
         hits = hits.filter(~((F.col("_id").eqNullSafe(F.col("_first._id"))) & (F.col("_h") == F.col("_first._h"))))
     drops = hits.groupBy("_id", "_h").agg(F.collect_set("_key").alias("_keys")).withColumnRenamed("_h", "_h2")
