@@ -394,6 +394,26 @@ def pca_scores(spark, sf):
     return rounded(_pca(spark, sf, 5).scores)
 
 
+_CENTRED = """, x AS (SELECT feature, sample, value - avg(value) OVER (PARTITION BY feature) AS v FROM normed)"""
+
+
+@query(
+    "pca_gram",
+    with_roles(
+        "cells samples factors counts",
+        """, l AS (SELECT feature, sample, log2(value + 1) AS value FROM counts WHERE feature IN
+          (SELECT feature FROM counts GROUP BY 1 HAVING count(*) = (SELECT count(*) FROM samples))),
+        x AS (SELECT feature, sample, value - avg(value) OVER (PARTITION BY feature) AS v FROM l)
+        SELECT a.sample AS a, b.sample AS b, round(sum(a.v * b.v), 6) + 0.0 AS product FROM x a JOIN x b USING (feature) GROUP BY 1, 2""",
+    ).replace("\n, l AS", ",\nl AS"),
+)
+def pca_gram(spark, sf):
+    """All scores multiplied back: the centred products of the samples."""
+    scores = _pca(spark, sf, 8).scores.drop("condition").unpivot(["sample"], None, "pc", "v")
+    other = scores.select(F.col("sample").alias("b"), F.col("pc").alias("pc2"), F.col("v").alias("w"))
+    return rounded(scores.join(other, F.col("pc") == F.col("pc2")).groupBy(F.col("sample").alias("a"), "b").agg(F.sum(F.col("v") * F.col("w")).alias("product")))
+
+
 @query("pca_variance")
 def pca_variance(spark, sf):
     return rounded(_pca(spark, sf, 5).variance)
@@ -418,6 +438,21 @@ def pls_scores(spark, sf):
     return rounded(_pls(spark, sf).scores)
 
 
+@query(
+    "pls_first_component",
+    with_roles(
+        "cells samples grid filled offset_a normed",
+        _CENTRED
+        + """, y AS (SELECT sample, CASE WHEN condition = 'cns' THEN 1 ELSE 0 END - avg(CASE WHEN condition = 'cns' THEN 1.0 ELSE 0.0 END) OVER () AS y FROM samples),
+        w AS (SELECT feature, sum(v * y) AS w FROM x JOIN y USING (sample) GROUP BY 1),
+        s AS (SELECT sqrt(sum(w * w)) * sign(max_by(w, abs(w))) AS n FROM w)
+        SELECT sample, round(sum(v * w / n), 6) + 0.0 AS comp1 FROM x JOIN w USING (feature), s GROUP BY 1""",
+    ).replace("\n, x AS", ",\nx AS"),
+)
+def pls_first_component(spark, sf):
+    return rounded(_pls(spark, sf).scores.select("sample", "comp1"))
+
+
 @query("pls_loadings")
 def pls_loadings(spark, sf):
     return rounded(_pls(spark, sf).loadings)

@@ -341,6 +341,14 @@ def nb_dispersion(spark, sf):
     return rounded(counts_nb.nb_dispersion(*_nb(spark, sf), LEVELS))
 
 
+@query(
+    "nb_base_mean",
+    with_roles("cells samples factors counts", "SELECT feature, round(sum(value) / (SELECT count(*) FROM samples), 6) AS base_mean FROM counts GROUP BY 1"),
+)
+def nb_base_mean(spark, sf):
+    return rounded(counts_nb.nb_dispersion(*_nb(spark, sf), LEVELS).select("feature", "base_mean"))
+
+
 @query("nb_wald_test")
 def nb_wald_test(spark, sf):
     return rounded(counts_nb.nb_wald_test(*_nb(spark, sf), LEVELS))
