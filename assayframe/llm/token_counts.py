@@ -193,7 +193,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", limit: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = counter(tokenizer)
         for batch in batches:
-            for t in texts.slices(batch.column(len(kept)), 2 * texts.SLICE_BYTES):
+            for t in texts.slices(batch.column(len(kept))):
                 n, rows = own.count(t), batch.slice(t.first, len(t))
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns[: len(kept)], pa.array(np.diff(t.bounds)), pa.array(n), pa.array(n > limit)], names=[*kept, *made]
