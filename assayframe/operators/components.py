@@ -18,8 +18,6 @@ from ..functions.numeric import pct
 from ..sources.staging import stage
 from .similarity import _block, cross_products, feature_vectors
 
-GRAM_SAMPLES = 2000  # beyond this many samples the scores are iterated instead of solved
-
 
 class Components(NamedTuple):
     scores: DataFrame
@@ -38,8 +36,11 @@ def _centred_gram(vectors: DataFrame, n: int) -> np.ndarray:
     return gram
 
 
-def _iterated_scores(vectors: DataFrame, n: int, k: int, rounds: int = 200, tol: float = 1e-10):
-    """Leading eigenpairs of the centred Gram matrix by block power iteration: one pass of n × k sums a round."""
+def _iterated_scores(vectors: DataFrame, n: int, k: int, rounds: int = 500, tol: float = 1e-10):
+    """Leading eigenpairs of the centred Gram matrix by block power iteration: one pass of n × k sums a round.
+
+    Where the block has as many columns as there are samples, the first round is already exact. Not to converge is an error.
+    """
     basis = np.linalg.qr(np.cos(np.outer(np.arange(1, n + 1), np.arange(1, k + 6))))[0]
     previous = None
     for _ in range(rounds):
@@ -69,6 +70,8 @@ def _iterated_scores(vectors: DataFrame, n: int, k: int, rounds: int = 200, tol:
         if previous is not None and np.allclose(values, previous, rtol=tol, atol=0):
             break
         previous = values
+    else:
+        raise ArithmeticError(f"the scores did not converge in {rounds} rounds")
     return values, vectors_k, trace
 
 
@@ -96,7 +99,7 @@ def _largest_sign(loadings: DataFrame, names: list[str]) -> list[float]:
     return [1.0 if row[c] is None or row[c] >= 0 else -1.0 for c in names]
 
 
-def pca(long: DataFrame, samples: DataFrame, k: int = 2, gram_samples: int = GRAM_SAMPLES) -> Components:
+def pca(long: DataFrame, samples: DataFrame, k: int = 2) -> Components:
     """Centred, unscaled PCA of the samples.
 
     scores: sample, condition, pc1…; variance: pc, sd, share, percent, cumulative; loadings: feature, pc1….
@@ -106,12 +109,7 @@ def pca(long: DataFrame, samples: DataFrame, k: int = 2, gram_samples: int = GRA
     n = len(names)
     k = min(k, n)
     vectors = stage(feature_vectors(long, samples))
-    if n <= gram_samples:
-        gram = _centred_gram(vectors, n)
-        values, vecs = np.linalg.eigh(gram)
-        values, vecs, trace = values[::-1][:k], vecs[:, ::-1][:, :k], float(np.trace(gram))
-    else:
-        values, vecs, trace = _iterated_scores(vectors, n, k)
+    values, vecs, trace = _iterated_scores(vectors, n, k)
     values = np.clip(values, 0, None)
     scale = np.sqrt(values)
     cols = [f"pc{i + 1}" for i in range(k)]
