@@ -21,7 +21,7 @@ from .adjust import adjust_bh
 from .ordered import distinct_counts, exact_quantiles, running
 from .similarity import by_feature
 
-MIN_DISPERSION, MAX_DISPERSION = 1e-8, 10.0
+MIN_DISPERSION, MAX_DISPERSION = 1e-8, 10.0  # the upper end is the number of samples where that is larger
 
 
 # --- small numpy helpers, all over (features × samples) blocks -----------------------------------
@@ -76,7 +76,7 @@ def _profile(k: np.ndarray, mu: np.ndarray, second: np.ndarray, ln_alpha: np.nda
 
 def _best_dispersion(k, mu, second, centre=None, prior_var=None) -> np.ndarray:
     """ln dispersion that maximises the adjusted likelihood, with a normal prior around ``centre`` if given."""
-    low, high = math.log(MIN_DISPERSION), math.log(MAX_DISPERSION)
+    low, high = math.log(MIN_DISPERSION), math.log(max(MAX_DISPERSION, k.shape[1]))
     grid = np.linspace(low, high, 25)
 
     def value(x: np.ndarray) -> np.ndarray:
@@ -137,7 +137,7 @@ def nb_dispersion(long: DataFrame, samples: DataFrame, factors: DataFrame, level
             q = k / s
             mean = q.mean(axis=1)
             moment = (q.var(axis=1, ddof=1) - mean * (1 / s).mean()) / mean**2
-            mu = np.exp(_group_means(k, s, second, np.clip(moment, MIN_DISPERSION, MAX_DISPERSION)))
+            mu = np.exp(_group_means(k, s, second, np.clip(moment, MIN_DISPERSION, max(MAX_DISPERSION, k.shape[1]))))
             mu = np.maximum(np.where(second, mu[:, [1]], mu[:, [0]]) * s, 1e-6)
             yield pd.DataFrame(
                 {"feature": batch["feature"], "k": batch["k"], "base_mean": mean, "disp_gene": np.exp(_best_dispersion(k, mu, second)), "mu": list(mu)}

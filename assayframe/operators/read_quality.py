@@ -143,31 +143,41 @@ def qc_adapter_content(reads: DataFrame, adapters: DataFrame) -> DataFrame:
     )
 
 
-def qc_modules(reads: DataFrame) -> dict[str, DataFrame]:
-    """The modules that need nothing but the reads."""
-    return {
-        "basic_stats": qc_basic_stats(reads),
-        "sequence_quality": qc_sequence_quality(reads),
-        "gc_content": qc_gc_content(reads),
-        "length_distribution": qc_length_distribution(reads),
-        "duplication": qc_duplication(reads),
+def qc_modules(reads: DataFrame, adapters: DataFrame | None = None) -> dict[str, tuple[DataFrame, str | None, str | None]]:
+    """Every module of the report as (table, label column, bucket column); adapter content needs the adapters (name, seq)."""
+    modules = {
+        "basic_stats": (qc_basic_stats(reads), None, None),
+        "base_quality": (qc_base_quality(reads), None, "pos"),
+        "tile_quality": (qc_tile_quality(reads), "tile", "pos"),
+        "sequence_quality": (qc_sequence_quality(reads), None, "mean_quality"),
+        "base_content": (qc_base_content(reads), None, "pos"),
+        "gc_content": (qc_gc_content(reads), None, "gc_percent"),
+        "n_content": (qc_n_content(reads), None, "pos"),
+        "length_distribution": (qc_length_distribution(reads), None, "length"),
+        "duplication": (qc_duplication(reads), None, "level"),
+        "overrepresented": (qc_overrepresented(reads), "seq", None),
     }
+    if adapters is not None:
+        modules["adapter_content"] = (qc_adapter_content(reads, adapters), "adapter", "pos")
+    return modules
 
 
-def qc_merge(stages: dict[str, DataFrame]) -> DataFrame:
-    """One report over all samples and stages: (stage, sample, mate, module, bucket, metric, value)."""
+def qc_merge(stages: dict[str, DataFrame], adapters: DataFrame | None = None) -> DataFrame:
+    """One report over all samples and stages: (stage, sample, mate, module, label, bucket, metric, value).
+
+    The label is a tile, sequence or adapter, the bucket a position or class; either is null where a module has none.
+    """
     out = None
     for stage, reads in stages.items():
-        for module, table in qc_modules(reads).items():
-            others = [c for c in table.columns if c not in KEY]
-            bucket = others[0] if module != "basic_stats" else None
-            metrics = [c for c in others if c != bucket]
+        for module, (table, label, bucket) in qc_modules(reads, adapters).items():
+            metrics = [c for c in table.columns if c not in (*KEY, label, bucket)]
             part = table.select(
                 F.lit(stage).alias("stage"),
                 *KEY,
                 F.lit(module).alias("module"),
-                (F.col(bucket).cast("double") if bucket else F.lit(None).cast("double")).alias("bucket"),
+                (F.col(label) if label else F.lit(None)).cast("string").alias("label"),
+                (F.col(bucket) if bucket else F.lit(None)).cast("double").alias("bucket"),
                 *[F.col(c).cast("double").alias(c) for c in metrics],
-            ).unpivot(["stage", *KEY, "module", "bucket"], metrics, "metric", "value")
+            ).unpivot(["stage", *KEY, "module", "label", "bucket"], metrics, "metric", "value")
             out = part if out is None else out.unionByName(part)
     return out

@@ -142,7 +142,10 @@ def qc_adapter_content(spark, sf):
 @query("qc_merge")
 def qc_merge(spark, sf):
     reads = roles.reads(spark, sf)
-    return rounded(read_quality.qc_merge({"raw": reads, "trimmed": read_trimming.trim_trailing(reads)}))
+    report = read_quality.qc_merge({"raw": reads, "trimmed": read_trimming.trim_trailing(reads)})
+    # documents as reads have tens of thousands of positions each: the report's rows are summed per module and metric
+    summed = report.groupBy("stage", "sample", "mate", "module", "metric").agg(F.count(F.lit(1)).alias("rows"), F.sum("bucket").alias("buckets"), F.sum("value").alias("total"))
+    return rounded(summed, 4)
 
 
 # --- trimming ------------------------------------------------------------------------------------
