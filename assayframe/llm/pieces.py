@@ -10,10 +10,10 @@ import numpy as np
 from . import texts
 
 #: Pieces that a worker remembers before it starts afresh; bounds its memory (about 50 bytes each), not the result.
-CAPACITY = 1_000_000
+CAPACITY = 700_000
 
 #: Pieces that are learnt at a time: the tokenizers library needs some 500 bytes for each meanwhile.
-LEARN = 20_000
+LEARN = 10_000
 
 
 def drops_white_space(spec: dict) -> bool:

@@ -91,13 +91,14 @@ def low_bits(n: int, universe: int) -> int:
     return max(0, (universe // n).bit_length() - 1) if n else 0
 
 
-def file_bytes(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray, width: int) -> bytes:
+def file_parts(doc_ids: list[int | None], lengths: np.ndarray, ids: list[np.ndarray], width: int) -> list:
+    """The parts of a file, in order; the ids stay in the pieces they came in."""
     known = np.array([d for d in doc_ids if d is not None], np.int64)
     least = int(known[0]) if len(known) else 0
     span = int(known[-1]) - least if len(known) else 0
-    head = MAGIC + struct.pack("<4QqQ", len(doc_ids), len(doc_ids) - len(known), len(ids), width, least, span)
-    ends = EliasFano.of(np.cumsum(lengths), len(ids))
-    return head + ids.astype(f"<u{width}").tobytes() + ends.to_bytes() + EliasFano.of((known - least), span).to_bytes()
+    n_ids = int(lengths.sum())
+    head = MAGIC + struct.pack("<4QqQ", len(doc_ids), len(doc_ids) - len(known), n_ids, width, least, span)
+    return [head, *(x.data for x in ids), EliasFano.of(np.cumsum(lengths), n_ids).to_bytes(), EliasFano.of((known - least), span).to_bytes()]
 
 
 class TokenFile:
@@ -186,12 +187,13 @@ def place(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
-def put(folder: str, name: str, content: bytes) -> None:
+def put(folder: str, name: str, parts: list) -> None:
     """Write under a name of this attempt, then rename: a lost or doubled task never leaves half a file."""
     system, base = place(folder)
     own = posixpath.join(base, f"_{name}.{uuid.uuid4().hex}")
     with system.open_output_stream(own) as out:
-        out.write(content)
+        for part in parts:
+            out.write(part)
     system.move(own, posixpath.join(base, name))
 
 
@@ -219,13 +221,13 @@ def write_token_files(
         def flush() -> pa.RecordBatch:
             nonlocal doc_ids, lengths, ids, held, seq
             name = f"part-{part:06d}-{seq:05d}.eft"
-            put(folder, name, file_bytes(doc_ids, np.concatenate(lengths), np.concatenate(ids), width))
+            put(folder, name, file_parts(doc_ids, np.concatenate(lengths), ids, width))
             listed = pa.RecordBatch.from_pydict({"name": [name], "part": [part], "seq": [seq], "n_docs": [len(doc_ids)], "n_ids": [held]})
             doc_ids, lengths, ids, held, seq = [], [], [], 0, seq + 1
             return listed
 
         for batch in batches:
-            for t in texts.slices(batch.column(1)):
+            for t in texts.slices(batch.column(1), texts.SLICE_BYTES // 2):
                 new, n = own.encode(t, end_id)
                 keys, cut = batch.column(0).slice(t.first, len(t)).to_pylist(), np.concatenate([[0], np.cumsum(n)])
                 i = 0
