@@ -8,10 +8,11 @@ with its neighbours from other documents in that order and extended left and rig
 (the next marked words take it on).
 
 Step 1 sorts keys alone and keeps the suffixes whose key stands next to itself. Step 2 gives those the word hashes around
-them (24 bits a word; the key has 64), sorts again and extends. The longest common continuation always is with a neighbour; the most words
-in both directions together need not be, so where a match ends inside a context, the suffixes of that key compare all
-windows of ``length`` words around them, by hash. The tables are dealt by ranges of (key, document, place), so a key with very many suffixes is
-spread over tasks; the groups cut by a task's borders are compared by windows over all tasks. Nothing is sampled or capped.
+them (24 bits a word; the key has 64), sorts again and extends. The longest common continuation always is with a
+neighbour; the most words in both directions together need not be, so where a match ends inside a context, the suffixes of
+that key compare all windows of ``length`` words around them, by hash. The tables are dealt by ranges of (key, document,
+place), so a key with very many suffixes is spread over tasks; the groups cut by a task's borders are compared by windows
+over all tasks. Nothing is sampled or capped.
 
 Passages are compared across documents; a document is an (id, text), repeated rows are one. Null texts are empty, null ids
 allowed. Texts of fewer than ``length`` words have no passages.
@@ -153,8 +154,10 @@ def compare(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
         return
     before = window_of(length) - 1
     key, pos, left, right = (numbers(table, c).astype(np.int64) for c in ("key", "pos", "left", "right"))
-    three = np.frombuffer(b"".join(table.column("words").to_pylist()), np.uint8).reshape(len(key), -1, 3).astype(np.uint32)
-    words = three[:, :, 0] | (three[:, :, 1] << np.uint32(8)) | (three[:, :, 2] << np.uint32(16))
+    three = np.frombuffer(b"".join(table.column("words").to_pylist()), np.uint8).reshape(len(key), -1, 3)
+    words = three[:, :, 0].astype(np.uint32)
+    for i in (1, 2):
+        words |= three[:, :, i].astype(np.uint32) << np.uint32(8 * i)
     # documents of the task as numbers
     doc = table.select(["id", "h"]).to_pandas().groupby(["id", "h"], dropna=False, sort=False).ngroup().to_numpy()
     prefix = [hash_columns(words[:, before : before + n]) for n in (length, (length * 3) // 4)]

@@ -13,7 +13,6 @@ id are separate candidates. Fewer candidates than k are all returned; without qu
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
