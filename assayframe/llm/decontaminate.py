@@ -3,8 +3,12 @@
 Texts become templates: numbers, names and units give way to a placeholder of their type, other words stand in lower
 case (A to Z and À to Þ). Windows of ``WINDOW`` template words are joined by hash (128 bits) with those of the benchmark items, and along one
 alignment of document and item the values behind the placeholders must map one to one, so that a question with other
-numbers or names is caught and a text that merely has the same shape is not. Windows with fewer than ``LITERALS`` plain
-words are not used; an item shorter than a window is one window if it has that many.
+numbers or names is caught and a text that merely has the same shape is not. An item shorter than a window is one window.
+
+A template with fewer than ``LITERALS`` plain words says too little, so such windows are joined by what is written: runs of
+``WINDOW`` words, in any case, with their real numbers, names and units. The first words of each item are joined so as well,
+because a document may see its first word as a name, and an item with ``LEAST`` to ``WINDOW`` - 1 words as a whole. Items of
+fewer than ``LEAST`` words are not looked for.
 
 * number: digits, with single points or commas inside; ``12kg`` is the number 12 and the word kg
 * unit: a word of ``UNITS`` directly after a number
@@ -26,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import folders, line_dedup, texts
 
-WINDOW, LITERALS = 8, 5
+WINDOW, LITERALS, LEAST = 8, 5, 3
 MAX_BITS = 1 << 28
 #: Unit words (English and SI) that follow a number.
 UNITS = (
@@ -51,11 +55,14 @@ _UNITS = _unit_hashes()
 
 
 class Template(NamedTuple):
-    """Template words of all texts of a slice: hash, slot value (0 for a plain word), text."""
+    """Template words of all texts of a slice: hash, slot value (0 for a plain word), text; and their words as written."""
 
     word: np.ndarray
     slot: np.ndarray
     text: np.ndarray
+    said: np.ndarray  # hash of every word in lower case, and of the mark that joins it to the same number
+    said_plain: np.ndarray
+    said_text: np.ndarray
 
 
 def template(t: texts.Texts) -> Template:
@@ -74,7 +81,7 @@ def template(t: texts.Texts) -> Template:
     text = np.searchsorted(t.bounds, start, "right") - 1
     n = len(start)
     if not n:
-        return Template(np.zeros(0, np.uint64), np.zeros(0, np.uint64), text)
+        return Template(np.zeros(0, np.uint64), np.zeros(0, np.uint64), text, np.zeros(0, np.uint64), np.zeros(0, bool), text)
     digits = np.concatenate([[0], np.cumsum(digit)])
     capitals = np.concatenate([[0], np.cumsum(texts.UPPER_CASE[data] | second)])
     breaks = np.concatenate([[0], np.cumsum(_BREAK[data])])
@@ -94,12 +101,16 @@ def template(t: texts.Texts) -> Template:
     name &= ~unit
     # parts of one number or name are one template word
     goes_on = np.zeros(n, bool)
-    goes_on[1:] = same[1:] & ((number[1:] & number[:-1] & (gap[1:] == 1) & _GAP[data[before[1:]]]) | (name[1:] & name[:-1] & (gap[1:] == 1)))
+    goes_on[1:] = same[1:] & number[1:] & number[:-1] & (gap[1:] == 1) & _GAP[data[before[1:]]]
+    said = hashes.copy()
+    said[goes_on] = texts.mix(hashes[goes_on] ^ data[before[goes_on]].astype(np.uint64))
+    goes_on[1:] |= same[1:] & name[1:] & name[:-1] & (gap[1:] == 1)
     heads = np.flatnonzero(~goes_on)
     last = end[np.append(heads[1:], n) - 1]
     kind = np.select([number, name, unit], [_NUMBER, _NAME, _UNIT], np.uint64(0))[heads]
     value = texts.range_hashes(low, start[heads], last)
-    return Template(np.where(kind > 0, texts.mix(kind), hashes[heads]), np.where(kind > 0, texts.mix(value ^ kind) | np.uint64(1), np.uint64(0)), text[heads])
+    word, slot = np.where(kind > 0, texts.mix(kind), hashes[heads]), np.where(kind > 0, texts.mix(value ^ kind) | np.uint64(1), np.uint64(0))
+    return Template(word, slot, text[heads], said, ~(number | name | unit), text)
 
 
 def capital_second(data: np.ndarray) -> np.ndarray:
@@ -112,46 +123,68 @@ def capital_second(data: np.ndarray) -> np.ndarray:
 
 class Windows(NamedTuple):
     key: np.ndarray
-    check: np.ndarray
-    first: np.ndarray  # index of the window's first template word
+    first: np.ndarray  # index of the window's first word
     size: int
+    said: bool  # words as written, not template words
 
 
-def windows(x: Template, size: int) -> Windows:
-    """All windows of ``size`` template words with enough plain ones."""
-    count = max(0, len(x.word) - size + 1)
-    key, check, plain = np.zeros(count, np.uint64), np.zeros(count, np.uint64), np.zeros(count, np.int64)
+def rolled(word: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every run of ``size`` words, before its bits are spread."""
+    count = max(0, len(word) - size + 1)
+    key = np.zeros(count, np.uint64)
     power, _ = texts.powers(size + 1)
-    second = texts.mix(x.word ^ np.uint64(0x7F4A7C15F39CC060))
     for j in range(size):
-        key += x.word[j : j + count] * power[j]
-        check += second[j : j + count] * power[size - j]
-        plain += x.slot[j : j + count] == 0
-    good = (x.text[:count] == x.text[len(x.text) - count :]) & (plain >= LITERALS)
-    first = np.flatnonzero(good)
-    return Windows(texts.mix(key[good] + np.uint64(size)), texts.mix(check[good]), first, size)
+        key += word[j : j + count] * power[j]
+    return key
+
+
+def plain_words(plain: np.ndarray, size: int) -> np.ndarray:
+    """The number of plain words of every run of ``size`` words."""
+    total = np.concatenate([[0], np.cumsum(plain)])
+    return total[size:] - total[: max(0, len(total) - size)]
+
+
+def windows(x: Template, size: int) -> Windows:
+    """All windows of ``size`` template words with enough plain ones."""
+    key = rolled(x.word, size)
+    count = len(key)
+    first = np.flatnonzero((x.text[:count] == x.text[len(x.text) - count :]) & (plain_words(x.slot == 0, size) >= LITERALS))
+    return Windows(texts.mix(key[first] + np.uint64(size)), first, size, False)
+
+
+def said_windows(x: Template, size: int) -> Windows:
+    """All windows of ``size`` words as written."""
+    key = rolled(x.said, size)
+    count = len(key)
+    first = np.flatnonzero(x.said_text[:count] == x.said_text[len(x.said) - count :])
+    return Windows(texts.mix(key[first] ^ np.uint64(0x5A17C0DE5A17C0DE) + np.uint64(size)), first, size, True)
 
 
 def emit(ids: pa.Array, hs: pa.Array, t: texts.Texts, x: Template, w: Windows, chosen: np.ndarray) -> pa.RecordBatch:
     first = w.first[chosen]
-    origin = np.searchsorted(x.text, x.text[first])
-    rows = pa.array(t.first + x.text[first])
-    slots = x.slot[first[:, None] + np.arange(w.size)[None, :]] if len(first) else np.zeros((0, w.size), np.uint64)
+    word, text = (x.said, x.said_text) if w.said else (x.word, x.text)
+    origin = np.searchsorted(text, text[first])
+    rows = pa.array(t.first + text[first])
+    inside = first[:, None] + np.arange(w.size)[None, :]
+    power, _ = texts.powers(w.size + 1)
+    check = (texts.mix(word[inside] ^ np.uint64(0x7F4A7C15F39CC060)) * power[w.size - np.arange(w.size)][None, :]).sum(axis=1, dtype=np.uint64)
+    slots = [[]] * len(first) if w.said else [r[r != 0].view(np.int64).tolist() for r in x.slot[inside]]
     return pa.RecordBatch.from_arrays(
         [
             ids.take(rows),
             hs.take(rows),
             pa.array(texts.longs(w.key[chosen])),
-            pa.array(texts.longs(w.check[chosen])),
+            pa.array(texts.longs(texts.mix(check))),
             pa.array((first - origin).astype(np.int64)),
-            pa.array([r[r != 0].view(np.int64).tolist() for r in slots], pa.list_(pa.int64())),
+            pa.array(slots, pa.list_(pa.int64())),
+            pa.array(np.full(len(first), w.said)),
         ],
-        names=["id", "h", "key", "check", "pos", "slots"],
+        names=["id", "h", "key", "check", "pos", "slots", "said"],
     )
 
 
 def _schema(id_type: str) -> str:
-    return f"id {id_type}, h long, key long, check long, pos long, slots array<long>"
+    return f"id {id_type}, h long, key long, check long, pos long, slots array<long>, said boolean"
 
 
 def item_windows(items: DataFrame, id_col: str, text: str, window: int) -> DataFrame:
@@ -159,15 +192,25 @@ def item_windows(items: DataFrame, id_col: str, text: str, window: int) -> DataF
     id_type = items.schema[id_col].dataType.simpleString()
     rows = items.groupBy(F.coalesce(F.col(text), F.lit("")).alias("text")).agg(F.min(id_col).alias("id")).select("id", F.xxhash64("text").alias("h"), "text")
 
+    def chosen(x: Template, n_texts: int) -> Iterator[tuple[Windows, np.ndarray]]:
+        n = np.bincount(x.text, minlength=n_texts)
+        for size in [*np.unique(n[(n >= LITERALS) & (n < window)]).tolist(), window]:
+            w = windows(x, size)
+            yield w, np.ones(len(w.key), bool) if size == window else n[x.text[w.first]] == size
+        n = np.bincount(x.said_text, minlength=n_texts)
+        for size in np.unique(n[(n >= LEAST) & (n < window)]).tolist():
+            w = said_windows(x, size)
+            yield w, n[x.said_text[w.first]] == size
+        w = said_windows(x, window)
+        opening = w.first == np.searchsorted(x.said_text, x.said_text[w.first])
+        yield w, opening | (plain_words(x.said_plain, window)[w.first] < LITERALS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t in texts.slices(batch.column(2)):
                 x = template(t)
-                n = np.bincount(x.text, minlength=len(t)) if len(x.text) else np.zeros(len(t), np.int64)
-                for size in [*np.unique(n[(n >= LITERALS) & (n < window)]).tolist(), window]:
-                    w = windows(x, size)
-                    own = np.ones(len(w.key), bool) if size == window else n[x.text[w.first]] == size
-                    yield emit(batch.column(0), batch.column(1), t, x, w, own).append_column("size", pa.array(np.full(int(own.sum()), size, np.int64)))
+                for w, own in chosen(x, len(t)):
+                    yield emit(batch.column(0), batch.column(1), t, x, w, own).append_column("size", pa.array(np.full(int(own.sum()), w.size, np.int64)))
 
     return rows.mapInArrow(run, _schema(id_type) + ", size long")
 
@@ -195,7 +238,7 @@ def contaminated(
     spark = docs.sparkSession
     known = folders.save(item_windows(items, item_id, item_text, window), "item-windows")
     count, *_ = known.agg(F.count(F.lit(1))).first()
-    sizes = sorted(r.size for r in known.select("size").distinct().collect())  # at most `window` numbers
+    sizes = sorted((r["said"], r["size"]) for r in known.select("said", "size").distinct().collect())  # at most 2 x `window` rows
     bits = min(MAX_BITS, max(1 << 16, 1 << int(16 * count).bit_length()))
     filled = spark.sparkContext.broadcast(key_filter(known, bits))
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -205,17 +248,17 @@ def contaminated(
         for batch in batches:
             for t in texts.slices(batch.column(2)):
                 x = template(t)
-                for size in sizes:
-                    w = windows(x, size)
+                for said, size in sizes:
+                    w = said_windows(x, size) if said else windows(x, size)
                     hit = line_dedup.holds(filled.value, w.key)
                     if hit.any():
                         yield emit(batch.column(0), batch.column(1), t, x, w, hit)
 
     found = rows.mapInArrow(run, _schema(id_type))
-    of_item = known.select("key", "check", F.col("id").alias("item"), F.col("h").alias("item_h"), F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
-    both = found.join(of_item, ["key", "check"])
+    of_item = known.select("key", "check", "said", F.col("id").alias("item"), F.col("h").alias("item_h"), F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
+    both = found.join(of_item, ["key", "check", "said"])
     pairs = F.collect_set(F.arrays_zip(F.col("slots").alias("a"), F.col("item_slots").alias("b")))
-    lines = both.groupBy("id", "h", "item", "item_h", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
+    lines = both.groupBy("id", "h", "item", "item_h", "said", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
         F.array_distinct(F.flatten(pairs)).alias("pairs"), F.collect_set("pos").alias("at")
     )
     one_to_one = (F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"]))) == F.size("pairs")) & (

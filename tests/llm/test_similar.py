@@ -215,6 +215,30 @@ def test_templates_catch_other_numbers_and_names(spark):
     assert sorted((r.doc_id, r.text) for r in left if r.doc_id != 8) == sorted((i, docs[i]) for i in (2, 6, 7, 9)) and left[0].key is None and left[0].h == "h"
 
 
+def test_quotes_of_items_with_few_plain_words_are_caught(spark):
+    items = [
+        (1, "What is 12 + 7 * 3 - 5?"),
+        (2, "3.5 17 204 9,000 12 61"),
+        (3, "Name every prime number"),
+        (4, "Add 5 to 6, 7 to 8, 9 to 10, 11 to 12 and 13 to 14 for Ann Lee."),
+        (5, "Only six plain words stand here"),
+    ]
+    docs = {
+        0: "He said: What is 12 + 7 * 3 - 5? Nobody knew.",
+        1: "so What is 12 + 7 * 3 - 5? Nobody knew.",
+        2: "What is 13 + 7 * 3 - 5? Nobody knew.",
+        3: "the row 3.5 17 204 9,000 12 61 was read",
+        4: "the row 3,5 17 204 9,000 12 61 was read",
+        5: "please Name every prime number below ten",
+        6: "please Name every other prime number",
+        7: "it goes on 9 to 10, 11 to 12 and 13 of them",
+        8: "it goes on 9 to 10, 11 to 12 and 14 of them",
+        9: "we heard Only six plain words stand here today",
+    }
+    found = decontaminate.contaminated(rows(spark, list(docs.items())), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.id, r.item) for r in found.collect()} == {(0, 1), (1, 1), (3, 2), (5, 3), (7, 4), (9, 5)}
+
+
 def test_template_words():
     def shown(text):
         x = decontaminate.template(next(texts.slices(pa.array([text]))))
