@@ -1,8 +1,9 @@
 """Benchmark decontamination by template canonicalisation.
 
 Texts become templates: numbers, names and units give way to a placeholder of their type, other words stand in lower
-case (A to Z and À to Þ). Windows of ``WINDOW`` template words are joined by hash (128 bits) with those of the benchmark items, and along one
-alignment of document and item the values behind the placeholders must map one to one, so that a question with other
+case (A to Z and À to Þ). Windows of ``WINDOW`` template words are joined by hash (128 bits) with those of the benchmark items. A window
+whose values are the item's, or that has none, is a hit. Where values differ, those of a run of adjoining such windows along
+one alignment of document and item must map one to one, so that a question with other
 numbers or names is caught and a text that merely has the same shape is not. An item shorter than a window is one window.
 
 A template with fewer than ``LITERALS`` plain words says too little, so such windows are joined by what is written: runs of
@@ -26,7 +27,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from . import folders, line_dedup, texts
 
@@ -257,16 +258,22 @@ def contaminated(
     found = rows.mapInArrow(run, _schema(id_type))
     of_item = known.select("key", "check", "said", F.col("id").alias("item"), F.col("h").alias("item_h"), F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
     both = found.join(of_item, ["key", "check", "said"])
-    pairs = F.collect_set(F.arrays_zip(F.col("slots").alias("a"), F.col("item_slots").alias("b")))
-    lines = both.groupBy("id", "h", "item", "item_h", "said", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
-        F.array_distinct(F.flatten(pairs)).alias("pairs"), F.collect_set("pos").alias("at")
+    line = ["id", "h", "item", "item_h", "said", "shift"]
+    met = F.collect_set(F.struct("pos", F.col("slots").alias("a"), F.col("item_slots").alias("b"))).alias("met")
+    lines = both.withColumn("shift", F.col("pos") - F.col("item_pos")).groupBy(*line).agg(met)
+    # windows with the item's own values (or none) are hits; those with other values that overlap or touch are one run
+    each = lines.select(*line, F.inline("met")).withColumn("equal", F.col("a") == F.col("b"))
+    along = Window.partitionBy(*line, "equal").orderBy("pos")
+    apart = F.when(F.col("pos") - F.lag("pos").over(along) > window, 1).otherwise(0)
+    runs = each.withColumn("apart", apart).withColumn("run", F.sum("apart").over(along)).groupBy(*line, "equal", "run").agg(
+        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("a", "b")))).alias("pairs"), F.count(F.lit(1)).alias("size")
     )
     one_to_one = (F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"]))) == F.size("pairs")) & (
         F.size(F.array_distinct(F.transform("pairs", lambda p: p["b"]))) == F.size("pairs")
     )
-    good = lines.filter(one_to_one)
+    good = runs.filter(F.col("equal") | one_to_one)
     return good.groupBy("id", "h").agg(
-        F.count_distinct("item_h").alias("n_items"), F.min("item").alias("item"), F.sum(F.size("at")).alias("n_windows")
+        F.count_distinct("item_h").alias("n_items"), F.min("item").alias("item"), F.sum("size").alias("n_windows")
     )
 
 

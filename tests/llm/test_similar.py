@@ -239,6 +239,26 @@ def test_quotes_of_items_with_few_plain_words_are_caught(spark):
     assert {(r.id, r.item) for r in found.collect()} == {(0, 1), (1, 1), (3, 2), (5, 3), (7, 4), (9, 5)}
 
 
+def test_a_changed_value_does_not_hide_the_quoted_rest(spark):
+    rest = "one should always remember that the old bridge near our village was never repaired by anybody until late spring"
+    items = [(1, f"we put 3 red apples into the large basket, {rest} when 3 green pears fell from the tall tree")]
+    docs = {
+        0: f"we put 3 red apples into the large basket, {rest} when 4 green pears fell from the tall tree",
+        1: f"we put 3 red apples into the large basket, {rest}",
+        2: "we put 3 red apples into the large basket",
+        3: f"we put 5 red apples into the large basket, {rest} when 6 green pears fell from the tall tree",
+        4: "we put 5 red apples into the small basket when 6 green pears fell from the short tree",
+    }
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.id: r.n_windows for r in decontaminate.contaminated(rows(spark, list(docs.items())), table).collect()}
+    assert set(got) == {0, 1, 2, 3} and got[0] > got[1] > got[2]
+    # one name becomes two within adjoining windows: only the shape is the same
+    items = [(1, "when did Ann buy the red car that Ann drove to our town")]
+    docs = {0: "when did Bob buy the red car that Bob drove to our town", 1: "when did Bob buy the red car that Eve drove to our town"}
+    table = spark.createDataFrame(items, "item_id long, text string")
+    assert {r.id for r in decontaminate.contaminated(rows(spark, list(docs.items())), table).collect()} == {0}
+
+
 def test_template_words():
     def shown(text):
         x = decontaminate.template(next(texts.slices(pa.array([text]))))
