@@ -26,12 +26,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from . import components, folders, texts
 
-BANDS, ROWS = 20, 4
+BANDS, ROWS = 30, 5
 K = BANDS * ROWS
 THRESHOLD = 0.8
 #: Pairs whose signatures agree in a smaller share are not compared by text. Of the pairs at 0.8 that leaves out one in
-#: 10^5, fewer than share no band (one in 38,000).
-AGREE = 0.6
+#: 4 x 10^11, far fewer than share no band (one in 149,000).
+AGREE = 0.55
 _BLOCK = 512  # nodes of a bucket that are compared with as many others at a time
 _BLOCK_BYTES = 8 << 20  # and bytes of their texts, but for one longer text
 #: The hash below which a region has at most d darts, for the Poisson distribution of mean 1.

@@ -2,6 +2,7 @@
 
 import collections
 import itertools
+import math
 import random
 import re
 
@@ -119,6 +120,13 @@ def test_signatures_agree_as_often_as_the_weighted_similarity():
     assert (alone[0] == sign[1]).all()  # a text's signature does not depend on its neighbours
 
 
+def test_links_at_the_threshold_are_missed_by_the_bands_alone():
+    at, k = near_dedup.THRESHOLD, near_dedup.K
+    no_band = (1 - at**near_dedup.ROWS) ** near_dedup.BANDS
+    too_few = sum(math.comb(k, i) * at**i * (1 - at) ** (k - i) for i in range(k) if i / k < near_dedup.AGREE)
+    assert no_band < 1 / 140_000 and too_few < 1e-11
+
+
 def test_similarities_of_pairs():
     values = [("a b c d e f g", "a b c d e f h"), ("", "a"), ("x y", "x y"), ("a a a a a a a", "a a a a a a"), (None, None)]
     got = near_dedup.similarities(pa.array([v[0] for v in values]), pa.array([v[1] for v in values]))
