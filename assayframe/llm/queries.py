@@ -99,8 +99,9 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op7_length_buckets")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
-    # lengths for a byte-level vocabulary: the bytes of the text and an end mark
-    docs = table(spark, sf, "documents").select("doc_id", (F.octet_length(F.coalesce("text", F.lit(""))) + 1).alias("length"))
+    # the tokens of the text and an end mark
+    counted = token_counts.count_tokens(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER), keep=("doc_id",))
+    docs = counted.select("doc_id", (F.col("n_tokens") + 1).alias("length"))
     return packing.pack(docs, "length", buckets=8, max_len=8192, budget=65_536)
 
 

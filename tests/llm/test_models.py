@@ -5,9 +5,11 @@ import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from assayframe.llm import decontaminate, folders, near_dedup, packing, quality, queries, texts, vantage
@@ -157,6 +159,14 @@ def test_recall_of_the_relaxed_search(spark):
     assert hits / (10 * len(found)) >= 0.95
 
 
+def test_the_query_packs_tokens_and_an_end_mark(spark):
+    sf = "/root/testdata/sf0.001"
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(queries.TOKENIZER))
+    texts_of = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").limit(200).collect()}
+    packed = {r.doc_id: r.n for r in queries.op7(spark, sf).groupBy("doc_id").agg(F.sum("n_tokens").alias("n")).collect()}
+    assert all(packed[i] == len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in texts_of.items())
+
+
 def test_pipeline_stages_take_effect(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
