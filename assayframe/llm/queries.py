@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, folders, line_dedup, near_dedup, packing, quality, repeats, token_counts, token_files, vantage
+from . import alignment, chat, decontaminate, folders, line_dedup, near_dedup, packing, quality, repeats, token_counts, token_files, vantage
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -133,3 +133,11 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER), keep=("doc_id",))
+
+
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    found = alignment.align(docs, a, b, columns=("doc_id",), describe=lambda groups: F.when(groups == "", "").otherwise(F.sha2(groups, 256)))
+    return found.withColumnRenamed("groups", "groups_sha256")
