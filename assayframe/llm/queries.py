@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import alignment, chat, decontaminate, folders, line_dedup, near_dedup, packing, quality, repeats, token_counts, token_files, vantage
+from . import alignment, chat, decontaminate, folders, line_dedup, near_dedup, packing, quality, repair, repeats, token_counts, token_files, toxicity, vantage
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -141,3 +141,104 @@ def op11(spark: SparkSession, sf: str) -> DataFrame:
     a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     found = alignment.align(docs, a, b, columns=("doc_id",), describe=lambda groups: F.when(groups == "", "").otherwise(F.sha2(groups, 256)))
     return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with planted faults, chosen by the CRC-32 of conversation and turn."""
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    rows = turns.select("conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"), (F.crc32(key.cast("binary")) % 20).alias("act"))
+    return rows.filter("act <> 0").select(
+        "conv_id",
+        "turn",
+        F.when(F.col("act") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("act") == 1, "").when(F.col("act") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("act") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    ).drop("copy")
+
+
+def _moves_sql() -> str:
+    """What one row may become, with rows inserted before it: from place, initial, inserted rows, edit, to place, new role."""
+    moves = []
+    for place in range(4):
+        at, before = place, []
+        for inserts in range(3):
+            there = "user" if at != 2 else "assistant"
+            after = 2 if at != 2 else 3
+            inserted = "[" + ", ".join(f"'{r}:'" for r in before) + "]::VARCHAR[]"
+            moves.append(f"({place}, NULL, {inserts}, 'D', {at}, NULL, 2, {inserted})")
+            moves.append(f"({place}, NULL, {inserts}, 'R', {after}, '{there}', 1, {inserted})")
+            kept = [("s", 1)] if at == 0 else []
+            kept += [("a", 3)] if at == 2 else [("u", 2)]
+            moves += [f"({place}, '{initial}', {inserts}, 'K', {to}, NULL, 0, {inserted})" for initial, to in kept]
+            before, at = [*before, there], after
+    return ", ".join(moves)
+
+
+@query(
+    "op12_conversation_repair",
+    rf"""WITH RECURSIVE keyed AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+    coded AS (
+        SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, flatten([[(ord(c) >> b) & 1 for b in range(8)] for c in string_split(k, '')])::BIGINT[]),
+            lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)))) % 20 AS act FROM keyed),
+    damaged AS (
+        SELECT conv_id, turn, CASE WHEN act = 4 THEN 'user' ELSE role END AS role,
+            CASE act WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+            unnest(range(CASE act WHEN 3 THEN 2 WHEN 0 THEN 0 ELSE 1 END)) AS copy FROM coded),
+    numbered AS (
+        SELECT conv_id, turn, role, text, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE '-' END AS initial,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
+            regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS last FROM damaged),
+    rows AS (
+        SELECT *, CASE WHEN last = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+            lag(initial) OVER (PARTITION BY conv_id ORDER BY n) || initial AS pair, max(n) OVER (PARTITION BY conv_id) AS size FROM numbered),
+    moves(place, initial, inserts, op, next, new_role, cost, inserted) AS (VALUES {_moves_sql()}),
+    paths AS (
+        SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS n, 0 AS place, CAST(0 AS BIGINT) AS cost, '' AS audit, []::VARCHAR[] AS lines FROM rows
+        UNION ALL
+        SELECT conv_id, n, place, cost, audit, lines FROM (
+            SELECT p.conv_id, r.n, m.next AS place, p.cost + m.cost + 5 * m.inserts + CASE WHEN r.fault = 'truncated' AND m.op <> 'D' THEN 5 ELSE 0 END AS cost,
+                p.audit || repeat('I', m.inserts) || m.op AS audit,
+                list_concat(list_concat(p.lines, m.inserted), CASE WHEN m.op = 'D' THEN [] ELSE [coalesce(m.new_role, r.role) || ':' || r.text] END) AS lines
+            FROM paths p JOIN rows r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.n = p.n + 1
+            JOIN moves m ON m.place = p.place AND (m.initial IS NULL OR m.initial = r.initial) AND (m.op = 'D' OR r.fault NOT IN ('blank', 'duplicate')))
+        QUALIFY row_number() OVER (PARTITION BY conv_id, place ORDER BY cost, audit) = 1),
+    ends(place, inserts, more) AS (VALUES (0, 0, []::VARCHAR[]), (1, 2, ['user:', 'assistant:']), (2, 1, ['assistant:']), (3, 0, [])),
+    best AS (
+        SELECT p.conv_id, p.cost + 5 * e.inserts AS cost, p.audit || repeat('I', e.inserts) AS audit, list_concat(p.lines, e.more) AS lines
+        FROM paths p JOIN ends e USING (place)
+        WHERE EXISTS (SELECT 1 FROM rows r WHERE r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.size = p.n)
+        QUALIFY row_number() OVER (PARTITION BY p.conv_id ORDER BY p.cost + 5 * e.inserts, p.audit || repeat('I', e.inserts)) = 1),
+    told AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+            count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+            count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM rows GROUP BY conv_id)
+    SELECT o.conv_id, CAST(coalesce(t.gaps, 0) AS BIGINT) AS gaps, coalesce(t.blank, 0) AS blank, coalesce(t.duplicate, 0) AS duplicate,
+        coalesce(t.truncated, 0) AS truncated, coalesce(t.illegal, 0) AS illegal, coalesce(b.cost, 0) AS cost, coalesce(b.audit, '') AS audit,
+        sha256(coalesce(array_to_string(b.lines, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM o.conv_id
+    LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id""",
+)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    report, repaired = repair.repair(damaged(turns))
+    digest = repair.digests(repaired).withColumnRenamed("conv_id", "id2")
+    report = report.withColumnRenamed("conv_id", "id1")
+    found = turns.select("conv_id").distinct()
+    found = found.join(report, found["conv_id"].eqNullSafe(report["id1"]), "left")
+    found = found.join(digest, found["conv_id"].eqNullSafe(digest["id2"]), "left")
+    numbers = [F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    empty = F.lit("")
+    return found.select("conv_id", *numbers, F.coalesce("audit", empty).alias("audit"), F.coalesce("sha256", F.sha2(empty, 256)).alias("repaired_sha256"))
+
+
+@query("op13_toxicity")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    network = toxicity.train(docs, labels)
+    scored = toxicity.flag(toxicity.score(docs, network, cut=0.5, columns=("doc_id", "lang")), toxicity.calibrate(docs, labels, network))
+    return scored.select("doc_id", (toxicity.fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted", "threshold", "flagged")
