@@ -1,8 +1,8 @@
 """PCA, PLS and what is read off them.
 
-Features far outnumber samples. Spark adds up samples × samples cross products in one pass; the small
-matrix is solved on the driver; loadings come from one more scan. The features' value lists are staged
-once, because both passes read them.
+Features far outnumber samples. Every round is one pass in which Spark adds up the Gram matrix of the samples times a few
+columns; the driver holds samples × columns. Loadings come from one more scan. The features' value lists are staged
+once, because all passes read them.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import pct
 from ..sources.staging import stage
-from .similarity import _block, cross_products, feature_vectors
+from .similarity import _block, feature_vectors
 
 
 class Components(NamedTuple):
@@ -29,50 +29,59 @@ def _sample_names(samples: DataFrame) -> list:
     return [r[0] for r in samples.select("sample").distinct().orderBy("sample").collect()]
 
 
-def _centred_gram(vectors: DataFrame, n: int) -> np.ndarray:
-    gram = np.zeros((n, n))
-    for i, j, g in cross_products(vectors, centre=True).filter((F.col("i") < n) & (F.col("j") < n)).collect():
-        gram[i, j] = g
-    return gram
+def _gram_times(vectors: DataFrame, columns: np.ndarray) -> tuple[np.ndarray, float]:
+    """The centred Gram matrix of the samples times some columns, and its trace: one pass, n × columns sums per task."""
+    n, width = columns.shape
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((n, width))
+        squares = 0.0
+        for batch in batches:
+            if len(batch):
+                x = _block(batch, "x")
+                x = x - x.mean(axis=1, keepdims=True)
+                total += x.T @ (x @ columns)
+                squares += float((x * x).sum())
+        yield pd.DataFrame({"i": np.arange(n), "row": list(total), "squares": [squares] + [0.0] * (n - 1)})
+
+    parts = vectors.select("x").mapInPandas(partial, "i int, row array<double>, squares double")
+    cells = parts.select("i", "squares", F.posexplode("row").alias("j", "v"))
+    summed = cells.groupBy("i", "j").agg(F.sum("v").alias("v"), F.sum("squares").alias("sq")).toPandas()
+    image = np.zeros((n, width))
+    image[summed["i"], summed["j"]] = summed["v"]
+    return image, float(summed.loc[(summed["i"] == 0) & (summed["j"] == 0), "sq"].sum())
+
+
+#: Components with less than this share of the largest one's variance are rounding noise: scores and loadings of zero.
+NO_VARIANCE = 1e-12
 
 
 def _iterated_scores(vectors: DataFrame, n: int, k: int, rounds: int = 500, tol: float = 1e-10):
-    """Leading eigenpairs of the centred Gram matrix by block power iteration: one pass of n × k sums a round.
+    """Leading eigenpairs of the centred Gram matrix by block power iteration, and its trace.
 
-    Where the block has as many columns as there are samples, the first round is already exact. Not to converge is an error.
+    A block of as many columns as samples spans everything, so its first round is exact. Otherwise a round is the last one
+    when no eigenvalue moved by more than ``tol`` of the largest one, the yardstick that rounding obeys, or when every
+    vector is one up to that size. Vectors without variance are zero. Not to converge is an error.
     """
-    basis = np.linalg.qr(np.cos(np.outer(np.arange(1, n + 1), np.arange(1, k + 6))))[0]
+    width = min(n, k + 5)
+    basis = np.linalg.qr(np.cos(np.outer(np.arange(1, n + 1), np.arange(1, width + 1))))[0] if width < n else np.eye(n)
     previous = None
     for _ in range(rounds):
-        current = basis
-
-        def partial(batches: Iterator[pd.DataFrame], current=current) -> Iterator[pd.DataFrame]:
-            total = np.zeros_like(current)
-            squares = 0.0
-            for batch in batches:
-                if len(batch):
-                    x = _block(batch, "x")
-                    x = x - x.mean(axis=1, keepdims=True)
-                    total += x.T @ (x @ current)
-                    squares += float((x * x).sum())
-            yield pd.DataFrame({"i": np.arange(n), "row": list(total), "squares": [squares] + [0.0] * (n - 1)})
-
-        parts = vectors.select("x").mapInPandas(partial, "i int, row array<double>, squares double")
-        cells = parts.select("i", "squares", F.posexplode("row").alias("j", "v"))
-        summed = cells.groupBy("i", "j").agg(F.sum("v").alias("v"), F.sum("squares").alias("sq")).toPandas()
-        image = np.zeros_like(basis)
-        image[summed["i"], summed["j"]] = summed["v"]
-        trace = float(summed.loc[(summed["i"] == 0) & (summed["j"] == 0), "sq"].iloc[0])
-        basis, _ = np.linalg.qr(image)
-        small = current.T @ image
+        image, trace = _gram_times(vectors, basis)
+        small = basis.T @ image
         values, rotation = np.linalg.eigh((small + small.T) / 2)
-        values, vectors_k = values[::-1][:k], (current @ rotation[:, ::-1])[:, :k]
-        if previous is not None and np.allclose(values, previous, rtol=tol, atol=0):
+        values, rotation = values[::-1][:k], rotation[:, ::-1][:, :k]
+        vectors_k = basis @ rotation
+        size = max(float(values[0]), 0.0)
+        left = np.abs(image @ rotation - vectors_k * values).max()
+        moved = np.inf if previous is None else np.abs(values - previous).max()
+        if width == n or min(left, moved) <= tol * size:
             break
-        previous = values
+        basis, previous = np.linalg.qr(image)[0], values
     else:
         raise ArithmeticError(f"the scores did not converge in {rounds} rounds")
-    return values, vectors_k, trace
+    none = values <= NO_VARIANCE * size
+    return np.where(none, 0.0, values), np.where(none, 0.0, vectors_k), trace
 
 
 def _project(vectors: DataFrame, coefficients: dict[str, np.ndarray]) -> DataFrame:
@@ -110,7 +119,6 @@ def pca(long: DataFrame, samples: DataFrame, k: int = 2) -> Components:
     k = min(k, n)
     vectors = stage(feature_vectors(long, samples))
     values, vecs, trace = _iterated_scores(vectors, n, k)
-    values = np.clip(values, 0, None)
     scale = np.sqrt(values)
     cols = [f"pc{i + 1}" for i in range(k)]
 
@@ -120,7 +128,7 @@ def pca(long: DataFrame, samples: DataFrame, k: int = 2) -> Components:
     raw = _project(vectors, {c: vecs[:, i] for i, c in enumerate(cols)})
     signs = _largest_sign(raw, cols)
     loadings = raw.select(
-        "feature", *[(F.col(c) * (s / w if w > 1e-12 else 0.0)).alias(c) for c, s, w in zip(cols, signs, scale)]
+        "feature", *[(F.col(c) * (s / w if w > 0 else 0.0)).alias(c) for c, s, w in zip(cols, signs, scale)]
     )
     scores = coefficients.select(
         "sample", *[(F.col(c) * float(s * w)).alias(c) for c, s, w in zip(cols, signs, scale)]
@@ -164,7 +172,8 @@ class Pls(NamedTuple):
 def pls(long: DataFrame, samples: DataFrame, levels: tuple[str, str], ncomp: int = 2) -> Pls:
     """PLS regression of the class (second level over first, as 1 and 0) on the features.
 
-    Deflation happens on the samples × samples matrix; weights and loadings come from one aggregate.
+    Each component is one pass: the centred Gram matrix times the response without the components before. These are
+    orthogonal, so taking them out of a vector deflates the matrix, and the driver holds n × ncomp numbers.
     """
     spark = long.sparkSession
     rows = samples.select("sample", "condition").distinct().orderBy("sample").collect()
@@ -173,21 +182,25 @@ def pls(long: DataFrame, samples: DataFrame, levels: tuple[str, str], ncomp: int
     y = np.array([float(r[1] == levels[1]) for r in rows])
     y = y - y.mean()
     vectors = stage(feature_vectors(long, samples))
-    kernel = _centred_gram(vectors, n)
     total_y = float(y @ y)
-    deflate = np.eye(n)
     score, weight_of, fits = [], [], []
+
+    def deflated(v: np.ndarray) -> np.ndarray:
+        for t in score:
+            v = v - t * (t @ v) / (t @ t)
+        return v
+
     for _ in range(min(ncomp, n - 1)):
-        inner = deflate @ kernel @ deflate.T
-        size = float(np.sqrt(max(y @ inner @ y, 0.0)))
-        if size < 1e-12:
+        wanted = deflated(y)
+        image, trace = _gram_times(vectors, wanted[:, None])
+        size = float(np.sqrt(max(wanted @ image[:, 0], 0.0)))
+        if size <= 1e-12 * max(1.0, np.sqrt(trace)):
             break
-        weight_of.append(deflate.T @ y / size)
-        t = inner @ y / size
+        weight_of.append(wanted / size)
+        t = deflated(image[:, 0]) / size
         q = float(y @ t / (t @ t))
         fits.append((q, float(t @ t)))
         y = y - q * t
-        deflate = (np.eye(n) - np.outer(t, t) / (t @ t)) @ deflate
         score.append(t)
     a = len(score)
     cols = [f"comp{i + 1}" for i in range(a)]

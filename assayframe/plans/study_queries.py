@@ -553,17 +553,20 @@ def match_mass(spark, sf):
     return _match(spark, sf).select("peak_id", "compound_id", "adduct", "mz", F.round("theory", 4).alias("theory"))
 
 
-@query(
-    "empirical_compounds",
-    _MATCH
-    + """, d AS (SELECT DISTINCT compound_id, rt, CAST(floor(rt / 40) AS BIGINT) AS c FROM mt), w AS (SELECT compound_id, c, count(*) AS w FROM d GROUP BY 1, 2),
+_COMPOUNDS = """, d AS (SELECT DISTINCT compound_id, rt, CAST(floor(rt / 40) AS BIGINT) AS c FROM mt), w AS (SELECT compound_id, c, count(*) AS w FROM d GROUP BY 1, 2),
     s AS (SELECT o.compound_id, o.c, o.w FROM w o LEFT JOIN w l ON l.compound_id = o.compound_id AND l.c = o.c - 1
       LEFT JOIN w r ON r.compound_id = o.compound_id AND r.c = o.c + 1 WHERE o.w > coalesce(l.w, 0) AND o.w >= coalesce(r.w, 0)),
     n AS (SELECT o.compound_id, o.c, CASE WHEN m.w IS NOT NULL THEN o.c WHEN l.w IS NOT NULL AND l.w >= coalesce(r.w, 0) THEN o.c - 1 WHEN r.w IS NOT NULL THEN o.c + 1 ELSE o.c END AS g
       FROM w o LEFT JOIN s m ON m.compound_id = o.compound_id AND m.c = o.c LEFT JOIN s l ON l.compound_id = o.compound_id AND l.c = o.c - 1
       LEFT JOIN s r ON r.compound_id = o.compound_id AND r.c = o.c + 1),
-    e AS (SELECT compound_id, rt, concat(compound_id, '_', g) AS ec_id FROM d JOIN n USING (compound_id, c))
-    SELECT peak_id, compound_id, adduct, rt, ec_id FROM mt JOIN e USING (compound_id, rt)""",
+    e AS (SELECT compound_id, rt, concat(compound_id, '_', g) AS ec_id FROM d JOIN n USING (compound_id, c))"""
+
+
+@query(
+    "empirical_compounds",
+    _MATCH
+    + _COMPOUNDS
+    + " SELECT peak_id, compound_id, adduct, rt, ec_id FROM mt JOIN e USING (compound_id, rt)",
 )
 def empirical_compounds(spark, sf):
     return spectra.empirical_compounds(_match(spark, sf), 60.0).select("peak_id", "compound_id", "adduct", "rt", "ec_id")
@@ -584,6 +587,27 @@ def mummichog(spark, sf):
     return rounded(_mummichog(spark, sf))
 
 
+@query(
+    "mummichog_hits",
+    _MATCH
+    + _COMPOUNDS
+    + """, k AS (SELECT concat(l_orderkey, '_', l_linenumber) AS peak_id FROM lineitem WHERE l_discount < 0.05),
+    h AS (SELECT DISTINCT compound_id, ec_id FROM mt JOIN e USING (compound_id, rt) JOIN k USING (peak_id)),
+    z AS (SELECT p_brand AS pathway_id, count(DISTINCT ec_id) AS set_size FROM e JOIN part ON p_partkey = compound_id GROUP BY 1),
+    f AS (SELECT p_brand AS pathway_id, count(*) AS hit_count FROM h JOIN part ON p_partkey = compound_id GROUP BY 1),
+    c AS (SELECT (SELECT count(DISTINCT ec_id) FROM e) AS nn, (SELECT count(*) FROM h) AS n)
+    SELECT pathway_id, set_size, hit_count, n AS n_drawn, round((SELECT sum(exp("""
+    + _LC.format("set_size", "x")
+    + " + "
+    + _LC.format("(nn - set_size)", "(n - x)")
+    + " - "
+    + _LC.format("nn", "n")
+    + ")) FROM range(hit_count, least(set_size, n) + 1) r(x)), 6) AS p FROM f JOIN z USING (pathway_id), c WHERE set_size >= 3",
+)
+def mummichog_hits(spark, sf):
+    return rounded(_mummichog(spark, sf).drop("p_perm"))
+
+
 @query("peaks_to_paths")
 def peaks_to_paths(spark, sf):
     names = roles.table(spark, sf, "part").select(F.col("p_brand").alias("pathway_id"), F.col("p_brand").alias("pathway_name")).distinct()

@@ -91,6 +91,26 @@ def test_pca_equals_a_singular_value_decomposition(spark):
         assert np.allclose((loadings[["pc1", "pc2"]] ** 2).sum(), 1, atol=1e-4)
 
 
+def test_pca_of_every_rank(spark):
+    rng = np.random.default_rng(17)
+    equal = rng.normal(size=(40, 6))
+    equal[:, 5] = equal[:, 4]
+    wide = rng.normal(size=(30, 14)) * np.linspace(1, 3, 14)
+    for x, k in ((rng.normal(size=(50, 8)), 8), (equal, 6), (equal, 5), (rng.normal(size=(1, 12)), 3), (wide, 14), (np.ones((20, 9)), 2)):
+        n = x.shape[1]
+        model = components.pca(long_table(spark, x), sample_table(spark, n, n // 2), k)
+        centred = x - x.mean(axis=1, keepdims=True)
+        _, sv, vt = np.linalg.svd(centred, full_matrices=False)
+        sv = np.concatenate([sv, np.zeros(n)])[:k]
+        scores = model.scores.toPandas().sort_values("sample")[[f"pc{i + 1}" for i in range(k)]].to_numpy()
+        assert np.allclose((scores**2).sum(axis=0), sv**2, atol=1e-6)
+        assert np.allclose(scores @ scores.T, (centred.T @ centred) if k >= min(x.shape) else (vt.T[:, :k] * sv**2) @ vt[:k], atol=1e-5)
+        share = model.variance.toPandas().sort_values("pc")["share"]
+        assert np.allclose(share, sv**2 / max((sv**2).sum(), (centred**2).sum(), 1e-300), atol=1e-9)
+        loadings = model.loadings.toPandas()[[f"pc{i + 1}" for i in range(k)]].to_numpy()
+        assert np.allclose((loadings**2).sum(axis=0), np.where(sv > 1e-6, 1, 0), atol=1e-6)
+
+
 def test_pls_equals_the_iteration_on_the_full_matrix(spark):
     x = np.random.default_rng(8).normal(size=(40, 8))
     model = components.pls(long_table(spark, x), sample_table(spark, 8, 4), LEVELS, 3)
@@ -325,6 +345,69 @@ def test_permuted_pathways_are_repeatable(spark):
     assert first["hit"][0] < 1e-4 and first["hit"][1] <= 0.05
 
 
+def test_draws_take_the_smallest_hashes(spark, monkeypatch):
+    ids = [f"peak{i}" for i in range(7000)]
+    peaks = spark.createDataFrame([(x, i % 13 == 0) for i, x in enumerate(ids)], "peak_id string, real boolean").repartition(5)
+    peaks = peaks.select("peak_id", F.xxhash64("peak_id", F.lit(1)).alias("h"), "real")
+    h = {r["peak_id"]: r["h"] for r in peaks.collect()}
+    hashes = enrichment.draw_hashes(np.array([h[x] for x in ids]), 100)
+    k = sum(i % 13 == 0 for i in range(7000))
+    want = np.zeros((7000, 101), bool)
+    want[::13, 0] = True
+    for d in range(100):
+        want[np.argsort(hashes[:, d])[:k], d + 1] = True
+    for few in (4096, 3):
+        monkeypatch.setattr(enrichment, "_FEW", few)
+        got = {r["peak_id"]: [r["w0"], r["w1"]] for r in enrichment.draw_words(peaks, 100).collect()}
+        bits = np.unpackbits(np.array([got[x] for x in ids]).view(np.uint8), axis=1, bitorder="little")
+        assert (bits[:, :101].astype(bool) == want).all() and not bits[:, 101:].any()
+    assert enrichment.draw_words(peaks.withColumn("real", F.lit(False)), 100).filter("w0 <> 0 or w1 <> 0").count() == 0
+    assert enrichment.draw_words(peaks.withColumn("real", F.lit(True)), 63).filter("w0 <> -1").count() == 0
+
+
+def test_bits_are_counted_by_key(spark):
+    rng = np.random.default_rng(5)
+    rows = [(f"k{rng.integers(30)}", int(rng.integers(-(2**63), 2**63 - 1)), int(rng.integers(0, 2**37))) for _ in range(500)]
+    table = spark.createDataFrame(rows, "key string, w0 long, w1 long").repartition(3)
+    want = {}
+    for key, *words in rows:
+        for bit in np.flatnonzero(np.unpackbits(np.array(words).view(np.uint8), bitorder="little")[:101]):
+            want[key, int(bit)] = want.get((key, int(bit)), 0) + 1
+    for most in (1, 1000):
+        assert {(r["key"], r["bit"]): r["n"] for r in enrichment.bit_counts(table, "key", 101, most).collect()} == want
+
+
+def test_permuted_pathways_equal_plain_draws(spark):
+    """The whole test against sets of peaks drawn one by one."""
+    rng = np.random.default_rng(14)
+    masses = pd.DataFrame({"compound_id": [f"c{i}" for i in range(60)], "mass": 100 + 10.0 * np.arange(60)})
+    of = rng.integers(0, 60, 400)
+    peaks = pd.DataFrame({"peak_id": range(400), "mz": masses.mass.to_numpy()[of] + 1.007276, "rt": of * 10.0, "polarity": "positive", "p": rng.random(400)})
+    links = pd.DataFrame([(f"c{i}", f"p{j}") for i in range(50) for j in range(6) if (i * 7 + j * 3) % 4 == 0], columns=["compound_id", "pathway_id"])
+    adducts = spectra.adduct_table(spark).filter("adduct = 'M+H'")
+    got = enrichment.mummichog(*[spark.createDataFrame(x) for x in (peaks, masses)], adducts, spark.createDataFrame(links), p_cut=0.1, n_perm=70).toPandas()
+    h = spark.createDataFrame(peaks[["peak_id"]]).select("peak_id", F.xxhash64("peak_id", F.lit(1)).alias("h")).toPandas().set_index("peak_id")["h"].reindex(range(400)).to_numpy()
+    real = np.flatnonzero(peaks.p < 0.1)
+    drawn = [real, *(np.argsort(enrichment.draw_hashes(h, 70)[:, d])[: len(real)] for d in range(70))]
+    paths = {name: {int(c[1:]) for c in own} & set(of.tolist()) for name, own in links.groupby("pathway_id")["compound_id"]}
+    everything = set().union(*paths.values())
+
+    def upper(x, n, size, total):
+        return sum(math.comb(size, i) * math.comb(total - size, n - i) for i in range(x, min(size, n) + 1)) / math.comb(total, n)
+
+    p = []
+    for own in drawn:
+        hit = {int(of[i]) for i in own} & everything
+        p.append({name: (len(hit & s), len(hit), upper(len(hit & s), len(hit), len(s), len(everything))) for name, s in paths.items() if hit & s and len(s) >= 3})
+    null = [x[2] for own in p[1:] for x in own.values()]
+    assert len(got) == len(p[0])
+    for r in got.itertuples():
+        hits, n, value = p[0][r.pathway_id]
+        assert (r.set_size, r.hit_count, r.n_drawn) == (len(paths[r.pathway_id]), hits, n) and abs(r.p - value) < 1e-9
+        low, high = (np.mean([x <= value + d for x in null]) for d in (-1e-9, 1e-9))  # equal values in other roundings
+        assert low <= r.p_perm <= high and high - low < 0.2
+
+
 def test_short_adapters_and_short_reads_are_searched(spark):
     adapter = "AGATCGGAAGAG"
     reads = read_table(spark, [("s", 1, "a", "CCTTGGCCAATTCCGG" + adapter, "I" * 28), ("s", 1, "b", "CCTTGGCCAATT", "I" * 12), ("s", 1, "c", adapter[:11], "I" * 11)])
