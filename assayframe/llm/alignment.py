@@ -18,6 +18,7 @@ are replaced. A text's tokens are held in one task, some 40 bytes for each byte
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 from collections.abc import Callable, Iterator
@@ -68,7 +69,8 @@ def jump(end_a: np.ndarray, end_b: np.ndarray) -> Groups:
     number = np.cumsum(last) - 1
     group = number[succ - n_a]
     # the stretches between neighbouring ends of either side: each lies in one A and one B token that overlap there
-    ends = np.union1d(end_a, end_b)
+    ends = np.sort(np.concatenate([end_a, end_b]), kind="stable")
+    ends = ends[np.append(True, ends[1:] != ends[:-1])] if len(ends) else ends
     return Groups(group[:n_a], group[n_a:], np.searchsorted(end_a, ends, "left"), np.searchsorted(end_b, ends, "left"), ends)
 
 
@@ -99,6 +101,27 @@ class _Ragged:
         return self.values[_spread(self.bounds[rows], length)], length
 
 
+def _listed(entries: list[bytes]) -> _Ragged:
+    out = _Ragged(np.uint8)
+    out.append(np.frombuffer(b"".join(entries), np.uint8), np.fromiter(map(len, entries), np.int64, len(entries)))
+    out.bounds = out.bounds[: out.rows + 1]
+    return out
+
+
+def _joined(ids: list[list[int]], entries: _Ragged, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All ids, their number for each piece, and whether they join to it; the pieces are stretches of ``data``."""
+    count = np.fromiter(map(len, ids), np.int64, len(ids))
+    flat = np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(count.sum()))
+    of = np.repeat(np.arange(len(ids)), count)
+    total = np.bincount(of, weights=np.diff(entries.bounds)[flat], minlength=len(ids)).astype(np.int64)
+    sound = total == size
+    made, length = entries.take(flat[sound[of]])
+    wrong = made != data[np.repeat(sound, size)]
+    if wrong.any():
+        sound[np.repeat(of[sound[of]], length)[wrong]] = False
+    return flat, count, sound
+
+
 def _byte_letters() -> dict[str, int]:
     """The letters by which byte-level vocabularies write the 256 bytes."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -128,15 +151,18 @@ class Aligner(Pieces):
         self.a.no_truncation()
         self.a.no_padding()
         letters = _byte_letters()
-        self.a_bytes = {i: bytes(map(letters.__getitem__, t)) if all(c in letters for c in t) else t.encode() for t, i in self.a.get_vocab(True).items()}
+        entries = {i: bytes(map(letters.__getitem__, t)) if all(c in letters for c in t) else t.encode() for t, i in self.a.get_vocab(True).items()}
+        self.a_bytes = _listed([entries.get(i, b"") for i in range(max(entries) + 1)])
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.b_size = self.b.get_piece_size()
         pieces = [self.b.id_to_piece(i) for i in range(self.b_size)]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-Fa-f]{2}>", p) else p.replace("▁", " ").encode() for p in pieces]
+        self.b_bytes = _listed([bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-Fa-f]{2}>", p) else p.replace("▁", " ").encode() for p in pieces])
+        self.decimal = _listed([b"%d" % i for i in range(max(self.a_bytes.rows, self.b_size))])
         spec = json.loads(self.a.to_str())
         pre = spec.get("pre_tokenizer") or {}
         words = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not spec.get("normalizer")
         # a piece with a space behind another character would reach over a cut
+        self.lone_space = self.b.encode("a ")[len(self.b.encode("a")) :]
         self.cuttable = bool(words) and not any(re.search(r"[^▁]▁", p) for p in pieces)
         self.forget()
 
@@ -162,40 +188,41 @@ class Aligner(Pieces):
 
     def learn(self, pieces: list[str]) -> None:
         """Align new pieces: numbers (A tokens, B tokens, groups, whether the tokens join to the piece), pairs, groups' text."""
-        raw = [p.encode() for p in pieces]
+        n = len(pieces)
+        raw = "".join(pieces).encode()
+        size = np.fromiter((len(p) if p.isascii() else len(p.encode()) for p in pieces), np.int64, n)
         ids_a = [e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
-        # B puts a space before what it is given
-        ids_b = self.b.encode([p[1:] for p in pieces], num_threads=1)
-        sound = np.array(
-            [b"".join(map(self.a_bytes.__getitem__, a)) == p == b"".join(map(self.b_bytes.__getitem__, b)) for p, a, b in zip(raw, ids_a, ids_b, strict=True)], bool
-        )
-        ids_a = [a if ok else [] for a, ok in zip(ids_a, sound, strict=True)]
-        ids_b = [b if ok else [] for b, ok in zip(ids_b, sound, strict=True)]
-        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(pieces)) for ids in (ids_a, ids_b))
-        a, b = ([i for own in ids for i in own] for ids in (ids_a, ids_b))
-        end_a = np.cumsum([len(self.a_bytes[i]) for i in a]).astype(np.int64)
-        end_b = np.cumsum([len(self.b_bytes[i]) for i in b]).astype(np.int64)
+        # B puts a space before what it is given, but not before nothing
+        ids_b = [self.lone_space if p == " " else own for p, own in zip(pieces, self.b.encode([p[1:] for p in pieces], num_threads=1), strict=True)]
+        data = np.frombuffer(raw, np.uint8)
+        a, n_a, sound_a = _joined(ids_a, self.a_bytes, data, size)
+        b, n_b, sound_b = _joined(ids_b, self.b_bytes, data, size)
+        sound = sound_a & sound_b
+        a, b = a[np.repeat(sound, n_a)], b[np.repeat(sound, n_b)]
+        n_a, n_b, size = n_a * sound, n_b * sound, size * sound
+        end_a, end_b = (np.cumsum(np.diff(t.bounds)[i]) for t, i in ((self.a_bytes, a), (self.b_bytes, b)))
         found = jump(end_a, end_b)
-        piece_end = np.cumsum(np.where(sound, np.fromiter(map(len, raw), np.int64, len(raw)), 0))
-        link_piece = np.searchsorted(piece_end, found.link_end, "left")
-        pair = np.array(a, np.int64)[found.link_a] * self.b_size + np.array(b, np.int64)[found.link_b]
-        self.pairs.append(pair, np.bincount(link_piece, minlength=len(pieces)))
+        link_piece = np.searchsorted(np.cumsum(size), found.link_end, "left")
+        self.pairs.append(a[found.link_a] * self.b_size + b[found.link_b], np.bincount(link_piece, minlength=n))
         # "a1,a2|b1;": the tokens of a group, A's before B's, each with the mark behind it
         group = np.concatenate([found.of_a, found.of_b])
         side = np.repeat([0, 1], [len(a), len(b)])
-        order = np.lexsort((side, group))
+        order = np.argsort(2 * group + side, kind="stable")
         group, side = group[order], side[order]
         same = np.zeros(len(order), bool)
         same[:-1] = (group[1:] == group[:-1]) & (side[1:] == side[:-1])
-        written = list(map(str, a)) + list(map(str, b))
-        marks = np.array(["|", ";", ","])[np.where(same, 2, side)]
-        tokens = [written[i] + m for i, m in zip(order.tolist(), marks.tolist(), strict=True)]
-        piece = np.concatenate([np.repeat(np.arange(len(pieces)), n_a), np.repeat(np.arange(len(pieces)), n_b)])[order]
-        size = np.bincount(piece, weights=np.fromiter(map(len, tokens), np.int64, len(tokens)), minlength=len(pieces)).astype(np.int64)
-        self.strings.append(np.frombuffer("".join(tokens).encode(), np.uint8), size)
-        last_b = np.flatnonzero(np.isin(end_b, end_a))
-        groups = np.bincount(np.repeat(np.arange(len(pieces)), n_b)[last_b], minlength=len(pieces))
-        self.numbers.append(np.stack([n_a, n_b, groups, sound], axis=1).ravel().astype(np.int32), np.full(len(pieces), 4))
+        digits, length = self.decimal.take(np.concatenate([a, b])[order])
+        written = np.empty(len(digits) + len(order), np.uint8)
+        is_mark = np.zeros(len(written), bool)
+        is_mark[np.cumsum(length + 1) - 1] = True
+        written[is_mark] = np.frombuffer(b"|;,", np.uint8)[np.where(same, 2, side)]
+        written[~is_mark] = digits
+        piece = np.concatenate([np.repeat(np.arange(n), n_a), np.repeat(np.arange(n), n_b)])[order]
+        self.strings.append(written, np.bincount(piece, weights=length + 1, minlength=n).astype(np.int64))
+        last = np.ones(len(b), bool)
+        last[:-1] = np.diff(found.of_b) > 0  # a group's last B token
+        groups = np.bincount(np.repeat(np.arange(n), n_b)[last], minlength=n)
+        self.numbers.append(np.stack([n_a, n_b, groups, sound], axis=1).ravel().astype(np.int32), np.full(n, 4))
 
     def align(self, t: texts.Texts) -> Aligned:
         n, size = len(t), np.diff(t.bounds)
