@@ -7,7 +7,7 @@ that it holds (suspects: all repeated lines and a few others), counts their docu
 confirms exactly. Too small a filter means more suspects, never another result.
 
 A line's key is the line without white space ``[\\x20\\x09-\\x0D]`` at both ends and with A-Z in lower case. Every row is a
-document, repeated rows too. A null or empty text is one empty line; keys shorter than ``min_chars`` code points are
+document, repeated rows too (``distinct_ids`` counts by id). A null or empty text is one empty line; keys shorter than ``min_chars`` code points are
 never dropped. Null ids are allowed. Columns of the input are kept, those named like a result column are replaced.
 """
 
@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -69,7 +70,10 @@ def holds(filled: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 def put(filled: np.ndarray, hashes: np.ndarray) -> None:
     for p in probes(hashes, 8 * len(filled)):
-        np.bitwise_or.at(filled, (p >> np.uint64(3)).astype(np.int64), np.uint8(1) << (p & np.uint64(7)).astype(np.uint8))
+        p = np.unique(p)
+        at = (p >> np.uint64(3)).astype(np.int64)
+        starts = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else at
+        filled[at[starts]] |= np.bitwise_or.reduceat(np.uint8(1) << (p & np.uint64(7)).astype(np.uint8), starts) if len(at) else np.uint8(0)
 
 
 def fill(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
@@ -130,6 +134,19 @@ def collected(merged: DataFrame, bits: int) -> np.ndarray:
     return out.ravel()
 
 
+def hash_filter(marks: DataFrame, bits: int) -> np.ndarray:
+    """A filter of the 64-bit hashes of a one-column table; its tasks' parts are merged on the executors."""
+
+    def fill_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filled = np.zeros(bits // 8, np.uint8)
+        for batch in batches:
+            put(filled, batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+        yield from pieces(filled, filled)
+
+    schema = "piece long, once binary, twice binary"
+    return collected(marks.mapInArrow(fill_one, schema).repartition("piece").mapInArrow(merge, schema).select("piece", "once"), bits)
+
+
 def dedup_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -139,11 +156,15 @@ def dedup_lines(
     keep: str = "none",
     bits: int = BITS,
     columns: tuple[str, ...] | None = None,
+    distinct_ids: bool = False,
 ) -> DataFrame:
     """Drop the lines whose key is found in at least ``min_docs`` documents.
 
     ``keep="none"`` drops them in every document, ``"first"`` spares them in the document of the smallest id (nulls
-    last; then by text hash). Returns the columns (all, or ``columns``) with ``text`` replaced and n_lines, n_dropped.
+    last; then by text hash; equal rows all keep the line). With ``distinct_ids`` rows of one id count as one document,
+    rows without an id each as one. Returns the columns (all, or ``columns``) with ``text`` replaced and n_lines, n_dropped.
+
+    Only texts that lose a line are shuffled and reach Python; which these may be says a third filter of ``bits`` bits.
     """
     if keep not in ("none", "first"):
         raise ValueError("keep is 'none' or 'first'")
@@ -157,7 +178,8 @@ def dedup_lines(
     seen_twice = spark.sparkContext.broadcast(twice_filter(docs, text, bits))
     out_names = list(dict.fromkeys([*names, text]))
     # the caller's columns are kept in a struct, apart from the names used here
-    marked = docs.select(F.struct(*out_names).alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text, F.lit("")), F.lit(7)).alias("h"), F.col(text).alias("text"))
+    body = F.coalesce(F.col(text), F.lit(""))
+    marked = docs.select(F.struct(*[c for c in out_names if c != text]).alias("row") if len(out_names) > 1 else F.lit(None).alias("row"), F.col(id_col).alias("id"), F.xxhash64(body, F.lit(7)).alias("h"), body.alias("text"))
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filled = seen_twice.value
@@ -179,33 +201,42 @@ def dedup_lines(
     id_type = docs.schema[id_col].dataType.simpleString()
     found = marked.select("id", "h", "text").mapInArrow(suspects, f"_id {id_type}, _h long, _key string")
     found = folders.save(found, "suspects")
-    confirmed = found.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(F.col("_id").isNull(), "_id", "_h")).alias("_first")).filter(F.col("_n") >= min_docs)
+    first = F.struct(F.col("_id").isNull(), "_id", "_h")
+    if distinct_ids:
+        each = found.groupBy("_key", "_id").agg(F.when(F.col("_id").isNull(), F.count(F.lit(1))).otherwise(1).alias("_n"), F.min(first).alias("_first"))
+        counted = each.groupBy("_key").agg(F.sum("_n").alias("_n"), F.min("_first").alias("_first"))
+    else:
+        counted = found.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min(first).alias("_first"))
     # both sides of the join are tables, so that Spark can split the rows of a very common line
-    hits = found.join(folders.save(confirmed, "confirmed"), "_key")
+    hits = found.join(folders.save(counted.filter(F.col("_n") >= min_docs), "confirmed"), "_key")
     if keep == "first":
         hits = hits.filter(~((F.col("_id").eqNullSafe(F.col("_first._id"))) & (F.col("_h") == F.col("_first._h"))))
-    drops = hits.groupBy("_id", "_h").agg(F.collect_set("_key").alias("_keys")).withColumnRenamed("_h", "_h2")
-    both = marked.join(drops, marked["id"].eqNullSafe(drops["_id"]) & (marked["h"] == drops["_h2"]), "left")
-    chosen = both.select("row", "_keys")
-    at = out_names.index(text)
-    schema = docs.select(*out_names).schema.add("n_lines", "long").add("n_dropped", "long")
-
-    def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept, n_lines, n_dropped = [], [], []
-            columns = batch.column(0).flatten()
-            for value, keys in zip(columns[at].to_pylist(), batch.column(1).to_pylist(), strict=True):
-                lines = (value or "").split("\n")
-                if keys:
-                    gone = set(keys)
-                    left = [x for x in lines if line_key(x) not in gone]
-                else:
-                    left = lines
-                kept.append("\n".join(left))
-                n_lines.append(len(lines))
-                n_dropped.append(len(lines) - len(left))
-            columns[at] = pa.array(kept, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names=schema.names)
-
-    return chosen.mapInArrow(rebuild, schema)
-
+    drops = folders.save(hits.groupBy("_id", "_h").agg(F.collect_set("_key").alias("_keys")).withColumnRenamed("_h", "_h2"), "dropped-lines")
+    losing = spark.sparkContext.broadcast(hash_filter(drops.select(F.xxhash64("_id", "_h2")), bits))
+
+    @F.pandas_udf("boolean")
+    def may_lose(marks: pd.Series) -> pd.Series:
+        return pd.Series(holds(losing.value, marks.to_numpy().view(np.uint64)))
+
+    @F.pandas_udf("struct<text: string, n_dropped: long>")
+    def rebuilt(bodies: pd.Series, keys: pd.Series) -> pd.DataFrame:
+        kept, n_dropped = [], []
+        for body_, own in zip(bodies, keys, strict=True):
+            if own is None:
+                kept.append(body_)
+                n_dropped.append(0)
+                continue
+            lines, gone = body_.split("\n"), set(own)
+            left = [x for x in lines if line_key(x) not in gone]
+            kept.append("\n".join(left))
+            n_dropped.append(len(lines) - len(left))
+        return pd.DataFrame({"text": kept, "n_dropped": pd.Series(n_dropped, dtype=np.int64)})
+
+    asked = marked.withColumn("may", may_lose(F.xxhash64("id", "h")))
+    some = asked.filter("may")
+    joined = some.join(drops, some["id"].eqNullSafe(drops["_id"]) & (some["h"] == drops["_h2"]), "left")
+    n_lines = (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long")
+    changed = joined.select("row", n_lines.alias("n_lines"), rebuilt("text", "_keys").alias("new")).select("row", "new.text", "n_lines", "new.n_dropped")
+    others = asked.filter("not may").select("row", "text", n_lines.alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"))
+    back = [F.col("text") if c == text else F.col("row").getField(c) for c in out_names]
+    return changed.unionByName(others).select(*[x.alias(c) for c, x in zip(out_names, back, strict=True)], "n_lines", "n_dropped")

@@ -118,7 +118,7 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     FROM lines GROUP BY doc_id""",
 )
 def op8(spark: SparkSession, sf: str) -> DataFrame:
-    kept = line_dedup.dedup_lines(table(spark, sf, "documents"), min_docs=10, keep="none", columns=("doc_id",))
+    kept = line_dedup.dedup_lines(table(spark, sf, "documents"), min_docs=10, keep="none", columns=("doc_id",), distinct_ids=True)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 

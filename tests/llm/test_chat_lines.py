@@ -93,6 +93,10 @@ def test_dedup_lines(spark):
         got = line_dedup.dedup_lines(docs, min_docs=min_docs, keep=keep, bits=bits).collect()
         assert sorted(((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in got), key=str) == brute(full, min_docs, keep)
         assert got[0]._h == 1 and got[0].lang == "en"
+    once = {r.doc_id: r.n_dropped for r in line_dedup.dedup_lines(docs, min_docs=3, distinct_ids=True).collect()}
+    again = spark.createDataFrame([*full, *[x for x in full if x[0] == 17] * 5], LINES)
+    got = {r.doc_id: r.n_dropped for r in line_dedup.dedup_lines(again, min_docs=3, distinct_ids=True).collect()}
+    assert got == once and once[10] == 1 and once[17] == 0 and once[18] == 1 and once[19] == 0
     assert line_dedup.dedup_lines(spark.createDataFrame([], LINES)).count() == 0
     with pytest.raises(ValueError):
         line_dedup.dedup_lines(docs, bits=100)
