@@ -1,15 +1,19 @@
-"""Random-forest classification of samples, on Spark ML.
+"""Random-forest classification of samples.
 
-Input: (id, label, features) with a class label and an array of numbers per sample.
+Input: (id, label, features) with a class label and an array of numbers per sample, of one length. Each tree has its own
+bootstrap, Poisson weights made of the samples' hashes, so which trees left a sample out can be told at any time and the
+out-of-bag votes need no second fit. Confusion table, importance and outlier scores come from the same trees.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import StringIndexer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.staging import stage
@@ -30,42 +34,254 @@ def sample_vectors(long: DataFrame, samples: DataFrame) -> DataFrame:
 
 
 DEPTH = 30
+BINS = 64  # a feature's values are compared with at most so many cut points, its approximate quantiles
 _BLOCK = 256  # samples whose leaves are compared with as many others at a time
+_ROWS = 1024  # samples that are walked through all trees at a time
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: The chances that a Poisson number of mean 1 is at most 0, 1, 2 and so on.
+_POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(16)])
 
 
-def _prepared(rows: DataFrame):
-    rows = rows.select("id", F.col("label").cast("string").alias("label"), F.col("features").cast("array<double>").alias("_a"))
-    rows = rows.withColumn("features", array_to_vector("_a")).drop("_a")
-    indexer = StringIndexer(inputCol="label", outputCol="_class", stringOrderType="alphabetAsc").fit(rows.select("label"))
-    return stage(indexer.transform(rows)), indexer.labels
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Spread the bits of 64-bit values (the finaliser of splitmix64)."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
 
 
-def _classifier(trees: int, per_split: int, seed: int, depth: int, leaves: str = "") -> RandomForestClassifier:
-    """Trees grown until their leaves are pure, or ``depth`` (30 is the most that Spark ML allows)."""
-    return RandomForestClassifier(
-        featuresCol="features", labelCol="_class", numTrees=trees, featureSubsetStrategy=str(per_split), seed=seed, leafCol=leaves, maxDepth=depth, maxMemoryInMB=1024
-    )
+def _weights(h: np.ndarray, trees: int) -> np.ndarray:
+    """(samples, trees): how often each tree's bootstrap draws a sample, a Poisson number made of the sample's hash."""
+    u = _mixed(h.view(np.uint64)[:, None] + np.arange(1, trees + 1, dtype=np.uint64)[None, :] * _STEP)
+    return np.searchsorted(_POISSON, (u >> np.uint64(11)).astype(np.float64) * 2.0**-53, "right").astype(np.int64)
+
+
+class Forest(NamedTuple):
+    """Grown trees as arrays (tree, node): the split feature (-1 in a leaf), the last bin that goes left, the first child
+    (the second one follows), the class of the larger weight, and the weighted Gini decrease of the split."""
+
+    feature: np.ndarray
+    limit: np.ndarray
+    child: np.ndarray
+    winner: np.ndarray
+    decrease: np.ndarray
+    labels: list[str]
+    prepared: DataFrame  # id, label, y, h, x (a byte for each feature's bin)
+
+    def leaves(self, x: np.ndarray) -> np.ndarray:
+        """(samples, trees): the node where each sample ends."""
+        node = np.zeros((len(x), len(self.feature)), np.int64)
+        tree, row = np.arange(len(self.feature))[None, :], np.arange(len(x))[:, None]
+        while True:
+            feature = self.feature[tree, node]
+            inner = feature >= 0
+            if not inner.any():
+                return node
+            right = x[row, np.maximum(feature, 0)] > self.limit[tree, node]
+            node = np.where(inner, self.child[tree, node] + right, node)
+
+
+def _prepared(rows: DataFrame, seed: int) -> tuple[DataFrame, list[str], int]:
+    """Samples with their class number, a hash and the bins of all features, cut at approximate quantiles."""
+    rows = stage(rows.select("id", F.col("label").cast("string").alias("label"), F.col("features").cast("array<double>").alias("features")))
+    labels = [r[0] for r in rows.select("label").distinct().orderBy("label").collect()]
+    each = rows.select(F.posexplode("features").alias("at", "v"))
+    shares = F.array(*[F.lit(i / BINS) for i in range(1, BINS)])
+    cuts = each.groupBy("at").agg(F.array_distinct(F.percentile_approx("v", shares, F.lit(20_000))).alias("cuts")).orderBy("at").collect()
+    if any(r["cuts"] is None for r in cuts):
+        raise ValueError("every feature needs values")
+    cuts = [np.array(r["cuts"]) for r in cuts]
+    spark = rows.sparkSession
+    sent = spark.sparkContext.broadcast(cuts)  # BINS numbers for each feature
+
+    def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.stack(batch.column(4).to_numpy(zero_copy_only=False)) if batch.num_rows else np.zeros((0, len(sent.value)))
+            binned = np.stack([np.searchsorted(c, x[:, i], "left") for i, c in enumerate(sent.value)], axis=1).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([b.tobytes() for b in binned], pa.binary())], names=["id", "label", "y", "h", "x"])
+
+    y = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("label")).cast("int") - 1
+    numbered = rows.select("id", "label", y.alias("y"), F.xxhash64("id", F.lit(seed)).alias("h"), "features")
+    kind = rows.schema["id"].dataType.simpleString()
+    return stage(numbered.mapInArrow(bins, f"id {kind}, label string, y int, h long, x binary")), labels, len(cuts)
 
 
-def random_forest(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1, folds: int = 3, depth: int = DEPTH) -> DataFrame:
-    """Confusion table (label, predicted, n) over held-out folds; a sample's fold is a hash of its id."""
-    prepared, labels = _prepared(rows)
-    prepared = prepared.withColumn("_fold", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(folds)))
-    names = F.array(*[F.lit(x) for x in labels])
-    out = None
-    for fold in range(folds):
-        model = _classifier(trees, per_split, seed, depth).fit(prepared.filter(F.col("_fold") != fold))
-        held = model.transform(prepared.filter(F.col("_fold") == fold))
-        part = held.select("label", F.get(names, F.col("prediction").cast("int")).alias("predicted"))
-        out = part if out is None else out.unionByName(part)
-    return out.groupBy("label", "predicted").agg(F.count(F.lit(1)).alias("n"))
+def _arrays(batch: pa.RecordBatch, h: int, x: int) -> tuple[np.ndarray, np.ndarray]:
+    return batch.column(h).to_numpy(), np.stack([np.frombuffer(b, np.uint8) for b in batch.column(x).to_pylist()])
+
+
+def bootstrap_weights(rows: DataFrame, trees: int = 500, seed: int = 1) -> DataFrame:
+    """(id, tree, weight): the bootstrap weights with which the trees of that seed are grown."""
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w = _weights(batch.column(1).to_numpy(), trees)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(np.repeat(np.arange(len(w)), trees))), pa.array(np.tile(np.arange(trees), len(w)).astype(np.int32)), pa.array(w.ravel())], names=["id", "tree", "weight"]
+            )
+
+    return rows.select("id", F.xxhash64("id", F.lit(seed)).alias("h")).mapInArrow(run, f"id {kind}, tree int, weight long")
+
+
+def _best_splits(cells: np.ndarray, weights: np.ndarray, n_classes: int) -> tuple[float, int, int, np.ndarray, np.ndarray]:
+    """Of one node's cells (feature's place, bin, class): gain, place, last bin on the left, class weights left and right."""
+    places = int(cells[:, 0].max()) + 1
+    table = np.zeros((places, BINS, n_classes))
+    np.add.at(table, tuple(cells.T), weights)
+    left = table.cumsum(axis=1)
+    whole = left[:, -1:, :]
+    right = whole - left
+
+    def impurity(t: np.ndarray) -> np.ndarray:
+        total = t.sum(axis=2)
+        return total - (t**2).sum(axis=2) / np.maximum(total, 1e-300)
+
+    gain = impurity(whole) - impurity(left) - impurity(right)
+    gain[(left.sum(axis=2) == 0) | (right.sum(axis=2) == 0)] = -1
+    place, last = divmod(int(gain.argmax()), BINS)
+    return float(gain[place, last]), place, last, left[place, last], right[place, last]
+
+
+def grow(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1, depth: int = DEPTH) -> Forest:
+    """A forest of trees grown until their leaves are pure or ``depth`` deep, all trees level by level together.
+
+    Each level is one job: tasks walk their samples to the open nodes of all trees and add up the bootstrap weights by
+    (node, one of ``per_split`` features drawn for the node, bin, class); the sums of a node, at most per_split x BINS x
+    classes of them, give its split. The driver holds the trees, the classes and BINS numbers for each feature.
+    """
+    prepared, labels, n_features = _prepared(rows, seed)
+    n_classes, per_split = len(labels), min(per_split, n_features)
+    spark = rows.sparkSession
+    grown = [{"feature": [-1], "limit": [0], "child": [0], "winner": [0], "decrease": [0.0]} for _ in range(trees)]
+    frontier = [(t, 0) for t in range(trees)] if n_classes > 1 and n_features else []
+
+    def drawn(nodes: list[tuple[int, int]]) -> np.ndarray:
+        """Features of each open node: those with the smallest hashes of seed, tree, node and feature."""
+        tree, node = (np.array(c, np.uint64) for c in zip(*nodes, strict=True))
+        base = _mixed(_mixed(tree * _STEP + np.uint64(seed)) + node)
+        out = np.empty((len(nodes), per_split), np.int64)
+        step = max(1, (1 << 22) // n_features)
+        for first in range(0, len(nodes), step):
+            ranks = _mixed(base[first : first + step, None] ^ (np.arange(n_features, dtype=np.uint64) * _STEP)[None, :])
+            out[first : first + step] = np.argsort(ranks, axis=1, kind="stable")[:, :per_split]
+        return out
+
+    def packed() -> Forest:
+        size = max(len(g["feature"]) for g in grown)
+        arrays = [np.array([g[c] + [-1 if c == "feature" else 0] * (size - len(g[c])) for g in grown]) for c in ("feature", "limit", "child", "winner", "decrease")]
+        return Forest(*arrays, labels, prepared)
+
+    for level in range(depth + 1):
+        if not frontier or level == depth:
+            break
+        now = packed()._replace(prepared=None)
+        place = np.full(now.feature.shape, -1)
+        place[tuple(np.array(frontier).T)] = np.arange(len(frontier))
+        sent = spark.sparkContext.broadcast((now, place, drawn(frontier)))
+
+        def sums(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            forest, place, features = sent.value
+            for batch in batches:
+                for first in range(0, batch.num_rows, _ROWS):
+                    part = batch.slice(first, _ROWS)
+                    y = part.column(0).to_numpy()
+                    h, x = _arrays(part, 1, 2)
+                    w = _weights(h, len(place))
+                    leaf = forest.leaves(x)
+                    open_ = place[np.arange(len(place))[None, :], leaf]
+                    row, tree = np.nonzero((w > 0) & (open_ >= 0))
+                    at = open_[row, tree]
+                    bins = x[row[:, None], features[at]].astype(np.int64)
+                    cell = ((at[:, None] * per_split + np.arange(per_split)) * BINS + bins) * n_classes + y[row][:, None]
+                    cell, where = np.unique(cell, return_inverse=True)
+                    total = np.bincount(where.ravel(), weights=np.repeat(w[row, tree], per_split), minlength=len(cell))
+                    node = cell // (per_split * BINS * n_classes)
+                    yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(cell % (per_split * BINS * n_classes)), pa.array(total.astype(np.int64))], names=["node", "cell", "w"])
+
+        counted = prepared.select("y", "h", "x").mapInArrow(sums, "node long, cell long, w long").groupBy("node", "cell").agg(F.sum("w").alias("w"))
+
+        def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Rows sorted by node; a node's cells may reach over batches."""
+            left: list[pa.RecordBatch] = []
+            out: list[tuple] = []
+
+            def solve(node: np.ndarray, cell: np.ndarray, w: np.ndarray) -> None:
+                starts = np.flatnonzero(np.append(True, np.diff(node) != 0))
+                for a, b in zip(starts, np.append(starts[1:], len(node)), strict=True):
+                    own = np.stack([cell[a:b] // (BINS * n_classes), cell[a:b] // n_classes % BINS, cell[a:b] % n_classes], axis=1)
+                    gain, where, last, one, two = _best_splits(own, w[a:b], n_classes)
+                    out.append((int(node[a]), gain, where, last, one.tolist(), two.tolist()))
+
+            for batch in batches:
+                left.append(batch)
+                node, cell, w = (np.concatenate([b.column(i).to_numpy() for b in left]) for i in range(3))
+                if not len(node):
+                    continue
+                whole = int(np.searchsorted(node, node[-1], "left"))  # the last node may go on
+                if whole:
+                    solve(node[:whole], cell[:whole], w[:whole])
+                left = [pa.RecordBatch.from_arrays([pa.array(c[whole:]) for c in (node, cell, w)], names=["node", "cell", "w"])]
+            node, cell, w = (np.concatenate([b.column(i).to_numpy() for b in left] or [np.zeros(0, np.int64)]) for i in range(3))
+            if len(node):
+                solve(node, cell, w)
+            for first in range(0, len(out), 10_000):
+                yield pa.RecordBatch.from_pydict(dict(zip(("node", "gain", "place", "last", "one", "two"), map(list, zip(*out[first : first + 10_000], strict=True)), strict=True)), schema=pa.schema([("node", pa.int64()), ("gain", pa.float64()), ("place", pa.int64()), ("last", pa.int64()), ("one", pa.list_(pa.float64())), ("two", pa.list_(pa.float64()))]))
+
+        sorted_ = counted.repartition("node").sortWithinPartitions("node")
+        found = sorted_.mapInArrow(split, "node long, gain double, place long, last long, one array<double>, two array<double>").collect()
+        features, opened = drawn(frontier), []
+        for r in sorted(found, key=lambda r: r["node"]):
+            tree, node = frontier[r["node"]]
+            g, one, two = grown[tree], np.array(r["one"]), np.array(r["two"])
+            if level == 0:
+                g["winner"][0] = int((one + two).argmax())
+            if r["gain"] <= 1e-9:
+                continue
+            g["feature"][node], g["limit"][node], g["child"][node], g["decrease"][node] = int(features[r["node"], r["place"]]), r["last"], len(g["feature"]), r["gain"]
+            for side in (one, two):
+                for name, value in (("feature", -1), ("limit", 0), ("child", 0), ("winner", int(side.argmax())), ("decrease", 0.0)):
+                    g[name].append(value)
+                if (side > 0).sum() > 1:
+                    opened.append((tree, len(g["feature"]) - 1))
+        frontier = opened
+        sent.unpersist()
+    return packed()
+
+
+def votes(forest: Forest) -> DataFrame:
+    """(id, label, votes, predicted): the out-of-bag votes for each class, and the class with most of them (ties to the
+    first one in the alphabet); a sample that every tree has drawn has no votes and a null prediction."""
+    kind = forest.prepared.schema["id"].dataType.simpleString()
+    sent = forest.prepared.sparkSession.sparkContext.broadcast(forest._replace(prepared=None))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
+        for batch in batches:
+            for first in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(first, _ROWS)
+                h, x = _arrays(part, 2, 3)
+                out = _weights(h, len(own.feature)) == 0
+                winner = own.winner[np.arange(len(own.feature))[None, :], own.leaves(x)]
+                count = np.stack([(out & (winner == c)).sum(axis=1) for c in range(len(own.labels))], axis=1)
+                best = [own.labels[i] if n else None for i, n in zip(count.argmax(axis=1), count.sum(axis=1), strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(count.tolist(), pa.list_(pa.int64())), pa.array(best, pa.string())], names=["id", "label", "votes", "predicted"])
+
+    return forest.prepared.select("id", "label", "h", "x").mapInArrow(run, f"id {kind}, label string, votes array<long>, predicted string")
+
+
+def random_forest(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1, depth: int = DEPTH) -> DataFrame:
+    """Out-of-bag confusion table (label, predicted, n): a sample is judged by the trees whose bootstrap left it out."""
+    judged = votes(grow(rows, trees, per_split, seed, depth)).filter(F.col("predicted").isNotNull())
+    return judged.groupBy("label", "predicted").agg(F.count(F.lit(1)).alias("n"))
 
 
 def rf_importance(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1, depth: int = DEPTH) -> DataFrame:
-    """Importance per feature position (Gini decrease, summing to one)."""
-    prepared, _ = _prepared(rows)
-    model = _classifier(trees, per_split, seed, depth).fit(prepared)
-    values = model.featureImportances.toArray().tolist()
+    """Importance per feature position: the Gini decrease of its splits in all trees, summing to one."""
+    forest = grow(rows, trees, per_split, seed, depth)
+    n_features = forest.prepared.select(F.max(F.octet_length("x"))).first()[0] or 0
+    inner = forest.feature >= 0
+    total = np.bincount(forest.feature[inner], weights=forest.decrease[inner], minlength=n_features)
+    values = (total / max(total.sum(), 1e-300)).tolist()
     return rows.sparkSession.createDataFrame(list(enumerate(values)), "feature int, importance double")
 
 
@@ -75,9 +291,19 @@ def rf_outlier(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int
     The proximity of two samples is their share of common leaves. A class is cut into blocks of samples, and every pair of
     blocks is one small array comparison that gives a sum per sample; no pair of samples is a row.
     """
-    prepared, _ = _prepared(rows)
-    model = _classifier(trees, per_split, seed, depth, "_leaf").fit(prepared)
-    leaves = stage(model.transform(prepared).select("id", "label", F.transform(vector_to_array("_leaf"), lambda x: x.cast("int")).alias("_l")))
+    forest = grow(rows, trees, per_split, seed, depth)
+    kind = rows.schema["id"].dataType.simpleString()
+    sent = rows.sparkSession.sparkContext.broadcast(forest._replace(prepared=None))
+
+    def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(first, _ROWS)
+                leaf = sent.value.leaves(_arrays(part, 2, 3)[1])
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(leaf.astype(np.int32).tolist(), pa.list_(pa.int32()))], names=["id", "label", "_l"])
+
+    prepared = forest.prepared
+    leaves = stage(prepared.select("id", "label", "h", "x").mapInArrow(reached, f"id {kind}, label string, _l array<int>"))
     counts = leaves.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).alias("_blocks"))
     dealt = leaves.join(counts, "label").withColumn("_block", F.pmod(F.xxhash64("id"), "_blocks"))
     left = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))).drop("_blocks")

@@ -424,6 +424,68 @@ def test_a_key_with_half_the_rows_is_spread(spark):
     assert skew.spread_join(rows, dim.filter("k > 0"), ["k"], "left").filter("w is null").count() == 30_000
 
 
+def test_out_of_bag_votes_follow_from_the_weights(spark):
+    rng = np.random.default_rng(23)
+    rows = [(i, "abc"[i % 3], [float(x) for x in rng.normal(i % 3, 1.5, 6)]) for i in range(90)]
+    data = spark.createDataFrame(rows, "id long, label string, features array<double>").repartition(4)
+    grown = forest.grow(data, trees=25, per_split=3, seed=5)
+    weights = forest.bootstrap_weights(data, 25, 5).toPandas().pivot(index="id", columns="tree", values="weight")
+    assert 0.3 < (weights.to_numpy() == 0).mean() < 0.45 and abs(weights.to_numpy().mean() - 1) < 0.1
+    made = grown.prepared.toPandas().set_index("id").sort_index()
+    x = np.stack([np.frombuffer(b, np.uint8) for b in made["x"]])
+    got = forest.votes(grown).toPandas().set_index("id").sort_index()
+    assert grown.labels == ["a", "b", "c"]
+    for i in range(90):
+        want = [0, 0, 0]
+        for t in range(25):
+            node = 0
+            while grown.feature[t, node] >= 0:
+                node = grown.child[t, node] + (x[i, grown.feature[t, node]] > grown.limit[t, node])
+            want[grown.winner[t, node]] += weights.loc[i, t] == 0
+        assert list(got.loc[i, "votes"]) == want and got.loc[i, "predicted"] == "abc"[int(np.argmax(want))]
+    table = {(r["label"], r["predicted"]): r["n"] for r in forest.random_forest(data, trees=25, per_split=3, seed=5).collect()}
+    assert table == got.groupby(["label", "predicted"]).size().to_dict()
+    again = forest.grow(data.repartition(7), trees=25, per_split=3, seed=5)
+    assert all(np.array_equal(a, b) for a, b in zip(grown[:5], again[:5]))
+
+
+def test_trees_equal_a_plain_search(spark):
+    """All features at every split: the best split of each node by trying every feature and bin on the weighted samples."""
+    rng = np.random.default_rng(29)
+    rows = [(i, "uv"[int(rng.random() < 0.5 + 0.4 * (i % 2))], [float(x) for x in rng.integers(0, 9, 4)]) for i in range(70)]
+    data = spark.createDataFrame(rows, "id long, label string, features array<double>")
+    grown = forest.grow(data, trees=6, per_split=4, seed=2)
+    weights = forest.bootstrap_weights(data, 6, 2).toPandas().pivot(index="id", columns="tree", values="weight").sort_index().to_numpy()
+    made = grown.prepared.toPandas().sort_values("id")
+    x, y = np.stack([np.frombuffer(b, np.uint8) for b in made["x"]]).astype(int), made["y"].to_numpy()
+
+    def gini(w):
+        return w.sum() - (w**2).sum() / w.sum() if w.sum() else 0.0
+
+    def check(t, node, some):
+        w = weights[some, t]
+        classes = np.bincount(y[some], weights=w, minlength=2)
+        assert grown.winner[t, node] == classes.argmax()
+        gains = {}
+        for f in range(4):
+            for limit in range(x[:, f].max()):
+                left = x[some, f] <= limit
+                sides = [np.bincount(y[some][s], weights=w[s], minlength=2) for s in (left, ~left)]
+                if all(side.sum() for side in sides):
+                    gains[f, limit] = gini(classes) - sum(gini(side) for side in sides)
+        if grown.feature[t, node] < 0:
+            assert (classes > 0).sum() < 2 or max(gains.values(), default=0) < 1e-9
+            return
+        own = gains[grown.feature[t, node], grown.limit[t, node]]
+        assert abs(own - max(gains.values())) < 1e-9 and abs(own - grown.decrease[t, node]) < 1e-9
+        right = x[some, grown.feature[t, node]] > grown.limit[t, node]
+        check(t, grown.child[t, node], some[~right])
+        check(t, grown.child[t, node] + 1, some[right])
+
+    for t in range(6):
+        check(t, 0, np.arange(70))
+
+
 def test_forest_separates_classes_and_finds_the_outlier(spark):
     rng = np.random.default_rng(3)
     rows = [(i, "a" if i < 30 else "b", [float(x) for x in rng.normal(0 if i < 30 else 6, 1, 5)]) for i in range(60)]
