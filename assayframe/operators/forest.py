@@ -123,23 +123,27 @@ def bootstrap_weights(rows: DataFrame, trees: int = 500, seed: int = 1) -> DataF
     return rows.select("id", F.xxhash64("id", F.lit(seed)).alias("h")).mapInArrow(run, f"id {kind}, tree int, weight long")
 
 
-def _best_splits(cells: np.ndarray, weights: np.ndarray, n_classes: int) -> tuple[float, int, int, np.ndarray, np.ndarray]:
-    """Of one node's cells (feature's place, bin, class): gain, place, last bin on the left, class weights left and right."""
-    places = int(cells[:, 0].max()) + 1
-    table = np.zeros((places, BINS, n_classes))
-    np.add.at(table, tuple(cells.T), weights)
-    left = table.cumsum(axis=1)
-    whole = left[:, -1:, :]
+def _best_splits(table: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of the class weights (node, feature's place, bin, class): gain, place and last bin on the left of each node's best
+    split, the classes with the larger weight (whole, left, right) and whether the left and the right side are mixed."""
+    left = table.cumsum(axis=2)
+    whole = left[:, :, -1:, :]
     right = whole - left
 
     def impurity(t: np.ndarray) -> np.ndarray:
-        total = t.sum(axis=2)
-        return total - (t**2).sum(axis=2) / np.maximum(total, 1e-300)
+        total = t.sum(axis=3)
+        return total - np.einsum("npbc,npbc->npb", t, t) / np.maximum(total, 1e-300)
 
     gain = impurity(whole) - impurity(left) - impurity(right)
-    gain[(left.sum(axis=2) == 0) | (right.sum(axis=2) == 0)] = -1
-    place, last = divmod(int(gain.argmax()), BINS)
-    return float(gain[place, last]), place, last, left[place, last], right[place, last]
+    gain[(left.sum(axis=3) == 0) | (right.sum(axis=3) == 0)] = -1
+    rows = np.arange(len(table))
+    place, last = np.divmod(gain.reshape(len(table), -1).argmax(axis=1), BINS)
+    one, two = left[rows, place, last], right[rows, place, last]
+    return gain[rows, place, last], place, last, (one + two).argmax(axis=1), one.argmax(axis=1), two.argmax(axis=1), (one > 0).sum(axis=1) > 1, (two > 0).sum(axis=1) > 1
+
+
+_SPLIT = ("node", "gain", "place", "last", "winner", "winner_left", "winner_right", "mixed_left", "mixed_right")
+_CELLS = 1 << 21  # cells that a task holds before it passes them on, and table entries that are searched at a time
 
 
 def grow(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1, depth: int = DEPTH) -> Forest:
@@ -179,69 +183,96 @@ def grow(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1, d
         place[tuple(np.array(frontier).T)] = np.arange(len(frontier))
         sent = spark.sparkContext.broadcast((now, place, drawn(frontier)))
 
+        n_cells = per_split * BINS * n_classes
+
         def sums(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             forest, place, features = sent.value
+            held: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+
+            def merged() -> tuple[np.ndarray, np.ndarray]:
+                cell, where = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
+                total = np.bincount(where.ravel(), weights=np.concatenate([w for _, w in held]), minlength=len(cell))
+                return cell, total.astype(np.int64)
+
+            def told(cell: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
+                """A row for each node with its cells."""
+                node = cell // n_cells
+                starts = np.flatnonzero(np.append(True, np.diff(node) != 0)) if len(node) else np.zeros(0, np.int64)
+                bounds = pa.array(np.append(starts, len(node)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(bounds, pa.array(v.astype(np.int32))) for v in (cell % n_cells, total)]
+                return pa.RecordBatch.from_arrays([pa.array(node[starts]), *lists], names=["node", "cell", "w"])
+
             for batch in batches:
                 for first in range(0, batch.num_rows, _ROWS):
                     part = batch.slice(first, _ROWS)
                     y = part.column(0).to_numpy()
                     h, x = _arrays(part, 1, 2)
                     w = _weights(h, len(place))
-                    leaf = forest.leaves(x)
-                    open_ = place[np.arange(len(place))[None, :], leaf]
+                    open_ = place[np.arange(len(place))[None, :], forest.leaves(x)]
                     row, tree = np.nonzero((w > 0) & (open_ >= 0))
                     at = open_[row, tree]
                     bins = x[row[:, None], features[at]].astype(np.int64)
                     cell = ((at[:, None] * per_split + np.arange(per_split)) * BINS + bins) * n_classes + y[row][:, None]
-                    cell, where = np.unique(cell, return_inverse=True)
-                    total = np.bincount(where.ravel(), weights=np.repeat(w[row, tree], per_split), minlength=len(cell))
-                    node = cell // (per_split * BINS * n_classes)
-                    yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(cell % (per_split * BINS * n_classes)), pa.array(total.astype(np.int64))], names=["node", "cell", "w"])
-
-        counted = prepared.select("y", "h", "x").mapInArrow(sums, "node long, cell long, w long").groupBy("node", "cell").agg(F.sum("w").alias("w"))
+                    held.append((cell.ravel(), np.repeat(w[row, tree], per_split)))
+                    if sum(len(c) for c, _ in held) > 2 * _CELLS:
+                        held = [merged()]
+                        if len(held[0][0]) > _CELLS:
+                            yield told(*held.pop())
+                            held = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+            yield told(*merged())
 
         def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            """Rows sorted by node; a node's cells may reach over batches."""
-            left: list[pa.RecordBatch] = []
-            out: list[tuple] = []
+            """Rows sorted by node; the sums of a batch's last node are carried on, as it may go on in the next one."""
+            carried: tuple[int, np.ndarray] | None = None
+            step = max(1, _CELLS // n_cells)
 
-            def solve(node: np.ndarray, cell: np.ndarray, w: np.ndarray) -> None:
-                starts = np.flatnonzero(np.append(True, np.diff(node) != 0))
-                for a, b in zip(starts, np.append(starts[1:], len(node)), strict=True):
-                    own = np.stack([cell[a:b] // (BINS * n_classes), cell[a:b] // n_classes % BINS, cell[a:b] % n_classes], axis=1)
-                    gain, where, last, one, two = _best_splits(own, w[a:b], n_classes)
-                    out.append((int(node[a]), gain, where, last, one.tolist(), two.tolist()))
+            def solved(node: np.ndarray, table: np.ndarray) -> pa.RecordBatch:
+                found = _best_splits(table.reshape(len(node), per_split, BINS, n_classes))
+                return pa.RecordBatch.from_arrays([pa.array(node), *[pa.array(c) for c in found]], names=list(_SPLIT))
 
             for batch in batches:
-                left.append(batch)
-                node, cell, w = (np.concatenate([b.column(i).to_numpy() for b in left]) for i in range(3))
-                if not len(node):
+                if not batch.num_rows:
                     continue
-                whole = int(np.searchsorted(node, node[-1], "left"))  # the last node may go on
-                if whole:
-                    solve(node[:whole], cell[:whole], w[:whole])
-                left = [pa.RecordBatch.from_arrays([pa.array(c[whole:]) for c in (node, cell, w)], names=["node", "cell", "w"])]
-            node, cell, w = (np.concatenate([b.column(i).to_numpy() for b in left] or [np.zeros(0, np.int64)]) for i in range(3))
-            if len(node):
-                solve(node, cell, w)
-            for first in range(0, len(out), 10_000):
-                yield pa.RecordBatch.from_pydict(dict(zip(("node", "gain", "place", "last", "one", "two"), map(list, zip(*out[first : first + 10_000], strict=True)), strict=True)), schema=pa.schema([("node", pa.int64()), ("gain", pa.float64()), ("place", pa.int64()), ("last", pa.int64()), ("one", pa.list_(pa.float64())), ("two", pa.list_(pa.float64()))]))
-
-        sorted_ = counted.repartition("node").sortWithinPartitions("node")
-        found = sorted_.mapInArrow(split, "node long, gain double, place long, last long, one array<double>, two array<double>").collect()
+                nodes = batch.column(0).to_numpy()
+                cells, weights = (batch.column(i).flatten().to_numpy() for i in (1, 2))
+                lengths = np.diff(batch.column(1).offsets.to_numpy())
+                ends = np.cumsum(lengths)
+                distinct, first_row = np.unique(nodes, return_index=True)
+                for first in range(0, len(distinct), step):
+                    own = distinct[first : first + step]
+                    a = first_row[first]
+                    b = first_row[first + step] if first + step < len(distinct) else len(nodes)
+                    of = np.repeat(np.searchsorted(own, nodes[a:b]), lengths[a:b])
+                    lo, hi = ends[a] - lengths[a], ends[b - 1]
+                    table = np.bincount(of * n_cells + cells[lo:hi], weights=weights[lo:hi], minlength=len(own) * n_cells).reshape(len(own), n_cells)
+                    if carried is not None:
+                        if carried[0] == own[0]:
+                            table[0] += carried[1]
+                        else:
+                            yield solved(np.array([carried[0]]), carried[1][None])
+                    carried = (int(own[-1]), table[-1])
+                    if len(own) > 1:
+                        yield solved(own[:-1], table[:-1])
+            if carried is not None:
+                yield solved(np.array([carried[0]]), carried[1][None])
+
+        counted = prepared.select("y", "h", "x").mapInArrow(sums, "node long, cell array<int>, w array<int>")
+        kinds = ("long", "double", "long", "long", "long", "long", "long", "boolean", "boolean")
+        schema = ", ".join(f"{c} {k}" for c, k in zip(_SPLIT, kinds, strict=True))
+        found = counted.repartition("node").sortWithinPartitions("node").mapInArrow(split, schema).toPandas().sort_values("node")
         features, opened = drawn(frontier), []
-        for r in sorted(found, key=lambda r: r["node"]):
-            tree, node = frontier[r["node"]]
-            g, one, two = grown[tree], np.array(r["one"]), np.array(r["two"])
+        for at, gain, place_, last, winner, *sides in found.itertuples(index=False, name=None):
+            tree, node = frontier[at]
+            g = grown[tree]
             if level == 0:
-                g["winner"][0] = int((one + two).argmax())
-            if r["gain"] <= 1e-9:
+                g["winner"][0] = winner
+            if gain <= 1e-9:
                 continue
-            g["feature"][node], g["limit"][node], g["child"][node], g["decrease"][node] = int(features[r["node"], r["place"]]), r["last"], len(g["feature"]), r["gain"]
-            for side in (one, two):
-                for name, value in (("feature", -1), ("limit", 0), ("child", 0), ("winner", int(side.argmax())), ("decrease", 0.0)):
+            g["feature"][node], g["limit"][node], g["child"][node], g["decrease"][node] = int(features[at, place_]), last, len(g["feature"]), gain
+            for side in range(2):
+                for name, value in (("feature", -1), ("limit", 0), ("child", 0), ("winner", sides[side]), ("decrease", 0.0)):
                     g[name].append(value)
-                if (side > 0).sum() > 1:
+                if sides[2 + side]:
                     opened.append((tree, len(g["feature"]) - 1))
         frontier = opened
         sent.unpersist()

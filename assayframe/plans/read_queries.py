@@ -352,6 +352,12 @@ def nb_base_mean(spark, sf):
     return rounded(counts_nb.nb_dispersion(*_nb(spark, sf), LEVELS).select("feature", "base_mean"))
 
 
+@query("nb_trend", "SELECT coefficient, score FROM (VALUES ('a0', 0.0), ('a1', 0.0)) t(coefficient, score)")
+def nb_trend(spark, sf):
+    """The score equations of the dispersion trend, which hold at its fit."""
+    return rounded(counts_nb.trend_scores(counts_nb.nb_dispersion(*_nb(spark, sf), LEVELS)))
+
+
 @query("nb_wald_test")
 def nb_wald_test(spark, sf):
     return rounded(counts_nb.nb_wald_test(*_nb(spark, sf), LEVELS))

@@ -332,6 +332,71 @@ def test_count_model_finds_the_simulated_changes(spark, counts):
     assert (res.loc[:29, "padj"] < 0.05).mean() > 0.9 and (res.loc[30:, "padj"] < 0.05).mean() < 0.1
 
 
+def test_trend_solves_its_score_equations(spark):
+    rng = np.random.default_rng(31)
+    mean = np.exp(rng.uniform(0, 8, 800))
+    y = (3 / mean + 0.08) * rng.gamma(4, 0.25, 800)
+    y[:20] *= 60  # far above any trend
+    y[20:40] = 1e-9
+    genes = spark.createDataFrame(pd.DataFrame({"base_mean": mean, "disp_gene": y})).repartition(5)
+    a1, a0 = counts_nb.fit_trend(genes)
+    assert abs(a1 - 3) < 0.5 and abs(a0 - 0.08) < 0.02
+    scores = {r["coefficient"]: r["score"] for r in counts_nb.trend_scores(genes.withColumn("disp_trend", a1 / F.col("base_mean") + a0)).collect()}
+    assert scores.keys() == {"a0", "a1"} and max(map(abs, scores.values())) < 1e-8
+    flat = spark.createDataFrame(pd.DataFrame({"base_mean": mean, "disp_gene": 0.2 + 1e-4 * mean / mean.max()}))
+    a1, a0 = counts_nb.fit_trend(flat)
+    assert a1 == 0 and abs(a0 - 0.2) < 1e-3
+    assert counts_nb.fit_trend(genes.limit(0)) == (0.0, 0.1)
+
+
+def test_an_outlier_among_seven_replicates_is_replaced(spark):
+    rng = np.random.default_rng(37)
+    mu = np.exp(rng.uniform(3, 7, 200))
+    values = rng.negative_binomial(10, 10 / (10 + mu[:, None] * np.ones(14))).astype(float)
+    values[0] = [50, 55, 48, 52, 60, 47, 53, 210, 190, 205, 220, 180, 199, 215]
+    values[1, :] = values[0]
+    values[1, 3] = 9000
+    samples = sample_table(spark, 14, 7)
+    factors = samples.select("sample").distinct().withColumn("size_factor", F.lit(1.0))
+    disp = counts_nb.nb_dispersion(long_table(spark, values), samples, factors, LEVELS).cache()
+    tests = counts_nb.nb_wald_test(long_table(spark, values), samples, factors, LEVELS, disp).toPandas().set_index("feature")
+    plain = counts_nb.nb_wald_test(long_table(spark, values), samples, factors, LEVELS, disp, refit=False).toPandas().set_index("feature")
+    assert np.isnan(plain.loc[1, "p"]) and tests.loc[1, "p"] < 1e-10 and abs(tests.loc[1, "log2fc"] - tests.loc[0, "log2fc"]) < 0.5
+    same = [i for i in tests.index if i != 1 and not np.isnan(plain.loc[i, "p"])]
+    assert np.allclose(tests.loc[same, ["log2fc", "lfc_se", "p"]], plain.loc[same, ["log2fc", "lfc_se", "p"]])
+    # the same by hand: replace the count, fit that feature alone, draw it to the same trend
+    k = values[1:2].copy()
+    k[0, 3] = int(np.sort(values[1])[2:12].mean())
+    second = np.arange(14) >= 7
+    mean, own, fitted = counts_nb._gene_wise(k, np.ones(14), second)
+    row = disp.filter("feature = 0").first()
+    other = disp.filter("feature = 5").first()
+    a1 = (row["disp_trend"] - other["disp_trend"]) / (1 / row["base_mean"] - 1 / other["base_mean"])
+    trend = row["disp_trend"] + a1 * (1 / mean - 1 / row["base_mean"])
+    alpha = counts_nb._shrunk(k, fitted, second, own, trend, row["prior_var"], row["own_limit"])
+    lfc, se, _ = counts_nb._wald(k, np.ones(14), second, alpha)
+    assert np.allclose(tests.loc[1, ["base_mean", "log2fc", "lfc_se"]].astype(float), [mean[0], lfc[0], se[0]])
+    # six replicates: nothing is replaced, the feature has no p
+    six = [i for i in range(14) if i not in (0, 13)]
+    few = counts_nb.nb_wald_test(long_table(spark, values[:, six]), sample_table(spark, 12, 6), sample_table(spark, 12, 6).select("sample").distinct().withColumn("size_factor", F.lit(1.0)), LEVELS)
+    assert few.filter("feature = 1").first()["p"] is None
+
+
+def test_filter_cut_follows_the_smoothed_curve():
+    x = np.linspace(0, 0.95, 50)
+    assert np.allclose(counts_nb.local_line(x, 3 * x + 1), 3 * x + 1)
+    assert np.allclose(counts_nb.local_line(x, np.full(50, 7.0)), 7)
+    known = 200 + 100 * np.minimum(x / 0.4, 1) - 300 * np.maximum(x - 0.7, 0)
+    at = counts_nb.smoothed_cut(x, known)
+    assert 0.36 < x[at] <= 0.43  # where the plateau begins, not the one best cut
+    spiked = known.copy()
+    spiked[40] = 330  # one high count does not draw the cut
+    assert counts_nb.smoothed_cut(x, spiked) <= at + 1
+    assert counts_nb.smoothed_cut(x, np.full(50, 10.0)) == 0
+    assert counts_nb.smoothed_cut(x, np.zeros(50)) == 0
+    assert counts_nb.smoothed_cut(x, np.full(50, 300.0) - np.arange(50)) == 0
+
+
 def test_permuted_pathways_are_repeatable(spark):
     rng = np.random.default_rng(12)
     masses = pd.DataFrame({"compound_id": [f"c{i}" for i in range(40)], "mass": 100 + 10.0 * np.arange(40)})
