@@ -6,6 +6,11 @@ so what is shuffled is bounded by read length × letters, not by the number of r
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import NamedTuple
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.sequences import gc_count, letters, phred, quality_of
@@ -124,22 +129,130 @@ def qc_overrepresented(reads: DataFrame, share: float = 0.001, min_copies: int =
     return found.filter((F.col("share") > share) & (F.col("n") >= min_copies)).select(*KEY, "seq", "n", "share")
 
 
-def qc_adapter_content(reads: DataFrame, adapters: DataFrame) -> DataFrame:
-    """Share of reads that contain an adapter starting at or before a position, at every position where one starts."""
-    listed = adapters.agg(F.collect_list(F.struct(F.col("name").alias("adapter"), F.col("seq").alias("_a")))).scalar()
-    starts = (
-        reads.select(*KEY, "seq", listed.alias("_all"))
-        .select(*KEY, "seq", F.inline("_all"))
-        .select(*KEY, "adapter", F.position(F.col("_a"), F.col("seq")).alias("pos"))
-        .filter("pos > 0")
-        .groupBy(*KEY, "adapter", "pos")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+class Automaton(NamedTuple):
+    """Patterns as one table of states: the state after a character, the pattern that ends in a state (-1: none), and the
+    nearest state in which a shorter pattern ends as well (0: none)."""
+
+    letters: np.ndarray  # the patterns' characters, ascending; the table's last column stands for all others
+    step: np.ndarray
+    ends: np.ndarray
+    shorter: np.ndarray
+    length: np.ndarray  # of the patterns
+
+
+def automaton(patterns: list[str]) -> Automaton:
+    """The Aho-Corasick automaton of distinct, not empty patterns, as arrays."""
+    coded = [np.frombuffer(p.encode("utf-32-le"), np.uint32) for p in patterns]
+    letters = np.unique(np.concatenate(coded)) if coded else np.zeros(0, np.uint32)
+    coded = [np.searchsorted(letters, c).tolist() for c in coded]
+    other = len(letters)
+    children: list[dict[int, int]] = [{}]
+    ends = [-1]
+    for i, pattern in enumerate(coded):
+        at = 0
+        for c in pattern:
+            if c not in children[at]:
+                children[at][c] = len(children)
+                children.append({})
+                ends.append(-1)
+            at = children[at][c]
+        ends[at] = i
+    step = np.zeros((len(children), other + 1), np.int32)
+    back = np.zeros(len(children), np.int64)
+    shorter = np.zeros(len(children), np.int32)
+    level = [0]
+    while level:  # breadth first: the states behind are complete
+        following = []
+        for at in level:
+            if at:
+                step[at] = step[back[at]]
+            for c, child in children[at].items():
+                back[child] = step[back[at], c] if at else 0
+                step[at, c] = child
+                shorter[child] = back[child] if ends[back[child]] >= 0 else shorter[back[child]]
+                following.append(child)
+        level = following
+    return Automaton(letters, step, np.array(ends, np.int32), shorter, np.array([len(p) for p in coded], np.int64))
+
+
+def first_hits(texts: list[str], machine: Automaton) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, pattern, start from 1) of the first hit of every pattern in every text; all texts are walked side by side."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    column = np.searchsorted(machine.letters, codes)
+    inside = column < len(machine.letters)
+    inside[inside] = machine.letters[column[inside]] == codes[inside]
+    column = np.where(inside, column, len(machine.letters))
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    begin = np.cumsum(lengths) - lengths
+    order = np.argsort(-lengths, kind="stable")
+    open_texts = np.searchsorted(-lengths[order], -np.arange(int(lengths.max(initial=0))), "left")  # texts longer than a position
+    state = np.zeros(len(texts), np.int64)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for at, n in enumerate(open_texts.tolist()):
+        own = order[:n]
+        now = machine.step[state[:n], column[begin[own] + at]]
+        state[:n] = now
+        hit = np.flatnonzero((machine.ends[now] >= 0) | (machine.shorter[now] > 0))
+        now = now[hit]
+        while len(hit):
+            full = machine.ends[now] >= 0
+            pattern = machine.ends[now[full]]
+            found.append((own[hit[full]], pattern, at + 2 - machine.length[pattern]))
+            now = machine.shorter[now]
+            hit, now = hit[now > 0], now[now > 0]
+    text, pattern, start = (np.concatenate(c).astype(np.int64) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+    _, first = np.unique(text * max(1, len(machine.length)) + pattern, return_index=True)  # found in order of the position
+    return text[first], pattern[first], start[first]
+
+
+#: Characters of adapters whose automaton is held at a time; further adapters take another pass over the reads.
+_GROUP = 1 << 18
+
+
+def qc_adapter_content(reads: DataFrame, adapters: DataFrame, group: int = _GROUP) -> DataFrame:
+    """Share of reads that contain an adapter starting at or before a position, at every position where one starts.
+
+    The adapters' automaton reads every read once, however many adapters there are (up to ``group`` characters of them a
+    pass). Null and empty adapters are in no read.
+    """
+    spark = reads.sparkSession
+    listed = adapters.select(F.col("name").alias("adapter"), "seq").filter(F.length("seq") > 0).distinct()
+    kinds = reads.schema
+    names = ", ".join(f"{c} {kinds[c].dataType.simpleString()}" for c in KEY)
+
+    def starts_of(patterns: list[str]) -> DataFrame:
+        sent = spark.sparkContext.broadcast((patterns, automaton(patterns)))  # at most ``group`` states and one longer adapter
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seqs, machine = sent.value
+            for batch in batches:
+                for first in range(0, batch.num_rows, 2048):
+                    part = batch.slice(first, 2048)
+                    text, pattern, start = first_hits([x or "" for x in part.column(len(KEY)).to_pylist()], machine)
+                    at = pa.array(text)
+                    yield pa.RecordBatch.from_arrays([*[c.take(at) for c in part.columns[: len(KEY)]], pa.array(seqs, pa.string()).take(pa.array(pattern)), pa.array(start)], names=[*KEY, "seq", "pos"])
+
+        found = reads.select(*KEY, "seq").mapInArrow(run, f"{names}, seq string, pos long")
+        return found.groupBy(*KEY, "seq", "pos").agg(F.count(F.lit(1)).alias("_n"))
+
+    starts, held, size = None, [], 0
+    for row in [*listed.select("seq").distinct().orderBy("seq").toLocalIterator(), None]:
+        if held and (row is None or size + len(row["seq"]) > group):
+            part = starts_of(held)
+            starts = part if starts is None else starts.unionByName(part)
+            held, size = [], 0
+        if row is not None:
+            held.append(row["seq"])
+            size += len(row["seq"])
+    if starts is None:
+        starts = spark.createDataFrame([], f"{names}, seq string, pos long, _n long")
+    starts = starts.join(listed, "seq").drop("seq")
     totals = reads.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_total"))
     # one row per position: bounded by the read length
     upto = Window.partitionBy(*KEY, "adapter").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    return starts.join(totals, KEY).select(
-        *KEY, "adapter", "pos", (F.sum("_n").over(upto) / F.col("_total")).alias("share")
+    summed = starts.groupBy(*KEY, "adapter", "pos").agg(F.sum("_n").alias("_n"))
+    return summed.join(totals, KEY).select(
+        *KEY, "adapter", F.col("pos").cast("int").alias("pos"), (F.sum("_n").over(upto) / F.col("_total")).alias("share")
     )
 
 

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import avg_skip_nan, label_direction, safe_gt, safe_lt
 from ..functions.text import search_key
+from ..sources.staging import stage
 from .ordered import distinct_counts, running
 from .skew import spread_join
 
@@ -146,6 +147,7 @@ def name_compounds(matches: DataFrame, compounds: DataFrame, key: str = "compoun
 
 def find_compound(names: DataFrame, compounds: DataFrame, column: str = "name") -> DataFrame:
     """First compound whose name contains the searched text as whole words, case-insensitively; misses are dropped.
+    (:func:`find_compound_parts` also looks inside words.)
 
     An equal name is a hit found by a plain join. Only names without one are searched as parts: a
     compound name is cut into its suffixes at word starts, and the searched text is joined to the
@@ -172,6 +174,41 @@ def find_compound(names: DataFrame, compounds: DataFrame, column: str = "name")
     return wanted.join(spans, "_key").select(F.col("searched").alias(column), F.col("_hit.compound_id").alias("compound_id"))
 
 
+def _grams(key: str) -> Column:
+    """The distinct runs of one, two and three characters of a text."""
+    c = F.col(key)
+
+    def runs(n: int) -> Column:
+        starts = F.when(F.length(c) >= n, F.sequence(F.lit(1), F.length(c) - (n - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda at: c.substr(at, F.lit(n)))
+
+    return F.array_distinct(F.concat(runs(1), runs(2), runs(3)))
+
+
+def find_compound_parts(names: DataFrame, compounds: DataFrame, column: str = "name") -> DataFrame:
+    """First compound whose name contains the searched text anywhere, case-insensitively; misses are dropped.
+
+    The names are indexed by their runs of three characters (and of one and two, for shorter searches). A search is looked
+    up by the run of its text that the fewest names hold, not at all if one is in no name, and confirmed on the names.
+    Null and empty searches find nothing.
+    """
+    wanted = names.select(F.col(column).alias("searched")).distinct().withColumn("_key", search_key("searched")).filter(F.length("_key") > 0)
+    known = compounds.select("compound_id", "name_ord", search_key(column).alias("_name")).groupBy("_name").agg(F.min(F.struct("name_ord", "compound_id")).alias("_hit"))
+    index = stage(known.select("_name", F.explode(_grams("_name")).alias("_gram")))
+    held = index.groupBy("_gram").agg(F.count(F.lit(1)).alias("_held"))
+    asked = wanted.select("_key", F.explode(_grams("_key")).alias("_gram")).filter(F.length("_gram") == F.least(F.length("_key"), F.lit(3))).distinct()
+    rarest = (
+        asked.join(held, "_gram", "left")
+        .groupBy("_key")
+        .agg(F.min_by("_gram", F.struct("_held", "_gram")).alias("_gram"), F.count_if(F.col("_held").isNull()).alias("_none"))
+        .filter("_none = 0")
+        .select("_key", "_gram")
+    )
+    found = rarest.join(index, "_gram").filter(F.col("_name").contains(F.col("_key"))).join(known, "_name")
+    best = found.groupBy("_key").agg(F.min("_hit").alias("_hit"))
+    return wanted.join(best, "_key").select(F.col("searched").alias(column), F.col("_hit.compound_id").alias("compound_id"))
+
+
 def compound_pathways(compounds: DataFrame, links: DataFrame) -> DataFrame:
     """One row per compound and pathway; compounds linked to none give no row."""
     return spread_join(compounds, links.select("compound_id", "pathway_id").distinct(), ["compound_id"])

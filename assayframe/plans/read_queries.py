@@ -139,10 +139,25 @@ def qc_adapter_content(spark, sf):
     return rounded(read_quality.qc_adapter_content(roles.reads(spark, sf), adapters))
 
 
+@query(
+    "qc_adapter_passages",
+    _reads_sql(
+        """, ad AS (SELECT item_id AS name, translate(substr(text, 1, 24), 'acgtn', 'ACGTN') AS a FROM benchmark),
+        st AS (SELECT sample, mate, name AS adapter, strpos(seq, a) AS pos, count(*) AS n FROM reads, ad WHERE strpos(seq, a) > 0 GROUP BY 1, 2, 3, 4)
+        SELECT sample, mate, adapter, pos, round(sum(n) OVER (PARTITION BY sample, mate, adapter ORDER BY pos) / (SELECT count(*) FROM reads r WHERE r.sample = st.sample AND r.mate = st.mate), 6) AS share FROM st"""
+    ).replace("\n, ad AS", ",\nad AS"),
+)
+def qc_adapter_passages(spark, sf):
+    """The openings of all benchmark passages as adapters."""
+    adapters = _adapters(spark, sf).withColumn("seq", F.substring("seq", 1, 24))
+    return rounded(read_quality.qc_adapter_content(roles.reads(spark, sf), adapters))
+
+
 @query("qc_merge")
 def qc_merge(spark, sf):
     reads = roles.reads(spark, sf)
-    report = read_quality.qc_merge({"raw": reads, "trimmed": read_trimming.trim_trailing(reads)})
+    adapters = _adapters(spark, sf).withColumn("seq", F.substring("seq", 1, 24))
+    report = read_quality.qc_merge({"raw": reads, "trimmed": read_trimming.trim_trailing(reads)}, adapters)
     # documents as reads have tens of thousands of positions each: the report's rows are summed per module and metric
     summed = report.groupBy("stage", "sample", "mate", "module", "metric").agg(F.count(F.lit(1)).alias("rows"), F.sum("bucket").alias("buckets"), F.sum("value").alias("total"))
     return rounded(summed, 4)

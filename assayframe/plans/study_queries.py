@@ -206,6 +206,17 @@ def find_compound(spark, sf):
     return relational.find_compound(names, dim)
 
 
+@query(
+    "find_compound_parts",
+    """SELECT w AS name, min(p_partkey) AS compound_id FROM (SELECT DISTINCT substr(p_name, 3, 7) AS w FROM part)
+    JOIN part ON contains(lower(p_name), lower(w)) WHERE w <> '' GROUP BY 1""",
+)
+def find_compound_parts(spark, sf):
+    part = roles.table(spark, sf, "part")
+    dim = part.select(F.col("p_partkey").alias("compound_id"), F.col("p_partkey").alias("name_ord"), F.col("p_name").alias("name"))
+    return relational.find_compound_parts(part.select(F.substring("p_name", 3, 7).alias("name")), dim)
+
+
 @query(
     "compound_pathways",
     "SELECT s_name AS compound_id, l_orderkey, l_linenumber, s_nationkey AS pathway_id FROM lineitem JOIN supplier ON s_suppkey = l_suppkey",

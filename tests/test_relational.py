@@ -85,6 +85,20 @@ def test_compound_search_finds_parts_of_names(spark):
     assert rows(r.find_compound(names, dim), "name", "compound_id") == [("D-GLUCOSE", "C1"), ("d-glucose phosphate", "C1")]
 
 
+def test_compounds_are_found_inside_words(spark):
+    dim = [("C2", 2, "D-Glucose"), ("C1", 1, "alpha D-Glucose  phosphate"), ("C3", 3, "water"), ("C4", 4, "heavy water"), ("C5", 5, None), ("C6", 6, "O2")]
+    found = ["lucos", "GLUCOSE P", "ate", "at", "w", "o2", "2", "vy wat", "nothing", "xyzzy", "", None, "glucosephosphate", "zz", "d-glucose"]
+    table = spark.createDataFrame(dim, "compound_id string, name_ord int, name string")
+    names = spark.createDataFrame([(x,) for x in found], "name string")
+    want = {}
+    for x in found:
+        hits = [(n, c) for c, n, name in dim if x and name and x.lower() in " ".join(name.lower().split())]
+        if hits:
+            want[x] = min(hits)[1]
+    assert {x["name"]: x["compound_id"] for x in r.find_compound_parts(names, table).collect()} == want
+    assert want["ate"] == "C1" and want["w"] == "C3" and "nothing" not in want
+
+
 def test_names_are_cleaned_and_misses_dropped(spark):
     dim = spark.createDataFrame([("C1", "second", 2), ("C1", "first", 1)], "compound_id string, name string, name_ord int")
     df = spark.createDataFrame([(" C1 ",), ("C2",)], "compound_id string")

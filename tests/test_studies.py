@@ -473,6 +473,28 @@ def test_permuted_pathways_equal_plain_draws(spark):
         assert low <= r.p_perm <= high and high - low < 0.2
 
 
+def test_adapter_content_equals_a_search_for_each_adapter(spark):
+    rng = np.random.default_rng(41)
+    reads = ["".join(rng.choice(list("ACGÄ"), rng.integers(0, 40))) for _ in range(300)] + ["", "ACACACAC", "🙂ACGT🙂"]
+    adapters = sorted({"".join(rng.choice(list("ACGÄ"), rng.integers(1, 6))) for _ in range(120)} | {"ACAC", "AC", "C", "🙂", "CGT", "TTTT"})
+    machine = read_quality.automaton(adapters)
+    got = set(zip(*(x.tolist() for x in read_quality.first_hits(reads, machine)), strict=True))
+    assert got == {(i, j, r.index(a) + 1) for i, r in enumerate(reads) for j, a in enumerate(adapters) if a in r}
+    table = read_table(spark, [("s" if i % 2 else "t", 1, str(i), r, "I" * len(r)) for i, r in enumerate(reads)])
+    listed = spark.createDataFrame([*[(f"a{j}", a) for j, a in enumerate(adapters)], ("again", "AC"), ("none", ""), ("null", None)], "name string, seq string")
+    want = {}
+    for sample in "st":
+        own = [r for i, r in enumerate(reads) if (i % 2 == 1) == (sample == "s")]
+        for name, a in [*[(f"a{j}", a) for j, a in enumerate(adapters)], ("again", "AC")]:
+            starts = sorted(r.index(a) + 1 for r in own if a in r)
+            for pos in set(starts):
+                want[sample, name, pos] = round(sum(x <= pos for x in starts) / len(own), 9)
+    for group in (1, 50, 1 << 18):
+        shares = read_quality.qc_adapter_content(table, listed, group).collect()
+        assert {(x["sample"], x["adapter"], x["pos"]): round(x["share"], 9) for x in shares} == want
+    assert read_quality.qc_adapter_content(table, listed.limit(0)).count() == 0
+
+
 def test_short_adapters_and_short_reads_are_searched(spark):
     adapter = "AGATCGGAAGAG"
     reads = read_table(spark, [("s", 1, "a", "CCTTGGCCAATTCCGG" + adapter, "I" * 28), ("s", 1, "b", "CCTTGGCCAATT", "I" * 12), ("s", 1, "c", adapter[:11], "I" * 11)])
