@@ -82,7 +82,7 @@ def read_feature_counts(spark, sf):
 _LETTERS = "translate(text, ' \n\r\t', '____')"
 
 
-def _fastq_folder(spark, sf) -> str:
+def _fastq_folder(spark, sf, packed: bool = True) -> str:
     """Documents as read files: sample = language, mate = odd or even number; white space becomes an underscore."""
     text = F.translate("text", " \n\r\t", "____")
     mate = F.col("doc_id") % 2 + 1
@@ -95,7 +95,7 @@ def _fastq_folder(spark, sf) -> str:
             )
         ),
     )
-    return _flat_files(reads, "file", "line", ["doc_id", "at"], "_001.fastq.gz", "gzip")
+    return _flat_files(reads, "file", "line", ["doc_id", "at"], *(("_001.fastq.gz", "gzip") if packed else ("_001.fastq",)))
 
 
 @query(
@@ -108,6 +108,17 @@ def read_fastq(spark, sf):
     return found.select("sample", "mate", "read_id", F.md5("seq").alias("seq"), F.length("qual").alias("n"))
 
 
+@query(
+    "read_fastq_plain",
+    f"""SELECT lang AS sample, CAST(doc_id % 2 + 1 AS INTEGER) AS mate, concat('d', doc_id) AS read_id, md5(translate({_LETTERS}, '@+', '__')) AS seq, length(text) AS n
+    FROM documents WHERE length(text) > 0""".replace("'____'", "'____'"),
+)
+def read_fastq_plain(spark, sf):
+    """The same from plain files, which many tasks read."""
+    found = readers.read_fastq(spark, _fastq_folder(spark, sf, packed=False), "_R1_001.fastq", "_R2_001.fastq")
+    return found.select("sample", "mate", "read_id", F.md5("seq").alias("seq"), F.length("qual").alias("n"))
+
+
 @query("sample_manifest", "SELECT DISTINCT lang AS sample FROM documents WHERE length(text) > 0 AND doc_id % 2 = 0")
 def sample_manifest(spark, sf):
     return readers.sample_manifest(spark, _fastq_folder(spark, sf)).select("sample")

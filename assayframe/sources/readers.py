@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.text import file_stem
+from .staging import stage
 
 COUNT_COLUMNS = ("Geneid", "Chr", "Start", "End", "Strand", "Length")
 
@@ -105,12 +109,21 @@ def _ordered_lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     return files.mapInPandas(lines, "path string, line string")
 
 
-def read_fastq(spark: SparkSession, folder: str, suffix_1: str = "_R1_001.fastq.gz", suffix_2: str = "_R2_001.fastq.gz") -> DataFrame:
-    """Paired read files to (sample, mate, read_id, seq, qual).
+_RECORD = 4  # lines of a read record
+_READ_SCHEMA = "path string, read_id string, seq string, qual string"
 
-    A gzip file cannot be split, so one file is one task; write the result as parquet once and read that
-    afterwards. A broken record stops the job.
-    """
+
+def _checked(path: str, lines: list[str]) -> dict[str, list[str]]:
+    """The columns of whole records, four lines each; a broken one is an error."""
+    names, seqs, marks, quals = (lines[i::_RECORD] for i in range(_RECORD))
+    for name, seq, mark, qual in zip(names, seqs, marks, quals, strict=True):
+        if not name.startswith("@") or not mark.startswith("+") or len(seq) != len(qual):
+            raise ValueError(f"broken read record {name!r} in {path}")
+    return {"path": [path] * len(names), "read_id": [n[1:].split()[0] for n in names], "seq": seqs, "qual": quals}
+
+
+def _streamed_records(lines: DataFrame) -> DataFrame:
+    """Records of files whose lines come in order in one task each (gzip)."""
 
     def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[str] = []
@@ -122,19 +135,100 @@ def read_fastq(spark: SparkSession, folder: str, suffix_1: str = "_R1_001.fastq.
                         raise ValueError(f"read file ends inside a record: {current}")
                     current = path
                 held += [x for x in part["line"].str.rstrip("\r") if x]
-                whole = len(held) - len(held) % 4
-                names, seqs, marks, quals = (held[i:whole:4] for i in range(4))
+                whole = len(held) - len(held) % _RECORD
+                yield pd.DataFrame(_checked(path, held[:whole]))
                 held = held[whole:]
-                for name, seq, mark, qual in zip(names, seqs, marks, quals):
-                    if not name.startswith("@") or not mark.startswith("+") or len(seq) != len(qual):
-                        raise ValueError(f"broken read record {name!r} in {path}")
-                yield pd.DataFrame({"path": path, "read_id": [n[1:].split()[0] for n in names], "seq": seqs, "qual": quals})
         if held:
             raise ValueError(f"read file ends inside a record: {current}")
 
+    return lines.mapInPandas(records, _READ_SCHEMA)
+
+
+def _split_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], pa.Array]]:
+    """((path, start of the split), its lines that are not empty) for stretches of rows (path, start, line) in order."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        coded = batch.column(0).dictionary_encode()
+        path, start = coded.indices.to_numpy(), batch.column(1).to_numpy()
+        cuts = np.flatnonzero((np.diff(path) != 0) | (np.diff(start) != 0)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+            lines = pc.utf8_rtrim(batch.column(2).slice(a, b - a), "\r")
+            yield (coded.dictionary[path[a]].as_py(), int(start[a])), lines.filter(pc.greater(pc.utf8_length(lines), 0))
+
+
+def _split_records(lines: DataFrame) -> DataFrame:
+    """Records of files that Spark cuts into byte ranges (path, start, line), which may begin inside a record.
+
+    A first scan counts the lines of each split and keeps its first and last three. The running sum of the counts says at
+    which line of a record a split begins. A second scan takes the records inside the splits; those over a border come
+    from the few lines kept. The driver holds one number for each split.
+    """
+    edge = _RECORD - 1
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: dict[tuple[str, int], tuple[int, list[str], list[str]]] = {}
+        for key, found in _split_runs(batches):
+            n, head, tail = done.get(key, (0, [], []))
+            head = [*head, *found.slice(0, edge - len(head)).to_pylist()]
+            tail = [*tail, *found.slice(max(0, len(found) - edge)).to_pylist()][-edge:]
+            done[key] = (n + len(found), head, tail)
+        keys, rows = list(done), list(done.values())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()), pa.array([r[0] for r in rows], pa.int64()), *[pa.array([r[i] for r in rows], pa.list_(pa.string())) for i in (1, 2)]],
+            names=["path", "start", "n", "head", "tail"],
+        )
+
+    counted = lines.mapInArrow(ends, "path string, start long, n long, head array<string>, tail array<string>")
+    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = stage(counted.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))))
+    first = {(r["path"], r["start"]): -r["before"] % _RECORD for r in splits.select("path", "start", "before").toLocalIterator()}
+    sent = lines.sparkSession.sparkContext.broadcast(first)
+
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, skip, held = None, 0, []
+        for key, found in _split_runs(batches):
+            if key != current:
+                current, skip, held = key, sent.value[key], []
+            skipped = min(skip, len(found))
+            skip -= skipped
+            held = [*held, *found.slice(skipped).to_pylist()]
+            whole = len(held) - len(held) % _RECORD
+            columns, held = _checked(key[0], held[:whole]), held[whole:]
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.string()) for v in columns.values()], names=list(columns))
+
+    # lines by their number in the file: those before a split's first record and behind its last one
+    number = F.transform("head", lambda x, i: F.struct((F.col("before") + i).alias("at"), x.alias("line")))
+    number = F.concat(number, F.transform("tail", lambda x, i: F.struct((F.col("before") + F.col("n") - F.size("tail") + i).alias("at"), x.alias("line"))))
+    opening = F.col("before") + F.least(F.pmod(-F.col("before"), F.lit(_RECORD)), F.col("n"))
+    closing = F.col("before") + F.col("n") - F.when(opening < F.col("before") + F.col("n"), F.pmod(F.col("before") + F.col("n"), F.lit(_RECORD))).otherwise(0)
+    loose = splits.select("path", opening.alias("opening"), closing.alias("closing"), F.inline(F.array_distinct(number))).filter("at < opening or at >= closing")
+    over = loose.groupBy("path", F.floor(F.col("at") / _RECORD).alias("record")).agg(F.array_sort(F.collect_list(F.struct("at", "line"))).alias("own"))
+
+    def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, own in zip(batch["path"], batch["own"], strict=True):
+                if len(own) != _RECORD:
+                    raise ValueError(f"read file ends inside a record: {path}")
+                yield pd.DataFrame(_checked(path, list(own)))
+
+    borders = over.select("path", F.transform("own", lambda x: x["line"]).alias("own")).mapInPandas(joined, _READ_SCHEMA)
+    return lines.mapInArrow(inside, _READ_SCHEMA).unionByName(borders)
+
+
+def read_fastq(spark: SparkSession, folder: str, suffix_1: str = "_R1_001.fastq.gz", suffix_2: str = "_R2_001.fastq.gz") -> DataFrame:
+    """Paired read files to (sample, mate, read_id, seq, qual).
+
+    A plain file is read in byte ranges by many tasks (two scans), whatever its size. A gzip file cannot be split, so one
+    file is one task; write the result as parquet once and read that afterwards. A broken record stops the job.
+    """
     out = None
     for mate, suffix in ((1, suffix_1), (2, suffix_2)):
-        found = _ordered_lines(spark, folder, f"*{suffix}").mapInPandas(records, "path string, read_id string, seq string, qual string")
+        if suffix.endswith(".gz"):
+            found = _streamed_records(_ordered_lines(spark, folder, f"*{suffix}"))
+        else:
+            split = spark.read.text(folder, pathGlobFilter=f"*{suffix}")
+            found = _split_records(split.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line")))
         part = found.select(file_stem("path", suffix).alias("sample"), F.lit(mate).alias("mate"), "read_id", "seq", "qual")
         out = part if out is None else out.unionByName(part)
     return out

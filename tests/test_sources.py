@@ -65,6 +65,40 @@ def test_reads_and_manifest(spark, tmp_path):
         readers.read_fastq(spark, str(tmp_path)).collect()
 
 
+def test_plain_reads_in_splits_equal_whole_files(spark, tmp_path):
+    import random
+
+    rng = random.Random(6)
+    want = set()
+    for sample in "ab":
+        for mate in (1, 2):
+            text = ""
+            for i in range(rng.randint(5, 12)):
+                n = rng.randint(1, 60)
+                seq, qual = "".join(rng.choices("ACGTN", k=n)), rng.choice(["@", "+", "I"]) + "".join(rng.choices("I@+#", k=n - 1))
+                text += f"@{sample}{i} x\n{seq}\n+{rng.choice(['', sample])}\n{qual}\n" + ("\n" if rng.random() < 0.05 else "")
+                want.add((sample, mate, f"{sample}{i}", seq, qual))
+            (tmp_path / f"{sample}_R{mate}_001.fastq").write_text(text if mate == 1 else text.replace("\n", "\r\n"))
+    (tmp_path / "c_R1_001.fastq").write_text("")
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in (64, 1 << 20):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", 0)
+            got = readers.read_fastq(spark, str(tmp_path), "_R1_001.fastq", "_R2_001.fastq")
+            rows = [tuple(r) for r in got.collect()]
+            assert len(rows) == len(want) and set(rows) == want
+        (tmp_path / "cut").mkdir()
+        (tmp_path / "cut" / "d_R1_001.fastq").write_text("@r\nACGT\n+\nIIII\n@q\nACGT\n+\n")
+        for size in (9, 1000):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            with pytest.raises(PySparkException, match="ends inside a record"):
+                readers.read_fastq(spark, str(tmp_path / "cut"), "_R1_001.fastq", "_R2_001.fastq").collect()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
 def test_sequences_in_chunks(spark, tmp_path):
     chrom = "ACGTTGCA" * 40
     lines = "\n".join(chrom[i : i + 60] for i in range(0, len(chrom), 60))
