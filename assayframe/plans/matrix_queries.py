@@ -424,6 +424,20 @@ def pca_loadings(spark, sf):
     return rounded(_pca(spark, sf, 3).loadings)
 
 
+@query(
+    "score_ellipse_points",
+    """WITH p AS (SELECT l_returnflag AS condition, l_quantity AS x, l_discount * 100 AS y FROM lineitem),
+    g AS (SELECT condition, avg(x) AS centre_x, avg(y) AS centre_y, var_samp(x) AS vx, var_samp(y) AS vy, covar_samp(x, y) AS c FROM p GROUP BY 1),
+    r AS (SELECT *, (vx + vy) / 2 AS half, sqrt(((vx - vy) / 2) ^ 2 + c * c) AS root, sqrt(-2 * ln(0.05)) AS radius FROM g)
+    SELECT condition, round(centre_x, 6) AS centre_x, round(centre_y, 6) AS centre_y, round(sqrt(half + root) * radius, 6) AS major,
+      round(sqrt(greatest(half - root, 0)) * radius, 6) AS minor, round(atan2(2 * c, vx - vy) / 2, 6) AS angle FROM r""",
+)
+def score_ellipse_points(spark, sf):
+    """Quantity and discount of all order lines, by return flag."""
+    points = roles.table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("condition"), F.col("l_quantity").cast("double").alias("pc1"), (F.col("l_discount") * 100).cast("double").alias("pc2"))
+    return rounded(components.score_ellipse(points))
+
+
 @query("score_ellipse")
 def score_ellipse(spark, sf):
     return rounded(components.score_ellipse(_pca(spark, sf, 2).scores))

@@ -111,6 +111,44 @@ def test_pca_of_every_rank(spark):
         assert np.allclose((loadings**2).sum(axis=0), np.where(sv > 1e-6, 1, 0), atol=1e-6)
 
 
+def test_score_ellipse_is_that_of_the_covariance(spark):
+    rng = np.random.default_rng(43)
+    rows = []
+    for name, mix in (("a", [[2, 1], [0, 0.5]]), ("b", [[1, 0], [0, 3]])):
+        rows += [(name, *(float(v) for v in p)) for p in rng.normal(size=(40, 2)) @ np.array(mix) + 5]
+    rows += [("one", 1.0, 2.0), ("line", 0.0, 0.0), ("line", 1.0, 1.0), ("line", 3.0, 3.0)]
+    got = {r["condition"]: r for r in components.score_ellipse(spark.createDataFrame(rows, "condition string, pc1 double, pc2 double"), level=0.9).collect()}
+    for name in ("a", "b", "line"):
+        points = np.array([r[1:] for r in rows if r[0] == name])
+        values, vectors = np.linalg.eigh(np.cov(points.T))
+        r, radius = got[name], math.sqrt(-2 * math.log(0.1))
+        assert np.allclose([r["centre_x"], r["centre_y"]], points.mean(axis=0))
+        assert np.allclose([r["major"], r["minor"]], radius * np.sqrt(np.maximum(values[::-1], 0)), atol=1e-6)
+        axis = vectors[:, 1]
+        assert abs(abs(math.cos(r["angle"]) * axis[0] + math.sin(r["angle"]) * axis[1]) - 1) < 1e-9
+    assert got["one"]["centre_x"] == 1.0 and got["one"]["major"] is None
+    inside = [r for r in rows if r[0] == "a"]
+    r = got["a"]
+    turn = np.array([[math.cos(r["angle"]), math.sin(r["angle"])], [-math.sin(r["angle"]), math.cos(r["angle"])]])
+    share = np.mean([((turn @ (np.array(p[1:]) - [r["centre_x"], r["centre_y"]]) / [r["major"], r["minor"]]) ** 2).sum() <= 1 for p in inside])
+    assert 0.75 < share <= 1
+
+
+def test_the_report_holds_every_module(spark):
+    reads = read_table(spark, [("s", 1, f"m:1:f:1:{i % 3}:{i}:1", "ACGTNACGT"[: 4 + i % 5], "IIIIIII#!"[: 4 + i % 5]) for i in range(30)])
+    adapters = spark.createDataFrame([("ad", "GT")], "name string, seq string")
+    report = read_quality.qc_merge({"raw": reads, "again": reads.filter("length(seq) > 5")}, adapters).toPandas()
+    modules = read_quality.qc_modules(reads, adapters)
+    assert set(report["module"]) == modules.keys() and len(modules) == 11 and set(report["stage"]) == {"raw", "again"}
+    for name, (table, label, bucket) in modules.items():
+        own = table.toPandas()
+        metrics = [c for c in own.columns if c not in ("sample", "mate", label, bucket)]
+        want = sorted((str(r[label]) if label else "", float(r[bucket]) if bucket else -1.0, m, repr(round(float(r[m]), 9))) for _, r in own.iterrows() for m in metrics)
+        part = report[(report["stage"] == "raw") & (report["module"] == name)]
+        got = sorted((r.label or "", -1.0 if r.bucket is None or r.bucket != r.bucket else r.bucket, r.metric, repr(round(float(r.value), 9))) for r in part.itertuples())
+        assert got == want, name
+
+
 def test_pls_equals_the_iteration_on_the_full_matrix(spark):
     x = np.random.default_rng(8).normal(size=(40, 8))
     model = components.pls(long_table(spark, x), sample_table(spark, 8, 4), LEVELS, 3)
