@@ -10,7 +10,14 @@ LEAST_ROWS = 10_000  # a key below this is never worth splitting
 
 
 def spread_join(
-    rows: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner", hot_share: float = 0.001, part_share: float = 0.0001
+    rows: DataFrame,
+    dim: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    hot_share: float = 0.001,
+    part_share: float = 0.0001,
+    probe: DataFrame | None = None,
+    probed: float = 1.0,
 ) -> DataFrame:
     """Join many rows to a table with few rows per key, splitting the keys that hold many of the rows.
 
@@ -19,16 +26,22 @@ def spread_join(
     as its measured count needs for parts of ``part_share`` of all rows; its rows get one by a hash of the row and of
     the partition it lies in, so that equal rows part too, and the few matching ``dim`` rows are repeated once per
     sub-key. Other keys join as usual.
+
+    The keys are counted in ``rows`` themselves, which are then evaluated twice, or in ``probe``: rows with the same keys made of
+    about ``probed`` of the input. The counts only place the rows; the result does not depend on them.
     """
     if how not in ("inner", "left"):
         raise ValueError("spread_join is for inner and left joins")
+    if hot_share < 1e-5 or not 0 < probed <= 1:
+        raise ValueError("hot_share is at least 0.00001, which bounds the list of hot keys, and probed a share")
     keys = list(keys)
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    least = LEAST_ROWS * probed
+    counts = (rows if probe is None else probe).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     all_rows = counts.agg(F.sum("_n").alias("t"))
-    hot = counts.withColumn("_t", all_rows.scalar()).filter((F.col("_n") > F.col("_t") * hot_share) & (F.col("_n") > LEAST_ROWS))
+    hot = counts.withColumn("_t", all_rows.scalar()).filter((F.col("_n") > F.col("_t") * hot_share) & (F.col("_n") > least))
     hot = hot.select(
         *[F.col(k).alias(f"_hot_{k}") for k in keys],
-        F.ceil(F.col("_n") / F.greatest(F.col("_t") * part_share, F.lit(LEAST_ROWS / 4))).alias("_salts"),
+        F.ceil(F.col("_n") / F.greatest(F.col("_t") * part_share, F.lit(least / 4))).alias("_salts"),
     )
 
     def mark(df: DataFrame) -> DataFrame:

@@ -547,6 +547,12 @@ def test_a_key_with_half_the_rows_is_spread(spark):
     joined = skew.spread_join(rows, dim, ["k"])
     assert joined.count() == 60_000 and joined.filter("k * 10 <> w").count() == 0
     assert skew.spread_join(rows, dim.filter("k > 0"), ["k"], "left").filter("w is null").count() == 30_000
+    # counted in a part of the rows, in none, or in rows that do not stand for the others: the result is the same
+    for probe in (rows.sample(0.2, seed=3), rows.limit(0), rows.filter("k = 7")):
+        joined = skew.spread_join(rows, dim, ["k"], probe=probe, probed=0.2)
+        assert joined.count() == 60_000 and joined.filter("k * 10 <> w").count() == 0
+    with pytest.raises(ValueError):
+        skew.spread_join(rows, dim, ["k"], hot_share=0.0)
 
 
 def test_out_of_bag_votes_follow_from_the_weights(spark):
