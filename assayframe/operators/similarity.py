@@ -3,19 +3,23 @@
 Samples: each task multiplies its own block of features into a small samples × samples matrix and only
 those are added up, so no pair of cells is ever emitted.
 Features: the output is one number per pair of features. Features are cut into blocks of a set size and a
-task gets two blocks; each feature is sent once per block instead of once per partner.
+task gets two blocks; each feature is sent once per block instead of once per partner. With a threshold, blocks are
+cells of like features, and pairs of blocks that are too far apart are not compared.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import nan_to_null
+from ..sources.staging import stage
 from .matrix import sample_list
 
 
@@ -119,17 +123,86 @@ def sample_distance(long: DataFrame, samples: DataFrame) -> DataFrame:
     return _name_positions(summed, samples).select("a", "b", "distance")
 
 
-def _feature_pairs(vectors: DataFrame, kernel, schema: str, block_rows: int) -> DataFrame:
-    """Send blocks of features to every block pair once and run ``kernel`` on the two blocks."""
+_SAMPLE, _DIRECTIONS, _DEPTH = 2000, 8, 8  # features that place the cells, directions of the cells, and halvings at most
+
+
+class Blocks(NamedTuple):
+    """Features in blocks (feature, x, _b) and the pairs of blocks that can hold a wanted pair of features."""
+
+    placed: DataFrame
+    pairs: np.ndarray
+    n_blocks: int
+
+    @property
+    def skipped(self) -> float:
+        """Share of all pairs of blocks that need no look."""
+        return 1 - len(self.pairs) / (self.n_blocks * (self.n_blocks + 1) / 2)
+
+
+def feature_blocks(vectors: DataFrame, reach: float | None, mirror: bool = False, block_rows: int = 1000) -> Blocks:
+    """Blocks of about ``block_rows`` features (feature, x), and the pairs of blocks within ``reach`` of each other.
+
+    Without ``reach`` features are dealt by hash, and all pairs of blocks stay. Otherwise a bounded sample gives the directions
+    in which the features differ most, and cuts in them that halve it again and again; a block is (a part of) one cell between
+    the cuts. The ranges of all features of a cell in these directions bound how near two cells can be: a pair of cells that is
+    farther apart than ``reach`` is skipped. With ``mirror`` the negative of a feature counts as well.
+    """
+    vectors = stage(vectors.select("feature", "x"))
     n_blocks = max(1, math.ceil(vectors.count() / block_rows))
-    mine = F.pmod(F.xxhash64("feature"), F.lit(n_blocks)).cast("int")
-    # block b meets the pairs (min(b, c), max(b, c)) for every c
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.lit(n_blocks - 1)),
-        lambda c: F.struct(F.least(F.col("_b"), c).alias("_lo"), F.greatest(F.col("_b"), c).alias("_hi")),
-    )
-    sent = vectors.withColumn("_b", mine).select("feature", "x", "_b", F.explode(pairs).alias("_pair"))
-    sent = sent.select("feature", "x", "_b", F.col("_pair._lo").alias("_lo"), F.col("_pair._hi").alias("_hi"))
+    hashed = F.xxhash64("feature")
+    if reach is None or n_blocks == 1:
+        lo, hi = np.triu_indices(n_blocks)
+        return Blocks(vectors.withColumn("_b", F.pmod(hashed, F.lit(n_blocks)).cast("int")), np.stack([lo, hi], axis=1), n_blocks)
+    some = np.stack([np.array(r["x"]) for r in vectors.orderBy(hashed, "feature").limit(_SAMPLE).select("x").collect()])
+    directions = np.linalg.svd(some - some.mean(axis=0), full_matrices=False)[2][:_DIRECTIONS].T
+    depth = min(_DEPTH, math.ceil(math.log2(n_blocks)))
+    cuts: list[tuple[int, float]] = []
+    groups = [some @ directions]
+    for _ in range(depth):
+        halves = []
+        for own in groups:
+            along = int(np.ptp(own, axis=0).argmax()) if len(own) else 0
+            middle = float(np.median(own[:, along])) if len(own) else 0.0
+            cuts.append((along, middle))
+            halves += [own[own[:, along] <= middle], own[own[:, along] > middle]]
+        groups = halves
+    along, middle = (np.array(c) for c in zip(*cuts, strict=True))
+    kind = vectors.schema["feature"].dataType.simpleString()
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                y = np.stack(batch.column(1).to_numpy(zero_copy_only=False)) @ directions
+                at = np.zeros(len(y), np.int64)
+                for _ in range(depth):
+                    at = 2 * at + 1 + (y[np.arange(len(y)), along[at]] > middle[at])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at - (2**depth - 1)), pa.array(list(y), pa.list_(pa.float64()))], names=["feature", "x", "_cell", "_y"])
+
+    placed = stage(vectors.mapInArrow(place, f"feature {kind}, x array<double>, _cell long, _y array<double>"))
+    k = directions.shape[1]
+    ends = [f(F.get("_y", F.lit(i))).alias(f"{name}{i}") for name, f in (("lo", F.min), ("hi", F.max)) for i in range(k)]
+    cells = placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), *ends).orderBy("_cell").toPandas()  # 2 ** _DEPTH rows at most
+    low, high = (cells[[f"{name}{i}" for i in range(k)]].to_numpy() for name in ("lo", "hi"))
+    parts = np.ceil(cells["n"].to_numpy() / block_rows).astype(int)
+    first = np.cumsum(parts) - parts
+
+    def apart(low2: np.ndarray, high2: np.ndarray) -> np.ndarray:
+        gap = np.maximum(np.maximum(low[:, None] - high2[None], low2[None] - high[:, None]), 0)
+        return np.sqrt((gap**2).sum(axis=2))
+
+    near = apart(low, high) if not mirror else np.minimum(apart(low, high), apart(-high, -low))
+    one, two = np.nonzero(np.triu(near <= reach * (1 + 1e-9) + 1e-9))
+    pairs = [(i, j) for a, b in zip(one, two, strict=True) for i in range(first[a], first[a] + parts[a]) for j in range(first[b], first[b] + parts[b]) if i <= j]
+    table = placed.sparkSession.createDataFrame([(int(c), int(f), int(p)) for c, f, p in zip(cells["_cell"], first, parts, strict=True)], "_cell long, _first int, _parts int")
+    block = (F.col("_first") + F.pmod(hashed, F.col("_parts"))).cast("int").alias("_b")
+    return Blocks(placed.join(table, "_cell").select("feature", "x", block), np.array(pairs).reshape(-1, 2), int(parts.sum()))
+
+
+def _feature_pairs(vectors: DataFrame, kernel, schema: str, block_rows: int, reach: float | None = None, mirror: bool = False) -> DataFrame:
+    """Send blocks of features to every block pair that may hold results once and run ``kernel`` on the two blocks."""
+    blocks = feature_blocks(vectors, reach, mirror, block_rows)
+    meets = [(b, int(lo), int(hi)) for lo, hi in blocks.pairs for b in dict.fromkeys((int(lo), int(hi)))]
+    sent = blocks.placed.join(vectors.sparkSession.createDataFrame(meets, "_b int, _lo int, _hi int"), "_b").select("feature", "x", "_b", "_lo", "_hi")
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         lo, hi = key
@@ -150,7 +223,11 @@ def _feature_pairs(vectors: DataFrame, kernel, schema: str, block_rows: int) ->
 
 
 def feature_correlation(long: DataFrame, samples: DataFrame, min_abs: float = 0.0, block_rows: int = 1000) -> DataFrame:
-    """Pearson correlation of the pairs of complete, non-constant features with |r| >= min_abs (a < b)."""
+    """Pearson correlation of the pairs of complete, non-constant features with |r| >= min_abs (a < b).
+
+    As vectors of length one, features with that r are at most sqrt(2 - 2 min_abs) from each other or from the other's
+    negative, so a threshold lets whole pairs of blocks be skipped; without one the result is all pairs.
+    """
     x = F.col("x")
     mean = F.aggregate(x, F.lit(0.0), lambda s, v: s + v) / F.size(x)
     vectors = feature_vectors(long, samples).withColumn("x", F.transform(x, lambda v: v - mean))
@@ -163,11 +240,12 @@ def feature_correlation(long: DataFrame, samples: DataFrame, min_abs: float = 0.
         r = left @ right.T
         return r, np.abs(r) >= min_abs
 
-    return _feature_pairs(vectors, kernel, f"a {kind}, b {kind}, r double", block_rows)
+    reach = math.sqrt(max(0.0, 2 - 2 * min_abs)) if min_abs > 0 else None
+    return _feature_pairs(vectors, kernel, f"a {kind}, b {kind}, r double", block_rows, reach, mirror=True)
 
 
 def feature_distance(long: DataFrame, samples: DataFrame, max_distance: float | None = None, block_rows: int = 1000) -> DataFrame:
-    """Euclidean distance of the pairs of complete features, optionally only up to a distance (a < b)."""
+    """Euclidean distance of the pairs of complete features, optionally only up to a distance (a < b), which lets pairs of blocks be skipped."""
     vectors = feature_vectors(long, samples)
     kind = dict(vectors.dtypes)["feature"]
 
@@ -178,7 +256,7 @@ def feature_distance(long: DataFrame, samples: DataFrame, max_distance: float |
         d = np.sqrt(d2)
         return d, (d <= max_distance) if max_distance is not None else np.ones_like(d, dtype=bool)
 
-    return _feature_pairs(vectors, kernel, f"a {kind}, b {kind}, distance double", block_rows)
+    return _feature_pairs(vectors, kernel, f"a {kind}, b {kind}, distance double", block_rows, max_distance)
 
 
 def pairwise_distance(long: DataFrame, samples: DataFrame, by: str = "sample", **options) -> DataFrame:

@@ -555,6 +555,28 @@ def test_a_key_with_half_the_rows_is_spread(spark):
         skew.spread_join(rows, dim, ["k"], hot_share=0.0)
 
 
+def test_far_blocks_are_skipped_and_no_pair_is_lost(spark):
+    rng = np.random.default_rng(47)
+    centres = rng.normal(size=(12, 8)) * 4
+    values = centres[rng.integers(0, 12, 600)] + rng.normal(size=(600, 8)) * 0.3
+    values[:40] = -values[40:80]  # opposite features
+    values[80:140] = values[80]  # one cell with many equal features
+    long, samples = long_table(spark, values), sample_table(spark, 8, 4)
+    unit = values - values.mean(axis=1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    r = unit @ unit.T
+    got = {(x["a"], x["b"]): x["r"] for x in similarity.feature_correlation(long, samples, min_abs=0.95, block_rows=20).collect()}
+    sure, maybe = ({(i, j) for i, j in zip(*np.nonzero(np.triu(np.abs(r) >= 0.95 + d, 1)), strict=True)} for d in (1e-9, -1e-9))
+    assert sure <= got.keys() <= maybe and all(abs(v - r[k]) < 1e-9 for k, v in got.items()) and any(v < 0 for v in got.values())
+    d = np.sqrt(((values[:, None] - values[None]) ** 2).sum(axis=2))
+    found = {(x["a"], x["b"]): x["distance"] for x in similarity.pairwise_distance(long, samples, by="feature", max_distance=2.0, block_rows=20).collect()}
+    assert found.keys() == {(i, j) for i, j in zip(*np.nonzero(np.triu(d <= 2, 1) | np.triu(d == 0, 1)), strict=True)}
+    vectors = similarity.feature_vectors(long, samples)
+    assert similarity.feature_blocks(vectors, 2.0, block_rows=20).skipped > 0.5
+    everything = similarity.feature_blocks(vectors, None, block_rows=20)
+    assert everything.skipped == 0 and similarity.feature_blocks(vectors, 1e9, block_rows=20).skipped == 0
+
+
 def test_out_of_bag_votes_follow_from_the_weights(spark):
     rng = np.random.default_rng(23)
     rows = [(i, "abc"[i % 3], [float(x) for x in rng.normal(i % 3, 1.5, 6)]) for i in range(90)]
