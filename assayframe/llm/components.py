@@ -10,8 +10,8 @@ from . import folders
 def components(links: DataFrame) -> DataFrame:
     """From links (a, b) to (node, root): the smallest node of the component of every linked node but the root itself.
 
-    Every step is an aggregate and a join on one endpoint, so a node with very many links stays spread out; each is
-    written to the shared folder. Links of a node to itself and repeated links are ignored, null nodes must not occur.
+    Every step is an aggregate and a join on one endpoint, written to the shared folder; the links of one node (a pair of
+    16-byte names each) meet in one task of the join. Links of a node to itself and repeated links are ignored, null nodes must not occur.
     """
     ab = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     state, before = folders.save(ab, "edges"), None
