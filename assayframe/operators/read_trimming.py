@@ -148,7 +148,95 @@ def _parts(batch: pd.DataFrame, column: str) -> Iterator[pd.DataFrame]:
 
 
 def _clip_places(seqs: pd.Series, quals: pd.Series, adapters: list[np.ndarray], seeds: int, score: float, seed_length: int, offset: int) -> np.ndarray:
-    """Per read the first position where an adapter aligns well enough; the read length if none does."""
+    """Per read the first position where an adapter aligns well enough; the read length if none does.
+
+    Of ``seeds`` + 1 parts of a seed one has no mismatch, so whole seeds are compared only where a part is found. Reads too
+    short to hold a whole seed, and adapters with too few letters for the parts, are tried at every position.
+    """
+    length = seqs.str.len().to_numpy(np.int64)
+    parted = [a for a in adapters if len(a) > seeds]
+    best = _seeded_places(seqs, quals, parted, seeds, score, seed_length, offset)
+    short = np.flatnonzero(length < seed_length)
+    some = list(dict.fromkeys([*(np.arange(len(seqs)).tolist() if len(parted) < len(adapters) else []), *short.tolist()]))
+    if some:
+        tried = [a for a in adapters if len(a) <= seeds]
+        rest = _tried_places(seqs.iloc[some], quals.iloc[some], tried, seeds, score, seed_length, offset)
+        best[some] = np.minimum(best[some], rest)
+    if len(short):
+        best[short] = np.minimum(best[short], _tried_places(seqs.iloc[short], quals.iloc[short], parted, seeds, score, seed_length, offset))
+    return best
+
+
+def _stretch_hashes(codes: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of every stretch of ``size`` letters; equal stretches have equal ones."""
+    count = max(0, len(codes) - size + 1)
+    out = np.zeros(count, np.uint64)
+    for j in range(size):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + codes[j : j + count].astype(np.uint64) + np.uint64(1)
+    return out
+
+
+_AT_ONCE = 1 << 16  # alignments that are scored together
+
+
+def _seeded_places(seqs: pd.Series, quals: pd.Series, adapters: list[np.ndarray], seeds: int, score: float, seed_length: int, offset: int) -> np.ndarray:
+    """The first places for whole seeds, found by their parts."""
+    length = seqs.str.len().to_numpy(np.int64)
+    best = length.copy()
+    codes = _codes("".join(seqs))
+    begin = np.cumsum(length) - length
+    of = np.repeat(np.arange(len(seqs)), length)
+    quality = _qualities(quals, offset)
+    quality = np.pad(quality, ((0, 0), (0, max(0, int(length.max(initial=0)) - quality.shape[1]))))
+    widest = max((len(a) for a in adapters), default=0)
+    letters = np.zeros((len(adapters), widest), np.uint32)
+    for i, a in enumerate(adapters):
+        letters[i, : len(a)] = a
+    sizes = np.array([len(a) for a in adapters], np.int64)
+    heads = np.minimum(sizes, seed_length)
+    padded = np.pad(codes, (0, widest + seed_length))
+    for head in np.unique(heads).tolist():
+        own = np.flatnonzero(heads == head)
+        found = []
+        for part in np.array_split(np.arange(head), seeds + 1):
+            start, size = int(part[0]), len(part)
+            wanted = np.array([_stretch_hashes(letters[i, start : start + size], size)[0] for i in own], np.uint64)
+            order = np.argsort(wanted, kind="stable")
+            keys = wanted[order]
+            there = _stretch_hashes(codes, size)
+            first, last = np.searchsorted(keys, there, "left"), np.searchsorted(keys, there, "right")
+            at = np.flatnonzero(last > first)
+            many = last[at] - first[at]
+            place = np.repeat(at, many) - start
+            adapter = own[order[np.repeat(first[at] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))]]
+            row = of[np.repeat(at, many)]
+            inside = (place >= begin[row]) & (place + head <= begin[row] + length[row])
+            found.append(place[inside] * len(adapters) + adapter[inside])
+        for_all = np.unique(np.concatenate(found))
+        for first in range(0, len(for_all), _AT_ONCE):
+            place, adapter = np.divmod(for_all[first : first + _AT_ONCE], len(adapters))
+            misses = (padded[place[:, None] + np.arange(head)] != letters[adapter, :head]).sum(axis=1)
+            row = of[place]
+            start = place - begin[row]
+            near = np.flatnonzero((misses <= seeds) & (start < best[row]))
+            row, start, adapter, place = row[near], start[near], adapter[near], place[near]
+            step = max(1, _CELLS // max(1, widest))
+            for part in range(0, len(row), step):
+                r, b, a, p = row[part : part + step], start[part : part + step], adapter[part : part + step], place[part : part + step]
+                size = np.minimum(sizes[a], length[r] - b)
+                good = _alignment_scores(padded[p[:, None] + np.arange(widest)], _from_places(quality, r, b, widest), letters[a], size) >= score
+                np.minimum.at(best, r[good], b[good])
+    return best
+
+
+def _from_places(rows: np.ndarray, row: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
+    """``width`` values of the given rows from the given places on, zeros beyond the end."""
+    at = start[:, None] + np.arange(width)[None, :]
+    return np.where(at < rows.shape[1], rows[row[:, None], np.minimum(at, rows.shape[1] - 1)], 0)
+
+
+def _tried_places(seqs: pd.Series, quals: pd.Series, adapters: list[np.ndarray], seeds: int, score: float, seed_length: int, offset: int) -> np.ndarray:
+    """The first places, with every adapter tried at every position."""
     seq, length = _padded(seqs)
     qual = _qualities(quals, offset)
     qual = np.pad(qual, ((0, 0), (0, max(0, seq.shape[1] - qual.shape[1]))))

@@ -541,6 +541,30 @@ def test_short_adapters_and_short_reads_are_searched(spark):
     assert got == {"a": "CCTTGGCCAATTCCGG", "b": "CCTTGGCCAATT", "c": ""}
 
 
+def test_seeds_found_by_parts_equal_those_tried_everywhere():
+    rng = np.random.default_rng(53)
+
+    def word(n, letters):
+        return "".join(rng.choice(list(letters), n))
+
+    for trial in range(24):
+        letters = ["ACGT", "ACGTÄ", "AC"][trial % 3]
+        adapters = [word(rng.integers(1, 40), letters) for _ in range(rng.integers(1, 12))]
+        reads = []
+        for _ in range(30):
+            read, adapter = list(word(rng.integers(0, 120), letters)), list(adapters[rng.integers(len(adapters))])
+            for _ in range(rng.integers(0, 4)):
+                adapter[rng.integers(len(adapter))] = rng.choice(list(letters))
+            at = rng.integers(len(read) + 1)
+            read[at:at] = adapter if rng.random() < 0.7 else []
+            reads.append("".join(read))
+        quals = ["".join(chr(33 + int(v)) for v in rng.integers(0, 42, len(x) if trial % 5 else len(x) // 2)) for x in reads]
+        codes = [read_trimming._codes(a) for a in sorted(set(adapters))]
+        for seeds, seed_length in ((0, 16), (1, 5), (2, 16), (3, 16), (2, 5)):
+            args = (pd.Series(reads), pd.Series(quals), codes, seeds, 5.0, seed_length, 33)
+            assert (read_trimming._clip_places(*args) == read_trimming._tried_places(*args)).all()
+
+
 def test_a_key_with_half_the_rows_is_spread(spark):
     rows = spark.range(60_000).selectExpr("if(id % 2 = 0, 0, id) AS k", "id % 3 AS v").repartition(6)
     dim = spark.range(60_000).selectExpr("id AS k", "id * 10 AS w")
