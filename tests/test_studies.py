@@ -679,3 +679,14 @@ def test_forest_separates_classes_and_finds_the_outlier(spark):
     mixed = spark.createDataFrame([(i, "a" if i < 30 else "b", x) for i, _, x in mixed], "id long, label string, features array<double>")
     scores = {r["id"]: r["outlier"] for r in forest.rf_outlier(mixed, trees=40, per_split=2).collect() if r["label"] == "a"}
     assert len(scores) == 30 and sorted(scores, key=scores.get)[-3:].count(0) == 1
+
+
+def test_mass_matches_never_broadcast_the_exploded_masses(spark):
+    peaks = spark.range(2000).selectExpr("concat('p', id) AS peak_id", "100 + id / 10 AS mz", "1.0D AS rt", "'positive' AS polarity")
+    dim = spark.range(500).selectExpr("id AS compound_id", "100 + id / 5 AS mass")
+    hits = spectra.match_mass(peaks, dim, spectra.adduct_table(spark), ppm=10)
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" in plan
+    shifts = [(a, s) for a, s, _, p in spectra.ADDUCTS if p == "positive"]
+    want = sum(abs(100 + i / 10 - (100 + c / 5 + s)) <= (100 + c / 5 + s) * 10 / 1e6 for i in range(2000) for c in range(500) for _, s in shifts)
+    assert hits.count() == want
