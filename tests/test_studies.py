@@ -681,6 +681,26 @@ def test_forest_separates_classes_and_finds_the_outlier(spark):
     assert len(scores) == 30 and sorted(scores, key=scores.get)[-3:].count(0) == 1
 
 
+def test_isotope_pairs_send_a_feature_once_a_cell_and_not_once_a_rule(spark):
+    rng = np.random.default_rng(3)
+    rows = [(f"f{i}", float(m), float(t), "positive" if i % 3 else "negative") for i, (m, t) in enumerate(zip(rng.integers(100, 160, 400) + rng.normal(0, 0.01, 400), rng.integers(0, 40, 400) / 4, strict=True))]
+    rows += [("n", None, 1.0, "positive"), ("x", float("nan"), 1.0, "positive"), ("t", 120.0, None, "positive"), ("p", 120.0, 1.0, None), (None, 121.0, 1.0, "positive"), rows[1]]
+    rules = [("one", 1.0, "positive"), ("one", 1.0, "positive"), ("back", -2.0, "positive"), ("two", 2.0, "negative"), ("none", None, "negative")]
+    features = spark.createDataFrame(rows, "feature string, mz double, rt double, polarity string")
+    found = spectra.annotate_peaks(features, spark.createDataFrame(rules, "rule string, delta double, polarity string"), 0.015, 0.5)
+    want = sorted(
+        (p, a, b, rule, y - x)
+        for a, x, s, p in rows
+        for b, y, t, q in rows
+        for rule, delta, of in rules
+        if None not in (a, b, x, y, s, t, delta) and p == q == of and a != b and abs(y - (x + delta)) <= 0.015 and abs(t - s) <= 0.5
+    )
+    assert sorted(map(tuple, found.collect())) == want and len(want) > 50
+    # a join of rows copied for every rule and cell needs twenty times the features on disk
+    assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_mass_matches_never_broadcast_the_exploded_masses(spark):
     peaks = spark.range(2000).selectExpr("concat('p', id) AS peak_id", "100 + id / 10 AS mz", "1.0D AS rt", "'positive' AS polarity")
     dim = spark.range(500).selectExpr("id AS compound_id", "100 + id / 5 AS mass")
