@@ -14,6 +14,7 @@ from ..functions.text import ratio_text
 from ..sources.staging import stage
 from .adjust import adjust_bh, q_value
 from .ordered import distinct_counts, running
+from .skew import spread_join
 from .spectra import empirical_compounds, match_mass
 
 
@@ -73,25 +74,29 @@ def mummichog(
     number of peaks ``n_perm`` times: draw d takes the peaks with the smallest hashes of peak and d, so the result does not
     depend on partitioning. A peak holds its part in all draws as bits of a few words (bit 0: the real list), an empirical
     compound the OR of its peaks', and a pathway's hits in every draw are counted from the words; no row stands for a peak
-    and a draw. ``p_perm`` is the share of permuted pathway p-values that are at least as small.
+    and a draw. Compounds of the same masses (isomers) are matched and grouped once and counted as often as there are. ``p_perm`` is the share of permuted pathway p-values that are at least as small.
     """
-    matches = stage(match_mass(peaks, compounds, adducts, ppm).select("peak_id", "compound_id", "rt"))
     linked = links.select("compound_id", "pathway_id").dropna().distinct()
-    empirical = empirical_compounds(matches, rt_window).select("peak_id", "compound_id", "ec_id").distinct()
-    empirical = stage(empirical.join(linked.select("compound_id").distinct(), "compound_id", "left_semi"))
+    # compounds of the same masses match the same peaks: the first one of each such class stands for all of it
+    forms, members = mass_classes(compounds.join(linked.select("compound_id").distinct(), "compound_id", "left_semi"))
+    matches = stage(match_mass(peaks, forms, adducts, ppm).select("peak_id", "compound_id", "rt"))
+    empirical = stage(empirical_compounds(matches, rt_window).select("peak_id", "compound_id", "ec_id").distinct())
+    in_class = members.groupBy(F.col("first").alias("compound_id")).agg(F.count(F.lit(1)).alias("n"))
+    in_path = members.join(linked, "compound_id").groupBy(F.col("first").alias("compound_id"), "pathway_id").agg(F.count(F.lit(1)).alias("n"))
     listed = stage(peaks.groupBy("peak_id").agg(F.min("p").alias("p")).select("peak_id", "p", F.xxhash64("peak_id", F.lit(seed)).alias("h")))
     drawn = draw_words(listed.select("peak_id", "h", F.coalesce(safe_lt("p", p_cut), F.lit(False)).alias("real")), n_perm)
     words = [c for c in drawn.columns if c != "peak_id"]
     found = stage(empirical.join(drawn, "peak_id").groupBy("compound_id", "ec_id").agg(*[F.bit_or(c).alias(c) for c in words]))
-    forms = found.groupBy("compound_id").agg(F.count(F.lit(1)).alias("n"))
-    sizes = forms.join(linked, "compound_id").groupBy("pathway_id").agg(F.sum("n").alias("set_size")).filter(F.col("set_size") >= min_size)
-    n_hit = bit_counts(found.select(F.lit("").alias("all"), *words), "all", n_perm + 1).select("bit", F.col("n").alias("n_drawn"))
+    sizes = found.groupBy("compound_id").agg(F.count(F.lit(1)).alias("forms")).join(in_path, "compound_id")
+    sizes = sizes.groupBy("pathway_id").agg(F.sum(F.col("forms") * F.col("n")).alias("set_size")).filter(F.col("set_size") >= min_size)
+    weighed = found.join(in_class, "compound_id")
+    n_hit = bit_counts(weighed.select(F.lit("").alias("all"), *words, "n"), "all", n_perm + 1, weight="n").select("bit", F.col("n").alias("n_drawn"))
     tested = (
-        bit_counts(found.join(linked, "compound_id").select("pathway_id", *words), "pathway_id", n_perm + 1)
+        bit_counts(found.join(in_path, "compound_id").select("pathway_id", *words, "n"), "pathway_id", n_perm + 1, weight="n")
         .select("pathway_id", F.col("bit").alias("perm"), F.col("n").alias("hit_count"))
         .join(sizes, "pathway_id")
         .join(n_hit.withColumnRenamed("bit", "perm"), "perm")
-        .withColumn("n_background", found.agg(F.count(F.lit(1))).scalar())
+        .withColumn("n_background", weighed.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar())
         .withColumn("p", once(hypergeom_upper("hit_count", "n_drawn", "set_size", "n_background")))
     )
     tested = stage(tested)
@@ -104,6 +109,17 @@ def mummichog(
     return shown.join(below, shown["p"] == below["_p"]).select("pathway_id", "set_size", "hit_count", "n_drawn", "p", "p_perm")
 
 
+def mass_classes(compounds: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Compounds of the same masses as one class, named by its first compound: (compound_id, mass) of these, and
+    (compound_id, first) of all compounds."""
+    known = compounds.select("compound_id", "mass").dropna(subset=["compound_id"]).filter(F.col("mass").isNotNull())
+    # the masses of one id: one, or a few where a table lists it again
+    sets = known.groupBy("compound_id").agg(F.array_sort(F.collect_set("mass")).alias("_masses"))
+    classes = stage(sets.groupBy("_masses").agg(F.min("compound_id").alias("first")))
+    members = stage(spread_join(sets, classes, ["_masses"]).select("compound_id", "first"))
+    return classes.select(F.col("first").alias("compound_id"), F.explode("_masses").alias("mass")), members
+
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ROWS = 4096  # peaks whose hashes of all draws are held at a time
 _FEW = 4096  # hashes of a draw that may reach the driver
@@ -195,12 +211,12 @@ def draw_words(peaks: DataFrame, n_perm: int) -> DataFrame:
     return peaks.select("peak_id", "h", "real").mapInArrow(run, ", ".join([f"peak_id {kind}", *[f"{c} long" for c in names[1:]]]))
 
 
-def bit_counts(rows: DataFrame, key: str, n_bits: int, most: int = 20_000) -> DataFrame:
-    """(key, bit, n) with n > 0: in how many rows of a key each bit of the words is set.
+def bit_counts(rows: DataFrame, key: str, n_bits: int, most: int = 20_000, weight: str | None = None) -> DataFrame:
+    """(key, bit, n) with n > 0: in how many rows of a key each bit of the words is set; a row counts ``weight`` times.
 
     Tasks add up the bits of their rows for each key, for at most ``most`` keys at a time, before anything is shuffled.
     """
-    words = [c for c in rows.columns if c != key]
+    words = [c for c in rows.columns if c not in (key, weight)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[object, np.ndarray] = {}
@@ -220,6 +236,8 @@ def bit_counts(rows: DataFrame, key: str, n_bits: int, most: int = 20_000) -> Da
             packed = np.stack([batch.column(1 + i).to_numpy() for i in range(len(words))], axis=1)[order]
             starts = np.flatnonzero(np.append(True, np.diff(of[order]) != 0))
             bits = np.unpackbits(packed.view(np.uint8), axis=1, bitorder="little", count=n_bits)
+            if weight:
+                bits = bits * batch.column(1 + len(words)).to_numpy()[order][:, None]
             sums = np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
             for name, total in zip(coded.dictionary.take(pa.array(of[order][starts])).to_pylist(), sums, strict=True):
                 held[name] = held[name] + total if name in held else total
@@ -230,7 +248,7 @@ def bit_counts(rows: DataFrame, key: str, n_bits: int, most: int = 20_000) -> Da
             yield told()
 
     kind = rows.schema[key].dataType.simpleString()
-    parts = rows.select(key, *words).mapInArrow(run, f"{key} {kind}, n array<long>")
+    parts = rows.select(key, *words, *([weight] if weight else [])).mapInArrow(run, f"{key} {kind}, n array<long>")
     cells = parts.select(key, F.posexplode("n").alias("bit", "n")).filter("n > 0")
     return cells.groupBy(key, "bit").agg(F.sum("n").alias("n"))
 

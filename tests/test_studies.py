@@ -710,3 +710,29 @@ def test_mass_matches_never_broadcast_the_exploded_masses(spark):
     shifts = [(a, s) for a, s, _, p in spectra.ADDUCTS if p == "positive"]
     want = sum(abs(100 + i / 10 - (100 + c / 5 + s)) <= (100 + c / 5 + s) * 10 / 1e6 for i in range(2000) for c in range(500) for _, s in shifts)
     assert hits.count() == want
+
+
+def test_permuted_pathways_count_isomers_without_matching_each(spark, monkeypatch):
+    rng = np.random.default_rng(15)
+    masses = pd.DataFrame([(f"c{i}", 100 + 10.0 * (i % 8)) for i in range(48)] + [("c1", 170.0), ("c1", 110.0), ("c9", None)], columns=["compound_id", "mass"])
+    peaks = pd.DataFrame([(f"q{i}", 101.007276 + 10.0 * (i % 9), float(rng.integers(300)), "positive", rng.random()) for i in range(300)], columns=["peak_id", "mz", "rt", "polarity", "p"])
+    links = pd.DataFrame([(f"c{i}", f"p{i % 5}") for i in range(44)] + [("c3", "p0"), ("c3", "p0")], columns=["compound_id", "pathway_id"])
+    adducts = spectra.adduct_table(spark).filter("adduct = 'M+H'")
+    tables = [spark.createDataFrame(x) for x in (peaks, masses)]
+    matched = []
+
+    def seen(*args):
+        matched.append(spectra.match_mass(*args))
+        return matched[-1]
+
+    monkeypatch.setattr(enrichment, "match_mass", seen)
+    got = {r["pathway_id"]: (r["set_size"], r["hit_count"], r["n_drawn"]) for r in enrichment.mummichog(*tables, adducts, spark.createDataFrame(links), rt_window=20.0, p_cut=0.2, n_perm=10).collect()}
+    # every compound by itself
+    hits = spectra.match_mass(*tables, adducts).select("peak_id", "compound_id", "rt")
+    own = spectra.empirical_compounds(hits, 20.0).toPandas().merge(links.drop_duplicates(), on="compound_id").merge(peaks[["peak_id", "p"]], on="peak_id")
+    drawn = own[own.p < 0.2]
+    n_drawn = drawn[["compound_id", "ec_id"]].drop_duplicates().shape[0]
+    sizes, found = (t[["pathway_id", "compound_id", "ec_id"]].drop_duplicates().groupby("pathway_id").size() for t in (own, drawn))
+    assert got == {p: (sizes[p], n, n_drawn) for p, n in found.items()} and len(got) == 5
+    # eight masses, and one compound of two
+    assert matched[0].select("compound_id").distinct().count() <= 9 < hits.select("compound_id").distinct().count()
