@@ -14,8 +14,7 @@ from ..functions.text import ratio_text
 from ..sources.staging import stage
 from .adjust import adjust_bh, q_value
 from .ordered import distinct_counts, running
-from .skew import spread_join
-from .spectra import empirical_compounds, match_mass
+from .spectra import empirical_compounds, mass_classes, match_mass
 
 
 def _set_members(sets: DataFrame, universe: DataFrame | None) -> DataFrame:
@@ -109,17 +108,6 @@ def mummichog(
     return shown.join(below, shown["p"] == below["_p"]).select("pathway_id", "set_size", "hit_count", "n_drawn", "p", "p_perm")
 
 
-def mass_classes(compounds: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Compounds of the same masses as one class, named by its first compound: (compound_id, mass) of these, and
-    (compound_id, first) of all compounds."""
-    known = compounds.select("compound_id", "mass").dropna(subset=["compound_id"]).filter(F.col("mass").isNotNull())
-    # the masses of one id: one, or a few where a table lists it again
-    sets = known.groupBy("compound_id").agg(F.array_sort(F.collect_set("mass")).alias("_masses"))
-    classes = stage(sets.groupBy("_masses").agg(F.min("compound_id").alias("first")))
-    members = stage(spread_join(sets, classes, ["_masses"]).select("compound_id", "first"))
-    return classes.select(F.col("first").alias("compound_id"), F.explode("_masses").alias("mass")), members
-
-
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ROWS = 4096  # peaks whose hashes of all draws are held at a time
 _FEW = 4096  # hashes of a draw that may reach the driver

@@ -736,3 +736,17 @@ def test_permuted_pathways_count_isomers_without_matching_each(spark, monkeypatc
     assert got == {p: (sizes[p], n, n_drawn) for p, n in found.items()} and len(got) == 5
     # eight masses, and one compound of two
     assert matched[0].select("compound_id").distinct().count() <= 9 < hits.select("compound_id").distinct().count()
+
+
+def test_isomers_are_grouped_once_and_told_for_each(spark):
+    masses = spark.createDataFrame([(f"c{i}", 100.0 + 10 * (i % 3)) for i in range(9)] + [("c8", 120.0), ("c7", 130.0), (None, 100.0), ("n", None)], "compound_id string, mass double")
+    peaks = spark.createDataFrame([(f"p{i}", 101.007276 + 10 * (i % 4), float(i * 7 % 60), "positive") for i in range(60)], "peak_id string, mz double, rt double, polarity string")
+    adducts = spectra.adduct_table(spark)
+    forms, members = spectra.mass_classes(masses)
+    matches = spectra.match_mass(peaks, forms, adducts)
+    told = spectra.empirical_compounds(matches, 10.0, members)
+    plain = spectra.empirical_compounds(spectra.match_mass(peaks, masses, adducts), 10.0)
+    columns = ["peak_id", "compound_id", "adduct", "rt", "ec_id"]
+    rows = sorted(map(tuple, plain.select(*columns).collect()))
+    assert sorted(map(tuple, told.select(*columns).collect())) == rows
+    assert matches.count() < len(rows)
