@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .rangejoin import interval_overlap
+from .rangejoin import interval_overlap, merged_intervals
 
 # fixed values: bits of the alignment flag
 UNMAPPED, MATE_UNMAPPED, REVERSE, SECOND_MATE = 4, 8, 16, 128
@@ -90,6 +90,8 @@ def count_features(
     blocks = aligned_blocks(reads.select(*keys, "chrom", "pos", "cigar", "strand"))
     blocks = blocks.select(*keys, *on, "block_start", "block_end")
     genes = exons.select(*on, "gene_id", F.col("start").alias("exon_start"), F.col("end").alias("exon_end"))
+    # a read touches a gene's exons where it touches what they cover: overlapping exons would only repeat the hit
+    genes = merged_intervals(genes, [*on, "gene_id"], "exon_start", "exon_end")
     hits = interval_overlap(blocks, genes, on, ("block_start", "block_end"), ("exon_start", "exon_end"), width)
     one_gene = (
         hits.groupBy(*keys)

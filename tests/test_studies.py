@@ -738,6 +738,34 @@ def test_permuted_pathways_count_isomers_without_matching_each(spark, monkeypatc
     assert matched[0].select("compound_id").distinct().count() <= 9 < hits.select("compound_id").distinct().count()
 
 
+def test_overlapping_exons_of_a_gene_meet_a_read_once(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    exons = [(f"c{i % 2}", int(s), int(s + n), "+-"[i % 2], None if i == 7 else f"g{i % 5}") for i, (s, n) in enumerate(zip(rng.integers(0, 3000, 200), rng.integers(1, 60, 200), strict=True))]
+    exons += [("c0", 50, 40, "+", "g0"), ("c0", None, 40, "+", "g0"), exons[0]]
+    reads = [("s", i, 16 * int(rng.integers(2)), f"c{i % 2}", int(rng.integers(0, 3000)), "20M30N10M", 60, 1) for i in range(300)]
+    table = spark.createDataFrame(exons, "chrom string, start int, end int, strand string, gene_id string")
+    seen = []
+
+    def overlap(*args):
+        seen.append(rangejoin.interval_overlap(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(alignments, "interval_overlap", overlap)
+    got = alignments.count_features(spark.createDataFrame(reads, "sample string, read_id long, flag int, chrom string, pos int, cigar string, mapq int, nh int"), table, paired=False, strand=1)
+    want = {}
+    for _, _, flag, chrom, pos, *_ in reads:
+        blocks = [(pos, pos + 19), (pos + 50, pos + 59)]
+        genes = {g for c, s, e, strand, g in exons if s is not None and c == chrom and strand == ("-" if flag else "+") and s <= e and any(a <= e and s <= b for a, b in blocks)} - {None}
+        if len(genes) == 1:
+            want[min(genes)] = want.get(min(genes), 0) + 1
+    assert {r["gene_id"]: r["count"] for r in got.collect() if r["count"]} == want and len(want) >= 4
+    # at most one hit for a block and a stretch that a gene covers
+    merged = rangejoin.merged_intervals(table, ["chrom", "strand", "gene_id"], "start", "end").toPandas().sort_values("start")
+    assert all((own["start"].to_numpy()[1:] > own["end"].to_numpy()[:-1]).all() for _, own in merged.groupby(["chrom", "strand", "gene_id"], dropna=False))
+    covered = {(c, st, g, x) for c, s, e, st, g in exons if s is not None for x in range(s, e + 1)}
+    assert sum(merged["end"] - merged["start"] + 1) == len(covered)
+
+
 def test_isomers_are_grouped_once_and_told_for_each(spark):
     masses = spark.createDataFrame([(f"c{i}", 100.0 + 10 * (i % 3)) for i in range(9)] + [("c8", 120.0), ("c7", 130.0), (None, 100.0), ("n", None)], "compound_id string, mass double")
     peaks = spark.createDataFrame([(f"p{i}", 101.007276 + 10 * (i % 4), float(i * 7 % 60), "positive") for i in range(60)], "peak_id string, mz double, rt double, polarity string")
