@@ -9,7 +9,7 @@ The network is fitted on the driver to a bounded sample: at most ``train_rows``
 there are as many, of at most ``train_bytes`` bytes each (longer ones are not trained on). Every text is scored whole: the
 largest values of the parts of a long text are merged. Table rows that no training text touched are zero.
 
-``calibrate`` chooses a threshold for each language on labelled rows that neither training nor the held-out fold uses: the
+``calibrate`` chooses a threshold for each language on all labelled rows that neither training nor the held-out fold uses: the
 middle of the best gap by the F-measure, half of the way to the default where a language has few rows of a class. Scores
 never depend on the language.
 
@@ -28,7 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from . import texts
+from ..operators.ordered import running
+from . import folders, texts
 
 TRAIN_ROWS, TRAIN_BYTES = 8_000, 1 << 15
 BUCKETS, WIDTH, FILTERS, SPANS = 1 << 15, 12, 16, (1, 2, 3)
@@ -38,6 +39,7 @@ AFFIXES = (4, 6)
 #: Slices for scoring are smaller than others: a word's features and filter values take some 300 bytes.
 SLICE_BYTES = 1 << 18
 PLAIN_CUT = 0.5
+LEAST = 20  # rows of each class that a threshold of its own needs
 
 
 def features(t: texts.Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -257,7 +259,7 @@ def score(docs: DataFrame, net: Network, text: str = "text", cut: float = PLAIN_
     return chosen.mapInArrow(run, schema)
 
 
-def threshold(scores: np.ndarray, y: np.ndarray, least: int = 20) -> float:
+def threshold(scores: np.ndarray, y: np.ndarray, least: int = LEAST) -> float:
     """The cut of the best F-measure, in the middle of the gap below it; drawn to ``PLAIN_CUT`` by few rows of a class."""
     few = min(int(y.sum()), int(len(y) - y.sum()))
     if few == 0:
@@ -268,17 +270,37 @@ def threshold(scores: np.ndarray, y: np.ndarray, least: int = 20) -> float:
     measure[:-1][s[:-1] == s[1:]] = -1  # a cut stands between different scores
     best = int(measure.argmax())
     cut = (s[best] + (s[best + 1] if best + 1 < len(s) else 0)) / 2
+    return drawn_cut(cut, few, least)
+
+
+def drawn_cut(cut: float, few: int, least: int = LEAST) -> float:
+    """A cut drawn to ``PLAIN_CUT`` where a class has fewer than ``least`` rows."""
     trust = min(1.0, few / least)
     return float(trust * cut + (1 - trust) * PLAIN_CUT)
 
 
-def calibrate(docs: DataFrame, labels: DataFrame, net: Network, id_col: str = "doc_id", text: str = "text", lang: str = "lang", label: str = "toxic", rows: int = TRAIN_ROWS) -> dict[str | None, float]:
-    """A threshold for each language among at most ``rows`` labelled rows of fold 1; a language without any has ``PLAIN_CUT``."""
-    chosen = sampled(known(labels, id_col, label, (1,)), rows)
-    found = docs.select(docs[id_col].alias("_id"), docs[text].alias("_text"), docs[lang].alias("_lang")).join(F.broadcast(chosen), "_id")
-    scored = score(found.select("_lang", "_y", "_text"), net, "_text", columns=("_lang", "_y")).select("_lang", "_y", "score")
-    table = scored.orderBy("_lang", "score", "_y").limit(rows).toPandas()
-    return {None if lang_ is None or lang_ != lang_ else lang_: threshold(own["score"].to_numpy(), own["_y"].to_numpy()) for lang_, own in table.groupby("_lang", dropna=False)}
+def calibrate(docs: DataFrame, labels: DataFrame, net: Network, id_col: str = "doc_id", text: str = "text", lang: str = "lang", label: str = "toxic") -> dict[str | None, float]:
+    """The :func:`threshold` of each language over all labelled rows of fold 1; a language without any has ``PLAIN_CUT``.
+
+    The rows are counted by language and score; only the thresholds reach the driver.
+    """
+    chosen = known(labels, id_col, label, (1,))
+    found = docs.select(docs[id_col].alias("_id"), docs[text].alias("_text"), docs[lang].alias("_lang")).join(chosen, "_id")
+    scored = score(found.select("_lang", "_y", "_text"), net, "_text", columns=("_lang", "_y"))
+    # a key that is never null
+    key = F.when(F.col("_lang").isNull(), "").otherwise(F.concat(F.lit("="), F.col("_lang")))
+    counted = folders.save(scored.groupBy(key.alias("_key"), "_lang", "score").agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("ones")), "toxicity-scores")
+
+    def at_least(column: str, out: str) -> DataFrame:
+        summed = running(counted.select("_key", "score", F.col(column).alias("n")), ["_key"], "score")
+        return summed.select("_key", "score", (F.col("total") - F.col("below")).alias(out), F.col("total").alias(f"all_{out}"))
+
+    each = at_least("n", "rows").join(at_least("ones", "hits"), ["_key", "score"])
+    measure = 2 * F.col("hits") / (F.col("rows") + F.col("all_hits"))
+    best = each.groupBy("_key").agg(F.max(F.struct(measure.alias("m"), "score"))["score"].alias("best"), F.max("all_rows").alias("rows"), F.max("all_hits").alias("ones"))
+    lower = counted.join(best.select("_key", "best"), "_key").groupBy("_key").agg(F.min("_lang").alias("_lang"), F.max(F.when(F.col("score") < F.col("best"), F.col("score"))).alias("lower"))
+    table = best.join(lower, "_key").collect()  # a row for each language
+    return {r["_lang"]: drawn_cut((r["best"] + (r["lower"] or 0)) / 2, min(r["ones"], r["rows"] - r["ones"])) for r in table}
 
 
 def flag(scored: DataFrame, cuts: dict[str | None, float], lang: str = "lang") -> DataFrame:

@@ -115,3 +115,25 @@ def test_query_on_the_table(spark):
     assert got.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
     assert len(held) > 500 and np.mean([r.predicted == r.toxic for r in held]) > 0.96
     assert got.select(F.min("score"), F.max("score")).first()[0] >= 0
+
+
+def test_calibration_takes_all_labelled_rows(spark):
+    rng = np.random.default_rng(8)
+    words = np.array([f"w{i}" for i in range(60)])
+    ids = [i for i in range(60_000) if zlib.crc32(str(i).encode()) % 5 == 1][:9_000]
+    text = [" ".join(words[rng.integers(0, 60, 4)]) for _ in ids]
+    y = [int("w1" in t.split() or rng.random() < 0.1) for t in text]
+    lang = [(None, "de", "en")[i % 3] for i in ids]
+    t = next(texts.slices(pa.array(text[:300])))
+    net = toxicity.fit(*toxicity.features(t), np.array(y[:300]), epochs=2)
+    docs = spark.createDataFrame(list(zip(ids, text, lang, strict=True)), "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(list(zip(ids, y, strict=True)), "doc_id long, toxic int")
+    got = toxicity.calibrate(docs, labels, net)
+    scored = toxicity.score(docs, net).join(labels, "doc_id").select("lang", "score", "toxic").toPandas()
+    for name in (None, "de", "en"):
+        own = scored[scored["lang"].isna() if name is None else scored["lang"] == name]
+        assert abs(got[name] - toxicity.threshold(own["score"].to_numpy(), own["toxic"].to_numpy())) < 1e-12
+    # more rows than any sample of them held
+    assert len(scored) == 9_000 > toxicity.TRAIN_ROWS
+    few = toxicity.calibrate(docs.limit(0), labels, net)
+    assert few == {}
