@@ -11,6 +11,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.sequences import gc_count, letters, phred, quality_of
@@ -32,12 +33,71 @@ def qc_basic_stats(reads: DataFrame) -> DataFrame:
     )
 
 
-def _by_position(reads: DataFrame, values, name: str) -> DataFrame:
-    return (
-        widen(reads).select(*KEY, F.posexplode(values).alias("_at", name))
-        .groupBy(*KEY, (F.col("_at") + 1).alias("pos"), name)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+_SLICE = 1 << 21  # characters that are counted at a time
+_HELD = 1 << 21  # counts that a task holds before it passes them on
+_KEYS = 512  # reads of a slice at most; so the samples and mates held fit in ten bits
+
+
+def _by_position(reads: DataFrame, text: str, name: str) -> DataFrame:
+    """How often each character of ``text`` stands at each position (from 1): (sample, mate, pos, ``name``, n).
+
+    Tasks count the characters of many reads at once; a character is a row only after it has been counted. An empty text
+    has an empty character at its first position, a null one has none.
+    """
+    rows = widen(reads).filter(F.col(text).isNotNull()).select(*KEY, text)
+    keys = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in KEY)
+    empty = 0x110000  # one more than any character
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        of: dict[tuple, int] = {}
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            cell, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(cell, kind="stable")
+            cell = cell[order]
+            starts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+            return cell[starts], np.add.reduceat(n[order], starts)
+
+        def told(cell: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            names = [pa.array([k[i] for k in of], kind) for i, kind in enumerate(kinds)]
+            for first in range(0, len(cell), 1 << 16):
+                c = cell[first : first + (1 << 16)]
+                key, at, code = pa.array(c >> 53), c >> 21 & 0xFFFFFFFF, c & 0x1FFFFF
+                letters, which = np.unique(code, return_inverse=True)
+                shown = pa.array(["" if x == empty else chr(x) for x in letters.tolist()], pa.string()).take(pa.array(which.ravel()))
+                yield pa.RecordBatch.from_arrays([*[x.take(key) for x in names], pa.array((at + 1).astype(np.int32)), shown, pa.array(n[first : first + (1 << 16)])], names=[*KEY, "pos", name, "n"])
+
+        kinds: list[pa.DataType] = []
+        for batch in batches:
+            kinds = [batch.column(i).type for i in range(len(KEY))]
+            sizes = pc.utf8_length(batch.column(len(KEY))).to_numpy().astype(np.int64)
+            upto = np.cumsum(np.maximum(sizes, 1))
+            first = 0
+            while first < batch.num_rows:
+                last = max(first + 1, int(np.searchsorted(upto, (upto[first - 1] if first else 0) + _SLICE, "right")))
+                last = min(last, first + _KEYS)
+                part = batch.slice(first, last - first)
+                length = sizes[first:last]
+                first = last
+                own = [of.setdefault(k, len(of)) for k in zip(*[part.column(i).to_pylist() for i in range(len(KEY))], strict=True)]
+                key = np.array(own, np.int64) << 53
+                code = np.frombuffer("".join(part.column(len(KEY)).to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32)
+                at = np.arange(len(code)) - np.repeat(np.cumsum(length) - length, length)
+                cell = np.concatenate([np.repeat(key, length) | at << 21 | code, key[length == 0] | empty])
+                cell.sort()
+                starts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])) if len(cell) else np.zeros(0, np.int64)
+                held.append((cell[starts], np.diff(np.append(starts, len(cell)))))
+                if sum(len(c) for c, _ in held) > 2 * _HELD or len(of) >= _KEYS:
+                    held = [merged()]
+                    if len(held[0][0]) > _HELD or len(of) >= _KEYS:
+                        yield from told(*held.pop())
+                        held, of = [], {}
+        if held:
+            yield from told(*merged())
+
+    parts = rows.mapInArrow(run, f"{keys}, pos int, {name} string, n long")
+    return parts.groupBy(*KEY, "pos", name).agg(F.sum("n").alias("n"))
 
 
 def qc_base_quality(reads: DataFrame, offset: int = 33) -> DataFrame:
@@ -46,7 +106,7 @@ def qc_base_quality(reads: DataFrame, offset: int = 33) -> DataFrame:
     A position has at most 94 distinct qualities, so the exact percentiles work on a short list of counts.
     """
     # counted by character; the character becomes a number after the aggregation
-    counts = _by_position(reads, letters("qual"), "c").withColumn("q", quality_of("c", offset))
+    counts = _by_position(reads, "qual", "c").withColumn("q", quality_of("c", offset))
     cuts = small_quantiles("q", [0.1, 0.25, 0.5, 0.75, 0.9], "n")
     stats = counts.groupBy(*KEY, "pos").agg(
         (F.sum(F.col("q") * F.col("n")) / F.sum("n")).alias("mean"), cuts.alias("_c"), F.sum("n").alias("reads")
@@ -81,7 +141,7 @@ def qc_tile_quality(reads: DataFrame, offset: int = 33, field: int = 4) -> DataF
 
 def _letter_shares(reads: DataFrame, bases: str, of: str) -> DataFrame:
     """Share of each base at every position, among the given letters or among all."""
-    counts = _by_position(reads.filter(F.length("seq") > 0), letters("seq"), "base")
+    counts = _by_position(reads.filter(F.length("seq") > 0), "seq", "base")
     total = F.sum(F.when(F.col("base").isin(list(of)), F.col("n"))) if of else F.sum("n")
     shares = [F.coalesce(F.sum(F.when(F.col("base") == b, F.col("n"))), F.lit(0)) for b in bases]
     stats = counts.groupBy(*KEY, "pos").agg(total.alias("_total"), *[s.alias(f"_{b}") for b, s in zip(bases, shares)])

@@ -778,3 +778,18 @@ def test_isomers_are_grouped_once_and_told_for_each(spark):
     rows = sorted(map(tuple, plain.select(*columns).collect()))
     assert sorted(map(tuple, told.select(*columns).collect())) == rows
     assert matches.count() < len(rows)
+
+
+def test_characters_are_counted_before_they_are_rows(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(f"s{i % 1500}" if i % 50 else None, i % 2 + 1, "".join(rng.choice(list("ACGTNé𝄞"), int(rng.integers(0, 6))))) for i in range(4000)] + [("s1", 1, None)]
+    reads = spark.createDataFrame([(s, m, f"r{i}", q, q) for i, (s, m, q) in enumerate(rows)], "sample string, mate int, read_id string, seq string, qual string").coalesce(1)
+    want = {}
+    for sample, mate, text in rows:
+        for at, c in enumerate(text or ["", ""][: text is not None]):
+            want[sample, mate, at + 1, c] = want.get((sample, mate, at + 1, c), 0) + 1
+    for held in (1 << 21, 10):
+        monkeypatch.setattr(read_quality, "_HELD", held)
+        found = read_quality._by_position(reads, "qual", "c")
+        assert {tuple(r)[:4]: r["n"] for r in found.collect()} == want
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
