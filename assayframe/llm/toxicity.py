@@ -40,6 +40,9 @@ AFFIXES = (4, 6)
 SLICE_BYTES = 1 << 18
 PLAIN_CUT = 0.5
 LEAST = 20  # rows of each class that a threshold of its own needs
+_SOME = 1 << 16  # words whose table rows are marked at a time
+#: Table rows on their way to the driver and there: BUCKETS of them fit into two bytes.
+_ROW = np.dtype(np.int16)
 
 
 def features(t: texts.Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -183,7 +186,10 @@ def fit(rows: np.ndarray, bounds: np.ndarray, y: np.ndarray, epochs: int = EPOCH
                 total[ids == 0] = 0
                 sums["table"][ids] += (total * total).mean(axis=1)
                 net.table[ids] -= RATE * total / np.sqrt(sums["table"][ids])[:, None]
-    net.table[np.setdiff1d(np.arange(BUCKETS), rows)] = 0
+    used = np.zeros(BUCKETS, bool)
+    for first in range(0, len(rows), _SOME):  # no copy of all rows
+        used[rows[first : first + _SOME]] = True
+    net.table[~used] = 0
     return net._replace(bias=bias)
 
 
@@ -219,13 +225,26 @@ def train(
             for t in texts.slices(batch.column(1), SLICE_BYTES):
                 x, bounds = features(t)
                 part = batch.slice(t.first, len(t))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([x[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], names=["_id", "_y", "x"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([x[a:b].astype(_ROW).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], names=["_id", "_y", "x"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     found = rows.mapInArrow(run, f"_id {kind}, _y int, x binary").orderBy(F.xxhash64("_id"), "_id", "x").limit(train_rows).toArrow()
-    words = [np.frombuffer(x, np.int32).reshape(-1, 1 + 2 * len(AFFIXES)) for x in found.column("x").to_pylist()]
-    bounds = np.concatenate([[0], np.cumsum([len(x) for x in words])]).astype(np.int64)
-    return fit(np.concatenate(words) if words else np.zeros((0, 1 + 2 * len(AFFIXES)), np.int32), bounds, found.column("_y").to_numpy())
+    y = found.column("_y").to_numpy()
+    words, bounds = _words(found.column("x"))
+    del found  # the driver keeps one copy of the words while it trains
+    return fit(words, bounds, y)
+
+
+def _words(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Table rows of the words of all texts, copied once, and the bounds of the texts."""
+    wide = 1 + 2 * len(AFFIXES)
+    parts, lengths = [np.zeros(0, _ROW)], [np.zeros(1, np.int64)]
+    for chunk in column.chunks:
+        at = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset : chunk.offset + len(chunk) + 1].astype(np.int64)
+        if len(chunk) and at[-1] > at[0]:
+            parts.append(np.frombuffer(chunk.buffers()[2], _ROW, (at[-1] - at[0]) // _ROW.itemsize, at[0]))
+        lengths.append(np.diff(at) // (wide * _ROW.itemsize))
+    return np.concatenate(parts).reshape(-1, wide), np.cumsum(np.concatenate(lengths))
 
 
 def _slice_scores(net: Network, column: pa.Array) -> np.ndarray:

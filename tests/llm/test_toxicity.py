@@ -137,3 +137,25 @@ def test_calibration_takes_all_labelled_rows(spark):
     assert len(scored) == 9_000 > toxicity.TRAIN_ROWS
     few = toxicity.calibrate(docs.limit(0), labels, net)
     assert few == {}
+
+
+def test_the_driver_holds_the_training_words_once(spark):
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    rows = rng.integers(1, toxicity.BUCKETS, (1 << 21, 5)).astype(np.int16)
+    bounds, y = np.array([0, 1 << 20, 1 << 21]), np.array([0, 1])
+    tracemalloc.start()
+    try:
+        net = toxicity.fit(rows, bounds, y, epochs=0)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < rows.nbytes  # 21 MB; a sorted copy of the rows alone takes that
+    assert not net.table[0].any() and net.table[np.unique(rows)].any(axis=1).all()
+    some = ["ab cdefgh ijklmnop", "", "x", "q " * 50]
+    column = pa.array(some)
+    x, at = next((toxicity.features(t) for t in texts.slices(column, 1 << 18)))
+    sent = pa.chunked_array([pa.array([x[a:b].astype(np.int16).tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary()).slice(i, n) for i, n in ((0, 3), (3, 1), (4, 0))])
+    words, own = toxicity._words(sent)
+    assert words.dtype.itemsize == 2 and np.array_equal(words, x) and np.array_equal(own, at)
