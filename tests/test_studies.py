@@ -601,6 +601,27 @@ def test_far_blocks_are_skipped_and_no_pair_is_lost(spark):
     assert everything.skipped == 0 and similarity.feature_blocks(vectors, 1e9, block_rows=20).skipped == 0
 
 
+def test_features_are_sent_to_a_bounded_number_of_tasks(spark, monkeypatch):
+    rng = np.random.default_rng(48)
+    values = rng.normal(size=(500, 8))
+    long, samples = long_table(spark, values), sample_table(spark, 8, 4)
+    blocks = similarity.feature_blocks(similarity.feature_vectors(long, samples), 1e9, block_rows=5)
+    assert blocks.n_blocks >= 100 and blocks.skipped == 0
+    # a task for each pair of blocks would be sent each feature as often as there are blocks
+    assert similarity._sent(blocks, 4)[0].count() <= 500 * 4
+    monkeypatch.setattr(similarity, "_BLOCKS", 9)
+    few = similarity.feature_blocks(similarity.feature_vectors(long, samples), 1e9, block_rows=5)
+    assert few.n_blocks <= 2 * 9
+    unit = values - values.mean(axis=1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    r = unit @ unit.T
+    for groups in (1, 3):
+        monkeypatch.setattr(similarity, "_GROUPS", groups)
+        got = [((x["a"], x["b"]), x["r"]) for x in similarity.feature_correlation(long, samples, min_abs=0.8, block_rows=5).collect()]
+        assert sorted(k for k, _ in got) == sorted(zip(*np.nonzero(np.triu(np.abs(r) >= 0.8, 1)), strict=True))
+        assert all(abs(v - r[k]) < 1e-9 for k, v in got)
+
+
 def test_out_of_bag_votes_follow_from_the_weights(spark):
     rng = np.random.default_rng(23)
     rows = [(i, "abc"[i % 3], [float(x) for x in rng.normal(i % 3, 1.5, 6)]) for i in range(90)]
