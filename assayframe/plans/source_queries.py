@@ -15,14 +15,27 @@ def _lines_by_file(lines: DataFrame, keys: list[str], order: list[str]) -> DataF
     return lines.repartition(*keys).sortWithinPartitions(*keys, *order)
 
 
-def _flat_files(df: DataFrame, name: str, lines: str, order: list[str], ending: str, compression: str = "none") -> str:
+_OPEN_FILES = 64  # files that a writing task keeps open before it sorts its rows by file
+
+
+def _flat_files(df: DataFrame, name: str, lines: str, order: list[str] | None, ending: str, compression: str = "none") -> str:
     """One text file per ``name``, named after it: Spark names its own files, so each is moved to its flat name.
 
-    The driver moves as many files as there are samples; their contents stay where they are.
+    Without ``order`` a file's rows come as they are read, and nothing of a file is sorted or held by its task. The driver
+    moves as many files as there are samples; their contents stay where they are.
     """
     spark = df.sparkSession
     parted, flat = staging.new_path(spark), staging.new_path(spark)
-    _lines_by_file(df, [name], order).select(F.col(name).alias("_file"), F.col(lines).alias("value")).write.partitionBy("_file").option("compression", compression).text(parted)
+    dealt = df.repartition(name) if order is None else _lines_by_file(df, [name], order)
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    if order is None:
+        spark.conf.set(key, str(_OPEN_FILES))
+    try:
+        dealt.select(F.col(name).alias("_file"), F.col(lines).alias("value")).write.partitionBy("_file").option("compression", compression).text(parted)
+    finally:
+        if order is None:
+            spark.conf.unset(key) if before is None else spark.conf.set(key, before)
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path
     system = path(parted).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -86,16 +99,10 @@ def _fastq_folder(spark, sf, packed: bool = True) -> str:
     """Documents as read files: sample = language, mate = odd or even number; white space becomes an underscore."""
     text = F.translate("text", " \n\r\t", "____")
     mate = F.col("doc_id") % 2 + 1
-    reads = roles.table(spark, sf, "documents").filter("length(text) > 0").select(
-        F.concat("lang", F.lit("_R"), mate).alias("file"),
-        "doc_id",
-        F.inline(
-            F.array(
-                *[F.struct(F.lit(i).alias("at"), x.alias("line")) for i, x in enumerate((F.concat(F.lit("@d"), F.col("doc_id"), F.lit(" x")), F.translate(text, "@+", "__"), F.lit("+"), F.repeat(F.lit("I"), F.length("text"))))]
-            )
-        ),
-    )
-    return _flat_files(reads, "file", "line", ["doc_id", "at"], *(("_001.fastq.gz", "gzip") if packed else ("_001.fastq",)))
+    # a record is one row of four lines, so records need no order
+    record = F.concat_ws("\n", F.concat(F.lit("@d"), F.col("doc_id"), F.lit(" x")), F.translate(text, "@+", "__"), F.lit("+"), F.repeat(F.lit("I"), F.length("text")))
+    reads = roles.table(spark, sf, "documents").filter("length(text) > 0").select(F.concat("lang", F.lit("_R"), mate).alias("file"), record.alias("record"))
+    return _flat_files(reads, "file", "record", None, *(("_001.fastq.gz", "gzip") if packed else ("_001.fastq",)))
 
 
 @query(

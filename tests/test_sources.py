@@ -143,3 +143,17 @@ def test_writers(spark, tmp_path):
     assert readers.read_dimension(spark, str(tmp_path / "ann"), {"v": "w"}).columns == ["w"]
     staged = staging.stage(long, str(tmp_path / "staged"))
     assert staged.count() == 3 and staged.schema == long.schema
+
+
+def test_read_files_are_built_without_sorting(spark, tmp_path):
+    from assayframe.plans import source_queries
+
+    docs = [(i, None if i == 7 else f"text {i}\nAC@+ G\t{'x' * i}", "l" + "ab"[i // 2 % 2]) for i in range(1, 40)]
+    # a document that comes twice makes two records
+    spark.createDataFrame([*docs, docs[4]], "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    keep = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    for read, packed in ((source_queries.read_fastq, True), (source_queries.read_fastq_plain, False)):
+        rows = sorted((r["read_id"], r["sample"], r["mate"], r["n"]) for r in read(spark, str(tmp_path)).collect())
+        assert rows == sorted((f"d{i}", lang, i % 2 + 1, len(text)) for i, text, lang in [*docs, docs[4]] if text)
+    assert [r[0] for r in source_queries.sample_manifest(spark, str(tmp_path)).orderBy("sample").collect()] == ["la", "lb"]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == keep
