@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.sequences import phred, reverse_complement
+from ..functions.sequences import MAX_QUALITY, reverse_complement
 from ..functions.tails import once
 from ..session import widen
 from ..sources.staging import stage
@@ -25,34 +25,67 @@ def _cut(reads: DataFrame, first: Column, length: Column) -> DataFrame:
     ).drop("_first", "_length")
 
 
+def _place(qual: str, offset: int, marked: Callable[[np.ndarray], np.ndarray], last: bool = False, width: int = 1, empty: int = 0) -> Column:
+    """Per read the 1-based place of the first marked letter (with ``last`` of the last one, counted from the end); 0 without any,
+    ``empty`` for an empty text, null for a null. ``marked`` gets the qualities of many reads in a row and says where a mark of
+    ``width`` letters starts."""
+
+    @F.pandas_udf("int")
+    def find(quals: pd.Series) -> pd.Series:
+        out = np.zeros(len(quals), np.int64)
+        texts = quals.fillna("")
+        for at, part in _stretches(texts):
+            end = np.cumsum(part.str.len().to_numpy(np.int64))
+            begin = np.append(0, end[:-1])
+            marks = np.flatnonzero(marked(np.clip(_codes("".join(part)).astype(np.int64) - offset, 0, MAX_QUALITY)))
+            marks = np.concatenate([[-1], marks, [end[-1] + width]])
+            if last:
+                place = end - marks[np.searchsorted(marks, end) - 1]
+                out[at : at + len(part)] = np.where(place <= end - begin, place, 0)
+            else:
+                place = marks[np.searchsorted(marks, begin)]
+                out[at : at + len(part)] = np.where(place + width <= end, place - begin + 1, 0)
+            out[at : at + len(part)][end == begin] = empty
+        return pd.Series(out, quals.index, dtype="Int32").mask(quals.isna())
+
+    return find(qual)
+
+
+def _stretches(texts: pd.Series) -> Iterator[tuple[int, pd.Series]]:
+    """Texts in stretches of about ``_CELLS`` letters, and where each begins."""
+    total = np.cumsum(texts.str.len().to_numpy(np.int64))
+    first = 0
+    while first < len(texts):
+        reach = (total[first - 1] if first else 0) + _CELLS
+        end = max(first + 1, int(np.searchsorted(total, reach, "right")))
+        yield first, texts.iloc[first:end]
+        first = end
+
+
 def trim_leading(reads: DataFrame, q: int = 3, offset: int = 33) -> DataFrame:
     """Drop the bases before the first one of quality ``q``."""
-    good = F.array_position(F.transform(phred("qual", offset), lambda x: x >= q), True).cast("int")
-    first = F.when(good > 0, good).otherwise(F.length("seq") + 1)
-    return _cut(reads, first, F.length("seq"))
+    placed = widen(reads).withColumn("_good", _place("qual", offset, lambda x: x >= q, empty=int(q <= 0)))
+    first = F.when(F.col("_good") > 0, F.col("_good")).otherwise(F.length("seq") + 1)
+    return _cut(placed, first, F.length("seq")).drop("_good")
 
 
 def trim_trailing(reads: DataFrame, q: int = 3, offset: int = 33) -> DataFrame:
     """Drop the bases after the last one of quality ``q``."""
-    good = F.array_position(F.transform(F.reverse(phred("qual", offset)), lambda x: x >= q), True).cast("int")
-    length = F.when(good > 0, F.length("seq") - good + 1).otherwise(F.lit(0))
-    return _cut(reads, F.lit(1), length)
+    placed = widen(reads).withColumn("_good", _place("qual", offset, lambda x: x >= q, last=True, empty=int(q <= 0)))
+    length = F.when(F.col("_good") > 0, F.length("seq") - F.col("_good") + 1).otherwise(F.lit(0))
+    return _cut(placed, F.lit(1), length).drop("_good")
 
 
 def trim_sliding_window(reads: DataFrame, window: int = 4, q: float = 15, offset: int = 33) -> DataFrame:
     """Cut where the first window with a mean below ``q`` starts; reads shorter than the window stay."""
-    scored = widen(reads).withColumn("_q", once(phred("qual", offset)))
-
-    def low(i: Column) -> Column:
-        total = F.lit(0)
-        for step in range(window):
-            total = total + F.col("_q")[i + step]
-        return total < q * window
-
-    starts = F.sequence(F.lit(0), F.length("qual") - window)
-    bad = F.when(F.length("qual") >= window, F.array_position(F.transform(starts, low), True).cast("int")).otherwise(F.lit(0))
-    length = F.when(bad > 0, bad - 1).otherwise(F.length("seq"))
-    return _cut(scored, F.lit(1), length).drop("_q")
+
+    def low(x: np.ndarray) -> np.ndarray:
+        total = np.append(0, np.cumsum(x))
+        return total[window:] - total[:-window] < q * window
+
+    placed = widen(reads).withColumn("_bad", _place("qual", offset, low, width=window))
+    length = F.when(F.col("_bad") > 0, F.col("_bad") - 1).otherwise(F.length("seq"))
+    return _cut(placed, F.lit(1), length).drop("_bad")
 
 
 def drop_short(reads: DataFrame, min_length: int = 36) -> DataFrame:

@@ -601,6 +601,33 @@ def test_far_blocks_are_skipped_and_no_pair_is_lost(spark):
     assert everything.skipped == 0 and similarity.feature_blocks(vectors, 1e9, block_rows=20).skipped == 0
 
 
+def test_quality_trims_against_plain_loops_in_arrays(spark, monkeypatch):
+    import random
+
+    rng = random.Random(9)
+    texts = ["", "!", "I", "!!!I", *["".join(rng.choices('!"#$%5I~é☃', k=rng.randint(0, 40))) for _ in range(300)]]
+    rows = [(str(i), "s", 1, "".join(rng.choices("ACGT", k=len(t))), t) for i, t in enumerate(texts)] + [("n", "s", 1, "ACGT", None), ("m", "s", 1, None, "!!I")]
+    reads = spark.createDataFrame(rows, "read_id string, sample string, mate int, seq string, qual string")
+    quality = lambda t: [min(93, ord(c) - 33) for c in t]
+
+    def leading(t):
+        return t[next((i for i, x in enumerate(quality(t)) if x >= 3), len(t)) :]
+
+    def window(t):
+        q = quality(t)
+        return t[: next((i for i in range(len(t) - 3) if sum(q[i : i + 4]) < 60), len(t))]
+
+    for cells in (1, 50, 1 << 22):  # stretches of a read, of some and of all of them
+        monkeypatch.setattr(read_trimming, "_CELLS", cells)
+        for trim, want in ((read_trimming.trim_leading, leading), (read_trimming.trim_trailing, lambda t: leading(t[::-1])[::-1]), (read_trimming.trim_sliding_window, window)):
+            cut = trim(reads)
+            # no array of a read's letters is made of rows' columns any more
+            assert "transform(" not in cut._jdf.queryExecution().optimizedPlan().toString()
+            got = {r["read_id"]: r for r in cut.collect()}
+            assert all(got[str(i)]["qual"] == want(t) and len(got[str(i)]["seq"]) == len(want(t)) for i, t in enumerate(texts))
+            assert got["n"]["qual"] is None and got["m"]["seq"] is None and got["n"]["seq"] == ("ACGT" if want is window else "")
+
+
 def test_features_are_sent_to_a_bounded_number_of_tasks(spark, monkeypatch):
     rng = np.random.default_rng(48)
     values = rng.normal(size=(500, 8))
