@@ -338,6 +338,33 @@ def test_species_sorting(spark):
         assert got == {"h": "host", "g": "graft", "b": "both", "n": "neither", "a": "ambiguous"}
 
 
+def test_kmer_index_shuffles_runs_and_gathers_every_kmer(spark):
+    rng = np.random.default_rng(37)
+    letters = list("ACGTACGTACGTNacgné\U0001f9ec")
+    texts = ["".join(rng.choice(letters, int(n))) for n in rng.integers(0, 900, 60)] + ["A" * 700, "ACGT" * 100, "N" * 40, "AC", ""]
+    texts += [texts[3], texts[5][::-1].translate(str.maketrans("ACGT", "TGCA"))]
+    rows = [(("host", "graft", "other", None)[i % 4], t) for i, t in enumerate(texts)] + [("host", None), ("graft", texts[0]), ("graft", "A" * 300)]
+    genomes = spark.createDataFrame(rows, "origin string, seq string").repartition(3)
+    for k, dna in ((25, False), (25, True), (7, False), (1, False)):
+        want = {}
+        for origin, t in rows:
+            for i in range(len(t or "") - k + 1):
+                word = t[i : i + k]
+                if origin not in ("host", "graft") or "N" in word or (dna and set(word) - set("ACGT")):
+                    continue
+                word = min(word, word[::-1].translate(str.maketrans("ACGT", "TGCA")), key=lambda w: w.encode())
+                want[word] = want.get(word, 0) | (1 if origin == "host" else 2)
+        if dna:
+            want = {int("".join(str("ACGT".index(c)) for c in w), 4): m for w, m in want.items()}
+        index = kmers.kmer_index(genomes, k, dna)
+        got = [(r["kmer"], r["mask"]) for r in index.collect()]
+        assert len(got) == len(want) and dict(got) == want
+    # no k-mer is shuffled: the only exchanges are those of the pieces and of the runs
+    plan = kmers.kmer_index(genomes, 25)._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan") :]
+    assert "hashpartitioning(kmer" not in physical and "hashpartitioning(_place" in physical
+
+
 def test_chunks_lose_no_kmers(spark):
     text = "".join(np.random.default_rng(11).choice(list("ACGT"), 1000))
     rows = spark.createDataFrame([("x", text)], "k string, seq string")
