@@ -14,8 +14,10 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import widen
 from ..sources.staging import stage
 from .ordered import exact_quantiles
 
@@ -69,15 +71,22 @@ class Forest(NamedTuple):
 
     def leaves(self, x: np.ndarray) -> np.ndarray:
         """(samples, trees): the node where each sample ends."""
-        node = np.zeros((len(x), len(self.feature)), np.int64)
-        tree, row = np.arange(len(self.feature))[None, :], np.arange(len(x))[:, None]
-        while True:
-            feature = self.feature[tree, node]
-            inner = feature >= 0
-            if not inner.any():
-                return node
-            right = x[row, np.maximum(feature, 0)] > self.limit[tree, node]
-            node = np.where(inner, self.child[tree, node] + right, node)
+        row, tree = np.divmod(np.arange(len(x) * len(self.feature)), len(self.feature))
+        return _walk(self.feature, self.limit, self.child, x, row, tree).reshape(len(x), len(self.feature))
+
+
+def _walk(feature: np.ndarray, limit: np.ndarray, child: np.ndarray, x: np.ndarray, row: np.ndarray, tree: np.ndarray) -> np.ndarray:
+    """The node of each pair's tree where its sample (row of x) ends; a step is done for those that are not there yet."""
+    root = tree.astype(np.int64) * feature.shape[1]
+    feature, limit, child = feature.ravel(), limit.ravel(), child.ravel()
+    at, going = root.copy(), np.arange(len(root))
+    while len(going):
+        split = feature[at[going]]
+        inner = split >= 0
+        going, split = going[inner], split[inner]
+        now = at[going]
+        at[going] = root[going] + child[now] + (x[row[going], split] > limit[now])
+    return at - root
 
 
 def _prepared(rows: DataFrame, seed: int) -> tuple[DataFrame, list[str], int]:
@@ -100,7 +109,8 @@ def _prepared(rows: DataFrame, seed: int) -> tuple[DataFrame, list[str], int]:
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([b.tobytes() for b in binned], pa.binary())], names=["id", "label", "y", "h", "x"])
 
     y = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("label")).cast("int") - 1
-    numbered = rows.select("id", "label", y.alias("y"), F.xxhash64("id", F.lit(seed)).alias("h"), "features")
+    # each level walks these rows again, so they are dealt out once
+    numbered = widen(rows.select("id", "label", y.alias("y"), F.xxhash64("id", F.lit(seed)).alias("h"), "features"))
     kind = rows.schema["id"].dataType.simpleString()
     return stage(numbered.mapInArrow(bins, f"id {kind}, label string, y int, h long, x binary")), labels, len(cuts)
 
@@ -123,27 +133,42 @@ def bootstrap_weights(rows: DataFrame, trees: int = 500, seed: int = 1) -> DataF
     return rows.select("id", F.xxhash64("id", F.lit(seed)).alias("h")).mapInArrow(run, f"id {kind}, tree int, weight long")
 
 
-def _best_splits(table: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of the class weights (node, feature's place, bin, class): gain, place and last bin on the left of each node's best
-    split, the classes with the larger weight (whole, left, right) and whether the left and the right side are mixed."""
-    left = table.cumsum(axis=2)
-    whole = left[:, :, -1:, :]
-    right = whole - left
+def _best_splits(cell: np.ndarray, weight: np.ndarray, per_split: int, n_classes: int) -> tuple[np.ndarray, ...]:
+    """Of the weights of cells ((node, feature's place, bin), class), as one number each and in any order: the nodes, and gain, place
+    and last bin on the left of each node's best split (the first of equal ones), the classes with the larger weight (whole,
+    left, right) and whether the left and the right side are mixed. Only bins that occur are looked at."""
+    at, own = np.divmod(cell, n_classes)
+    group, where = np.unique(at, return_inverse=True)
+    table = np.bincount(where.ravel() * n_classes + own, weights=weight, minlength=len(group) * n_classes).reshape(len(group), n_classes)
 
-    def impurity(t: np.ndarray) -> np.ndarray:
-        total = t.sum(axis=3)
-        return total - np.einsum("npbc,npbc->npb", t, t) / np.maximum(total, 1e-300)
+    def firsts(of: np.ndarray) -> np.ndarray:
+        return np.flatnonzero(np.append(True, np.diff(of) != 0))
 
-    gain = impurity(whole) - impurity(left) - impurity(right)
-    gain[(left.sum(axis=3) == 0) | (right.sum(axis=3) == 0)] = -1
-    rows = np.arange(len(table))
-    place, last = np.divmod(gain.reshape(len(table), -1).argmax(axis=1), BINS)
-    one, two = left[rows, place, last], right[rows, place, last]
-    return gain[rows, place, last], place, last, (one + two).argmax(axis=1), one.argmax(axis=1), two.argmax(axis=1), (one > 0).sum(axis=1) > 1, (two > 0).sum(axis=1) > 1
+    starts = firsts(group // BINS)  # of the features of a node
+    sizes = np.diff(np.append(starts, len(group)))
+    left = table.cumsum(axis=0)
+    left -= np.repeat(left[starts] - table[starts], sizes, axis=0)
+    whole = left[starts + sizes - 1]
+
+    def impurity(t: np.ndarray) -> np.ndarray:
+        total = t.sum(axis=1)
+        return total - np.einsum("bc,bc->b", t, t) / np.maximum(total, 1e-300)
+
+    right = np.repeat(whole, sizes, axis=0) - left
+    gain = np.repeat(impurity(whole), sizes) - impurity(left) - impurity(right)
+    gain[starts + sizes - 1] = -1  # nothing on the right
+    node = group // (BINS * per_split)
+    starts = firsts(node)
+    most = np.maximum.reduceat(gain, starts)
+    hits = np.flatnonzero(gain == np.repeat(most, np.diff(np.append(starts, len(group)))))
+    best = hits[firsts(node[hits])]
+    place, last = np.divmod(group[best] % (BINS * per_split), BINS)
+    one, two = left[best], right[best]
+    return node[starts], most, place, last, (one + two).argmax(axis=1), one.argmax(axis=1), two.argmax(axis=1), (one > 0).sum(axis=1) > 1, (two > 0).sum(axis=1) > 1
 
 
 _SPLIT = ("node", "gain", "place", "last", "winner", "winner_left", "winner_right", "mixed_left", "mixed_right")
-_CELLS = 1 << 21  # cells that a task holds before it passes them on, and table entries that are searched at a time
+_CELLS = 1 << 21  # cells that a task holds before it passes them on, and those that are searched at a time
 
 
 def grow(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1, depth: int = DEPTH) -> Forest:
@@ -156,37 +181,37 @@ def grow(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1, d
     prepared, labels, n_features = _prepared(rows, seed)
     n_classes, per_split = len(labels), min(per_split, n_features)
     spark = rows.sparkSession
-    grown = [{"feature": [-1], "limit": [0], "child": [0], "winner": [0], "decrease": [0.0]} for _ in range(trees)]
-    frontier = [(t, 0) for t in range(trees)] if n_classes > 1 and n_features else []
+    frontier = np.stack([np.arange(trees), np.zeros(trees, np.int64)]) if n_classes > 1 and n_features else np.zeros((2, 0), np.int64)
+    kinds = {"feature": np.int16 if n_features < 1 << 15 else np.int32, "limit": np.uint8, "child": np.int32, "winner": np.int16 if n_classes < 1 << 15 else np.int32, "decrease": np.float64}
+    grown = {c: np.full((trees, 1), -1 if c == "feature" else 0, k) for c, k in kinds.items()}
+    sizes = np.ones(trees, np.int64)  # nodes of each tree
 
-    def drawn(nodes: list[tuple[int, int]]) -> np.ndarray:
+    def drawn(nodes: np.ndarray) -> np.ndarray:
         """Features of each open node: those with the smallest hashes of seed, tree, node and feature."""
-        tree, node = (np.array(c, np.uint64) for c in zip(*nodes, strict=True))
+        tree, node = nodes.astype(np.uint64)
         base = _mixed(_mixed(tree * _STEP + np.uint64(seed)) + node)
-        out = np.empty((len(nodes), per_split), np.int64)
+        out = np.empty((len(base), per_split), kinds["feature"])
         step = max(1, (1 << 22) // n_features)
-        for first in range(0, len(nodes), step):
+        for first in range(0, len(base), step):
             ranks = _mixed(base[first : first + step, None] ^ (np.arange(n_features, dtype=np.uint64) * _STEP)[None, :])
             out[first : first + step] = np.argsort(ranks, axis=1, kind="stable")[:, :per_split]
         return out
 
-    def packed() -> Forest:
-        size = max(len(g["feature"]) for g in grown)
-        arrays = [np.array([g[c] + [-1 if c == "feature" else 0] * (size - len(g[c])) for g in grown]) for c in ("feature", "limit", "child", "winner", "decrease")]
-        return Forest(*arrays, labels, prepared)
-
     for level in range(depth + 1):
-        if not frontier or level == depth:
+        if not frontier.shape[1] or level == depth:
             break
-        now = packed()._replace(prepared=None)
-        place = np.full(now.feature.shape, -1)
-        place[tuple(np.array(frontier).T)] = np.arange(len(frontier))
-        sent = spark.sparkContext.broadcast((now, place, drawn(frontier)))
+        # a leaf has no child, so an open one tells its place there (counted from 1)
+        walked = {c: grown[c] for c in ("feature", "limit", "child")}
+        walked["child"] = walked["child"].copy()
+        walked["child"][frontier[0], frontier[1]] = np.arange(1, frontier.shape[1] + 1)
+        features = drawn(frontier)
+        sent = spark.sparkContext.broadcast((walked, features))
 
         n_cells = per_split * BINS * n_classes
+        number = np.dtype(np.uint16 if n_cells <= 1 << 16 else np.uint32)
 
         def sums(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            forest, place, features = sent.value
+            walked, features = sent.value
             held: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
 
             def merged() -> tuple[np.ndarray, np.ndarray]:
@@ -194,89 +219,95 @@ def grow(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1, d
                 total = np.bincount(where.ravel(), weights=np.concatenate([w for _, w in held]), minlength=len(cell))
                 return cell, total.astype(np.int64)
 
-            def told(cell: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
-                """A row for each node with its cells."""
-                node = cell // n_cells
-                starts = np.flatnonzero(np.append(True, np.diff(node) != 0)) if len(node) else np.zeros(0, np.int64)
-                bounds = pa.array(np.append(starts, len(node)).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(bounds, pa.array(v.astype(np.int32))) for v in (cell % n_cells, total)]
-                return pa.RecordBatch.from_arrays([pa.array(node[starts]), *lists], names=["node", "cell", "w"])
+            def told(cell: np.ndarray, total: np.ndarray) -> Iterator[pa.RecordBatch]:
+                """A row for each node with its cells, and one more for those whose sums need a further byte."""
+                scale = 1
+                while len(cell):
+                    digit = (total & 255).astype(np.uint8)
+                    some = digit > 0
+                    node, inside = np.divmod(cell[some], n_cells)
+                    starts = np.flatnonzero(np.append(True, np.diff(node) != 0)) if len(node) else np.zeros(0, np.int64)
+                    bounds = np.append(starts, len(node))
+                    lists = [pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer((bounds * v.itemsize).astype(np.int32)), pa.py_buffer(v)]) for v in (inside.astype(number), digit[some])]
+                    yield pa.RecordBatch.from_arrays([pa.array(node[starts]), pa.array(np.full(len(starts), scale)), *lists], names=["node", "scale", "cell", "w"])
+                    cell, total, scale = cell[total > 255], total[total > 255] >> 8, scale << 8
 
             for batch in batches:
                 for first in range(0, batch.num_rows, _ROWS):
                     part = batch.slice(first, _ROWS)
                     y = part.column(0).to_numpy()
                     h, x = _arrays(part, 1, 2)
-                    w = _weights(h, len(place))
-                    open_ = place[np.arange(len(place))[None, :], forest.leaves(x)]
-                    row, tree = np.nonzero((w > 0) & (open_ >= 0))
-                    at = open_[row, tree]
+                    w = _weights(h, trees)
+                    row, tree = np.nonzero(w)
+                    at = walked["child"][tree, _walk(**walked, x=x, row=row, tree=tree)].astype(np.int64) - 1
+                    row, tree, at = row[at >= 0], tree[at >= 0], at[at >= 0]
                     bins = x[row[:, None], features[at]].astype(np.int64)
                     cell = ((at[:, None] * per_split + np.arange(per_split)) * BINS + bins) * n_classes + y[row][:, None]
                     held.append((cell.ravel(), np.repeat(w[row, tree], per_split)))
                     if sum(len(c) for c, _ in held) > 2 * _CELLS:
                         held = [merged()]
                         if len(held[0][0]) > _CELLS:
-                            yield told(*held.pop())
+                            yield from told(*held.pop())
                             held = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-            yield told(*merged())
+            yield from told(*merged())
 
         def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            """Rows sorted by node; the sums of a batch's last node are carried on, as it may go on in the next one."""
-            carried: tuple[int, np.ndarray] | None = None
-            step = max(1, _CELLS // n_cells)
+            """Rows sorted by node; the cells of a batch's last node are carried on, as it may go on in the next one."""
+            carried = (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
-            def solved(node: np.ndarray, table: np.ndarray) -> pa.RecordBatch:
-                found = _best_splits(table.reshape(len(node), per_split, BINS, n_classes))
-                return pa.RecordBatch.from_arrays([pa.array(node), *[pa.array(c) for c in found]], names=list(_SPLIT))
+            def solved(cell: np.ndarray, weight: np.ndarray) -> Iterator[pa.RecordBatch]:
+                if len(cell):
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in _best_splits(cell, weight, per_split, n_classes)], names=list(_SPLIT))
 
             for batch in batches:
                 if not batch.num_rows:
                     continue
                 nodes = batch.column(0).to_numpy()
-                cells, weights = (batch.column(i).flatten().to_numpy() for i in (1, 2))
-                lengths = np.diff(batch.column(1).offsets.to_numpy())
-                ends = np.cumsum(lengths)
-                distinct, first_row = np.unique(nodes, return_index=True)
-                for first in range(0, len(distinct), step):
-                    own = distinct[first : first + step]
-                    a = first_row[first]
-                    b = first_row[first + step] if first + step < len(distinct) else len(nodes)
-                    of = np.repeat(np.searchsorted(own, nodes[a:b]), lengths[a:b])
-                    lo, hi = ends[a] - lengths[a], ends[b - 1]
-                    table = np.bincount(of * n_cells + cells[lo:hi], weights=weights[lo:hi], minlength=len(own) * n_cells).reshape(len(own), n_cells)
-                    if carried is not None:
-                        if carried[0] == own[0]:
-                            table[0] += carried[1]
-                        else:
-                            yield solved(np.array([carried[0]]), carried[1][None])
-                    carried = (int(own[-1]), table[-1])
-                    if len(own) > 1:
-                        yield solved(own[:-1], table[:-1])
-            if carried is not None:
-                yield solved(np.array([carried[0]]), carried[1][None])
-
-        counted = prepared.select("y", "h", "x").mapInArrow(sums, "node long, cell array<int>, w array<int>")
-        kinds = ("long", "double", "long", "long", "long", "long", "long", "boolean", "boolean")
-        schema = ", ".join(f"{c} {k}" for c, k in zip(_SPLIT, kinds, strict=True))
+                cells, weights = (np.frombuffer(b"".join(batch.column(i).to_pylist()), k) for i, k in ((2, number), (3, np.uint8)))
+                lengths = pc.binary_length(batch.column(3)).to_numpy()
+                weights = weights * np.repeat(batch.column(1).to_numpy(), lengths)
+                ends = np.cumsum(lengths, dtype=np.int64)
+                starts = np.flatnonzero(np.append(True, np.diff(nodes) != 0))  # rows where a node begins
+                begins = np.append(0, ends)[starts]  # and their cells
+                first = 0
+                while first < len(starts):
+                    # as many whole nodes as hold about _CELLS cells, one at least
+                    after = max(first + 1, int(np.searchsorted(begins, begins[first] + _CELLS, "right")) - 1) if begins[-1] > begins[first] + _CELLS else len(starts)
+                    a, b = starts[first], starts[after] if after < len(starts) else len(nodes)
+                    lo, hi = begins[first], ends[b - 1]
+                    own = np.repeat(nodes[a:b], np.diff(np.append(lo, ends[a:b]))) * n_cells + cells[lo:hi]
+                    cell, weight = np.append(carried[0], own), np.append(carried[1], weights[lo:hi])
+                    kept = cell // n_cells == nodes[b - 1]
+                    yield from solved(cell[~kept], weight[~kept])
+                    # a node that many tasks have told of has at most n_cells cells
+                    cell, where = np.unique(cell[kept], return_inverse=True)
+                    carried = (cell, np.bincount(where.ravel(), weights=weight[kept], minlength=len(cell)).astype(np.int64))
+                    first = after
+            yield from solved(*carried)
+
+        counted = prepared.select("y", "h", "x").mapInArrow(sums, "node long, scale long, cell binary, w binary")
+        types = ("long", "double", "long", "long", "long", "long", "long", "boolean", "boolean")
+        schema = ", ".join(f"{c} {k}" for c, k in zip(_SPLIT, types, strict=True))
         found = counted.repartition("node").sortWithinPartitions("node").mapInArrow(split, schema).toPandas().sort_values("node")
-        features, opened = drawn(frontier), []
-        for at, gain, place_, last, winner, *sides in found.itertuples(index=False, name=None):
-            tree, node = frontier[at]
-            g = grown[tree]
-            if level == 0:
-                g["winner"][0] = winner
-            if gain <= 1e-9:
-                continue
-            g["feature"][node], g["limit"][node], g["child"][node], g["decrease"][node] = int(features[at, place_]), last, len(g["feature"]), gain
-            for side in range(2):
-                for name, value in (("feature", -1), ("limit", 0), ("child", 0), ("winner", sides[side]), ("decrease", 0.0)):
-                    g[name].append(value)
-                if sides[2 + side]:
-                    opened.append((tree, len(g["feature"]) - 1))
-        frontier = opened
         sent.unpersist()
-    return packed()
+        if level == 0:
+            grown["winner"][found["node"], 0] = found["winner"]
+        found = found[found["gain"] > 1e-9]
+        at = found["node"].to_numpy()
+        tree, node = frontier[:, at]  # trees in ascending order, as the open nodes are in theirs
+        rank = np.arange(len(tree)) - np.searchsorted(tree, tree)
+        child = sizes[tree] + 2 * rank
+        sizes += 2 * np.bincount(tree, minlength=trees)
+        more = int(sizes.max()) - grown["feature"].shape[1]
+        for c, k in kinds.items():
+            grown[c] = np.concatenate([grown[c], np.full((trees, more), -1 if c == "feature" else 0, k)], axis=1)
+        grown["feature"][tree, node] = features[at, found["place"].to_numpy()]
+        grown["limit"][tree, node], grown["child"][tree, node], grown["decrease"][tree, node] = found["last"], child, found["gain"]
+        for side, name in enumerate(("winner_left", "winner_right")):
+            grown["winner"][tree, child + side] = found[name]
+        mixed = found[["mixed_left", "mixed_right"]].to_numpy(bool)
+        frontier = np.stack([np.repeat(tree, 2), np.stack([child, child + 1], axis=1).ravel()])[:, mixed.ravel()]
+    return Forest(*grown.values(), labels, prepared)
 
 
 def votes(forest: Forest) -> DataFrame:
@@ -331,7 +362,7 @@ def rf_outlier(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int
             for first in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(first, _ROWS)
                 leaf = sent.value.leaves(_arrays(part, 2, 3)[1])
-                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(leaf.astype(np.int32).tolist(), pa.list_(pa.int32()))], names=["id", "label", "_l"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.ListArray.from_arrays(pa.array(np.arange(len(leaf) + 1, dtype=np.int32) * leaf.shape[1]), pa.array(leaf.ravel().astype(np.int32)))], names=["id", "label", "_l"])
 
     prepared = forest.prepared
     leaves = stage(prepared.select("id", "label", "h", "x").mapInArrow(reached, f"id {kind}, label string, _l array<int>"))

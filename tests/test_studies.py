@@ -738,6 +738,42 @@ def test_trees_equal_a_plain_search(spark):
         check(t, 0, np.arange(70))
 
 
+def test_best_splits_of_occurring_cells_equal_those_of_full_tables():
+    rng = np.random.default_rng(41)
+    nodes, places, classes = 30, 3, 4
+    table = rng.integers(0, 3, (nodes, places, forest.BINS, classes)) * (rng.random((nodes, places, forest.BINS, classes)) < 0.03)
+    table[0] = 0
+    table[1, :, :, :] = 0
+    table[1, :, 5, 2] = 4  # one bin: nothing to split
+    left = table.cumsum(axis=2).astype(float)
+    right = left[:, :, -1:] - left
+    def gini(t):
+        return t.sum(axis=3) - (t**2).sum(axis=3) / np.maximum(t.sum(axis=3), 1e-300)
+    gain = gini(left[:, :, -1:]) - gini(left) - gini(right)
+    gain[(left.sum(axis=3) == 0) | (right.sum(axis=3) == 0)] = -1
+    cell = rng.permutation(np.flatnonzero(table))
+    found = forest._best_splits(np.repeat(cell, 2), np.repeat(table.ravel()[cell], 2) / 2, places, classes)
+    assert found[0].tolist() == [n for n in range(nodes) if table[n].any()] and 0 not in found[0]
+    for node, most, place, last, whole, one, two, mixed_one, mixed_two in zip(*found, strict=True):
+        assert most == gain[node].max()
+        if most > 0:
+            assert (place, last) == np.unravel_index(gain[node].argmax(), gain[node].shape)
+            a, b = left[node, place, last], right[node, place, last]
+            assert (whole, one, two, mixed_one, mixed_two) == ((a + b).argmax(), a.argmax(), b.argmax(), (a > 0).sum() > 1, (b > 0).sum() > 1)
+
+
+def test_forest_walks_samples_of_one_file_in_many_tasks(spark):
+    data = spark.range(900).selectExpr("id", "if(id % 3 = 0, 'a', 'b') AS label", "array(id % 7D, cast(id % 3 AS double)) AS features").coalesce(1)
+    grown = forest.grow(data, trees=3, per_split=2)
+    assert grown.prepared.rdd.getNumPartitions() > 1
+    # sums above 255 need more than one byte: all weights reach the root, whose best split parts the classes
+    assert (grown.feature[:, 0] == 1).all() and (grown.limit[:, 0] == 0).all()
+    weights = forest.bootstrap_weights(data, 3).join(data, "id").groupBy("tree", "label").agg(F.sum("weight").alias("w")).collect()
+    for t in range(3):
+        a, b = (next(r["w"] for r in weights if (r["tree"], r["label"]) == (t, x)) for x in "ab")
+        assert grown.decrease[t, 0] == pytest.approx(2 * a * b / (a + b))
+
+
 def test_forest_separates_classes_and_finds_the_outlier(spark):
     rng = np.random.default_rng(3)
     rows = [(i, "a" if i < 30 else "b", [float(x) for x in rng.normal(0 if i < 30 else 6, 1, 5)]) for i in range(60)]
