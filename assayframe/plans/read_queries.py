@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences
 from ..operators import alignments, counts_nb, forest, kmers, matrix, read_quality, read_trimming
+from ..sources.staging import stage
 from . import roles
 from .catalog import query, rounded
 from .roles import LEVELS, with_roles
@@ -350,8 +351,9 @@ def sort_alignments(spark, sf):
 
 
 def _nb(spark, sf):
-    long, samples = roles.cells(spark, sf), roles.samples(spark, sf)
-    return long, samples, matrix.size_factors(long, samples)
+    # the counts are read about ten times, the factors twice
+    long, samples = stage(roles.cells(spark, sf)), roles.samples(spark, sf)
+    return long, samples, stage(matrix.size_factors(long, samples))
 
 
 @query("nb_dispersion")
