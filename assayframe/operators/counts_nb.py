@@ -66,16 +66,26 @@ def _group_means(k: np.ndarray, s: np.ndarray, second: np.ndarray, alpha: np.nda
 
 
 def _profile(k: np.ndarray, mu: np.ndarray, second: np.ndarray, ln_alpha: np.ndarray) -> np.ndarray:
-    """Cox-Reid adjusted log likelihood of a dispersion (one, or one a feature) at fixed means."""
-    alpha = np.exp(ln_alpha)[..., None]
+    """Cox-Reid adjusted log likelihood of a dispersion at fixed means."""
+    alpha = np.exp(ln_alpha)[:, None]
     r = 1 / alpha
     like = _ln_gamma(k + r) - _ln_gamma(r) - k * np.log1p(r / mu) - r * np.log1p(alpha * mu)
     w = mu / (1 + alpha * mu)
     return like.sum(axis=1) - 0.5 * (np.log(w[:, ~second].sum(axis=1)) + np.log(w[:, second].sum(axis=1)))
 
 
+_CELLS = 1 << 13  # counts whose dispersions are searched at a time: their arrays stay in a core's cache
+
+
 def _best_dispersion(k, mu, second, centre=None, prior_var=None) -> np.ndarray:
     """ln dispersion that maximises the adjusted likelihood, with a normal prior around ``centre`` if given."""
+    step = max(64, _CELLS // max(1, k.shape[1]))
+    parts = [slice(i, i + step) for i in range(0, len(k), step)]
+    found = [_best_of_block(k[p], mu[p], second, None if centre is None else centre[p], prior_var) for p in parts]
+    return np.concatenate(found) if found else np.zeros(0)
+
+
+def _best_of_block(k, mu, second, centre, prior_var) -> np.ndarray:
     low, high = math.log(MIN_DISPERSION), math.log(max(MAX_DISPERSION, k.shape[1]))
     grid = np.linspace(low, high, 25)
 
@@ -83,33 +93,22 @@ def _best_dispersion(k, mu, second, centre=None, prior_var=None) -> np.ndarray:
         v = _profile(k, mu, second, x)
         return v if centre is None else v - (x - centre) ** 2 / (2 * prior_var)
 
-    scores = np.stack([value(g) for g in grid])
+    scores = np.stack([value(np.full(len(k), g)) for g in grid])
     best = grid[scores.argmax(axis=0)]
     width = grid[1] - grid[0]
     a, b = np.maximum(best - width, low), np.minimum(best + width, high)
     ratio = (math.sqrt(5) - 1) / 2
-    c, d = b - ratio * (b - a), a + ratio * (b - a)
-    at_c, at_d = value(c), value(d)
     for _ in range(40):
-        left = at_c >= at_d
+        c, d = b - ratio * (b - a), a + ratio * (b - a)
+        left = value(c) >= value(d)
         a, b = np.where(left, a, c), np.where(left, d, b)
-        # one of the two points stays inside, so only one is new
-        new = np.where(left, b - ratio * (b - a), a + ratio * (b - a))
-        at_new = value(new)
-        c, d = np.where(left, new, d), np.where(left, c, new)
-        at_c, at_d = np.where(left, at_new, at_d), np.where(left, at_c, at_new)
     return (a + b) / 2
 
 
-_CELLS = 1 << 13  # counts that are fitted at a time: their arrays stay in a core's cache
-
-
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
     for batch in batches:
-        step = max(64, _CELLS // max(1, len(batch["k"].iloc[0]))) if len(batch) else 1
-        for first in range(0, len(batch), step):
-            some = batch.iloc[first : first + step]
-            yield some, np.stack(some["k"].to_numpy()).astype("float64")
+        if len(batch):
+            yield batch, np.stack(batch["k"].to_numpy()).astype("float64")
 
 
 # --- operators -----------------------------------------------------------------------------------

@@ -774,29 +774,28 @@ def test_forest_walks_samples_of_one_file_in_many_tasks(spark):
         assert grown.decrease[t, 0] == pytest.approx(2 * a * b / (a + b))
 
 
-def test_dispersions_are_searched_with_one_new_point_a_step(monkeypatch):
+def test_dispersions_are_searched_in_blocks_with_one_log_gamma_a_count(monkeypatch):
     rng = np.random.default_rng(43)
     s, second = np.exp(rng.normal(0, 0.2, 8)), np.arange(8) >= 4
-    k = rng.negative_binomial(2, 2 / (2 + 50 * s), (300, 8)).astype(float)
+    k = rng.negative_binomial(2, 2 / (2 + 50 * s), (2500, 8)).astype(float)
     mu = np.maximum(k.mean(axis=1, keepdims=True), 0.5) * s
-    profile, asked = counts_nb._profile, []
-    monkeypatch.setattr(counts_nb, "_profile", lambda *a: asked.append(1) or profile(*a))
-    for prior in ((), (np.full(300, math.log(0.3)), 0.5)):
+    ln_gamma, asked = counts_nb._ln_gamma, []
+    monkeypatch.setattr(counts_nb, "_ln_gamma", lambda z: asked.append(z.shape) or ln_gamma(z))
+    for prior in ((), (np.full(2500, math.log(0.3)), 0.5)):
         asked.clear()
         best = counts_nb._best_dispersion(k, mu, second, *prior)
-        assert len(asked) <= 25 + 2 + 40
+        assert max(rows for rows, _ in asked) == 1024 and {columns for _, columns in asked} == {1, 8}
+        monkeypatch.setattr(counts_nb, "_CELLS", 1 << 20)
+        assert np.array_equal(best, counts_nb._best_dispersion(k, mu, second, *prior))
+        monkeypatch.setattr(counts_nb, "_CELLS", 1 << 13)
 
         def value(x, prior=prior):
-            return profile(k, mu, second, x) - ((x - prior[0]) ** 2 / (2 * prior[1]) if prior else 0)
+            return counts_nb._profile(k, mu, second, x) - ((x - prior[0]) ** 2 / (2 * prior[1]) if prior else 0)
 
         low, high = math.log(counts_nb.MIN_DISPERSION), math.log(counts_nb.MAX_DISPERSION)
         for off in (-1e-3, 1e-3, -0.3, 0.3):
             assert (value(best) >= value(np.clip(best + off, low, high)) - 1e-9).all()
-    # batches are fitted in blocks, each row once and in its place
-    batch = pd.DataFrame({"feature": range(2500), "k": [[float(i)] * 8 for i in range(2500)]})
-    blocks = list(counts_nb._blocks([batch, batch[:0]]))
-    assert len(blocks) == 3 and [int(x) for _, x in ((b, v) for _, m in blocks for b, v in enumerate(m[:, 0]))] == list(range(2500))
-    assert all((b["feature"].to_numpy() == m[:, 0]).all() for b, m in blocks)
+    assert counts_nb._best_dispersion(k[:0], mu[:0], second).shape == (0,)
 
 
 def test_forest_separates_classes_and_finds_the_outlier(spark):
