@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from assayframe.operators import alignments, components, contrasts, counts_nb, enrichment, forest, integration, kmers, matrix
 from assayframe.operators import rangejoin, read_quality, read_trimming, similarity, skew, spectra
+from assayframe.plans import study_queries
 
 LEVELS = ("bm", "cns")
 
@@ -198,6 +200,40 @@ def test_integration_equals_the_pair_table(spark):
     assert degree == {"P": 6, "g1": 3, "g2": 3}
 
 
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("list_rows, list_group", [(1000, 100_000), (3, 5)])
+def test_pairs_by_lists_are_all_pairs(spark, monkeypatch, list_rows, list_group):
+    monkeypatch.setattr(skew, "LIST_ROWS", list_rows)
+    monkeypatch.setattr(skew, "LIST_GROUP", list_group)
+    draw = np.random.default_rng(18)
+    left = [(("P", "Q", None, "R")[draw.integers(4)], int(draw.integers(6)), (None, "a", "b")[draw.integers(3)]) for _ in range(90)]
+    right = [(("P", "Q", None, "S")[min(3, draw.integers(9))], float(draw.integers(4)), (None, 7)[draw.integers(2)]) for _ in range(70)]
+    rows = spark.createDataFrame(left, "k string, x int, y string")
+    others = spark.createDataFrame(right, "k string, z double, w int")
+    got = skew.pair_join(rows, others, ["k"])
+    assert got.columns == ["k", "x", "y", "z", "w"]
+    assert Counter(tuple(r) for r in got.collect()) == Counter((a[0], a[1], a[2], b[1], b[2]) for a in left for b in right if a[0] == b[0] and a[0] is not None)
+    assert skew.pair_join(rows, others.limit(0), ["k"]).count() == 0
+
+
+def test_pairs_come_from_lists_and_are_rounded_before(spark, tmp_path):
+    spark.createDataFrame([(0, "N")], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.range(40).selectExpr("concat('c', id) AS c_name", "0 AS c_nationkey", "double(id) / 7 AS c_acctbal").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(30).selectExpr("concat('s', id) AS s_name", "0 AS s_nationkey", "double(id) / 3 AS s_acctbal").write.parquet(f"{tmp_path}/supplier.parquet")
+    pairs = study_queries.pair_by_pathway(spark, str(tmp_path))
+    above = _plan(pairs).split("Generate explode(_rows")
+    assert len(above) == 2 and "round(" not in above[0] and above[1].count("round(") >= 2
+    got = {(r["gene"], r["compound"]): (r["gene_lfc"], r["compound_lfc"]) for r in pairs.collect()}
+    assert len(got) == 1200 and got["c5", "s4"] == (0.000714, 0.001333)
+    edges = study_queries.network_edge_table(spark, str(tmp_path))
+    assert "Generate explode(_rows" in _plan(edges) and edges.distinct().count() == edges.count() == 1200
+    # few bytes, many pairs: no task is left without work because its neighbour's bytes are few
+    assert edges.rdd.getNumPartitions() >= 8 * spark.sparkContext.defaultParallelism
+
+
 def test_a_pathway_of_more_than_a_million_pairs_keeps_its_lists(spark):
     genes = spark.range(1100).selectExpr("'P' AS pathway_name", "concat('g', lpad(id, 4, '0')) AS gene", "double(id) AS gene_lfc")
     compounds = spark.range(1000).selectExpr("'P' AS pathway_name", "concat('c', lpad(id, 4, '0')) AS compound", "double(1) AS compound_lfc")
