@@ -234,6 +234,16 @@ def test_pairs_come_from_lists_and_are_rounded_before(spark, tmp_path):
     assert edges.rdd.getNumPartitions() >= 8 * spark.sparkContext.defaultParallelism
 
 
+def test_points_meet_intervals_in_lists(spark):
+    points = spark.range(300).selectExpr("id AS p", "0 AS g", "id * 5 AS x")
+    spans = spark.range(200).selectExpr("id AS i", "0 AS g", "id * 7 AS s", "id * 7 + 40 AS e")
+    want = Counter((p, i) for p in range(300) for i in range(200) if i * 7 <= p * 5 <= i * 7 + 40)
+    for crowded in (True, False):
+        got = rangejoin.point_in_interval(points, spans, ["g"], "x", "s", "e", 40.0, crowded=crowded)
+        assert ("Generate explode(_rows" in _plan(got)) == crowded
+        assert Counter((r["p"], r["i"]) for r in got.collect()) == want
+
+
 def test_a_pathway_of_more_than_a_million_pairs_keeps_its_lists(spark):
     genes = spark.range(1100).selectExpr("'P' AS pathway_name", "concat('g', lpad(id, 4, '0')) AS gene", "double(id) AS gene_lfc")
     compounds = spark.range(1000).selectExpr("'P' AS pathway_name", "concat('c', lpad(id, 4, '0')) AS compound", "double(1) AS compound_lfc")
