@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from assayframe.operators import alignments, components, contrasts, counts_nb, enrichment, forest, integration, kmers, matrix
 from assayframe.operators import rangejoin, read_quality, read_trimming, similarity, skew, spectra
-from assayframe.plans import study_queries
+from assayframe.plans import matrix_queries, study_queries
 
 LEVELS = ("bm", "cns")
 
@@ -974,3 +974,19 @@ def test_characters_are_counted_before_they_are_rows(spark, monkeypatch):
         found = read_quality._by_position(reads, "qual", "c")
         assert {tuple(r)[:4]: r["n"] for r in found.collect()} == want
     assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_query_of_feature_correlation_returns_all_pairs(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(61)
+    rows = [(part, s, float(q)) for part in range(1, 13) for s, q in zip(range(1, 9), rng.integers(1, 50, 8))]
+    spark.createDataFrame(rows, "l_partkey long, l_suppkey long, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(s,) for s in range(1, 9)], "s_suppkey long").write.parquet(str(tmp_path / "supplier.parquet"))
+    got = {(r["a"], r["b"]): r["r"] for r in matrix_queries.feature_correlation(spark, str(tmp_path)).collect()}
+    assert set(got) == {(a, b) for a in range(1, 13) for b in range(a + 1, 13)} and min(map(abs, got.values())) < 0.5
+    # all pairs as well are made by tasks that get two groups of blocks
+    monkeypatch.setattr(similarity, "_GROUPS", 2)
+    sent, of = [], similarity._sent
+    monkeypatch.setattr(similarity, "_sent", lambda *a: sent.append(of(*a)) or sent[-1])
+    long, samples = long_table(spark, rng.normal(size=(60, 5))), sample_table(spark, 5, 2)
+    assert similarity.feature_correlation(long, samples, block_rows=6).count() == 60 * 59 // 2
+    assert sent[0][0].count() <= 60 * 2 and len(sent[0][1]) <= 3
