@@ -7,12 +7,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.sequences import MAX_QUALITY, reverse_complement
 from ..functions.tails import once
 from ..session import widen
-from ..sources.staging import stage
 
 MAX_ADAPTERS = 10_000  # an adapter file is a short list; it travels with the job
 
@@ -64,26 +65,37 @@ def _stretches(texts: pd.Series) -> Iterator[tuple[int, pd.Series]]:
 
 def trim_leading(reads: DataFrame, q: int = 3, offset: int = 33) -> DataFrame:
     """Drop the bases before the first one of quality ``q``."""
-    placed = widen(reads).withColumn("_good", _place("qual", offset, lambda x: x >= q, empty=int(q <= 0)))
+    return _led(widen(reads), q, offset)
+
+
+def _led(reads: DataFrame, q: int, offset: int) -> DataFrame:
+    placed = reads.withColumn("_good", _place("qual", offset, lambda x: x >= q, empty=int(q <= 0)))
     first = F.when(F.col("_good") > 0, F.col("_good")).otherwise(F.length("seq") + 1)
     return _cut(placed, first, F.length("seq")).drop("_good")
 
 
 def trim_trailing(reads: DataFrame, q: int = 3, offset: int = 33) -> DataFrame:
     """Drop the bases after the last one of quality ``q``."""
-    placed = widen(reads).withColumn("_good", _place("qual", offset, lambda x: x >= q, last=True, empty=int(q <= 0)))
+    return _trailed(widen(reads), q, offset)
+
+
+def _trailed(reads: DataFrame, q: int, offset: int) -> DataFrame:
+    placed = reads.withColumn("_good", _place("qual", offset, lambda x: x >= q, last=True, empty=int(q <= 0)))
     length = F.when(F.col("_good") > 0, F.length("seq") - F.col("_good") + 1).otherwise(F.lit(0))
     return _cut(placed, F.lit(1), length).drop("_good")
 
 
 def trim_sliding_window(reads: DataFrame, window: int = 4, q: float = 15, offset: int = 33) -> DataFrame:
     """Cut where the first window with a mean below ``q`` starts; reads shorter than the window stay."""
+    return _windowed(widen(reads), window, q, offset)
 
+
+def _windowed(reads: DataFrame, window: int, q: float, offset: int) -> DataFrame:
     def low(x: np.ndarray) -> np.ndarray:
         total = np.append(0, np.cumsum(x))
         return total[window:] - total[:-window] < q * window
 
-    placed = widen(reads).withColumn("_bad", _place("qual", offset, low, width=window))
+    placed = reads.withColumn("_bad", _place("qual", offset, low, width=window))
     length = F.when(F.col("_bad") > 0, F.col("_bad") - 1).otherwise(F.length("seq"))
     return _cut(placed, F.lit(1), length).drop("_bad")
 
@@ -93,13 +105,17 @@ def drop_short(reads: DataFrame, min_length: int = 36) -> DataFrame:
 
 
 def trim_reads(reads: DataFrame, adapters: DataFrame | None = None, offset: int = 33) -> DataFrame:
-    """The whole trimming step with its standard settings: adapters, both ends, sliding window, length."""
+    """The whole trimming step with its standard settings: adapters, both ends, sliding window, length.
+
+    The reads are shuffled once, to bring mates together; every other step is done where a read lies.
+    """
     if adapters is not None:
-        # the pairs are looked at from both sides, so the clipped reads are written once
-        reads = clip_pairs(stage(clip_adapters(reads, adapters, offset=offset)), offset=offset)
-    reads = trim_leading(reads, 3, offset)
-    reads = trim_trailing(reads, 3, offset)
-    return drop_short(trim_sliding_window(reads, 4, 15, offset), 36)
+        parts = _pair_parts(reads)  # of the reads as they came, as clipping is not done twice
+        reads = clip_pairs(clip_adapters(reads, adapters, offset=offset), offset=offset, parts=parts)
+    else:
+        reads = widen(reads)
+    reads = _trailed(_led(reads, 3, offset), 3, offset)
+    return drop_short(_windowed(reads, 4, 15, offset), 36)
 
 
 def route_pairs(reads: DataFrame) -> DataFrame:
@@ -174,10 +190,15 @@ _CELLS = 1 << 22  # letters that are scored together (one longer read by itself)
 
 
 def _parts(batch: pd.DataFrame, column: str) -> Iterator[pd.DataFrame]:
-    longest = max(1, int(batch[column].str.len().max() or 1)) if len(batch) else 1
-    rows = max(1, _CELLS // longest)
-    for at in range(0, len(batch), rows):
-        yield batch.iloc[at : at + rows]
+    """The rows in parts of like lengths, so that rows filled up to the longest of a part hold few more cells than letters."""
+    length = np.maximum(batch[column].str.len().fillna(0).to_numpy(np.int64), 1)
+    order = np.argsort(length, kind="stable")
+    first = 0
+    while first < len(order):
+        cells = length[order[first:]] * np.arange(1, len(order) - first + 1)  # of the rows up to each, ascending
+        last = first + max(1, int(np.searchsorted(cells, _CELLS, "right")))
+        yield batch.iloc[order[first:last]]
+        first = last
 
 
 def _clip_places(seqs: pd.Series, quals: pd.Series, adapters: list[np.ndarray], seeds: int, score: float, seed_length: int, offset: int) -> np.ndarray:
@@ -314,33 +335,67 @@ def clip_adapters(
     return widen(reads).mapInPandas(clip, reads.schema)
 
 
+_PART_LETTERS = 1 << 24  # letters of the reads for each part in which mates meet
+
+
+def _pair_parts(reads: DataFrame) -> int:
+    spark = reads.sparkSession
+    letters = reads.agg(F.sum(F.length("seq").cast("long"))).first()[0] or 0
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism, math.ceil(letters / _PART_LETTERS))
+
+
 def clip_pairs(
-    reads: DataFrame, palindrome: float = 30, seeds: int = 2, seed_length: int = 16, offset: int = 33
+    reads: DataFrame, palindrome: float = 30, seeds: int = 2, seed_length: int = 16, offset: int = 33, parts: int | None = None
 ) -> DataFrame:
     """Cut both mates of a pair that reads through its insert into the adapters.
 
     Mate 1 up to the insert length equals the reverse complement of mate 2 up to it. The reverse
     complement is laid over mate 1 at every shorter insert length whose first 16 bases fit; the longest
     insert whose overlap scores ``palindrome`` wins, and both mates are cut to it.
-    """
-    sides = [
-        reads.filter(F.col("mate") == m).select(
-            "sample", "read_id", F.col("seq").alias(f"s{m}"), F.col("qual").alias(f"q{m}")
-        )
-        for m in (1, 2)
-    ]
-    sides[1] = sides[1].withColumn("r2", reverse_complement("s2"))
-    kind = dict(reads.dtypes)
-
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for whole in batches:
-            for batch in _parts(whole, "r2"):
-                found = _insert_lengths(batch["s1"].fillna(""), batch["q1"].fillna(""), batch["r2"].fillna(""), palindrome, seeds, seed_length, offset)
-                yield batch[["sample", "read_id"]].assign(_insert=found)
 
-    pairs = sides[0].join(sides[1].drop("s2", "q2"), ["sample", "read_id"])
-    found = pairs.mapInPandas(find, f"sample {kind['sample']}, read_id {kind['read_id']}, _insert int").filter("_insert >= 0")
-    cut = reads.join(found, ["sample", "read_id"], "left")
+    All columns of the reads are shuffled once, into ``parts`` (default: parts of bounded size, for which the letters are counted
+    first), and cut where mates meet. Of mates listed more than once each pair counts; a read without a key has no mate.
+    """
+    key = ["sample", "read_id"]
+    keyless = F.col("sample").isNull() | F.col("read_id").isNull()
+    # reads without a key would all meet in one part
+    dealt = reads.repartition(parts or _pair_parts(reads), *key, F.when(keyless, F.xxhash64("mate", "seq", "qual"))).sortWithinPartitions(*key)
+    mate = F.when(keyless, None).when(F.col("mate") == 1, 1).when(F.col("mate") == 2, 2)
+    given = dealt.withColumn("_mate", mate).withColumn("_back", F.when(F.col("_mate") == 2, reverse_complement("seq")))
+
+    def clipped(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The rows of whole keys with the insert lengths of their pairs."""
+        of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, table.num_rows)))
+        which = table["_mate"].fill_null(0).to_numpy()
+        one, two = (pd.DataFrame({"of": of[which == m], f"at{m}": np.flatnonzero(which == m)}) for m in (1, 2))
+        pairs = one.merge(two, on="of")
+        texts = {c: table[n].take(pa.array(pairs[at].to_numpy())).to_pandas().fillna("") for c, n, at in (("s1", "seq", "at1"), ("q1", "qual", "at1"), ("r2", "_back", "at2"))}
+        pairs = pairs[["of"]].assign(**texts)
+        pairs["_longer"] = pairs["s1"].where(pairs["s1"].str.len() > pairs["r2"].str.len(), pairs["r2"])
+        found = [part[["of"]].assign(_insert=_insert_lengths(part["s1"], part["q1"], part["r2"], palindrome, seeds, seed_length, offset)) for part in _parts(pairs, "_longer")]
+        found = pd.concat([pd.DataFrame({"of": np.zeros(0, np.int64), "_insert": np.zeros(0, np.int32)}), *found])
+        # as many rows of a read as its key has pairs with an insert, one at least
+        rows = pd.DataFrame({"of": of, "at": np.arange(len(of))}).merge(found[found["_insert"] >= 0], on="of", how="left")
+        out = table.drop_columns(["_mate", "_back"]).take(pa.array(rows["at"].to_numpy()))
+        yield from out.append_column("_insert", pa.array(rows["_insert"].astype("Int32"), pa.int32())).to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # the rows of the last key, which may go on in the next batch
+        for batch in batches:
+            table = pa.Table.from_batches([*held, batch]).combine_chunks()
+            if not table.num_rows:
+                continue
+            codes = [table[c].combine_chunks().dictionary_encode("encode").indices.to_numpy(zero_copy_only=False) for c in key]
+            none = np.logical_or(*[table[c].is_null().to_numpy() for c in key])
+            begins = np.append(True, none[1:] | (np.diff(codes[0]) != 0) | (np.diff(codes[1]) != 0))
+            starts = np.flatnonzero(begins)
+            yield from clipped(table.slice(0, starts[-1]), starts[:-1])
+            held = table.slice(starts[-1]).to_batches()
+        if held:
+            yield from clipped(pa.Table.from_batches(held), np.zeros(1, np.int64))
+
+    schema = StructType([*reads.schema.fields, StructField("_insert", IntegerType())])
+    cut = given.mapInArrow(run, schema)
     return _cut(cut, F.lit(1), F.coalesce("_insert", F.length("seq"))).drop("_insert").select(*reads.columns)
 
 

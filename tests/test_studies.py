@@ -990,3 +990,43 @@ def test_the_query_of_feature_correlation_returns_all_pairs(spark, tmp_path, mon
     long, samples = long_table(spark, rng.normal(size=(60, 5))), sample_table(spark, 5, 2)
     assert similarity.feature_correlation(long, samples, block_rows=6).count() == 60 * 59 // 2
     assert sent[0][0].count() <= 60 * 2 and len(sent[0][1]) <= 3
+
+
+def test_pairs_are_clipped_with_one_shuffle_like_joined_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(67)
+    adapter, rows = "AGATCGGAAGAGCACACGTC", []
+
+    def back(text):
+        return text[::-1].translate(str.maketrans("ACGT", "TGCA"))
+
+    for i in range(60):
+        insert = "".join(rng.choice(list("ACGT"), int(rng.integers(20, 140))))
+        one, two = insert + adapter[: int(rng.integers(0, 9))], back(insert) + adapter[: int(rng.integers(0, 9))]
+        rows += [("s" if i % 9 else None, 1, i // 2 if i % 5 == 0 else i + 100, one, "I" * len(one)), ("s" if i % 9 else None, 2, i // 2 if i % 5 == 0 else i + 100, two, "I" * len(two))]
+    rows += [*rows[20:50], ("s", 3, 101, "ACGT", "IIII"), ("s", None, 101, "ACGT", "IIII"), ("s", 1, None, "ACGT" * 9, "I" * 36), ("s", 2, None, "ACGT" * 9, "I" * 36), ("s", 1, 900, None, "III"), ("s", 2, 900, "ACGTA", None), ("s", 1, 901, "ACG", "IIIII")]
+    reads = spark.createDataFrame([(*r, f"n{k}") for k, r in enumerate(rows)], "sample string, mate int, read_id long, seq string, qual string, note string").repartition(3)
+    want = []
+    for sample, mate, read_id, seq, qual, note in map(tuple, reads.collect()):
+        own = [r for r in rows if None not in (r[0], r[2]) and (r[0], r[2]) == (sample, read_id)]
+        inserts = [
+            int(read_trimming._insert_lengths(pd.Series([a[3] or ""]), pd.Series([a[4] or ""]), pd.Series([back(b[3] or "")]), 30, 2, 16, 33)[0])
+            for a in own for b in own if a[1] == 1 and b[1] == 2
+        ]
+        for n in [x for x in inserts if x >= 0] or [None if seq is None else len(seq)]:
+            want.append((sample, mate, read_id, *[None if t is None or n is None else t[:n] for t in (seq, qual)], note))
+    assert len(want) > len(rows) and sum(w[3] not in {r[3] for r in rows} for w in want) > 20
+    for cells in (1 << 22, 300):
+        monkeypatch.setattr(read_trimming, "_CELLS", cells)
+        got = read_trimming.clip_pairs(reads)
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    with monkeypatch.context() as none_counted:
+        none_counted.setattr(read_trimming, "_pair_parts", lambda reads: 3)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        assert sorted(map(repr, map(tuple, read_trimming.clip_pairs(reads).collect()))) == sorted(map(repr, want))
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    # the reads were written to disk, joined with themselves and joined once more
+    monkeypatch.setattr("assayframe.sources.staging.new_path", lambda *_: pytest.fail("nothing is staged"))
+    adapters = spark.createDataFrame([("ad", adapter)], "name string, seq string")
+    trimmed = read_trimming.trim_reads(reads.coalesce(1), adapters)
+    plan = trimmed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
