@@ -6,16 +6,18 @@ so what is shuffled is bounded by read length × letters, not by the number of r
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.sequences import gc_count, letters, phred, quality_of
+from ..functions.sequences import MAX_QUALITY, gc_count, quality_of
 from ..session import widen
+from ..sources.staging import stage
 from .ordered import small_quantiles
 
 KEY = ["sample", "mate"]
@@ -38,14 +40,14 @@ _HELD = 1 << 21  # counts that a task holds before it passes them on
 _KEYS = 512  # reads of a slice at most; so the samples and mates held fit in ten bits
 
 
-def _by_position(reads: DataFrame, text: str, name: str) -> DataFrame:
-    """How often each character of ``text`` stands at each position (from 1): (sample, mate, pos, ``name``, n).
+def _by_position(reads: DataFrame, text: str, name: str, by: Sequence[str] = KEY) -> DataFrame:
+    """How often each character of ``text`` stands at each position (from 1): (the columns ``by``, pos, ``name``, n).
 
     Tasks count the characters of many reads at once; a character is a row only after it has been counted. An empty text
     has an empty character at its first position, a null one has none.
     """
-    rows = widen(reads).filter(F.col(text).isNotNull()).select(*KEY, text)
-    keys = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in KEY)
+    rows = widen(reads).filter(F.col(text).isNotNull()).select(*by, text)
+    keys = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in by)
     empty = 0x110000  # one more than any character
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,12 +68,12 @@ def _by_position(reads: DataFrame, text: str, name: str) -> DataFrame:
                 key, at, code = pa.array(c >> 53), c >> 21 & 0xFFFFFFFF, c & 0x1FFFFF
                 letters, which = np.unique(code, return_inverse=True)
                 shown = pa.array(["" if x == empty else chr(x) for x in letters.tolist()], pa.string()).take(pa.array(which.ravel()))
-                yield pa.RecordBatch.from_arrays([*[x.take(key) for x in names], pa.array((at + 1).astype(np.int32)), shown, pa.array(n[first : first + (1 << 16)])], names=[*KEY, "pos", name, "n"])
+                yield pa.RecordBatch.from_arrays([*[x.take(key) for x in names], pa.array((at + 1).astype(np.int32)), shown, pa.array(n[first : first + (1 << 16)])], names=[*by, "pos", name, "n"])
 
         kinds: list[pa.DataType] = []
         for batch in batches:
-            kinds = [batch.column(i).type for i in range(len(KEY))]
-            sizes = pc.utf8_length(batch.column(len(KEY))).to_numpy().astype(np.int64)
+            kinds = [batch.column(i).type for i in range(len(by))]
+            sizes = pc.utf8_length(batch.column(len(by))).to_numpy().astype(np.int64)
             upto = np.cumsum(np.maximum(sizes, 1))
             first = 0
             while first < batch.num_rows:
@@ -80,9 +82,9 @@ def _by_position(reads: DataFrame, text: str, name: str) -> DataFrame:
                 part = batch.slice(first, last - first)
                 length = sizes[first:last]
                 first = last
-                own = [of.setdefault(k, len(of)) for k in zip(*[part.column(i).to_pylist() for i in range(len(KEY))], strict=True)]
+                own = [of.setdefault(k, len(of)) for k in zip(*[part.column(i).to_pylist() for i in range(len(by))], strict=True)]
                 key = np.array(own, np.int64) << 53
-                code = np.frombuffer("".join(part.column(len(KEY)).to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32)
+                code = np.frombuffer("".join(part.column(len(by)).to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32)
                 at = np.arange(len(code)) - np.repeat(np.cumsum(length) - length, length)
                 cell = np.concatenate([np.repeat(key, length) | at << 21 | code, key[length == 0] | empty])
                 cell.sort()
@@ -97,7 +99,18 @@ def _by_position(reads: DataFrame, text: str, name: str) -> DataFrame:
             yield from told(*merged())
 
     parts = rows.mapInArrow(run, f"{keys}, pos int, {name} string, n long")
-    return parts.groupBy(*KEY, "pos", name).agg(F.sum("n").alias("n"))
+    return parts.groupBy(*by, "pos", name).agg(F.sum("n").alias("n"))
+
+
+def _tile_counts(reads: DataFrame, field: int = 4) -> DataFrame:
+    """(sample, mate, tile, pos, c, n): the quality characters by flow-cell tile (a ``:`` field of the read id) and position."""
+    tiled = reads.select(*KEY, F.get(F.split(F.col("read_id"), ":"), field).alias("tile"), "qual")
+    return _by_position(tiled, "qual", "c", [*KEY, "tile"])
+
+
+def _base_counts(reads: DataFrame) -> DataFrame:
+    """(sample, mate, pos, base, n): the letters by position."""
+    return _by_position(reads.filter(F.length("seq") > 0), "seq", "base")
 
 
 def qc_base_quality(reads: DataFrame, offset: int = 33) -> DataFrame:
@@ -105,8 +118,12 @@ def qc_base_quality(reads: DataFrame, offset: int = 33) -> DataFrame:
 
     A position has at most 94 distinct qualities, so the exact percentiles work on a short list of counts.
     """
+    return _base_quality(_by_position(reads, "qual", "c"), offset)
+
+
+def _base_quality(counts: DataFrame, offset: int = 33) -> DataFrame:
     # counted by character; the character becomes a number after the aggregation
-    counts = _by_position(reads, "qual", "c").withColumn("q", quality_of("c", offset))
+    counts = counts.withColumn("q", quality_of("c", offset))
     cuts = small_quantiles("q", [0.1, 0.25, 0.5, 0.75, 0.9], "n")
     stats = counts.groupBy(*KEY, "pos").agg(
         (F.sum(F.col("q") * F.col("n")) / F.sum("n")).alias("mean"), cuts.alias("_c"), F.sum("n").alias("reads")
@@ -115,23 +132,42 @@ def qc_base_quality(reads: DataFrame, offset: int = 33) -> DataFrame:
     return stats.select(*KEY, "pos", "reads", "mean", *[F.get("_c", i).alias(c) for i, c in enumerate(names)])
 
 
+def _quality_total(qual: str, offset: int) -> Column:
+    """Sum of the qualities of a text; null for a null."""
+
+    @F.pandas_udf("long")
+    def total(quals: pd.Series) -> pd.Series:
+        texts = quals.fillna("")
+        lengths = texts.str.len().to_numpy(np.int64)
+        upto = np.cumsum(lengths)
+        out, first = np.zeros(len(texts), np.int64), 0
+        while first < len(texts):
+            begin = int(upto[first - 1]) if first else 0
+            last = max(first + 1, int(np.searchsorted(upto, begin + _SLICE, "right")))
+            codes = np.frombuffer("".join(texts.iloc[first:last]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+            summed = np.append(0, np.cumsum(np.clip(codes - offset, 0, MAX_QUALITY)))
+            ends = upto[first:last] - begin
+            out[first:last] = summed[ends] - summed[ends - lengths[first:last]]
+            first = last
+        return pd.Series(out, quals.index, dtype="Int64").mask(quals.isna())
+
+    return total(qual)
+
+
 def qc_sequence_quality(reads: DataFrame, offset: int = 33) -> DataFrame:
     """Number of reads by whole mean quality."""
-    q = phred("qual", offset)
-    total = F.aggregate(q, F.lit(0).cast("long"), lambda s, x: s + x)
-    mean = F.floor(total / F.length("qual"))
-    return reads.filter(F.length("qual") > 0).groupBy(*KEY, mean.alias("mean_quality")).agg(F.count(F.lit(1)).alias("reads"))
+    rows = widen(reads).filter(F.length("qual") > 0).select(*KEY, "qual").withColumn("_total", _quality_total("qual", offset))
+    mean = F.floor(F.col("_total") / F.length("qual"))
+    return rows.groupBy(*KEY, mean.alias("mean_quality")).agg(F.count(F.lit(1)).alias("reads"))
 
 
 def qc_tile_quality(reads: DataFrame, offset: int = 33, field: int = 4) -> DataFrame:
     """Mean quality per flow-cell tile (a ``:`` field of the read id) and position, and its distance from the position's mean."""
-    tile = F.get(F.split(F.col("read_id"), ":"), field)
-    counts = (
-        widen(reads)
-        .select(*KEY, tile.alias("tile"), F.posexplode(letters("qual")).alias("_at", "c"))
-        .groupBy(*KEY, "tile", (F.col("_at") + 1).alias("pos"))
-        .agg(F.sum(quality_of("c", offset)).alias("_s"), F.count(F.lit(1)).alias("reads"))
-    )
+    return _tile_quality(_tile_counts(reads, field), offset)
+
+
+def _tile_quality(counts: DataFrame, offset: int = 33) -> DataFrame:
+    counts = counts.groupBy(*KEY, "tile", "pos").agg(F.sum(quality_of("c", offset) * F.col("n")).alias("_s"), F.sum("n").alias("reads"))
     everywhere = counts.groupBy(*KEY, "pos").agg((F.sum("_s") / F.sum("reads")).alias("_mean"))
     mean = F.col("_s") / F.col("reads")
     return counts.join(everywhere, [*KEY, "pos"]).select(
@@ -139,9 +175,8 @@ def qc_tile_quality(reads: DataFrame, offset: int = 33, field: int = 4) -> DataF
     )
 
 
-def _letter_shares(reads: DataFrame, bases: str, of: str) -> DataFrame:
+def _letter_shares(counts: DataFrame, bases: str, of: str) -> DataFrame:
     """Share of each base at every position, among the given letters or among all."""
-    counts = _by_position(reads.filter(F.length("seq") > 0), "seq", "base")
     total = F.sum(F.when(F.col("base").isin(list(of)), F.col("n"))) if of else F.sum("n")
     shares = [F.coalesce(F.sum(F.when(F.col("base") == b, F.col("n"))), F.lit(0)) for b in bases]
     stats = counts.groupBy(*KEY, "pos").agg(total.alias("_total"), *[s.alias(f"_{b}") for b, s in zip(bases, shares)])
@@ -150,12 +185,20 @@ def _letter_shares(reads: DataFrame, bases: str, of: str) -> DataFrame:
 
 def qc_base_content(reads: DataFrame) -> DataFrame:
     """Share of A, C, G and T at every position, among those four."""
-    return _letter_shares(reads, "ACGT", "ACGT")
+    return _base_content(_base_counts(reads))
+
+
+def _base_content(counts: DataFrame) -> DataFrame:
+    return _letter_shares(counts, "ACGT", "ACGT")
 
 
 def qc_n_content(reads: DataFrame) -> DataFrame:
     """Share of N at every position, among all letters."""
-    return _letter_shares(reads, "N", "")
+    return _n_content(_base_counts(reads))
+
+
+def _n_content(counts: DataFrame) -> DataFrame:
+    return _letter_shares(counts, "N", "")
 
 
 def qc_gc_content(reads: DataFrame) -> DataFrame:
@@ -168,9 +211,13 @@ def qc_length_distribution(reads: DataFrame) -> DataFrame:
     return reads.groupBy(*KEY, F.length("seq").alias("length")).agg(F.count(F.lit(1)).alias("reads"))
 
 
+def _digest() -> Column:
+    return F.coalesce(F.sha2(F.col("seq"), 256), F.lit("")).alias("_digest")
+
+
 def _copies(reads: DataFrame) -> DataFrame:
-    """Copies per sequence, counted on the map side first, so a sequence with many copies travels once per task."""
-    return reads.groupBy(*KEY, "seq").agg(F.count(F.lit(1)).alias("n"))
+    """Copies per sequence (sample, mate, _digest, n); a digest travels in the place of a sequence, once per task."""
+    return reads.groupBy(*KEY, _digest()).agg(F.count(F.lit(1)).alias("n"))
 
 
 def qc_duplication(reads: DataFrame) -> DataFrame:
@@ -186,7 +233,12 @@ def qc_overrepresented(reads: DataFrame, share: float = 0.001, min_copies: int =
     """Sequences that make up more than ``share`` of the reads of their sample and mate."""
     totals = reads.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_total"))
     found = _copies(reads).join(totals, KEY).withColumn("share", F.col("n") / F.col("_total"))
-    return found.filter((F.col("share") > share) & (F.col("n") >= min_copies)).select(*KEY, "seq", "n", "share")
+    # fewer than 1 / share for each sample and mate; only these are looked up as text
+    found = found.filter((F.col("share") > share) & (F.col("n") >= min_copies)).drop("_total")
+    told = found.select(*[F.col(c).alias(f"{c}_") for c in found.columns])
+    own = [F.col(c) == F.col(f"{c}_") for c in (*KEY, "_digest")]
+    texts = reads.select(*KEY, "seq", _digest()).join(told, own)
+    return texts.groupBy(*KEY, "_digest").agg(F.min("seq").alias("seq"), F.min("n_").alias("n"), F.min("share_").alias("share")).drop("_digest")
 
 
 class Automaton(NamedTuple):
@@ -235,8 +287,16 @@ def automaton(patterns: list[str]) -> Automaton:
     return Automaton(letters, step, np.array(ends, np.int32), shorter, np.array([len(p) for p in coded], np.int64))
 
 
+_PIECE = 1 << 11  # letters that are walked in a row; the pieces of longer texts are walked side by side
+
+
 def first_hits(texts: list[str], machine: Automaton) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, pattern, start from 1) of the first hit of every pattern in every text; all texts are walked side by side."""
+    """(text, pattern, start from 1) of the first hit of every pattern in every text; all texts are walked side by side, long
+    ones in pieces, each of which goes on into the next one as far as a hit can reach."""
+    reach = int(machine.length.max(initial=1)) - 1
+    step = max(_PIECE, 4 * reach)
+    of = [(i, at) for i, t in enumerate(texts) for at in range(0, max(1, len(t) - reach), step)]
+    texts = [texts[i][at : at + step + reach] for i, at in of]
     codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
     column = np.searchsorted(machine.letters, codes)
     inside = column < len(machine.letters)
@@ -260,8 +320,12 @@ def first_hits(texts: list[str], machine: Automaton) -> tuple[np.ndarray, np.nda
             found.append((own[hit[full]], pattern, at + 2 - machine.length[pattern]))
             now = machine.shorter[now]
             hit, now = hit[now > 0], now[now > 0]
-    text, pattern, start = (np.concatenate(c).astype(np.int64) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
-    _, first = np.unique(text * max(1, len(machine.length)) + pattern, return_index=True)  # found in order of the position
+    piece, pattern, start = (np.concatenate(c).astype(np.int64) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+    owner, offset = np.array(of, np.int64).reshape(-1, 2).T
+    text, start = owner[piece], start + offset[piece]
+    order = np.lexsort((start, pattern, text))
+    text, pattern, start = text[order], pattern[order], start[order]
+    _, first = np.unique(text * max(1, len(machine.length)) + pattern, return_index=True)
     return text[first], pattern[first], start[first]
 
 
@@ -317,15 +381,20 @@ def qc_adapter_content(reads: DataFrame, adapters: DataFrame, group: int = _GROU
 
 
 def qc_modules(reads: DataFrame, adapters: DataFrame | None = None) -> dict[str, tuple[DataFrame, str | None, str | None]]:
-    """Every module of the report as (table, label column, bucket column); adapter content needs the adapters (name, seq)."""
+    """Every module of the report as (table, label column, bucket column); adapter content needs the adapters (name, seq).
+
+    The letters and qualities are counted once, for all modules that ask where they stand.
+    """
+    qualities, bases = stage(_tile_counts(reads)), stage(_base_counts(reads))
+    everywhere = qualities.groupBy(*KEY, "pos", "c").agg(F.sum("n").alias("n"))
     modules = {
         "basic_stats": (qc_basic_stats(reads), None, None),
-        "base_quality": (qc_base_quality(reads), None, "pos"),
-        "tile_quality": (qc_tile_quality(reads), "tile", "pos"),
+        "base_quality": (_base_quality(everywhere), None, "pos"),
+        "tile_quality": (_tile_quality(qualities), "tile", "pos"),
         "sequence_quality": (qc_sequence_quality(reads), None, "mean_quality"),
-        "base_content": (qc_base_content(reads), None, "pos"),
+        "base_content": (_base_content(bases), None, "pos"),
         "gc_content": (qc_gc_content(reads), None, "gc_percent"),
-        "n_content": (qc_n_content(reads), None, "pos"),
+        "n_content": (_n_content(bases), None, "pos"),
         "length_distribution": (qc_length_distribution(reads), None, "length"),
         "duplication": (qc_duplication(reads), None, "level"),
         "overrepresented": (qc_overrepresented(reads), "seq", None),
@@ -341,11 +410,11 @@ def qc_merge(stages: dict[str, DataFrame], adapters: DataFrame | None = None) ->
     The label is a tile, sequence or adapter, the bucket a position or class; either is null where a module has none.
     """
     out = None
-    for stage, reads in stages.items():
+    for name, reads in stages.items():
         for module, (table, label, bucket) in qc_modules(reads, adapters).items():
             metrics = [c for c in table.columns if c not in (*KEY, label, bucket)]
             part = table.select(
-                F.lit(stage).alias("stage"),
+                F.lit(name).alias("stage"),
                 *KEY,
                 F.lit(module).alias("module"),
                 (F.col(label) if label else F.lit(None)).cast("string").alias("label"),

@@ -1030,3 +1030,32 @@ def test_pairs_are_clipped_with_one_shuffle_like_joined_pairs(spark, monkeypatch
     trimmed = read_trimming.trim_reads(reads.coalesce(1), adapters)
     plan = trimmed._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_counts_of_the_report_against_plain_loops(spark, monkeypatch):
+    rng = np.random.default_rng(73)
+    words = ["".join(rng.choice(list("ACé"), int(n))) for n in (1, 2, 3, 3, 7)]
+    texts = ["".join(rng.choice(list("ACGé"), int(n))) for n in rng.integers(0, 200, 40)] + ["", words[4] * 30]
+    machine = read_quality.automaton(sorted(set(words)))
+    want = {(i, p): t.find(w) + 1 for i, t in enumerate(texts) for p, w in enumerate(sorted(set(words))) if w in t}
+    for piece in (1, 40, 1 << 11):
+        monkeypatch.setattr(read_quality, "_PIECE", piece)
+        assert {(i, p): s for i, p, s in zip(*map(np.ndarray.tolist, read_quality.first_hits(texts, machine)), strict=True)} == want
+    rows = [("s", 1, f"m:1:f:1:{i % 3}:{i}", x, x) for i, x in enumerate([*texts, None, None, texts[3]])] + [(None, 1, "a", "AC", "AC")]
+    reads = read_table(spark, rows)
+    quality = lambda t: [min(93, max(0, ord(c) - 33)) for c in t]
+    for size in (1 << 21, 64):
+        monkeypatch.setattr(read_quality, "_SLICE", size)
+        means = Counter((r[0], sum(quality(r[4])) // len(r[4])) for r in rows if r[4])
+        assert {(r["sample"], r["mean_quality"]): r["reads"] for r in read_quality.qc_sequence_quality(reads).collect()} == means
+        tiles = {}
+        for r in rows:
+            for at, q in enumerate(quality(r[4]) if r[4] else [0] if r[4] == "" else []):
+                tiles.setdefault((r[0], r[2].split(":")[4] if ":" in r[2] else None, at + 1), []).append(q)
+        got = {(r["sample"], r["tile"], r["pos"]): (r["reads"], r["mean"]) for r in read_quality.qc_tile_quality(reads).collect()}
+        assert got == {k: (len(v), sum(v) / len(v)) for k, v in tiles.items() if k[0]}
+    copies = Counter(r[3] for r in rows if r[0])
+    over = [(r["seq"], r["n"], round(r["share"], 9)) for r in read_quality.qc_overrepresented(reads, 0.03).collect()]
+    assert sorted(over, key=str) == sorted([(s, n, round(n / 45, 9)) for s, n in copies.items() if n > 0.03 * 45], key=str) and None in copies
+    plan = read_quality.qc_duplication(reads)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" in plan and not any("hashpartitioning" in line and "seq#" in line for line in plan.splitlines())
