@@ -156,12 +156,15 @@ def qc_adapter_passages(spark, sf):
 
 @query("qc_merge")
 def qc_merge(spark, sf):
+    """The report of the reads as they came and of the pairs left by the whole trimming step, every row of every module."""
     reads = roles.reads(spark, sf)
-    adapters = _adapters(spark, sf).withColumn("seq", F.substring("seq", 1, 24))
-    report = read_quality.qc_merge({"raw": reads, "trimmed": read_trimming.trim_trailing(reads)}, adapters)
-    # documents as reads have tens of thousands of positions each: the report's rows are summed per module and metric
-    summed = report.groupBy("stage", "sample", "mate", "module", "metric").agg(F.count(F.lit(1)).alias("rows"), F.sum("bucket").alias("buckets"), F.sum("value").alias("total"))
-    return rounded(summed, 4)
+    adapters = _adapters(spark, sf)
+    # mates are of one sample for trimming; the report names the source of each
+    pairs = reads.withColumns({"source": F.col("sample"), "sample": F.concat(F.lit("s"), F.col("read_id") % 4)})
+    trimmed = read_trimming.route_pairs(stage(read_trimming.trim_reads(pairs, adapters)))
+    paired = trimmed.filter("route = 'paired'").withColumn("sample", F.col("source")).drop("source", "route")
+    report = read_quality.qc_merge({"raw": reads, "trimmed": stage(paired)}, adapters.withColumn("seq", F.substring("seq", 1, 24)))
+    return rounded(report, 4)
 
 
 # --- trimming ------------------------------------------------------------------------------------

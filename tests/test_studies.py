@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from assayframe.operators import alignments, components, contrasts, counts_nb, enrichment, forest, integration, kmers, matrix
 from assayframe.operators import rangejoin, read_quality, read_trimming, similarity, skew, spectra
-from assayframe.plans import matrix_queries, study_queries
+from assayframe.plans import matrix_queries, read_queries, study_queries
 
 LEVELS = ("bm", "cns")
 
@@ -1032,6 +1032,33 @@ def test_pairs_are_clipped_with_one_shuffle_like_joined_pairs(spark, monkeypatch
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
 
 
+def test_the_report_query_uses_the_whole_trimming_step_and_keeps_every_row(spark, tmp_path):
+    rng = np.random.default_rng(71)
+    passage = "".join(rng.choice(list("ACGT"), 60))
+    texts = []
+    for i in range(24):
+        body = "".join(rng.choice(list("ACGTacgtUVWXYZ"), 80))
+        texts.append((body[:3] if i == 6 else "!!" + body + (passage if i % 3 == 0 else "") + '"' * 3, i, f"src{i % 4}"))
+    spark.createDataFrame([(i, t, s, "en", len(t)) for t, i, s in texts], "doc_id long, text string, source string, lang string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    report = read_queries.qc_merge(spark, str(tmp_path)).toPandas()
+    assert list(report.columns) == ["stage", "sample", "mate", "module", "label", "bucket", "metric", "value"]
+
+    def stats(stage, metric):
+        part = report[(report["stage"] == stage) & (report["module"] == "basic_stats") & (report["metric"] == metric)]
+        return {(r.sample, r.mate): r.value for r in part.itertuples()}
+
+    want, bases = Counter(), Counter()
+    for t, i, s in texts:
+        if i // 2 != 3:  # the mate of a read too short is left alone
+            want[s, i % 2 + 1] += 1
+            bases[s, i % 2 + 1] += 80
+    assert stats("trimmed", "reads") == want and stats("trimmed", "bases") == bases
+    assert sum(stats("raw", "bases").values()) == sum(len(t) for t, _, _ in texts)
+    lengths = report[(report["module"] == "base_quality") & (report["metric"] == "reads")]
+    assert lengths[lengths["stage"] == "raw"]["bucket"].max() == 145 and lengths[lengths["stage"] == "trimmed"]["bucket"].max() == 80
+
+
 def test_counts_of_the_report_against_plain_loops(spark, monkeypatch):
     rng = np.random.default_rng(73)
     words = ["".join(rng.choice(list("ACé"), int(n))) for n in (1, 2, 3, 3, 7)]
