@@ -14,7 +14,6 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import widen
@@ -37,8 +36,8 @@ def sample_vectors(long: DataFrame, samples: DataFrame) -> DataFrame:
 
 DEPTH = 30
 BINS = 64  # a feature's values are compared with at most so many cut points, its approximate quantiles
-_BLOCK = 256  # samples whose leaves are compared with as many others at a time
-_ROWS = 1024  # samples that are walked through all trees at a time
+_BLOCK = 256  # samples that a sample's leaves are compared with at a time
+_ROWS = 1024  # samples that are walked through all trees, or whose votes are added up, at a time
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: The chances that a Poisson number of mean 1 is at most 0, 1, 2 and so on.
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(16)])
@@ -51,9 +50,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _weights(h: np.ndarray, trees: int) -> np.ndarray:
-    """(samples, trees): how often each tree's bootstrap draws a sample, a Poisson number made of the sample's hash."""
-    u = _mixed(h.view(np.uint64)[:, None] + np.arange(1, trees + 1, dtype=np.uint64)[None, :] * _STEP)
+def _weights(h: np.ndarray, trees: int, first: int = 0) -> np.ndarray:
+    """(samples, trees): how often the bootstraps of so many trees from the ``first`` on draw a sample, a Poisson number made of the
+    sample's hash."""
+    u = _mixed(h.view(np.uint64)[:, None] + np.arange(first + 1, first + trees + 1, dtype=np.uint64)[None, :] * _STEP)
     return np.searchsorted(_POISSON, (u >> np.uint64(11)).astype(np.float64) * 2.0**-53, "right").astype(np.int64)
 
 
@@ -67,7 +67,7 @@ class Forest(NamedTuple):
     winner: np.ndarray
     decrease: np.ndarray
     labels: list[str]
-    prepared: DataFrame  # id, label, y, h, x (a byte for each feature's bin)
+    prepared: DataFrame  # id, label, y, h, x (a byte for each feature's bin), row (a number for each sample)
 
     def leaves(self, x: np.ndarray) -> np.ndarray:
         """(samples, trees): the node where each sample ends."""
@@ -112,7 +112,8 @@ def _prepared(rows: DataFrame, seed: int) -> tuple[DataFrame, list[str], int]:
     # each level walks these rows again, so they are dealt out once
     numbered = widen(rows.select("id", "label", y.alias("y"), F.xxhash64("id", F.lit(seed)).alias("h"), "features"))
     kind = rows.schema["id"].dataType.simpleString()
-    return stage(numbered.mapInArrow(bins, f"id {kind}, label string, y int, h long, x binary")), labels, len(cuts)
+    binned = numbered.mapInArrow(bins, f"id {kind}, label string, y int, h long, x binary")
+    return stage(binned.withColumn("row", F.monotonically_increasing_id())), labels, len(cuts)
 
 
 def _arrays(batch: pa.RecordBatch, h: int, x: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,9 +138,15 @@ def _best_splits(cell: np.ndarray, weight: np.ndarray, per_split: int, n_classes
     """Of the weights of cells ((node, feature's place, bin), class), as one number each and in any order: the nodes, and gain, place
     and last bin on the left of each node's best split (the first of equal ones), the classes with the larger weight (whole,
     left, right) and whether the left and the right side are mixed. Only bins that occur are looked at."""
-    at, own = np.divmod(cell, n_classes)
-    group, where = np.unique(at, return_inverse=True)
-    table = np.bincount(where.ravel() * n_classes + own, weights=weight, minlength=len(group) * n_classes).reshape(len(group), n_classes)
+    size = int(cell.max(initial=-1)) // n_classes + 1
+    if size * n_classes <= _DENSE * len(cell):
+        table = np.bincount(cell, weights=weight, minlength=size * n_classes).reshape(size, n_classes)
+        group = np.flatnonzero(table.any(axis=1))
+        table = table[group]
+    else:
+        at, own = np.divmod(cell, n_classes)
+        group, where = np.unique(at, return_inverse=True)
+        table = np.bincount(where.ravel() * n_classes + own, weights=weight, minlength=len(group) * n_classes).reshape(len(group), n_classes)
 
     def firsts(of: np.ndarray) -> np.ndarray:
         return np.flatnonzero(np.append(True, np.diff(of) != 0))
@@ -167,147 +174,145 @@ def _best_splits(cell: np.ndarray, weight: np.ndarray, per_split: int, n_classes
     return node[starts], most, place, last, (one + two).argmax(axis=1), one.argmax(axis=1), two.argmax(axis=1), (one > 0).sum(axis=1) > 1, (two > 0).sum(axis=1) > 1
 
 
-_SPLIT = ("node", "gain", "place", "last", "winner", "winner_left", "winner_right", "mixed_left", "mixed_right")
-_CELLS = 1 << 21  # cells that a task holds before it passes them on, and those that are searched at a time
+_DENSE = 4  # cells of a full table for each one that occurs, up to which the full table is counted
+_CELLS = 1 << 20  # cells of whole nodes that are searched at a time
 
 
-def grow(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1, depth: int = DEPTH) -> Forest:
-    """A forest of trees grown until their leaves are pure or ``depth`` deep, all trees level by level together.
+class Growth(NamedTuple):
+    """What all trees of a forest have in common."""
 
-    Each level is one job: tasks walk their samples to the open nodes of all trees and add up the bootstrap weights by
-    (node, one of ``per_split`` features drawn for the node, bin, class); the sums of a node, at most per_split x BINS x
-    classes of them, give its split. The driver holds the trees, the classes and BINS numbers for each feature.
-    """
-    prepared, labels, n_features = _prepared(rows, seed)
-    n_classes, per_split = len(labels), min(per_split, n_features)
-    spark = rows.sparkSession
-    frontier = np.stack([np.arange(trees), np.zeros(trees, np.int64)]) if n_classes > 1 and n_features else np.zeros((2, 0), np.int64)
-    kinds = {"feature": np.int16 if n_features < 1 << 15 else np.int32, "limit": np.uint8, "child": np.int32, "winner": np.int16 if n_classes < 1 << 15 else np.int32, "decrease": np.float64}
-    grown = {c: np.full((trees, 1), -1 if c == "feature" else 0, k) for c, k in kinds.items()}
-    sizes = np.ones(trees, np.int64)  # nodes of each tree
-
-    def drawn(nodes: np.ndarray) -> np.ndarray:
-        """Features of each open node: those with the smallest hashes of seed, tree, node and feature."""
-        tree, node = nodes.astype(np.uint64)
-        base = _mixed(_mixed(tree * _STEP + np.uint64(seed)) + node)
-        out = np.empty((len(base), per_split), kinds["feature"])
-        step = max(1, (1 << 22) // n_features)
+    trees: int
+    per_split: int
+    seed: int
+    depth: int
+    n_classes: int
+    n_features: int
+
+    def drawn(self, tree: int, nodes: np.ndarray) -> np.ndarray:
+        """Features of each node: those with the smallest hashes of seed, tree, node and feature."""
+        base = _mixed(_mixed(np.array([tree], np.uint64) * _STEP + np.uint64(self.seed)) + nodes.astype(np.uint64))
+        out = np.empty((len(base), self.per_split), np.int64)
+        step = max(1, (1 << 20) // self.n_features)
         for first in range(0, len(base), step):
-            ranks = _mixed(base[first : first + step, None] ^ (np.arange(n_features, dtype=np.uint64) * _STEP)[None, :])
-            out[first : first + step] = np.argsort(ranks, axis=1, kind="stable")[:, :per_split]
+            ranks = _mixed(base[first : first + step, None] ^ (np.arange(self.n_features, dtype=np.uint64) * _STEP)[None, :])
+            out[first : first + step] = np.argsort(ranks, axis=1, kind="stable")[:, : self.per_split]
         return out
 
-    for level in range(depth + 1):
-        if not frontier.shape[1] or level == depth:
+
+_KINDS = {"feature": np.int32, "limit": np.uint8, "child": np.int32, "winner": np.int32, "decrease": np.float64}
+
+
+def _tree(how: Growth, tree: int, x: np.ndarray, y: np.ndarray, w: np.ndarray) -> dict[str, np.ndarray]:
+    """One tree on samples of the weights ``w``, grown level by level: the arrays of :class:`Forest`."""
+    levels = [{c: np.full(1, -1 if c == "feature" else 0, k) for c, k in _KINDS.items()}]
+    first = 0  # of the nodes of the level
+    row = np.flatnonzero(w)
+    at = np.zeros(len(row), np.int64)  # the open node of each row
+    nodes = np.zeros(1, np.int64) if how.n_classes > 1 and how.n_features and len(row) else np.zeros(0, np.int64)
+    for level in range(how.depth):
+        if not len(nodes):
             break
-        # a leaf has no child, so an open one tells its place there (counted from 1)
-        walked = {c: grown[c] for c in ("feature", "limit", "child")}
-        walked["child"] = walked["child"].copy()
-        walked["child"][frontier[0], frontier[1]] = np.arange(1, frontier.shape[1] + 1)
-        features = drawn(frontier)
-        sent = spark.sparkContext.broadcast((walked, features))
-
-        n_cells = per_split * BINS * n_classes
-        number = np.dtype(np.uint16 if n_cells <= 1 << 16 else np.uint32)
-
-        def sums(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            walked, features = sent.value
-            held: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-
-            def merged() -> tuple[np.ndarray, np.ndarray]:
-                cell, where = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
-                total = np.bincount(where.ravel(), weights=np.concatenate([w for _, w in held]), minlength=len(cell))
-                return cell, total.astype(np.int64)
-
-            def told(cell: np.ndarray, total: np.ndarray) -> Iterator[pa.RecordBatch]:
-                """A row for each node with its cells, and one more for those whose sums need a further byte."""
-                scale = 1
-                while len(cell):
-                    digit = (total & 255).astype(np.uint8)
-                    some = digit > 0
-                    node, inside = np.divmod(cell[some], n_cells)
-                    starts = np.flatnonzero(np.append(True, np.diff(node) != 0)) if len(node) else np.zeros(0, np.int64)
-                    bounds = np.append(starts, len(node))
-                    lists = [pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer((bounds * v.itemsize).astype(np.int32)), pa.py_buffer(v)]) for v in (inside.astype(number), digit[some])]
-                    yield pa.RecordBatch.from_arrays([pa.array(node[starts]), pa.array(np.full(len(starts), scale)), *lists], names=["node", "scale", "cell", "w"])
-                    cell, total, scale = cell[total > 255], total[total > 255] >> 8, scale << 8
-
-            for batch in batches:
-                for first in range(0, batch.num_rows, _ROWS):
-                    part = batch.slice(first, _ROWS)
-                    y = part.column(0).to_numpy()
-                    h, x = _arrays(part, 1, 2)
-                    w = _weights(h, trees)
-                    row, tree = np.nonzero(w)
-                    at = walked["child"][tree, _walk(**walked, x=x, row=row, tree=tree)].astype(np.int64) - 1
-                    row, tree, at = row[at >= 0], tree[at >= 0], at[at >= 0]
-                    bins = x[row[:, None], features[at]].astype(np.int64)
-                    cell = ((at[:, None] * per_split + np.arange(per_split)) * BINS + bins) * n_classes + y[row][:, None]
-                    held.append((cell.ravel(), np.repeat(w[row, tree], per_split)))
-                    if sum(len(c) for c, _ in held) > 2 * _CELLS:
-                        held = [merged()]
-                        if len(held[0][0]) > _CELLS:
-                            yield from told(*held.pop())
-                            held = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-            yield from told(*merged())
-
-        def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            """Rows sorted by node; the cells of a batch's last node are carried on, as it may go on in the next one."""
-            carried = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-            def solved(cell: np.ndarray, weight: np.ndarray) -> Iterator[pa.RecordBatch]:
-                if len(cell):
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in _best_splits(cell, weight, per_split, n_classes)], names=list(_SPLIT))
-
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                nodes = batch.column(0).to_numpy()
-                cells, weights = (np.frombuffer(b"".join(batch.column(i).to_pylist()), k) for i, k in ((2, number), (3, np.uint8)))
-                lengths = pc.binary_length(batch.column(3)).to_numpy()
-                weights = weights * np.repeat(batch.column(1).to_numpy(), lengths)
-                ends = np.cumsum(lengths, dtype=np.int64)
-                starts = np.flatnonzero(np.append(True, np.diff(nodes) != 0))  # rows where a node begins
-                begins = np.append(0, ends)[starts]  # and their cells
-                first = 0
-                while first < len(starts):
-                    # as many whole nodes as hold about _CELLS cells, one at least
-                    after = max(first + 1, int(np.searchsorted(begins, begins[first] + _CELLS, "right")) - 1) if begins[-1] > begins[first] + _CELLS else len(starts)
-                    a, b = starts[first], starts[after] if after < len(starts) else len(nodes)
-                    lo, hi = begins[first], ends[b - 1]
-                    own = np.repeat(nodes[a:b], np.diff(np.append(lo, ends[a:b]))) * n_cells + cells[lo:hi]
-                    cell, weight = np.append(carried[0], own), np.append(carried[1], weights[lo:hi])
-                    kept = cell // n_cells == nodes[b - 1]
-                    yield from solved(cell[~kept], weight[~kept])
-                    # a node that many tasks have told of has at most n_cells cells
-                    cell, where = np.unique(cell[kept], return_inverse=True)
-                    carried = (cell, np.bincount(where.ravel(), weights=weight[kept], minlength=len(cell)).astype(np.int64))
-                    first = after
-            yield from solved(*carried)
-
-        counted = prepared.select("y", "h", "x").mapInArrow(sums, "node long, scale long, cell binary, w binary")
-        types = ("long", "double", "long", "long", "long", "long", "long", "boolean", "boolean")
-        schema = ", ".join(f"{c} {k}" for c, k in zip(_SPLIT, types, strict=True))
-        found = counted.repartition("node").sortWithinPartitions("node").mapInArrow(split, schema).toPandas().sort_values("node")
-        sent.unpersist()
+        order = np.argsort(at, kind="stable")
+        row, at = row[order], at[order]
+        upto = np.append(0, np.cumsum(np.bincount(at, minlength=len(nodes))))
+        features = how.drawn(tree, nodes)
+        found, a = [], 0
+        while a < len(nodes):
+            # as many whole nodes as hold about _CELLS cells, one at least
+            b = max(a + 1, int(np.searchsorted(upto, upto[a] + _CELLS // how.per_split, "right")) - 1)
+            some, node = row[upto[a] : upto[b]], at[upto[a] : upto[b]]
+            bins = x[some[:, None], features[node]].astype(np.int64)
+            cell = (((node - a)[:, None] * how.per_split + np.arange(how.per_split)) * BINS + bins) * how.n_classes + y[some][:, None]
+            best = _best_splits(cell.ravel(), np.repeat(w[some], how.per_split), how.per_split, how.n_classes)
+            found.append((best[0] + a, *best[1:]))
+            a = b
+        node, gain, place, last, winner, *sides = (np.concatenate(c) for c in zip(*found, strict=True))
         if level == 0:
-            grown["winner"][found["node"], 0] = found["winner"]
-        found = found[found["gain"] > 1e-9]
-        at = found["node"].to_numpy()
-        tree, node = frontier[:, at]  # trees in ascending order, as the open nodes are in theirs
-        rank = np.arange(len(tree)) - np.searchsorted(tree, tree)
-        child = sizes[tree] + 2 * rank
-        sizes += 2 * np.bincount(tree, minlength=trees)
-        more = int(sizes.max()) - grown["feature"].shape[1]
-        for c, k in kinds.items():
-            grown[c] = np.concatenate([grown[c], np.full((trees, more), -1 if c == "feature" else 0, k)], axis=1)
-        grown["feature"][tree, node] = features[at, found["place"].to_numpy()]
-        grown["limit"][tree, node], grown["child"][tree, node], grown["decrease"][tree, node] = found["last"], child, found["gain"]
-        for side, name in enumerate(("winner_left", "winner_right")):
-            grown["winner"][tree, child + side] = found[name]
-        mixed = found[["mixed_left", "mixed_right"]].to_numpy(bool)
-        frontier = np.stack([np.repeat(tree, 2), np.stack([child, child + 1], axis=1).ravel()])[:, mixed.ravel()]
-    return Forest(*grown.values(), labels, prepared)
+            levels[0]["winner"][node] = winner
+        split = gain > 1e-9
+        node, gain, place, last, *sides = (c[split] for c in (node, gain, place, last, *sides))
+        own, size = levels[-1], sum(len(v["child"]) for v in levels)
+        inside = nodes[node] - first
+        own["feature"][inside], own["limit"][inside], own["decrease"][inside] = features[node, place], last, gain
+        own["child"][inside] = child = size + 2 * np.arange(len(node))
+        following = {c: np.full(2 * len(node), -1 if c == "feature" else 0, k) for c, k in _KINDS.items()}
+        following["winner"][:] = np.stack(sides[:2], axis=1).ravel()
+        mixed = np.stack(sides[2:], axis=1).ravel()
+        # rows of nodes that were split go on to those of their children that are mixed
+        rank = np.full(len(nodes), -1)
+        rank[node] = np.arange(len(node))
+        going = rank[at] >= 0
+        row, at = row[going], rank[at[going]]
+        side = 2 * at + (x[row, features[node, place][at]] > last[at])
+        row, side = row[mixed[side]], side[mixed[side]]
+        at = (np.cumsum(mixed) - 1)[side]
+        nodes = np.stack([child, child + 1], axis=1).ravel()[mixed]
+        levels.append(following)
+        first = size
+    return {c: np.concatenate([v[c] for v in levels]) for c in _KINDS}
+
+
+def _ends(tree: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """The node where each sample ends."""
+    out = np.zeros(len(x), np.int64)
+    for first in range(0, len(x), 1 << 16):
+        row = np.arange(first, min(first + (1 << 16), len(x)))
+        out[row] = _walk(*(tree[c][None, :] for c in ("feature", "limit", "child")), x, row, np.zeros(len(row), np.int64))
+    return out
+
+
+def _over_trees(prepared: DataFrame, how: Growth, work, schema: str) -> DataFrame:
+    """The rows that ``work(trees, x, y, h)`` makes of the samples, in the order of their rows, in tasks that share the trees.
+
+    A task holds all samples, a byte for each of their features, and grows its trees one after the other; ``trees`` gives
+    (number, arrays, weights) of each. So no tree leaves its task, and a sample is shuffled once per task.
+    """
+    spark = prepared.sparkSession
+    tasks = min(how.trees, 2 * spark.sparkContext.defaultParallelism)
+    # keys that the partitions of the shuffle get one of
+    keys = spark.range(32 * tasks).groupBy(F.pmod(F.hash("id"), F.lit(tasks)).alias("p")).agg(F.min("id").alias("k")).orderBy("p").collect()
+    place = {r["k"]: i for i, r in enumerate(keys)}
+    rows = prepared.select("row", "y", "h", "x", F.explode(F.array(*[F.lit(k) for k in place])).alias("_task"))
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.take(pa.array(np.argsort(table["row"].to_numpy(), kind="stable")))
+        y, h = table["y"].to_numpy(), table["h"].to_numpy()
+        x = np.frombuffer(b"".join(table["x"].to_pylist()), np.uint8).reshape(len(h), -1) if len(h) else np.zeros((0, 0), np.uint8)
+
+        def grown() -> Iterator[tuple[int, dict[str, np.ndarray], np.ndarray]]:
+            for tree in range(place[key[0].as_py()], how.trees, len(place)):
+                w = _weights(h, 1, tree)[:, 0]
+                yield tree, _tree(how, tree, x, y, w), w
+
+        return work(grown(), x, y)
+
+    return rows.repartition(len(place), "_task").groupBy("_task").applyInArrow(run, schema)
+
+
+def _growth(rows: DataFrame, trees: int, per_split: int, seed: int, depth: int) -> tuple[DataFrame, list[str], Growth]:
+    prepared, labels, n_features = _prepared(rows, seed)
+    return prepared, labels, Growth(trees, min(per_split, n_features), seed, depth, len(labels), n_features)
+
+
+def grow(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1, depth: int = DEPTH) -> Forest:
+    """A forest of trees grown until their leaves are pure or ``depth`` deep, brought to the driver.
+
+    A node's split is the best one of ``per_split`` features drawn for it, over their BINS bins, by the bootstrap weights of the tree.
+    """
+    prepared, labels, how = _growth(rows, trees, per_split, seed, depth)
+
+    def told(grown, x: np.ndarray, y: np.ndarray) -> pa.Table:
+        made = [(number, *[tree[c].tobytes() for c in _KINDS]) for number, tree, _ in grown]
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*made, strict=True), (pa.int32(), *[pa.binary()] * len(_KINDS)), strict=True)], names=["tree", *_KINDS])
+
+    found = _over_trees(prepared, how, told, "tree int, " + ", ".join(f"{c} binary" for c in _KINDS)).collect()
+    made = [{c: np.frombuffer(r[c], k) for c, k in _KINDS.items()} for r in sorted(found, key=lambda r: r["tree"])]
+    widest = max((len(t["child"]) for t in made), default=1)
+    arrays = [np.full((trees, widest), -1 if c == "feature" else 0, k) for c, k in _KINDS.items()]
+    for i, tree in enumerate(made):
+        for out, c in zip(arrays, _KINDS, strict=True):
+            out[i, : len(tree[c])] = tree[c]
+    return Forest(*arrays, labels, prepared)
 
 
 def votes(forest: Forest) -> DataFrame:
@@ -331,42 +336,92 @@ def votes(forest: Forest) -> DataFrame:
     return forest.prepared.select("id", "label", "h", "x").mapInArrow(run, f"id {kind}, label string, votes array<long>, predicted string")
 
 
+def _blocks_of(n: int) -> list[tuple[int, int]]:
+    return [(first, min(first + _ROWS, n)) for first in range(0, n, _ROWS)]
+
+
 def random_forest(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1, depth: int = DEPTH) -> DataFrame:
-    """Out-of-bag confusion table (label, predicted, n): a sample is judged by the trees whose bootstrap left it out."""
-    judged = votes(grow(rows, trees, per_split, seed, depth)).filter(F.col("predicted").isNotNull())
-    return judged.groupBy("label", "predicted").agg(F.count(F.lit(1)).alias("n"))
+    """Out-of-bag confusion table (label, predicted, n): a sample is judged by the trees whose bootstrap left it out.
+
+    Tasks count the votes of the trees they grow; the counts of a block of samples are added up over the tasks.
+    """
+    prepared, labels, how = _growth(rows, trees, per_split, seed, depth)
+
+    def judged(grown, x: np.ndarray, y: np.ndarray) -> pa.Table:
+        count = np.zeros((len(x), max(1, how.n_classes)), np.int32)
+        for _, tree, w in grown:
+            out = np.flatnonzero(w == 0)
+            count[out, tree["winner"][_ends(tree, x[out])]] += 1
+        blocks = _blocks_of(len(x))
+        parts = [[a for a, _ in blocks], [y[a:b].astype(np.int32).tobytes() for a, b in blocks], [count[a:b].tobytes() for a, b in blocks]]
+        return pa.table([pa.array(c, k) for c, k in zip(parts, (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["block", "y", "votes"])
+
+    def summed(table: pa.Table) -> pa.Table:
+        count = sum(np.frombuffer(v, np.int32).reshape(-1, max(1, how.n_classes)) for v in table["votes"].to_pylist())
+        y = np.frombuffer(table["y"][0].as_py(), np.int32)
+        some = count.any(axis=1)
+        pairs, n = np.unique(np.stack([y[some], count[some].argmax(axis=1)], axis=1), axis=0, return_counts=True)
+        return pa.table([pa.array([labels[i] for i in pairs[:, k]], pa.string()) for k in (0, 1)] + [pa.array(n.astype(np.int64))], names=["label", "predicted", "n"])
+
+    votes_of = _over_trees(prepared, how, judged, "block long, y binary, votes binary")
+    found = votes_of.groupBy("block").applyInArrow(summed, "label string, predicted string, n long")
+    return found.groupBy("label", "predicted").agg(F.sum("n").alias("n"))
 
 
 def rf_importance(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1, depth: int = DEPTH) -> DataFrame:
     """Importance per feature position: the Gini decrease of its splits in all trees, summing to one."""
-    forest = grow(rows, trees, per_split, seed, depth)
-    n_features = forest.prepared.select(F.max(F.octet_length("x"))).first()[0] or 0
-    inner = forest.feature >= 0
-    total = np.bincount(forest.feature[inner], weights=forest.decrease[inner], minlength=n_features)
+    prepared, _, how = _growth(rows, trees, per_split, seed, depth)
+
+    def decreased(grown, x: np.ndarray, y: np.ndarray) -> pa.Table:
+        total, first = np.zeros(how.n_features), None
+        for number, tree, _ in grown:
+            inner = tree["feature"] >= 0
+            total += np.bincount(tree["feature"][inner], weights=tree["decrease"][inner], minlength=how.n_features)
+            first = number if first is None else first
+        return pa.table([pa.array([first], pa.int32()), pa.array([total.tolist()], pa.list_(pa.float64()))], names=["tree", "total"])
+
+    # a number for each task and feature
+    found = sorted(_over_trees(prepared, how, decreased, "tree int, total array<double>").collect())
+    total = np.sum([r["total"] for r in found], axis=0) if found else np.zeros(how.n_features)
     values = (total / max(total.sum(), 1e-300)).tolist()
     return rows.sparkSession.createDataFrame(list(enumerate(values)), "feature int, importance double")
 
 
+_WIDE, _LEAST = 1 << 14, 4  # samples of a class that one of its groups has at most, and groups that a large class has at least
+
+
 def rf_outlier(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int = 1, depth: int = DEPTH) -> DataFrame:
     """Outlier score: samples / sum of squared proximities within the class, centred and scaled per class.
 
-    The proximity of two samples is their share of common leaves. A class is cut into blocks of samples, and every pair of
-    blocks is one small array comparison that gives a sum per sample; no pair of samples is a row.
+    The proximity of two samples is their share of common leaves. A class is cut into few groups of samples, and every pair of
+    groups is compared by one task and gives a sum per sample; no pair of samples is a row.
     """
-    forest = grow(rows, trees, per_split, seed, depth)
+    prepared, _, how = _growth(rows, trees, per_split, seed, depth)
     kind = rows.schema["id"].dataType.simpleString()
-    sent = rows.sparkSession.sparkContext.broadcast(forest._replace(prepared=None))
-
-    def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(first, _ROWS)
-                leaf = sent.value.leaves(_arrays(part, 2, 3)[1])
-                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.ListArray.from_arrays(pa.array(np.arange(len(leaf) + 1, dtype=np.int32) * leaf.shape[1]), pa.array(leaf.ravel().astype(np.int32)))], names=["id", "label", "_l"])
 
-    prepared = forest.prepared
-    leaves = stage(prepared.select("id", "label", "h", "x").mapInArrow(reached, f"id {kind}, label string, _l array<int>"))
-    counts = leaves.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).alias("_blocks"))
+    def reached(grown, x: np.ndarray, y: np.ndarray) -> pa.Table:
+        parts = [(number, _ends(tree, x).astype(np.int32)) for number, tree, _ in grown]
+        numbers = [number for number, _ in parts]
+        ends = np.stack([e for _, e in parts], axis=1)
+        blocks = _blocks_of(len(x))
+        return pa.table([pa.array([a for a, _ in blocks], pa.int64()), pa.array([numbers] * len(blocks), pa.list_(pa.int32())), pa.array([ends[a:b].tobytes() for a, b in blocks], pa.binary())], names=["block", "trees", "ends"])
+
+    def gathered(table: pa.Table) -> pa.Table:
+        numbers = np.concatenate([np.array(n) for n in table["trees"].to_pylist()])
+        ends = np.concatenate([np.frombuffer(e, np.int32).reshape(-1, len(n)) for e, n in zip(table["ends"].to_pylist(), table["trees"].to_pylist(), strict=True)], axis=1)
+        ends = ends[:, np.argsort(numbers)]
+        return pa.table([pa.array(table["block"][0].as_py() + np.arange(len(ends))), pa.array([e.tobytes() for e in ends], pa.binary())], names=["_at", "_l"])
+
+    told = _over_trees(prepared, how, reached, "block long, trees array<int>, ends binary").groupBy("block").applyInArrow(gathered, "_at long, _l binary")
+    # the places in the order of the rows; the numbers of the rows have gaps, one for each task that wrote them
+    tasks = prepared.groupBy(F.shiftright("row", 33).alias("_task")).agg(F.count(F.lit(1)).alias("n")).orderBy("_task").collect()
+    before = np.append(0, np.cumsum([r["n"] for r in tasks])).tolist()
+    starts = rows.sparkSession.createDataFrame([(r["_task"], b) for r, b in zip(tasks, before, strict=False)], "_task long, _before long")
+    placed = prepared.select("id", "label", "row").join(F.broadcast(starts), F.shiftright("row", 33) == F.col("_task"))
+    placed = placed.select("id", "label", (F.col("_before") + F.col("row").bitwiseAND((1 << 33) - 1)).alias("_at"))
+    leaves = stage(told.join(placed, "_at").select("id", "label", "_l"))
+    n = F.count(F.lit(1))
+    counts = leaves.groupBy("label").agg(F.least(F.ceil(n / _BLOCK), F.greatest(F.lit(_LEAST), F.ceil(n / _WIDE))).alias("_blocks"))
     dealt = leaves.join(counts, "label").withColumn("_block", F.pmod(F.xxhash64("id"), "_blocks"))
     left = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))).drop("_blocks")
     # new names for the other side's columns, as both sides come from one table
@@ -375,8 +430,11 @@ def rf_outlier(rows: DataFrame, trees: int = 500, per_split: int = 7, seed: int
     kinds = dict(rows.dtypes)
 
     def sums(own: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        a, b = (np.stack(x.to_list()) if len(x) else np.zeros((0, trees)) for x in (own["_l"], others["_l_"]))
-        total = [float(((row[None, :] == b).mean(axis=1) ** 2).sum()) for row in a]
+        a, b = (np.frombuffer(b"".join(x), np.int32).reshape(-1, trees) for x in (own["_l"], others["_l_"]))
+        total = np.zeros(len(a))
+        for first in range(0, len(b), _BLOCK):
+            part = b[first : first + _BLOCK]
+            total += [float(((np.count_nonzero(row[None, :] == part, axis=1) / trees) ** 2).sum()) for row in a]
         return pd.DataFrame({"id": own["id"], "label": own["label"], "_part": total})
 
     parts = left.groupBy("label", "_block", "_other").cogroup(right.groupBy("label_", "_from", "_block_")).applyInPandas(sums, f"id {kinds['id']}, label string, _part double")

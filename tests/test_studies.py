@@ -1086,3 +1086,35 @@ def test_counts_of_the_report_against_plain_loops(spark, monkeypatch):
     assert sorted(over, key=str) == sorted([(s, n, round(n / 45, 9)) for s, n in copies.items() if n > 0.03 * 45], key=str) and None in copies
     plan = read_quality.qc_duplication(reads)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" in plan and not any("hashpartitioning" in line and "seq#" in line for line in plan.splitlines())
+
+
+def test_forests_are_summed_up_where_their_trees_grow(spark, monkeypatch):
+    rng = np.random.default_rng(79)
+    rows = [(i, "abc"[i % 3], [float(x) for x in rng.normal(i % 3, 1.5, 6)]) for i in range(130)]
+    data = spark.createDataFrame(rows, "id long, label string, features array<double>").repartition(4)
+    grown = forest.grow(data, trees=23, per_split=3, seed=5)
+    table = {(r["label"], r["predicted"]): n for r, n in Counter(forest.votes(grown).filter("predicted is not null").select("label", "predicted").collect()).items()}
+    inner = grown.feature >= 0
+    weights = np.bincount(grown.feature[inner], weights=grown.decrease[inner], minlength=6)
+    made = grown.prepared.toPandas()
+    leaves = grown.leaves(np.stack([np.frombuffer(b, np.uint8) for b in made["x"]]))
+    raw = np.zeros(130)
+    for i in range(130):
+        same = (made["label"] == made["label"][i]).to_numpy()
+        raw[i] = 130 / ((leaves[same] == leaves[i]).mean(axis=1) ** 2).sum()
+    scores = {}
+    for label in "abc":
+        own = (made["label"] == label).to_numpy()
+        off = raw[own] - np.median(raw[own])
+        scores |= dict(zip(made["id"][own], off / np.median(np.abs(off)), strict=True))
+    # the driver used to hold the trees
+    monkeypatch.setattr(forest, "grow", lambda *_, **__: pytest.fail("the trees are brought to the driver"))
+    for block, cells in ((256, 1 << 20), (16, 40)):
+        monkeypatch.setattr(forest, "_BLOCK", block)
+        monkeypatch.setattr(forest, "_CELLS", cells)
+        monkeypatch.setattr(forest, "_ROWS", 3 * block)
+        assert {(r["label"], r["predicted"]): r["n"] for r in forest.random_forest(data, 23, 3, 5).collect()} == table
+        got = {r["id"]: r["outlier"] for r in forest.rf_outlier(data, 23, 3, 5).collect()}
+        assert got.keys() == scores.keys() and all(math.isclose(got[k], scores[k], rel_tol=1e-9, abs_tol=1e-9) for k in got)
+    got = [r["importance"] for r in forest.rf_importance(data, 23, 3, 5).orderBy("feature").collect()]
+    assert np.allclose(got, weights / weights.sum(), rtol=1e-12)
